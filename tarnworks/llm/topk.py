@@ -177,10 +177,10 @@ def op9_maxscore_topk(spark, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS e
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
