@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, topk
+from tarnworks.llm import bpe, media, topk
 
 QUERIES = {
+    "op1_media_avi": media.op1_media_avi,
     "op7_bpe_trie": bpe.op7_bpe_trie,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
 }
