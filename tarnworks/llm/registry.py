@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, media, topk
+from tarnworks.llm import bpe, chat, media, topk
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
+    "op5_chat_tree": chat.op5_chat_tree,
     "op7_bpe_trie": bpe.op7_bpe_trie,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
 }
 SQL = {
+    "op5_chat_tree": chat.OP5_SQL,
     "op9_maxscore_topk": topk.OP9_SQL,
 }
