@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, chat, media, topk
+from tarnworks.llm import bpe, chat, dedup, media, topk
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
     "op5_chat_tree": chat.op5_chat_tree,
     "op7_bpe_trie": bpe.op7_bpe_trie,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
+    "op10_superminhash": dedup.op10_superminhash,
 }
 SQL = {
     "op5_chat_tree": chat.OP5_SQL,
     "op9_maxscore_topk": topk.OP9_SQL,
+    "op10_superminhash": dedup.OP10_SQL,
 }
