@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, chat, dedup, media, topk
+from tarnworks.llm import bpe, chat, dedup, license, media, topk, urlfilter
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
+    "op4_temporal_url_lists": urlfilter.op4_temporal_url_lists,
     "op5_chat_tree": chat.op5_chat_tree,
     "op7_bpe_trie": bpe.op7_bpe_trie,
+    "op8_license_rules": license.op8_license_rules,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
     "op10_superminhash": dedup.op10_superminhash,
 }
 SQL = {
+    "op4_temporal_url_lists": urlfilter.OP4_SQL,
+    "op8_license_rules": license.OP8_SQL,
     "op5_chat_tree": chat.OP5_SQL,
     "op9_maxscore_topk": topk.OP9_SQL,
     "op10_superminhash": dedup.OP10_SQL,
