@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, chat, dedup, license, media, topk, urlfilter
+from tarnworks.llm import bpe, chat, dedup, langid, license, media, packing, topk, urlfilter
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
+    "op2_optimal_buckets": packing.op2_optimal_buckets,
+    "op3_language_fusion": langid.op3_language_fusion,
     "op4_temporal_url_lists": urlfilter.op4_temporal_url_lists,
     "op5_chat_tree": chat.op5_chat_tree,
     "op7_bpe_trie": bpe.op7_bpe_trie,
