@@ -3,10 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarnworks.core.io import materialize, table
+from tarnworks.llm import dedup, langid, packing, secretscan
 
-STAGES: list = []
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is not accepted go; ``lang`` is the identified one."""
+    judged = langid.identify(docs, None, docs).where("accepted AND doc_id IS NOT NULL")
+    verdict = judged.select("doc_id", F.col("predicted").alias("found")).dropDuplicates(["doc_id"])
+    return docs.join(verdict, "doc_id").withColumn("lang", F.col("found")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    kept = dedup.near_components(docs).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are redacted; every document stays."""
+    return secretscan.redact(docs, *secretscan.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's bucket, batch and slot."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secret_scan", secrets), ("packing", pack)]
 ORACLE_SQL = None
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, chat, dedup, langid, license, media, packing, topk, urlfilter
+from tarnworks.llm import bpe, chat, dedup, langid, license, media, packing, secretscan, topk, urlfilter
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_fusion": langid.op3_language_fusion,
     "op4_temporal_url_lists": urlfilter.op4_temporal_url_lists,
     "op5_chat_tree": chat.op5_chat_tree,
+    "op6_secret_forest": secretscan.op6_secret_forest,
     "op7_bpe_trie": bpe.op7_bpe_trie,
     "op8_license_rules": license.op8_license_rules,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
