@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tarnworks.plans import zonal  # noqa: F401  registers its queries
+from tarnworks.plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
