@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tarnworks.core.io import materialize
 
 
+#: Edges that one task may hold: some tens of megabytes.
+SMALL = 300_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the edges of one task: each node with its set's smallest node."""
     parent: dict[int, int] = {}
@@ -34,17 +38,22 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(nodes[keep][at : at + 100_000]), pa.array(roots[keep][at : at + 100_000])], names=["a", "b"])
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, small: int = SMALL) -> DataFrame:
     """(node, component): the smallest node that each node of an edge table can reach.
 
     Long ids; edges with a null end and loops are left out. Every round first shrinks each
     task's edges to a forest by union-find, then hooks each node to its smallest neighbour,
-    jumps to the roots and keeps the edges between roots. Nodes without an edge are not
-    returned. Raises when ``rounds`` do not suffice.
+    jumps to the roots and keeps the edges between roots. At most ``small`` edges after the
+    first shrinking are finished by one task. Nodes without an edge are not returned. Raises
+    when ``rounds`` do not suffice.
     """
     e = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     forest = e.mapInArrow(_forest, "a long, b long").distinct()
     e = materialize(forest, "component-edges")
+    if e.count() <= small:
+        flat = e.coalesce(1).mapInArrow(_forest, "a long, b long")
+        both = flat.unionByName(flat.select(F.col("b").alias("a"), "b"))
+        return materialize(both.distinct().select(F.col("a").alias("node"), F.col("b").alias("component")), "component-labels")
     label = None  # (node, component) of all nodes hooked so far
     for _ in range(rounds):
         if e.isEmpty():
