@@ -7,8 +7,9 @@ level - for most documents after one or two levels.
 
 Documents with equal sets form a class; the rest works on one representative a class. In a
 band's bucket, members are first linked with its smallest one. What stays apart inside a
-bucket is compared with other pivots and at last pair by pair, so no link that banding
-finds is lost while a bucket of any size costs a pass, not its square.
+bucket is compared with some more pivots, and at last with every member of the bucket's
+other components that the triangle inequality leaves: no link that banding finds is lost,
+and members of one component are never paired.
 """
 
 from __future__ import annotations
@@ -186,21 +187,16 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles binary")
 
 
-def _linked(percent: int):
-    """Keeps the pairs whose sets share percent / 100 of their union."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            keep = np.zeros(len(a), bool)
-            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum()) if len(y) else 0
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
-
-    return run
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size of the intersection and of the union of each pair's sets."""
+    for batch in batches:
+        both, either = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+        for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+            both[i] = int((y[at] == x).sum()) if len(y) else 0
+            either[i] = len(x) + len(y) - both[i]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both), pa.array(either)], names=["a", "b", "both", "either"])
 
 
 def _possible(n_a: str, n_b: str, percent: int):
@@ -216,8 +212,7 @@ def near_components(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = BAND_ROWS,
-    star_rounds: int = 6,
-    pairs_per_member: int = 4,
+    pivots: int = 4,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row a document.
 
@@ -243,41 +238,52 @@ def near_components(
     texts = d.where("doc_id IS NOT NULL").join(wanted, F.col("doc_id") == F.col("doc"), "left_semi")
     sets = materialize(full_sets(texts, size).dropDuplicates(["doc_id"]), "dedup-sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-        b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-        return pairs.join(a, "a").join(b, "b").mapInArrow(_linked(percent), "a long, b long")
+    def compared(pairs: DataFrame) -> DataFrame:
+        x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
+        y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_common, "a long, b long, both long, either long")
+
+    linked = F.col("both") * 100 >= F.col("either") * percent
+
+    def still_apart(at: DataFrame, links: DataFrame) -> DataFrame:
+        """Members, with their component, of the buckets that hold more than one."""
+        label = connected_components(links).withColumnRenamed("node", "doc")
+        at = at.select("bucket", "doc", "n").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        mixed = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        return materialize(at.join(mixed.select("bucket"), "bucket"), "dedup-apart")
+
+    def pairs_of(rows: DataFrame) -> DataFrame:
+        rows = rows.where(_possible("n", "n_b", percent)).select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
+        return rows.distinct()
 
     # First each document meets the smallest pivot of its buckets.
     lowest = members.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("pivot"))
     met = members.join(lowest, "bucket").select("doc", "n", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
     first = met.where("doc <> pivot").where(_possible("n", "pivot_n", percent)).groupBy(F.col("doc").alias("b")).agg(F.min("pivot").alias("a"))
-    tested = materialize(first.select("a", "b"), "dedup-pairs")
-    links = materialize(verified(tested), "dedup-links")
-    for turn in range(star_rounds + 1):
-        label = connected_components(links)
-        at = members.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-        mixed = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        at = materialize(at.join(mixed, "bucket"), "dedup-apart")
-        sums = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-        sums = sums.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        left = sums.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()
-        if not left["pairs"]:
-            break
-        last = left["pairs"] <= pairs_per_member * left["rows"] or turn == star_rounds
-        if last:
-            other = at.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-            pairs = at.join(other, "bucket").where("component <> component_b AND doc < b")
-        else:
-            pivot = at.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("by"), "doc", "n", "component")).alias("p"))
-            pivot = pivot.select("bucket", F.col("p.doc").alias("b"), F.col("p.n").alias("n_b"), F.col("p.component").alias("component_b"))
-            pairs = at.join(pivot, "bucket").where("component <> component_b")
-        pairs = pairs.where(_possible("n", "n_b", percent)).select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"), "dedup-pairs")
-        links = materialize(links.unionByName(verified(pairs)), "dedup-links")
-        tested = tested.unionByName(pairs)
-        if last:
-            break
+    links = materialize(compared(first).where(linked).select("a", "b"), "dedup-links")
+    # Then what is apart meets some more pivots of its bucket.
+    at = still_apart(members, links)
+    more = at.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("doc", F.lit(t)).alias("by"), "doc", "n", "component"))["doc"] for t in range(pivots)])).alias("docs"))
+    more = more.select("bucket", F.explode("docs").alias("doc")).join(at, ["bucket", "doc"])
+    more = more.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
+    star = pairs_of(at.join(more, "bucket").where("component <> component_b"))
+    links = materialize(links.unionByName(compared(star).where(linked).select("a", "b")), "dedup-links")
+    # At last all pairs of a bucket's components, but for those that cannot be close: distance
+    # 1 - similarity is a metric, so a and b are at least |d(p, a) - d(p, b)| apart. The pivot
+    # p lies in the bucket's largest component.
+    at = still_apart(at, links)
+    largest = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("p"))
+    pivot = largest.groupBy("bucket").agg(F.max_by("p", F.struct("members", -F.col("p"))).alias("p"))
+    at = materialize(at.join(pivot, "bucket"), "dedup-pivots")
+    asked = at.where("doc <> p").select(F.col("doc").alias("a"), F.col("p").alias("b")).distinct()
+    near = materialize(compared(asked).select(F.col("a").alias("doc"), F.col("b").alias("p"), (1 - F.col("both") / F.col("either")).alias("far"), linked.alias("linked")), "dedup-distances")
+    links = links.unionByName(near.where("linked").select(F.col("doc").alias("a"), F.col("p").alias("b")))
+    at = at.join(near.select("doc", "p", "far"), ["doc", "p"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
+    at = materialize(at, "dedup-apart")
+    other = at.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"), F.col("far").alias("far_b"))
+    reach = (100 - percent) / 100 + 1e-9
+    cross = at.join(other, "bucket").where("component < component_b AND doc <> p AND b <> p").where(F.abs(F.col("far") - F.col("far_b")) <= reach)
+    links = materialize(links.unionByName(compared(pairs_of(cross)).where(linked).select("a", "b")), "dedup-links")
     label = connected_components(links).withColumnRenamed("node", "rep")
     whole = signed.select("doc_id", "n_shingles", "set_key").distinct().join(of_class, "set_key", "left").join(label, "rep", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep"))
@@ -295,7 +301,8 @@ def op10_superminhash(spark, sf_dir: str) -> DataFrame:
 
 OP10_SQL = r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS w
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
