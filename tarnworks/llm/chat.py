@@ -1,10 +1,10 @@
 r"""Chat formatting over a prefix tree of conversations.
 
-Conversations that share their first turns share those turns' nodes. Each node's tokens
-are stored once; nodes in depth-first order, tree after tree, give one token stream. A node
-carries its place in that stream, the position id of its first token (its depth in
-tokens along its own path) and the intervals of the stream that its tokens may attend
-to: its ancestors' ones, and its own up to the token itself.
+Conversations that share their first turns share those turns' segments. Each segment's
+tokens are stored once; segments in depth-first order, tree after tree, give one token
+stream. A segment carries its place in that stream, the position id of its first token
+(its depth in tokens along its own path) and the intervals of the stream that its tokens
+may attend to: its ancestors' ones, and its own up to the token itself.
 
 Template of a turn: ``### <role>: <text></turn>\n``. In texts and roles a backslash
 escapes a backslash, ``###``, ``</turn>``; in roles also ``:``. Tokens are a byte-level
@@ -28,9 +28,10 @@ from tarnworks.core.io import materialize, table
 
 OPEN, CLOSE = "### ", "</turn>\n"
 CONTROL = r"(\\|###|</turn>)"
+ROLE_CONTROL = r"(\\|###|</turn>|:)"
 
-def escaped(column, control: str = CONTROL):
-    return F.regexp_replace(column, control, r"\\$1")
+def escape(text: str, control: str = CONTROL) -> str:
+    return re.sub(control, r"\\\1", text)
 
 
 def unescape(text: str) -> str:
@@ -52,30 +53,23 @@ def conversation_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn
     return d.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 
-def prefix_paths(turns: DataFrame) -> DataFrame:
-    """(conv_id, depth, node, path, role, text): a row for each turn of each conversation.
+def prefix_nodes(turns: DataFrame) -> DataFrame:
+    """(conv_id, at, node, role, text): a row for each turn; ``node`` digests all turns so far, so
+    equal beginnings have equal nodes."""
 
-    ``node`` digests all turns so far, so equal beginnings have equal nodes; ``path`` is the
-    nodes from the root on.
-    """
-    step = F.transform("turns", lambda t: F.concat(F.base64(F.encode(t["role"], "UTF-8")), F.lit(" "), F.base64(F.encode(t["text"], "UTF-8"))))
-    chain = F.aggregate(
-        step,
-        F.array().cast("array<string>"),
-        lambda seen, s: F.concat(seen, F.array(F.substring(F.sha2(F.concat_ws("/", F.coalesce(F.try_element_at(seen, F.lit(-1)), F.lit("")), s), 256), 1, 32))),
-    )
-    return (
-        turns.withColumn("nodes", chain)
-        .select("conv_id", "nodes", F.posexplode("turns").alias("at", "t"))
-        .select(
-            "conv_id",
-            (F.col("at") + 1).alias("depth"),
-            F.element_at("nodes", F.col("at") + 1).alias("node"),
-            F.slice("nodes", 1, F.col("at") + 1).alias("path"),
-            F.col("t.role").alias("role"),
-            F.col("t.text").alias("text"),
-        )
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows, node = [], b""
+                for at, t in enumerate(turns.as_py()):
+                    role, text = t["role"].encode(), t["text"].encode()
+                    node = hashlib.sha256(node + b"%d %d " % (len(role), len(text)) + role + text).digest()[:16]
+                    rows.append((conv, at, node.hex(), t["role"], t["text"]))
+                names = ["conv_id", "at", "node", "role", "text"]
+                kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return turns.select("conv_id", "turns").mapInArrow(run, "conv_id long, at int, node string, role string, text string")
 
 
 _encodings: dict[str, object] = {}
@@ -93,45 +87,61 @@ def _encoding(path: str):
     return _encodings[path]
 
 
-def encode_turns(nodes: DataFrame, tokenizer: str) -> DataFrame:
-    """Adds ``tokens``, and ``text_from``, ``text_to``: where in them the escaped text lies."""
-    made = nodes.withColumn("head", F.concat(F.lit(OPEN), escaped("role", CONTROL[:-1] + "|:)"), F.lit(": "))).withColumn("body", escaped("text"))
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+SEGMENT = "conv_id long, leaf boolean, owned boolean, seg string, path array<string>, n long, tokens array<int>, masked array<struct<lo:int,hi:int>>"
+
 
-    keep = ["node", "path", "role"]
-    schema = StructType([made.schema[c] for c in keep] + [StructField("tokens", ArrayType(IntegerType())), StructField("text_from", IntegerType()), StructField("text_to", IntegerType())])
-    arrow = to_arrow_schema(schema)
+def segments(nodes: DataFrame, tokenizer: str) -> DataFrame:
+    """The segments of each conversation: runs of turns that the same conversations share.
+
+    Where two turns in a row belong to equally many conversations, all that reach the first
+    reach the second, so a run has no branch inside. ``seg`` is a run's first node, ``path`` the
+    segments from the root to it. One conversation of those that share a segment owns it and
+    carries its tokens and the places of its loss mask; ``leaf`` marks a conversation's last.
+    """
+    key = F.coalesce("conv_id", F.lit(-(2**63)))
+    shared = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_convs"), F.min(key).alias("owner"))
+    rows = nodes.join(shared, "node").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "node", "n_convs", "owner", "role", "text"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
+        close = encode(CLOSE)
+        names = [c.split()[0] for c in ("conv_id", "leaf", "owned", "seg", "path", "n", "tokens", "masked")]
+        span = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+        kinds = [pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string()), pa.int64(), pa.list_(pa.int32()), span]
         for batch in batches:
-            head = [encode(x) for x in batch.column("head").to_pylist()]
-            body = [encode(x) for x in batch.column("body").to_pylist()]
-            close = encode(CLOSE)
-            columns = [
-                [h + b + close for h, b in zip(head, body)],
-                [len(h) for h in head],
-                [len(h) + len(b) for h, b in zip(head, body)],
-            ]
-            made = [pa.array(c, arrow.field(len(keep) + i).type) for i, c in enumerate(columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + made, schema=arrow)
-
-    return made.select(*keep, "head", "body").mapInArrow(run, schema)
-
-
-def prefix_tree(paths: DataFrame, tokenizer: str) -> DataFrame:
-    """The trees' nodes with their tokens once each, in depth-first order.
-
-    Columns: tree (its root node), node, path, role, tokens, text_from, text_to, start (place
-    of the first token in the stream), position (its position id), attend (intervals
-    [from, to) of the stream: those of the ancestors, then the node's own, causal inside).
-    Trees of any size: places are prefix sums over range-partitioned nodes, so no tree has to
-    fit in a task.
+            for conv, turns in zip(batch.column(0).to_pylist(), batch.column(1)):
+                out, before, mine = [], None, conv if conv is not None else -(2**63)
+                for t in turns.as_py():
+                    if t["n_convs"] != before:
+                        path = [*(out[-1][4] if out else []), t["node"]]
+                        out.append([conv, False, t["owner"] == mine, t["node"], path, 0, [], []])
+                        before = t["n_convs"]
+                    if out[-1][2]:
+                        tokens = out[-1][6]
+                        tokens += encode(OPEN + escape(t["role"], ROLE_CONTROL) + ": ")
+                        lo = len(tokens)
+                        tokens += encode(escape(t["text"]))
+                        if t["role"] == "assistant":
+                            out[-1][7].append({"lo": lo, "hi": len(tokens)})
+                        tokens += close
+                        out[-1][5] = len(tokens)
+                out[-1][1] = True
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    return rows.mapInArrow(run, SEGMENT)
+
+
+def prefix_tree(cut: DataFrame) -> DataFrame:
+    """The trees' segments with their tokens once each, in depth-first order.
+
+    Columns: seg, path, tokens, masked, n, start (place of the first token in the stream),
+    position (its position id), attend (intervals [lo, hi) of the stream that its tokens may
+    attend to: its ancestors', then its own, causal inside; adjacent ones are one). Trees of
+    any size: places are prefix sums over range-partitioned segments, so no tree has to fit in
+    a task.
     """
-    nodes = paths.groupBy("node").agg(F.first("path").alias("path"), F.first("role").alias("role"), F.first("text").alias("text"))
-    coded = materialize(encode_turns(nodes, tokenizer).withColumn("n", F.size("tokens").cast("long")), "chat-nodes")
-    slim = coded.select("node", F.array_join("path", "").alias("place"), "path", "n")
+    coded = cut.where("owned").select("seg", "path", "tokens", "masked", "n")
+    slim = coded.select("seg", F.array_join("path", "").alias("place"), "path", "n")
     # Depth-first order is the order of paths. Range partitions of it are written with their
     # number: a running sum inside each, and before it the sums of those before.
     part = slim.repartitionByRange("place").withColumn("part", F.spark_partition_id())
@@ -143,68 +153,64 @@ def prefix_tree(paths: DataFrame, tokenizer: str) -> DataFrame:
     placed = (
         part.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(sums, "part")
-        .select("node", "path", "n", (F.col("offset") + F.col("within")).alias("start"))
+        .select("seg", "path", "n", (F.col("offset") + F.col("within")).alias("start"))
     )
     placed = materialize(placed, "chat-places")
-    # Each node's ancestors: one row a path entry, met by the entry's own place.
-    entry = placed.select("node", F.posexplode("path").alias("at", "above"))
-    spans = placed.select(F.col("node").alias("above"), "start", "n")
+    # Each segment's ancestors: one row a path entry, met by the entry's own place.
+    entry = placed.select("seg", F.posexplode("path").alias("at", "above"))
+    spans = placed.select(F.col("seg").alias("above"), "start", "n")
     above = (
         entry.join(spans, "above")
-        .groupBy("node")
+        .groupBy("seg")
         .agg(
-            F.sort_array(F.collect_list(F.struct("at", F.col("start").alias("from"), (F.col("start") + F.col("n")).alias("to")))).alias("spans"),
+            F.sort_array(F.collect_list(F.struct("at", F.col("start").alias("lo"), (F.col("start") + F.col("n")).alias("hi")))).alias("spans"),
             F.sum("n").alias("reach"),
         )
     )
-    return coded.join(above, "node").select(
-        F.element_at("path", 1).alias("tree"),
-        "node",
-        "path",
-        "role",
-        "tokens",
-        "text_from",
-        "text_to",
-        F.element_at("spans", -1)["from"].alias("start"),
-        (F.col("reach") - F.col("n")).alias("position"),
-        F.transform("spans", lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to"))).alias("attend"),
+    own = F.element_at("spans", -1)
+    empty = F.array().cast("array<struct<lo:bigint,hi:bigint>>")
+    joined = F.aggregate(
+        "spans",
+        empty,
+        lambda seen, s: F.when(
+            F.coalesce(F.try_element_at(seen, F.lit(-1))["hi"] == s["lo"], F.lit(False)),
+            F.concat(F.slice(seen, 1, F.size(seen) - 1), F.array(F.struct(F.try_element_at(seen, F.lit(-1))["lo"].alias("lo"), s["hi"].alias("hi")))),
+        ).otherwise(F.concat(seen, F.array(F.struct(s["lo"].alias("lo"), s["hi"].alias("hi"))))),
     )
+    return coded.join(above, "seg").select("seg", "path", "tokens", "masked", "n", own["lo"].alias("start"), (F.col("reach") - F.col("n")).alias("position"), joined.alias("attend"))
 
 
-READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, tree string, attended long"
+READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, attended long"
 
 
 def read_back(leaves: DataFrame, tree: DataFrame, tokenizer: str) -> DataFrame:
-    """Each conversation read from the tree's tokens: those that its last node attends to.
+    """Each conversation read from the tree's tokens: those that its last segment attends to.
 
     ``leaves`` is (conv_id, path). Returns the decoded turns' digests; the loss mask covers
     the text tokens of assistant turns.
     """
-    entry = leaves.select("conv_id", F.explode("path").alias("node"))
-    got = entry.join(tree.select("tree", "node", "role", "tokens", "text_from", "text_to", "position", "attend"), "node")
-    whole = got.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("position", "role", "tokens", "text_from", "text_to"))).alias("parts"),
-        F.max("tree").alias("tree"),
-        F.max_by("attend", "position").alias("attend"),
-    )
-    whole = whole.withColumn("attend_tokens", F.aggregate("attend", F.lit(0).cast("long"), lambda a, s: a + s["to"] - s["from"])).drop("attend")
+    entry = leaves.select("conv_id", F.explode("path").alias("seg"))
+    got = entry.join(tree.select("seg", "tokens", "masked", "position", "attend"), "seg")
+    whole = got.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("position", "tokens", "masked"))).alias("parts"), F.max_by("attend", "position").alias("attend"))
+    whole = whole.withColumn("attended", F.aggregate("attend", F.lit(0).cast("long"), lambda a, s: a + s["hi"] - s["lo"])).drop("attend")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = _encoding(tokenizer)
         for pdf in batches:
             rows = []
-            for conv, parts, root, n in zip(pdf["conv_id"], pdf["parts"], pdf["tree"], pdf["attend_tokens"]):
+            for conv, parts, attended in zip(pdf["conv_id"], pdf["parts"], pdf["attended"]):
                 tokens, masked = [], []
                 for p in parts:
                     own = list(p["tokens"])
                     tokens += own
-                    if p["role"] == "assistant":
-                        masked.append(unescape(coder.decode(own[p["text_from"] : p["text_to"]])))
+                    masked += [unescape(coder.decode(own[m["lo"] : m["hi"]])) for m in p["masked"]]
+                if len(tokens) != attended:
+                    raise ValueError(f"conversation {conv}: {len(tokens)} tokens, {attended} attended")
                 whole = coder.decode(tokens)
                 turns = _parse(whole)
                 told = "".join(f"{r}\n{t}\n" for r, t in turns)
                 loss = "".join(masked)
-                rows.append((conv, len(turns), hashlib.sha256(told.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole), root, n))
+                rows.append((conv, len(turns), hashlib.sha256(told.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(whole), attended))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")]).astype({"conv_id": "Int64"})
 
     return whole.mapInPandas(run, READ)
@@ -237,9 +243,8 @@ def op5_chat_tree(spark, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(PROBE[0], i, r, PROBE[1]) for i, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
     turns = conversation_turns(rows.unionByName(probe))
-    paths = materialize(prefix_paths(turns), "chat-paths")
-    leaves = paths.groupBy("conv_id").agg(F.max_by("path", "depth").alias("path"))
-    return read_back(leaves, prefix_tree(paths, tokenizer), tokenizer).drop("tree", "attended")
+    cut = materialize(segments(materialize(prefix_nodes(turns), "chat-nodes"), tokenizer), "chat-segments")
+    return read_back(cut.where("leaf").select("conv_id", "path"), prefix_tree(cut), tokenizer).drop("attended")
 
 
 OP5_SQL = r"""
