@@ -6,10 +6,10 @@ value in [j, j + 1), so a signature is complete once every place holds a value b
 level - for most documents after one or two levels.
 
 Documents with equal sets form a class; the rest works on one representative a class. In a
-band's bucket, members are first linked with its smallest one. What stays apart inside a
+band's bucket, members are first linked with its most central one. What stays apart inside a
 bucket is compared with some more pivots, and at last with every member of the bucket's
-other components that the triangle inequality leaves: no link that banding finds is lost,
-and members of one component are never paired.
+other components that bounds on the common shingles leave: no link that banding finds is
+lost, and members of one component are never paired.
 """
 
 from __future__ import annotations
@@ -117,9 +117,9 @@ def super_minhash(h: np.ndarray, bounds: np.ndarray, m: int) -> np.ndarray:
     for j in range(m):
         if not len(doc):
             break
-        random = _mix(element ^ _mix(np.uint64(j + 1) * _MUL[0] + np.uint64(0x5851F42D4C957F2D)))
+        random = _mix(element ^ _mix(np.array([j + 1], np.uint64) * _MUL[0]))
         r = (random >> np.uint64(11)).astype(np.float64) / (1 << 53)
-        pick = j + (_mix(random + _MUL[0]) % np.uint64(m - j)).astype(np.int64)
+        pick = j + (_mix(random + _MUL[:1]) % np.uint64(m - j)).astype(np.int64)
         # The permutation after j swaps, at place ``pick``: follow the swaps backwards.
         place = pick.copy()
         for i in range(j - 1, -1, -1):
@@ -199,6 +199,20 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(both), pa.array(either)], names=["a", "b", "both", "either"])
 
 
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair's common shingles, the size of its union, and the shingles of a outside b."""
+    for batch in batches:
+        common, either, rest = [], [], []
+        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+            new = np.setdiff1d(x, y, assume_unique=True)
+            common.append(len(x) - len(new))
+            either.append(len(y) + len(new))
+            rest.append(new.astype(np.int64))
+        columns = [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(either, pa.int64()), pa.array(rest, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "p", "common", "either", "outside"])
+
+
 def _possible(n_a: str, n_b: str, percent: int):
     """Sets of these sizes can be that similar at all: exact, as the smaller bounds the overlap."""
     return (F.col(n_a) * 100 >= F.col(n_b) * percent) & (F.col(n_b) * 100 >= F.col(n_a) * percent)
@@ -213,6 +227,8 @@ def near_components(
     bands: int = BANDS,
     rows: int = BAND_ROWS,
     pivots: int = 4,
+    star_rounds: int = 1,
+    few: int = 4,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row a document.
 
@@ -234,6 +250,11 @@ def near_components(
     )
     shared = banded.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     members = materialize(banded.join(shared.select("bucket"), "bucket").dropDuplicates(["bucket", "doc"]), "dedup-members")
+    # How central a document is: the members of all its buckets. The original of a group of
+    # changed copies shares more bands than any of them.
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    central = members.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("central"))
+    members = materialize(members.join(central, "doc"), "dedup-members")
     wanted = members.select("doc").distinct()
     texts = d.where("doc_id IS NOT NULL").join(wanted, F.col("doc_id") == F.col("doc"), "left_semi")
     sets = materialize(full_sets(texts, size).dropDuplicates(["doc_id"]), "dedup-sets")
@@ -248,42 +269,67 @@ def near_components(
     def still_apart(at: DataFrame, links: DataFrame) -> DataFrame:
         """Members, with their component, of the buckets that hold more than one."""
         label = connected_components(links).withColumnRenamed("node", "doc")
-        at = at.select("bucket", "doc", "n").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        at = at.select("bucket", "doc", "n", "central").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         mixed = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         return materialize(at.join(mixed.select("bucket"), "bucket"), "dedup-apart")
 
+    def few_pairs(at: DataFrame) -> bool:
+        sums = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+        sums = sums.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+        left = sums.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()
+        return not left["pairs"] or left["pairs"] <= few * left["rows"]
+
     def pairs_of(rows: DataFrame) -> DataFrame:
         rows = rows.where(_possible("n", "n_b", percent)).select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
         return rows.distinct()
 
-    # First each document meets the smallest pivot of its buckets.
-    lowest = members.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("pivot"))
-    met = members.join(lowest, "bucket").select("doc", "n", F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
-    first = met.where("doc <> pivot").where(_possible("n", "pivot_n", percent)).groupBy(F.col("doc").alias("b")).agg(F.min("pivot").alias("a"))
+    best = F.max(F.struct("central", -F.col("doc"), "doc", "n"))
+
+    # First each document meets the most central pivot of its buckets.
+    top = members.groupBy("bucket").agg(best.alias("pivot"))
+    met = members.join(top, "bucket").select("doc", "n", F.col("pivot.central").alias("c"), F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    first = met.where("doc <> pivot").where(_possible("n", "pivot_n", percent)).groupBy(F.col("doc").alias("b")).agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("a"))
     links = materialize(compared(first).where(linked).select("a", "b"), "dedup-links")
-    # Then what is apart meets some more pivots of its bucket.
+    # Then what is apart meets more pivots of its bucket, until few pairs would be left.
     at = still_apart(members, links)
-    more = at.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("doc", F.lit(t)).alias("by"), "doc", "n", "component"))["doc"] for t in range(pivots)])).alias("docs"))
-    more = more.select("bucket", F.explode("docs").alias("doc")).join(at, ["bucket", "doc"])
-    more = more.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    star = pairs_of(at.join(more, "bucket").where("component <> component_b"))
-    links = materialize(links.unionByName(compared(star).where(linked).select("a", "b")), "dedup-links")
-    # At last all pairs of a bucket's components, but for those that cannot be close: distance
-    # 1 - similarity is a metric, so a and b are at least |d(p, a) - d(p, b)| apart. The pivot
-    # p lies in the bucket's largest component.
-    at = still_apart(at, links)
-    largest = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"), F.min("doc").alias("p"))
-    pivot = largest.groupBy("bucket").agg(F.max_by("p", F.struct("members", -F.col("p"))).alias("p"))
-    at = materialize(at.join(pivot, "bucket"), "dedup-pivots")
-    asked = at.where("doc <> p").select(F.col("doc").alias("a"), F.col("p").alias("b")).distinct()
-    near = materialize(compared(asked).select(F.col("a").alias("doc"), F.col("b").alias("p"), (1 - F.col("both") / F.col("either")).alias("far"), linked.alias("linked")), "dedup-distances")
-    links = links.unionByName(near.where("linked").select(F.col("doc").alias("a"), F.col("p").alias("b")))
-    at = at.join(near.select("doc", "p", "far"), ["doc", "p"], "left").withColumn("far", F.coalesce("far", F.lit(0.0)))
-    at = materialize(at, "dedup-apart")
-    other = at.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"), F.col("far").alias("far_b"))
-    reach = (100 - percent) / 100 + 1e-9
-    cross = at.join(other, "bucket").where("component < component_b AND doc <> p AND b <> p").where(F.abs(F.col("far") - F.col("far_b")) <= reach)
-    links = materialize(links.unionByName(compared(pairs_of(cross)).where(linked).select("a", "b")), "dedup-links")
+    for turn in range(star_rounds):
+        if few_pairs(at):
+            break
+        seeds = range(turn * pivots, (turn + 1) * pivots)
+        more = at.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("doc", F.lit(t)).alias("by"), "doc", "n", "component"))["doc"] for t in seeds])).alias("docs"))
+        more = more.select("bucket", F.explode("docs").alias("doc")).join(at, ["bucket", "doc"])
+        more = more.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
+        star = pairs_of(at.join(more, "bucket").where("component <> component_b"))
+        links = materialize(links.unionByName(compared(star).where(linked).select("a", "b")), "dedup-links")
+        at = still_apart(at, links)
+    # At last all pairs of a bucket's components that can be linked at all. All members are
+    # compared with the bucket's most central one, p. A pair has at most min(|a and p|, |b and p|)
+    # shingles of p in common, and the shingles outside p that both have: pairs without such
+    # shingles are built where that bound suffices alone, the others from the shingles shared.
+    pivot = at.groupBy("bucket").agg(best["doc"].alias("p"))
+    at = materialize(at.join(pivot, "bucket").where("doc <> p"), "dedup-pivots")
+    asked = at.select(F.col("doc").alias("a"), F.col("p").alias("b")).distinct()
+    x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
+    y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
+    near = asked.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>")
+    near = materialize(near, "dedup-outside")
+    to_pivot = near.where(F.col("common") * 100 >= F.col("either") * percent).select(F.col("doc").alias("a"), F.col("p").alias("b"))
+    links = links.unionByName(to_pivot)
+    at = materialize(at.join(near.select("doc", "p", "common", "either"), ["doc", "p"]).withColumn("far", 1 - F.col("common") / F.col("either")), "dedup-apart")
+    names = {"doc": "b", "n": "n_b", "component": "component_b", "common": "common_b", "far": "far_b"}
+    other = at.select("bucket", *[F.col(k).alias(v) for k, v in names.items()])
+    apart = F.col("component") < F.col("component_b")
+    # |a and b| must reach this share of |a| + |b|; 1 - similarity is a metric as well.
+    needed = percent * (F.col("n") + F.col("n_b"))
+    inside = F.least("common", "common_b") * (100 + percent) >= needed
+    cross = at.join(other, "bucket").where(apart & inside & (F.abs(F.col("far") - F.col("far_b")) <= (100 - percent) / 100 + 1e-9))
+    once = at.select("doc", "p", "n", "component", "common").distinct()
+    mine = once.join(near.select("doc", "p", F.explode("outside").alias("shingle")), ["doc", "p"])
+    theirs = mine.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items() if k != "far"])
+    shared = mine.join(theirs, ["p", "shingle"]).where(apart).groupBy("p", "doc", "b", "n", "n_b", "common", "common_b").agg(F.count(F.lit(1)).alias("both"))
+    shared = shared.where((F.least("common", "common_b") + F.col("both")) * (100 + percent) >= needed)
+    pairs = pairs_of(cross.select("doc", "b", "n", "n_b").union(shared.select("doc", "b", "n", "n_b")))
+    links = materialize(links.unionByName(compared(pairs).where(linked).select("a", "b")), "dedup-links")
     label = connected_components(links).withColumnRenamed("node", "rep")
     whole = signed.select("doc_id", "n_shingles", "set_key").distinct().join(of_class, "set_key", "left").join(label, "rep", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep"))
