@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnworks.plans import snow, zonal  # noqa: F401  registers its queries
+from tarnworks.plans import cells, snow, zonal  # noqa: F401  registers its queries
 from tarnworks.plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
