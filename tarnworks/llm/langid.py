@@ -38,8 +38,8 @@ def trigram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams over all texts and each text's bounds; what is no letter counts as one
     space, and trigrams of spaces alone are left out."""
     raw = _LETTER[np.frombuffer(b"  ".join(texts) + b"  ", np.uint8)]
-    keep = np.ones(len(raw), bool)
-    keep[1:] = (raw[1:] > 0) | (raw[:-1] > 0)
+    keep = raw > 0
+    keep[1:] |= raw[:-1] > 0
     at = np.concatenate(([0], np.cumsum([len(t) + 2 for t in texts])))
     at = np.concatenate(([0], np.cumsum(keep)))[at]
     raw = np.concatenate((raw[keep], np.zeros(2, np.uint32)))
@@ -134,6 +134,8 @@ def fuse(rows: DataFrame, languages: list[str], keys: list[str], least: float =
     ``keys`` are columns to keep. Accepted: the text has letters and the posterior is
     ``least`` or more. A null declaration or host is no evidence.
     """
+    if not languages:
+        return rows.select(*keys, F.lit("und").alias("predicted"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
     L = range(len(languages))
     best = F.when(F.col("grams") > 0, F.array_position("evidence", F.array_max("evidence")) - 1)
     rows = rows.withColumn("best", best.cast("int")).withColumn("declared", F.lower("declared"))
@@ -157,13 +159,13 @@ def fuse(rows: DataFrame, languages: list[str], keys: list[str], least: float =
     for level, prefix in enumerate("gsdh"):
         total = sum((n(prefix, k) for k in L), F.lit(0.0))
         for k in L:
-            up = F.lit(1.0 / max(len(languages), 1)) if not level else F.col(f"p{'gsdh'[level - 1]}{k}")
+            up = F.lit(1.0 / len(languages)) if not level else F.col(f"p{'gsdh'[level - 1]}{k}")
             r = r.withColumn(f"p{prefix}{k}", (n(prefix, k) + STRENGTH * up) / (total + STRENGTH))
     for k in L:
         share = (n("t", k) + 0.5) / (n("a", k) + 0.5 * (F.coalesce("kinds", F.lit(0)) + 1))
         share = F.when(F.col("declared").isNotNull(), F.log(share)).otherwise(0.0)
         score.append(F.log(F.col(f"ph{k}")) + share + F.coalesce(F.get("evidence", F.lit(k)), F.lit(0.0)))
-    r = r.withColumn("score", F.array(*score) if languages else F.array().cast("array<double>"))
+    r = r.withColumn("score", F.array(*score))
     top = F.array_max("score")
     where = F.array_position("score", top).cast("int")
     weight = F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - top))
