@@ -326,7 +326,9 @@ def near_components(
     once = at.select("doc", "p", "n", "component", "common").distinct()
     mine = once.join(near.select("doc", "p", F.explode("outside").alias("shingle")), ["doc", "p"])
     theirs = mine.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items() if k != "far"])
-    shared = mine.join(theirs, ["p", "shingle"]).where(apart).groupBy("p", "doc", "b", "n", "n_b", "common", "common_b").agg(F.count(F.lit(1)).alias("both"))
+    outside = F.least(F.col("n") - F.col("common"), F.col("n_b") - F.col("common_b"))
+    within_reach = (F.least("common", "common_b") + outside) * (100 + percent) >= needed
+    shared = mine.join(theirs, ["p", "shingle"]).where(apart & within_reach).groupBy("p", "doc", "b", "n", "n_b", "common", "common_b").agg(F.count(F.lit(1)).alias("both"))
     shared = shared.where((F.least("common", "common_b") + F.col("both")) * (100 + percent) >= needed)
     pairs = pairs_of(cross.select("doc", "b", "n", "n_b").union(shared.select("doc", "b", "n", "n_b")))
     links = materialize(links.unionByName(compared(pairs).where(linked).select("a", "b")), "dedup-links")
