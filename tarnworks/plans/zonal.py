@@ -228,11 +228,11 @@ def _series(spark, sf):
     return (spark.sql(t.replace("FROM lineitem", "FROM {li}"), li=li) for t in (SERIES_W, SERIES_G))
 
 
-@query("zon12_series", SERIES_SQL + f"""SELECT zone_id, date, round({_V}, 4) AS swe_masked_mean, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 4) AS swe_masked_std,
- round(min(swe), 4) AS swe_masked_min, round(max(swe), 4) AS swe_masked_max, round(sum(w * swe), 4) AS swe_masked_sum, round(coalesce(sum(w) FILTER (swe IS NOT NULL), 0), 4) AS swe_masked_count,
- round(CASE WHEN bool_and(swe IS NOT NULL) THEN {_V} END, 4) AS swe_mean, round(CASE WHEN bool_and(swe IS NOT NULL) THEN sum(w * swe) END, 4) AS swe_sum FROM j GROUP BY zone_id, date""")
+@query("zon12_series", SERIES_SQL + f"""SELECT zone_id, date, round({_V}, 9) AS swe_masked_mean, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 9) AS swe_masked_std,
+ round(min(swe), 9) AS swe_masked_min, round(max(swe), 9) AS swe_masked_max, round(sum(w * swe), 9) AS swe_masked_sum, round(coalesce(sum(w) FILTER (swe IS NOT NULL), 0), 9) AS swe_masked_count,
+ round(CASE WHEN bool_and(swe IS NOT NULL) THEN {_V} END, 9) AS swe_mean, round(CASE WHEN bool_and(swe IS NOT NULL) THEN sum(w * swe) END, 9) AS swe_sum FROM j GROUP BY zone_id, date""")
 def zon12(spark, sf):
-    return r(zonal.series(*_series(spark, sf), ["swe"]))
+    return r(zonal.series(*_series(spark, sf), ["swe"]), 9)
 
 
 @query("zon13_series_std", SERIES_SQL + f"SELECT zone_id, date, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 3) AS swe_std FROM j GROUP BY zone_id, date")
@@ -240,11 +240,11 @@ def zon13(spark, sf):
     return r(zonal.series(*_series(spark, sf), ["swe"]).select("zone_id", "date", F.col("swe_masked_std").alias("swe_std")), 3)
 
 
-@query("zon14_snow_cover", SERIES_SQL + "SELECT zone_id, date, round(sum(w * CASE WHEN swe IS NULL THEN NULL WHEN swe > 20 THEN 1 ELSE 0 END) / sum(w) FILTER (swe IS NOT NULL), 4) AS sca FROM j GROUP BY zone_id, date")
+@query("zon14_snow_cover", SERIES_SQL + "SELECT zone_id, date, round(sum(w * CASE WHEN swe IS NULL THEN NULL WHEN swe > 20 THEN 1 ELSE 0 END) / sum(w) FILTER (swe IS NOT NULL), 9) AS sca FROM j GROUP BY zone_id, date")
 def zon14(spark, sf):
     w, g = _series(spark, sf)
     g = g.withColumn("sca", zonal.snow_cover(F.col("swe") - 20))
-    return r(zonal.series(w, g, ["sca"]).select("zone_id", "date", F.col("sca_masked_mean").alias("sca")))
+    return r(zonal.series(w, g, ["sca"]).select("zone_id", "date", F.col("sca_masked_mean").alias("sca")), 9)
 
 
 @query("zon15_cells_per_zone", SERIES_SQL + "SELECT zone_id, count(*) AS n_cells FROM weights GROUP BY zone_id")
