@@ -79,6 +79,18 @@ def similarity(curves: DataFrame, zone: str = "zone_id") -> DataFrame:
     return season_distances(curves, zone).groupBy(zone).agg(F.avg("distance").alias("similarity"), F.count(F.lit(1)).alias("n_seasons"))
 
 
+def median_distances(curves: DataFrame, zone: str = "zone_id") -> DataFrame:
+    """(zone, similarity, n_seasons, own): the two above and the representative curve in one pass
+    over a zone's seasons, kept as an array of the zone's years."""
+    one = curves.groupBy(zone).agg(
+        F.array(*[F.median(F.col("curve")[i]) for i in range(len(SWE_LEVELS))]).alias("median"), F.sort_array(F.collect_list(F.struct("wy", "curve"))).alias("seasons")
+    )
+    gap = lambda c: F.aggregate(F.zip_with(c, "median", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, x: s + x) / len(SWE_LEVELS)
+    d = one.withColumn("d", F.transform("seasons", lambda s: F.struct(F.round(gap(s["curve"]), 12).alias("rounded"), s["wy"].alias("wy"), gap(s["curve"]).alias("gap"), s["curve"].alias("curve"))))
+    total = F.aggregate("d", F.lit(0.0), lambda s, x: s + x["gap"])
+    return d.select(zone, (total / F.size("d")).alias("similarity"), F.size("d").cast("long").alias("n_seasons"), F.array_min("d")["curve"].alias("own"))
+
+
 def representative(curves: DataFrame, zone: str = "zone_id") -> DataFrame:
     """(zone, wy, curve): the season with the least distance, the first on ties (to 12 places)."""
     d = season_distances(curves, zone).groupBy(zone).agg(F.min(F.struct(F.round("distance", 12).alias("d"), "wy")).alias("best"))
@@ -131,9 +143,13 @@ def zone_records(daily: DataFrame, cells: DataFrame, water: DataFrame, default_c
     ``cells`` is (zone, n_cells) and ``water`` (zone, water_frac), 0 where missing. Without a
     ``swe_std`` column the peak statistics are null.
     """
-    curves = annual_curves(daily, zone, date)
+    from tarnworks.core.io import materialize
+
+    # The curves are a row a zone and year: written once, read by every step that follows.
+    curves = materialize(annual_curves(daily, zone, date), "annual-curves")
+    own = median_distances(curves, zone)
     per_zone = daily.groupBy(zone).agg((F.coalesce(F.max("swe"), F.lit(0.0)) > 0).alias("has_snow"), F.coalesce(F.max("sca"), F.lit(0.0)).alias("sca_max"))
-    d = per_zone.join(constant_cover(daily, zone), zone).join(similarity(curves, zone), zone, "left").join(representative(curves, zone).select(zone, F.col("curve").alias("own")), zone, "left")
+    d = per_zone.join(constant_cover(daily, zone), zone).join(own, zone, "left")
     d = d.join(cells.select(zone, "n_cells"), zone, "left").join(water.select(zone, "water_frac"), zone, "left").fillna({"n_cells": 0, "water_frac": 0.0, "n_seasons": 0})
     d = d.withColumn("sdc_status", selection_status(limits))
     d = d.withColumn("curve", F.when(F.col("sdc_status") == "derived", F.col("own")).otherwise(F.array(*[F.lit(float(x)) for x in default_curve])))
