@@ -229,6 +229,7 @@ def near_components(
     pivots: int = 4,
     star_rounds: int = 1,
     few: int = 4,
+    heavy: int = 16,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row a document.
 
@@ -304,8 +305,8 @@ def near_components(
         at = still_apart(at, links)
     # At last all pairs of a bucket's components that can be linked at all. All members are
     # compared with the bucket's most central one, p. A pair has at most min(|a and p|, |b and p|)
-    # shingles of p in common, and the shingles outside p that both have: pairs without such
-    # shingles are built where that bound suffices alone, the others from the shingles shared.
+    # shingles of p in common, and the shingles outside p that both have: pairs are built where
+    # the first bound suffices alone, the others from the shingles shared.
     pivot = at.groupBy("bucket").agg(best["doc"].alias("p"))
     at = materialize(at.join(pivot, "bucket").where("doc <> p"), "dedup-pivots")
     asked = at.select(F.col("doc").alias("a"), F.col("p").alias("b")).distinct()
@@ -315,7 +316,15 @@ def near_components(
     near = materialize(near, "dedup-outside")
     to_pivot = near.where(F.col("common") * 100 >= F.col("either") * percent).select(F.col("doc").alias("a"), F.col("p").alias("b"))
     links = links.unionByName(to_pivot)
-    at = materialize(at.join(near.select("doc", "p", "common", "either"), ["doc", "p"]).withColumn("far", 1 - F.col("common") / F.col("either")), "dedup-apart")
+    # Shingles outside p that more than ``heavy`` documents have count as p's: the bound holds for
+    # any set in p's place, and a shingle that p alone has lost does not pair all the others.
+    outer = near.select("doc", "p", F.explode("outside").alias("shingle"))
+    holders = outer.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    outer = materialize(outer.join(holders, ["p", "shingle"]), "dedup-shared")
+    moved = outer.where(F.col("holders") > heavy).groupBy("doc", "p").agg(F.count(F.lit(1)).alias("moved"))
+    to_p = near.select("doc", "p", "common", (1 - F.col("common") / F.col("either")).alias("far")).join(moved, ["doc", "p"], "left")
+    to_p = to_p.select("doc", "p", (F.col("common") + F.coalesce("moved", F.lit(0))).alias("common"), "far")
+    at = materialize(at.join(to_p, ["doc", "p"]), "dedup-apart")
     names = {"doc": "b", "n": "n_b", "component": "component_b", "common": "common_b", "far": "far_b"}
     other = at.select("bucket", *[F.col(k).alias(v) for k, v in names.items()])
     apart = F.col("component") < F.col("component_b")
@@ -324,7 +333,7 @@ def near_components(
     inside = F.least("common", "common_b") * (100 + percent) >= needed
     cross = at.join(other, "bucket").where(apart & inside & (F.abs(F.col("far") - F.col("far_b")) <= (100 - percent) / 100 + 1e-9))
     once = at.select("doc", "p", "n", "component", "common").distinct()
-    mine = once.join(near.select("doc", "p", F.explode("outside").alias("shingle")), ["doc", "p"])
+    mine = once.join(outer.where(F.col("holders") <= heavy).select("doc", "p", "shingle"), ["doc", "p"])
     theirs = mine.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items() if k != "far"])
     outside = F.least(F.col("n") - F.col("common"), F.col("n_b") - F.col("common_b"))
     within_reach = (F.least("common", "common_b") + outside) * (100 + percent) >= needed
