@@ -1,5 +1,6 @@
-"""Licence scans by sentence rules: normalised sentences become identifiers of known licence
-sentences, and the identifiers in a document's order are matched against ordered rules.
+"""Licence scans by sentence rules: known licence sentences, found as word sequences inside a
+text's normalised sentences, become identifiers, and the identifiers in a document's order are
+matched against ordered rules. Sentences run on over line breaks and comment marks.
 DataFrame functions only; every row is judged in place, without a shuffle."""
 
 from __future__ import annotations
@@ -53,8 +54,22 @@ RULES = [
     ("CC0-1.0", "notice", [18]),
     ("Proprietary", "notice", [15]),
 ]
-#: Bounds of sentences: line ends, and stops, marks and semicolons before white space or the end.
-BOUND = r"[\n\r]+|[.!?;]+(?:[ \t\n\f\r]+|$)"
+#: Further wordings in real licence texts and notices (fixed values), with the same identifiers.
+WORDINGS = {
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": 4,
+    "licensed under the apache license 2 0": 5,
+    "nor the names of its contributors may be used to endorse or promote products derived from this software": 17,
+    "licensed under a creative commons attribution noncommercial 4 0 international license": 12,
+    "licensed under a creative commons attribution 4 0 international license": 13,
+    "licensed under a creative commons attribution sharealike 4 0 international license": 14,
+}
+#: A line with a tag is a paragraph of its own.
+TAG = r"(?im)^(.*SPDX-License-Identifier:.*)$"
+#: Bounds of sentences: lines without letters and digits (blank, or comment marks alone), and
+#: stops and marks before white space or the end.
+BOUND = r"\n[^\p{L}\p{N}\n]*(?=\n)|[.!?]+[\"')\]]*(?:[ \t\n\f]+|$)"
+#: The GPL's notice with another licence's name is not the GPL's.
+OTHER = "((?:lesser|library|affero) general public license.*?) either version "
 #: What every known sentence holds; texts without it have no known sentence.
 NEEDED = "licens|permi|copyright|software|version|reserved|redistribution|dedicated"
 
@@ -66,10 +81,17 @@ def normalised(sentence):
 
 def sentence_ids(text):
     """Identifiers of the known licence sentences of a text column, in order of occurrence."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    hits = F.filter(F.split(text, BOUND), lambda s: F.lower(s).rlike(NEEDED))
-    ids = F.transform(hits, lambda s: F.try_element_at(known, normalised(s)))
-    return F.filter(ids, lambda i: i.isNotNull())
+    phrases = SENTENCES | WORDINGS
+    known = F.create_map(*[F.lit(x) for pair in phrases.items() for x in pair])
+    # Longest first; not after "not", and "MIT" not before the rest of another tag's name.
+    any_of = "|".join(sorted(phrases, key=len, reverse=True)).replace("identifier mit", "identifier mit(?! (?:0|cmu|modern|advertising|enna|feh|festival|khronos|click|open|wu|stk|testregex)\\b)")
+    pattern = rf"(?<!\bnot )\b({any_of})\b"
+    lines = F.regexp_replace(F.regexp_replace(text, "\\r\\n?", "\n"), TAG, "\n\n$1\n\n")
+    lines = F.regexp_replace(lines, r"(?im)^[ \t]*(?:dnl|rem)\b", "")
+    hits = F.filter(F.split(lines, BOUND), lambda s: F.lower(s).rlike(NEEDED))
+    clean = F.transform(hits, lambda s: F.regexp_replace(normalised(s), OTHER, "$1 either other version "))
+    found = F.flatten(F.transform(clean, lambda s: F.regexp_extract_all(s, F.lit(pattern), F.lit(1))))
+    return F.transform(found, lambda p: F.try_element_at(known, p))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

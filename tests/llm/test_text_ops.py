@@ -232,3 +232,74 @@ def test_licenses(spark):
     assert license.scan_licenses(empty(spark)).count() == 0
     plan = license.scan_licenses(docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL3_TEXT = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+GPL2_TEXT = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+3. Neither the name of {owner} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_licenses_in_real_texts(spark):
+    def comment(text, mark):
+        return "\n".join(f"{mark} {line}".rstrip() for line in text.splitlines())
+
+    want = {
+        MIT_TEXT: ("MIT", "text"),
+        APACHE_TEXT: ("Apache-2.0", "text"),
+        GPL3_TEXT: ("GPL-3.0", "text"),
+        GPL2_TEXT: ("GPL-2.0", "text"),
+        BSD_TEXT.format(owner="the copyright holder"): ("BSD-3-Clause", "text"),
+        BSD_TEXT.format(owner="Some Firm Inc."): ("BSD-3-Clause", "text"),
+        BSD_TEXT.split("3.")[0]: ("BSD-2-Clause", "text"),
+        "// SPDX-License-Identifier: MIT\nint x;": ("MIT", "tag"),
+        "This work is licensed under a Creative Commons\nAttribution 4.0 International License.": ("CC-BY-4.0", "notice"),
+    }
+    want |= {f(t): v for t, v in list(want.items())[:7] for f in (lambda t: comment(t, "#"), lambda t: "/*\n" + comment(t, " *") + "\n */", lambda t: t.replace("\n", "\r\n"))}
+    want |= {
+        GPL3_TEXT.replace("GNU General", "GNU Affero General"): ("", ""),
+        GPL3_TEXT.replace("GNU General", "GNU Lesser General"): ("", ""),
+        "// SPDX-License-Identifier: MIT-0\nint x;": ("", ""),
+        "It is not licensed under the MIT license.": ("", ""),
+        "The files are licensed under the\n\nApache License, Version 2.0.": ("", ""),
+    }
+    d = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["licenses"], r["strengths"]) for r in license.scan_licenses(d).collect()}
+    assert got == dict(enumerate(want.values()))
