@@ -266,6 +266,11 @@ def grf01(spark, sf):
     return flow.regions(model(spark, sf, "grid").where("(cell % 3 = 0 OR cell % 10 = 1) AND row < 40"), 64)
 
 
+@query("grf01_regions_whole")
+def grf01_whole(spark, sf):
+    return flow.regions(model(spark, sf, "grid").where("cell % 3 = 0 OR cell % 10 = 1"), 64)
+
+
 @query("grf08_filled_depressions")
 def grf08(spark, sf):
     return flow.fill_depressions(model(spark, sf, "grid").select("row", "col", "value"))
@@ -280,6 +285,14 @@ def grf09(spark, sf):
     return flow.tile_components(m)
 
 
+@query("grf09_tile_components_whole")
+def grf09_whole(spark, sf):
+    from tarnworks.core.io import table
+
+    m = table(spark, sf, "lineitem").selectExpr("l_orderkey AS polygon", "l_partkey * 5 + l_orderkey % 5 AS tile").distinct()
+    return flow.tile_components(m)
+
+
 @query("grf05_transitive_reach", """WITH RECURSIVE a AS (SELECT c_custkey AS a, (c_custkey * 7 + 3) % (SELECT count(*) FROM customer) AS b FROM customer WHERE c_custkey % 4 <> 0), e AS (SELECT a, b FROM a UNION SELECT b, a FROM a),
  w(seed, node) AS (SELECT c_custkey, c_custkey FROM customer WHERE c_custkey % 50 = 0 UNION SELECT w.seed, e.b FROM w JOIN e ON e.a = w.node) SELECT seed, node AS key FROM w WHERE node % 9 = 0""")
 def grf05(spark, sf):
