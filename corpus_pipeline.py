@@ -9,17 +9,29 @@ from tarnworks.core.io import materialize, table
 from tarnworks.llm import dedup, langid, packing, secretscan
 
 
+#: What a row's language depends on.
+JUDGED = ["doc_id", "text", "lang", "source"]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not accepted go; ``lang`` is the identified one."""
-    judged = langid.identify(docs, None, docs).where("accepted AND doc_id IS NOT NULL")
-    verdict = judged.select("doc_id", F.col("predicted").alias("found")).dropDuplicates(["doc_id"])
-    return docs.join(verdict, "doc_id").withColumn("lang", F.col("found")).select(*docs.columns)
+    """Documents whose language is not accepted go; ``lang`` is the identified one.
+
+    Each row has its own verdict, whether its id is null or repeated: verdicts meet the rows by
+    128 bits of hash over all that they depend on.
+    """
+    parts = [x for c in JUDGED for x in (F.col(c).isNull(), F.col(c))]
+    key = {"row_a": F.xxhash64(*parts), "row_b": F.xxhash64(F.lit(1), *parts)}
+    keyed = docs.withColumns(key)
+    judged = langid.identify(keyed, None, docs, keep=tuple(key)).where("accepted")
+    verdict = judged.select(*key, F.col("predicted").alias("found")).dropDuplicates([*key])
+    return keyed.join(verdict, [*key]).withColumn("lang", F.col("found")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    kept = dedup.near_components(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near duplicates stays, the one with the smallest id. Rows
+    with a null id are linked with nothing and stay."""
+    kept = dedup.near_components(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

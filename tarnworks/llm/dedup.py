@@ -174,17 +174,20 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = BAND_
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles): the sorted set of each text as 8-byte hashes."""
+    """(doc_id, set_key, shingles): the digest and the sorted set of each text as 8-byte hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
         for batch in batches:
             for ids, texts in _pieces(batch.column(0), batch.column(1)):
                 h, bounds = shingle_sets(texts, size)
                 raw = h.tobytes()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+                keys = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "set_key", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return docs.mapInArrow(run, "doc_id long, set_key binary, shingles binary")
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,12 +245,19 @@ def near_components(
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(signatures(d, size, bands, rows), "dedup-signatures")
-    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    of_class = classes.withColumnRenamed("doc_id", "rep")
+    named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # Ids with several sets: their sets are nodes of their own, named by the set; other nodes
+    # have the smallest doc_id of their set's rows.
+    several = named.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low < high")
+    several = materialize(several.select("doc_id", F.lit(True).alias("several")), "dedup-several")
+    node = F.when(F.col("several"), F.xxhash64("set_key")).otherwise(F.col("doc_id"))
+    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")).join(several, "doc_id", "left")
+    classes = materialize(classes.select("set_key", "doc_id", node.alias("node"), "several"), "dedup-classes")
+    of_class = classes.select("set_key", F.col("doc_id").alias("rep"))
 
     # Members of the buckets that hold more than one class.
-    banded = signed.join(classes, ["set_key", "doc_id"], "left_semi").select(
-        F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
+    banded = signed.join(classes, ["set_key", "doc_id"]).select(
+        F.col("node").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
     shared = banded.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     members = materialize(banded.join(shared.select("bucket"), "bucket").dropDuplicates(["bucket", "doc"]), "dedup-members")
@@ -257,8 +267,10 @@ def near_components(
     central = members.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("central"))
     members = materialize(members.join(central, "doc"), "dedup-members")
     wanted = members.select("doc").distinct()
-    texts = d.where("doc_id IS NOT NULL").join(wanted, F.col("doc_id") == F.col("doc"), "left_semi")
-    sets = materialize(full_sets(texts, size).dropDuplicates(["doc_id"]), "dedup-sets")
+    reps = classes.join(wanted, F.col("node") == F.col("doc"), "left_semi").select("doc_id").distinct()
+    texts = d.where("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
+    sets = full_sets(texts, size).where(F.length("shingles") > 0).join(several, "doc_id", "left")
+    sets = materialize(sets.select(node.alias("doc_id"), "shingles").dropDuplicates(["doc_id"]), "dedup-sets")
 
     def compared(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
@@ -341,6 +353,12 @@ def near_components(
     shared = shared.where((F.least("common", "common_b") + F.col("both")) * (100 + percent) >= needed)
     pairs = pairs_of(cross.select("doc", "b", "n", "n_b").union(shared.select("doc", "b", "n", "n_b")))
     links = materialize(links.unionByName(compared(pairs).where(linked).select("a", "b")), "dedup-links")
+    # Links between doc_ids again, and those of an id's sets to their representatives.
+    extra = classes.where("several").select("node", F.col("doc_id").alias("rep"))
+    for end in ("a", "b"):
+        links = links.join(extra.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("rep", end)).drop("rep")
+    own = named.join(several, "doc_id", "left_semi").join(of_class, "set_key").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    links = links.select("a", "b").unionByName(own.where("a <> b").distinct())
     label = connected_components(links).withColumnRenamed("node", "rep")
     whole = signed.select("doc_id", "n_shingles", "set_key").distinct().join(of_class, "set_key", "left").join(label, "rep", "left")
     found = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep"))

@@ -177,13 +177,14 @@ def fuse(rows: DataFrame, languages: list[str], keys: list[str], least: float =
     ).withColumn("accepted", (F.col("predicted") != "und") & (F.col("posterior") >= least))
 
 
-def document_rows(docs: DataFrame) -> DataFrame:
-    """Documents: declared is ``lang``, the host is ``source``; they have no address."""
+def document_rows(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents: declared is ``lang``, the host is ``source``; they have no address. ``keep``:
+    further columns."""
     none = F.lit(None).cast("string")
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id"), F.col("lang").cast("string").alias("declared"),
         none.alias("suffix"), F.concat(F.lit("source:"), F.col("source")).alias("domain"), F.concat(F.lit("source:"), F.col("source")).alias("host"),
-        F.col("text").cast("string").alias("text"),
+        F.col("text").cast("string").alias("text"), *keep,
     )
 
 
@@ -204,8 +205,9 @@ def page_rows(pages: DataFrame) -> DataFrame:
 KEYS = ["doc_id", "page_id", "declared"]
 
 
-def identify(docs: DataFrame | None, pages: DataFrame | None, labelled: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
+def identify(docs: DataFrame | None, pages: DataFrame | None, labelled: DataFrame, fit_docs: int = FIT_DOCS, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, page_id, declared, predicted, posterior, accepted): one row a document and a page.
+    ``keep``: further columns of the documents, where there are no pages.
 
     Texts without letters, null and empty ones are ``und`` and not accepted. Null ids and
     repeated rows pass through. Without labelled rows everything is ``und``.
@@ -213,11 +215,11 @@ def identify(docs: DataFrame | None, pages: DataFrame | None, labelled: DataFram
     model = fit_text_model(labelled, fit_docs=fit_docs)
     parts = []
     if docs is not None:
-        parts.append(text_evidence(document_rows(docs), model))
+        parts.append(text_evidence(document_rows(docs, keep), model))
     if pages is not None:
         parts.append(text_evidence(page_rows(pages), model, markup=True))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return fuse(materialize(rows, "language-evidence"), model[0], KEYS)
+    return fuse(materialize(rows, "language-evidence"), model[0], [*KEYS, *keep])
 
 
 def op3_language_fusion(spark, sf_dir: str) -> DataFrame:

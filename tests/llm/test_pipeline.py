@@ -8,6 +8,22 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no data folder")
 
 
+def test_null_and_repeated_ids_stay(spark):
+    import corpus_pipeline as p
+    from pyspark.sql import functions as F
+    from tarnworks.core.io import table
+
+    docs = table(spark, SF, "documents").limit(60)
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, None).otherwise(F.col("doc_id"))).cache()
+    rows = docs.collect()
+    known = next(r for r in rows if r["doc_id"] is not None)
+    odd = spark.createDataFrame([known[:1] + ("0123 4567 89",) + known[2:]], docs.schema)
+    first = p.language_id(spark, docs.unionByName(odd), SF).cache()
+    assert sorted(r["text"] for r in first.collect()) == sorted(r["text"] for r in rows)
+    kept = p.near_duplicates(spark, first, SF)
+    assert kept.where("doc_id IS NULL").count() == sum(r["doc_id"] is None for r in rows) > 0
+
+
 def test_stages(spark):
     import corpus_pipeline as p
     from tarnworks.core.io import table

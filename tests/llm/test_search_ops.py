@@ -97,6 +97,30 @@ def test_dedup_against_brute_force(spark, size):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in one.collect()} == got
 
 
+def test_dedup_links_every_text_of_an_id(spark):
+    """Two texts an id, in an order that puts near copies under different ids."""
+    texts = corpus()
+    at = sorted(texts)
+    ids = {t: (k * 7) % len(at) // 2 for k, t in enumerate(at)}
+    group = brute_components(texts, 4, 80)
+    low = {i: i for i in ids.values()}
+    moved = True
+    while moved:  # ids that share a group of texts have the smallest of their ids
+        moved = False
+        of_group = {}
+        for t, i in ids.items():
+            if group[t][0]:
+                of_group[group[t][1]] = min(of_group.get(group[t][1], low[i]), low[i])
+        for t, i in ids.items():
+            if group[t][0] and of_group[group[t][1]] < low[i]:
+                low[i], moved = of_group[group[t][1]], True
+    d = spark.createDataFrame([(ids[t], x) for t, x in texts.items()], "doc_id long, text string")
+    got = dedup.near_components(d, size=4).where("n_shingles > 0").collect()
+    with_words = {ids[t] for t in texts if group[t][0]}
+    want = {i: low[i] for i in with_words}
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+
+
 def test_dedup_odd_inputs(spark):
     d = spark.createDataFrame([(None, "a b c d e f"), (None, None), (1, "a b c d e f")], "doc_id long, text string")
     got = sorted(map(tuple, dedup.near_components(d).collect()), key=str)
