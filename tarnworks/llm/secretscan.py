@@ -23,16 +23,41 @@ from tarnworks.core.io import materialize, table
 #: Labelled findings that fit the forest at most.
 FIT_FINDINGS = 20_000
 TREES, DEPTH = 16, 6
-#: What may be a secret: runs of token characters, 16 at least.
+#: What may be a secret: runs of token characters, 16 at least, and the values and blocks below.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{16,}")
 #: Words before a secret (fixed values), each a feature of its own.
 NEIGHBOURS = ["token", "password", "passwd", "secret", "key", "api", "auth", "bearer", "credential", "commit", "sha", "id", "card"]
 #: Parts of paths that hold made-up secrets (fixed values).
 PATH_PARTS = ["test", "example", "sample", "doc", "mock"]
 HASHED = 8
-#: Formats whose issuer fixes them, or assignments to a secret's name: what labels findings.
-ISSUED = re.compile(r"AKIA[0-9A-Z]{16}\Z|gh[pousr]_[0-9A-Za-z]{36}\Z")
-ASSIGNED = re.compile(r"(?i)(?:token|password|passwd|secret|api[_-]?key)[\"']?\s*[=:]\s*[\"']?\Z")
+#: Formats whose issuer fixes them: a finding that is one as a whole is a secret.
+ISSUED = re.compile(
+    r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|github_pat_\w{60,}|glpat-[\w\-]{20,}|(?:sk|rk)_(?:live|test)_[0-9A-Za-z]{16,}|whsec_[0-9A-Za-z+/]{24,}"
+    r"|xox[abeoprs]-[0-9A-Za-z\-]{10,}|xapp-[0-9A-Za-z\-]{20,}|AIza[\w\-]{35}|GOCSPX-[\w\-]{20,}|sk-(?:[a-z]+\d*-)?(?=[\w\-]*\d)[\w\-]{20,}|npm_[0-9A-Za-z]{36}|hf_[0-9A-Za-z]{30,}|pypi-[\w\-]{50,}"
+    r"|SG\.[\w\-]{16,}\.[\w\-]{16,}|eyJ[\w\-]{8,}\.[\w\-]{8,}(?:\.[\w\-]*)?|dop_v1_[0-9a-f]{64}|shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32}|key-[0-9a-f]{32}|ya29\.[\w\-]{20,}"
+    r"|-----BEGIN [\s\S]*)\Z"
+)
+#: Bodies of PEM private keys, cut ones as well.
+PEM = re.compile(
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:(?:(?!-----)[\s\S]){0,20000}-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----|(?:\s*[\w\-]+: [^\n]*\n)*+(?:[\s\\\"',#*>]*+[A-Za-z0-9+/=]{16,}+)++(?:\s[A-Za-z0-9+/]{1,15}={1,2})?|)"
+)
+#: Tokens of parts with dots between.
+DOTTED = re.compile(r"SG\.[\w\-]{16,}\.[\w\-]{16,}|eyJ[\w\-]{8,}\.[\w\-]{8,}(?:\.[\w\-]*)?|ya29\.[\w\-]{20,}|(?<![\w\-.])[A-Za-z0-9_\-]{16,}\.[A-Za-z0-9_\-]{6,}\.[A-Za-z0-9_\-]{16,}")
+#: Assigned values of any characters, 8 at least, quoted or up to white space.
+ASSIGNMENT = re.compile(
+    r"(?:=>|[=:])[ \t]*(?:(?:[Bb]earer|[Bb]asic|[Tt]oken|BEARER|BASIC)[ \t]+)?(?:\"([^\"\n]{8,512})\"|'([^'\n]{8,512})'|`([^`\n]{8,512})`|([^\s\"'`<>=][^\s\"'`<>]{7,511}))"
+)
+#: Values of an authorization scheme, and passwords in addresses.
+SCHEME = re.compile(r"\b(?:[Bb]earer|[Bb]asic|BEARER|BASIC)[ \t]+[\"']?([A-Za-z0-9._~+/=\-]{8,})")
+ADDRESS = re.compile(r"://[^\s:/@\"'<>]{0,128}:([^\s/@\"'<>]{4,256})@")
+NAMES = r"(?:token|password|passwd|passphrase|pwd|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|signing[_-]?key|encryption[_-]?key|credentials?|authorization|client[_-]?key)"
+ASSIGNED = re.compile(rf"(?i){NAMES}[\w\-]{{0,24}}[\"'`\]]?\s*\Z")
+#: What follows a value and does not belong to it.
+TRAILING = ".,;:!?)]}"
+#: Made-up values, and words before digests: neither is a secret.
+PLACEHOLDER = re.compile(r"(?i)\$\{|\{\{|\$\(|\A<[^>]*>\Z|%\(|\*{4}|x{6}|\.{3}|\A(?:your|my|insert|replace|enter)[_\- ]|changeme|placeholder|redacted|example\Z|os\.environ|getenv|process\.env")
+DIGEST = re.compile(r"(?i)(?:commit|sha-?\d*|md5|checksum|digest|revision|rev|hash|etag|integrity|uuid)\W{0,4}\Z")
 _LETTERS = re.compile(r"[a-zà-öø-ÿ]+")
 
 FEATURES = [
@@ -100,8 +125,8 @@ FINDING = "start int, end int, label int, features array<double>"
 def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
     """(id, start, end, label, features) of every candidate in the whole text.
 
-    ``label`` is 1 for an issuer's format or an assignment to a secret's name with a digit
-    in it, else 0. Null texts have no candidate; null paths are empty.
+    ``label`` as of ``labelled``, null without evidence. Null texts have no candidate; null
+    paths are empty.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -116,12 +141,12 @@ def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_i
             paths = batch.column("path")
             for i, t in enumerate(batch.column("text")):
                 text = t.as_py() or ""
-                for m in CANDIDATE.finditer(text):
+                for first, last, told in spans(text):
                     at.append(i)
-                    start.append(m.start())
-                    end.append(m.end())
-                    label.append(labelled(text, m.start(), m.end()))
-                    row.append(features(text, m.start(), m.end(), paths[i].as_py(), dictionary))
+                    start.append(first)
+                    end.append(last)
+                    label.append(labelled(text, first, last, told))
+                    row.append(features(text, first, last, paths[i].as_py(), dictionary))
             ids = batch.column(0).take(pa.array(at, pa.int64()))
             columns = [ids] + [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate((start, end, label, row))]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
@@ -129,9 +154,52 @@ def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_i
     return d.mapInArrow(run, schema)
 
 
-def labelled(text: str, start: int, end: int) -> int:
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, told) of all candidates of a text, in order and apart; ``told``: a block, or a
+    value that stands after a secret's name or an authorization scheme, or in an address."""
+    found = [(m.start(), m.end(), False) for m in CANDIDATE.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [(m.start(), m.end(), True) for m in PEM.finditer(text)]
+    if "." in text:
+        found += [(m.start(), m.end(), False) for m in DOTTED.finditer(text)]
+    at = 0
+    while m := ASSIGNMENT.search(text, at):
+        at = m.start() + 1
+        if ASSIGNED.search(text[max(0, m.start() - 64) : m.start()]):
+            start, end = m.span(m.lastindex)
+            if m.lastindex == 4:
+                end = start + len(text[start:end].rstrip(TRAILING))
+            if end - start >= 8:
+                found.append((start, end, True))
+                at = end
+    if "earer" in text or "asic" in text or "EARER" in text or "ASIC" in text:
+        found += [(m.start(1), m.end(1), True) for m in SCHEME.finditer(text)]
+    if "://" in text and "@" in text:
+        found += [(m.start(1), m.end(1), True) for m in ADDRESS.finditer(text)]
+    out: list[tuple[int, int, bool]] = []
+    for start, end, told in sorted(found):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]), told or out[-1][2])
+        else:
+            out.append((start, end, told))
+    return out
+
+
+def labelled(text: str, start: int, end: int, told: bool) -> int | None:
+    """1: an issuer's format, or a told value of mixed characters that is not made up. 0: words,
+    numbers, paths, digests and made-up values. None: no evidence either way."""
     c = text[start:end]
-    return int(bool(ISSUED.match(c)) or (bool(ASSIGNED.search(text[max(0, start - 32) : start])) and any(x.isdigit() for x in c)))
+    if ISSUED.match(c):
+        return 1
+    digit, letter = any(x.isdigit() for x in c), any(x.isalpha() for x in c)
+    if PLACEHOLDER.search(c):
+        return 0
+    if told:
+        mixed = digit or (not c.isalnum() and any(x in "!@#$%^&*~+" for x in c))
+        return 1 if mixed else None
+    if not digit or not letter:
+        return 0
+    return 0 if DIGEST.search(text[max(0, start - 32) : start]) else None
 
 
 def train_forest(findings: DataFrame, fit_findings: int = FIT_FINDINGS, trees: int = TREES, depth: int = DEPTH) -> list[dict[str, np.ndarray]]:
@@ -191,18 +259,19 @@ def score(forest: list[dict[str, np.ndarray]], rows: np.ndarray) -> np.ndarray:
 
 
 def scored(findings: DataFrame, forest: list[dict[str, np.ndarray]], id_col: str = "doc_id", least: float = 0.5) -> DataFrame:
-    """(id, start, end, score, is_secret) of findings with features."""
+    """(id, start, end, score, is_secret) of findings with label and features: what has label 1
+    is a secret whatever its score."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    d = findings.select(id_col, "start", "end", "features")
+    d = findings.select(id_col, "start", "end", "features", (F.coalesce("label", F.lit(0)) == 1).alias("known"))
     schema = StructType([*list(d.schema)[:3], *StructType.fromDDL("score double, is_secret boolean").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = score(forest, np.array(batch.column("features").to_pylist(), float).reshape(-1, len(FEATURES))).round(6)
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array(p), pa.array(p >= least)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array(p), pa.array((p >= least) | np.array(batch.column("known").to_pylist(), bool))], schema=arrow)
 
     return d.mapInArrow(run, schema)
 
@@ -228,14 +297,15 @@ def redact(docs: DataFrame, dictionary: frozenset[str], forest: list, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, paths = batch.column(at_text).to_pylist(), batch.column(at_path).to_pylist()
-            spans, rows = [], []
+            found, rows, known = [], [], []
             for i, text in enumerate(texts):
-                for m in CANDIDATE.finditer(text or ""):
-                    spans.append((i, m.start(), m.end()))
-                    rows.append(features(text, m.start(), m.end(), paths[i] or "", dictionary))
+                for a, b, told in spans(text or ""):
+                    found.append((i, a, b))
+                    known.append(labelled(text, a, b, told) == 1)
+                    rows.append(features(text, a, b, paths[i] or "", dictionary))
             if rows:
-                bad = score(forest, np.array(rows)) >= least
-                for (i, a, b), secret in zip(reversed(spans), bad[::-1]):
+                bad = (score(forest, np.array(rows)) >= least) | np.array(known)
+                for (i, a, b), secret in zip(reversed(found), bad[::-1]):
                     if secret:
                         texts[i] = texts[i][:a] + mark + texts[i][b:]
             columns = list(batch.columns)

@@ -228,3 +228,40 @@ def test_secret_odd_inputs(spark):
     assert secretscan.redact(d, dictionary, forest).count() == d.count()
     one = secretscan.train_forest(secretscan.candidates(d.where("doc_id % 6 = 0"), dictionary))
     assert secretscan.score(one, np.zeros((2, len(secretscan.FEATURES)))).tolist() == [1.0, 1.0]
+
+
+PLANTED = {  # kind: text before, alphabet, length, text after
+    "stripe": ("the charge key sk_live_", "aA9", 24, " was in the list"),
+    "slack": ("- xoxb-", "9", 30, "-abcDEF123456"),
+    "google": ("maps use AIza", "aA9", 35, " for now"),
+    "jwt": ("she sent eyJhbGciOiJIUzI1NiJ9.", "aA9", 40, ".c2lnbmF0dXJlMTIzNDU2"),
+    "bearer": ("Authorization: Bearer ", "aA9", 20, " then"),
+    "short": ('password = "', "aA9!@$.", 9, '" end'),
+    "broken": ("db_password: a1", "aA9!@$.", 14, "z end"),
+    "address": ("postgres://app:p4", "aA9", 8, "@db.local/x"),
+    "pem": ("-----BEGIN RSA PRIVATE KEY-----\n", "aA9+/", 64, "\n-----END RSA PRIVATE KEY-----"),
+}
+
+
+def planted(spark, n, seed):
+    import string
+
+    rng = np.random.default_rng(seed)
+    sets = {"a": string.ascii_lowercase, "A": string.ascii_uppercase, "9": string.digits}
+    rows = []
+    for i in range(n):
+        for kind, (before, kinds, size, after) in PLANTED.items():
+            body = "".join(rng.choice(list("".join(sets.get(k, k) for k in kinds)), size))
+            rows.append((len(rows), f"words about {made('en', 6, rng)} {before}{body}{after} {made('en', 5, rng)}", "web", kind, body))
+        rows.append((len(rows), f"commit {''.join(rng.choice(list('0123456789abcdef'), 40))} of {made('en', 6, rng)} internationalization", "web", "none", "internationalization"))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, kind string, body string")
+
+
+def test_secrets_of_each_kind_are_found(spark):
+    train, test = planted(spark, 20, 5), planted(spark, 20, 6)
+    dictionary, forest = secretscan.fitted(train, train.select("doc_id"))
+    clean = secretscan.redact(test, dictionary, forest).collect()
+    recall = {k: np.mean([r["body"] not in r["text"] for r in clean if r["kind"] == k]) for k in (*PLANTED, "none")}
+    print("recall", recall)
+    assert min(recall[k] for k in PLANTED) >= 0.95 and recall["none"] == 0
+    assert all("commit [SECRET]" not in r["text"] for r in clean if r["kind"] == "none")
