@@ -6,6 +6,8 @@ shared folder each round, and the rounds are the logarithm of the longest path.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,21 +116,17 @@ def own_terminus_share(ends: DataFrame, polygons: DataFrame) -> DataFrame:
     return own.groupBy("comid").agg(F.avg("own").alias("share"))
 
 
-def transitive_reach(seeds: DataFrame, adjacency: DataFrame, targets: DataFrame, rounds: int = 200) -> DataFrame:
-    """(seed, key): the target keys that each seed reaches over an adjacency (a, b), both ways.
+def transitive_reach(seeds: DataFrame, adjacency: DataFrame, targets: DataFrame, rounds: int = 60) -> DataFrame:
+    """(seed, key): the target keys that each seed reaches over an adjacency (a, b), both ways,
+    however far.
 
-    A search front a round, written to the shared folder; rows are seed-node pairs.
+    Seeds and targets of one component meet; ids are long. Raises when ``rounds`` of the
+    components do not suffice.
     """
-    both = materialize(adjacency.select("a", "b").union(adjacency.select("b", "a")).distinct(), "reach-edges")
-    seen = materialize(seeds.select(F.col("seed"), F.col("seed").alias("node")).distinct(), "reach-seen")
-    front = seen
-    for _ in range(rounds):
-        nxt = front.join(both, front["node"] == both["a"]).select("seed", F.col("b").alias("node")).distinct().join(seen, ["seed", "node"], "left_anti")
-        front = materialize(nxt, "reach-front")
-        if front.isEmpty():
-            break
-        seen = materialize(seen.union(front), "reach-seen")
-    return seen.join(targets.select(F.col("key").alias("node")).distinct(), "node", "left_semi").select("seed", F.col("node").alias("key"))
+    found = connected_components(adjacency, rounds=rounds)
+    of = lambda d, name: d.join(found.withColumnRenamed("node", name), name, "left").select(name, F.coalesce("component", name).alias("component"))
+    s, t = (of(d.select(name).where(F.col(name).isNotNull()).distinct(), name) for d, name in ((seeds, "seed"), (targets, "key")))
+    return s.join(t, "component").select("seed", "key")
 
 
 def tile_components(membership: DataFrame) -> DataFrame:
@@ -140,18 +138,21 @@ def tile_components(membership: DataFrame) -> DataFrame:
     return membership.select("tile").distinct().join(found, "tile", "left").select("tile", F.coalesce("component", "tile").alias("component"))
 
 
-def fill_depressions(cells: DataFrame, rounds: int = 10_000) -> DataFrame:
+def fill_depressions(cells: DataFrame, rounds: int | None = None) -> DataFrame:
     """(row, col, filled, depth): each cell raised to its lowest way out of the table.
 
     Iterates w = max(z, least neighbour w) from above until nothing falls; cells with a missing
-    neighbour are outlets. Rounds follow the longest way out of a depression.
+    neighbour are outlets. Rounds follow the longest way out of a depression; raises when a given
+    number of ``rounds`` does not suffice.
     """
     z = cells.where("value IS NOT NULL").select(*CELL, F.col("value").alias("z"))
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in D8.values()])
     send = lambda d, v: d.withColumn("s", F.explode(steps)).select((F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"), F.col(v).alias("v"))
     near = send(z, "z").groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
     state = materialize(z.join(near, CELL, "left").select(*CELL, "z", F.when(F.coalesce("n", F.lit(0)) < 8, F.col("z")).otherwise(F.lit(float("inf"))).alias("w")), "fill")
-    for _ in range(rounds):
+    for turn in itertools.count():
+        if turn == rounds:
+            raise RuntimeError(f"depressions not filled in {rounds} rounds")
         low = send(state, "w").groupBy(*CELL).agg(F.min("v").alias("low"))
         fallen = F.least("w", F.greatest("z", F.coalesce("low", F.lit(float("inf")))))
         state = materialize(state.join(low, CELL, "left").select(*CELL, "z", fallen.alias("w"), (fallen < F.col("w")).alias("moved")), "fill")
