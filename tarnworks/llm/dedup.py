@@ -6,10 +6,10 @@ value in [j, j + 1), so a signature is complete once every place holds a value b
 level - for most documents after one or two levels.
 
 Documents with equal sets form a class; the rest works on one representative a class. In a
-band's bucket, members are first linked with its most central one. What stays apart inside a
-bucket is compared with some more pivots, and at last with every member of the bucket's
-other components that bounds on the common shingles leave: no link that banding finds is
-lost, and members of one component are never paired.
+band's bucket, members are linked with its most central one first. Where components stay apart
+inside a bucket, members meet some more pivots, and at last the pairs of different components
+that bounds on their common shingles leave: no link that banding finds is lost, members of one
+component are never paired, and a bucket's members are not paired with each other.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnworks.core.graph import connected_components
@@ -68,7 +68,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     word = ~gap
     starts = np.flatnonzero(word & np.concatenate(([True], gap[:-1])))
     ends = np.flatnonzero(gap & np.concatenate(([False], word[:-1])))
-    base = 0x100000001B3 | 1
+    base = 0x100000001B3
     inverse = pow(base, -1, 1 << 64)
     letters = _mix((raw.astype(np.uint64) + np.uint64(1)) * _MUL[0])
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(letters * _powers(len(raw), base), dtype=np.uint64)))
@@ -229,9 +229,7 @@ def near_components(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = BAND_ROWS,
-    pivots: int = 4,
-    star_rounds: int = 1,
-    few: int = 4,
+    rounds: int = 3,
     heavy: int = 16,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row a document.
@@ -242,6 +240,10 @@ def near_components(
     repeat id and set count once; an id with several texts is linked through any of them. A
     row with a null id is a document that nothing is linked with: component_id null, kept.
     Other columns are not read.
+
+    ``rounds`` (pivots that a bucket's members meet before pairs are sought) and ``heavy``
+    (holders from which a shingle counts as the pivot's) divide the work; links do not depend
+    on them.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialize(signatures(d, size, bands, rows), "dedup-signatures")
@@ -271,88 +273,45 @@ def near_components(
     texts = d.where("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
     sets = full_sets(texts, size).where(F.length("shingles") > 0).join(several, "doc_id", "left")
     sets = materialize(sets.select(node.alias("doc_id"), "shingles").dropDuplicates(["doc_id"]), "dedup-sets")
+    both_sets = [sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"set_{end}")) for end in ("a", "b")]
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-        y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_common, "a long, b long, both long, either long")
-
-    linked = F.col("both") * 100 >= F.col("either") * percent
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links."""
+        wide = pairs.join(both_sets[0], "a").join(both_sets[1], "b").select("a", "b", "set_a", "set_b")
+        found = wide.mapInArrow(_common, "a long, b long, both long, either long")
+        return found.where(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
 
     def still_apart(at: DataFrame, links: DataFrame) -> DataFrame:
         """Members, with their component, of the buckets that hold more than one."""
         label = connected_components(links).withColumnRenamed("node", "doc")
-        at = at.select("bucket", "doc", "n", "central").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        at = at.drop("component").join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         mixed = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         return materialize(at.join(mixed.select("bucket"), "bucket"), "dedup-apart")
 
-    def few_pairs(at: DataFrame) -> bool:
-        sums = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
-        sums = sums.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        left = sums.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()
-        return not left["pairs"] or left["pairs"] <= few * left["rows"]
-
-    def pairs_of(rows: DataFrame) -> DataFrame:
-        rows = rows.where(_possible("n", "n_b", percent)).select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
-        return rows.distinct()
-
-    best = F.max(F.struct("central", -F.col("doc"), "doc", "n"))
+    def pivots(at: DataFrame) -> DataFrame:
+        """(bucket, pivot): the most central member of each bucket."""
+        at = at.groupBy("bucket").agg(F.max(F.struct("central", (-F.col("doc")).alias("last"), "doc", "n", "component")).alias("pivot"))
+        return at.select("bucket", "pivot")
 
     # First each document meets the most central pivot of its buckets.
-    top = members.groupBy("bucket").agg(best.alias("pivot"))
-    met = members.join(top, "bucket").select("doc", "n", F.col("pivot.central").alias("c"), F.col("pivot.doc").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
-    first = met.where("doc <> pivot").where(_possible("n", "pivot_n", percent)).groupBy(F.col("doc").alias("b")).agg(F.max_by("pivot", F.struct("c", -F.col("pivot"))).alias("a"))
-    links = materialize(compared(first).where(linked).select("a", "b"), "dedup-links")
-    # Then what is apart meets more pivots of its bucket, until few pairs would be left.
+    members = members.withColumns({"component": F.col("doc"), "led": F.lit(False)})
+    met = members.join(pivots(members), "bucket").where("doc <> pivot.doc").where(_possible("n", "pivot.n", percent))
+    first = met.groupBy(F.col("doc").alias("b")).agg(F.max(F.struct("pivot.central", -F.col("pivot.doc"), "pivot.doc"))["doc"].alias("a"))
+    links = materialize(confirmed(first), "dedup-links")
     at = still_apart(members, links)
-    for turn in range(star_rounds):
-        if few_pairs(at):
-            break
-        seeds = range(turn * pivots, (turn + 1) * pivots)
-        more = at.groupBy("bucket").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("doc", F.lit(t)).alias("by"), "doc", "n", "component"))["doc"] for t in seeds])).alias("docs"))
-        more = more.select("bucket", F.explode("docs").alias("doc")).join(at, ["bucket", "doc"])
-        more = more.select("bucket", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-        star = pairs_of(at.join(more, "bucket").where("component <> component_b"))
-        links = materialize(links.unionByName(compared(star).where(linked).select("a", "b")), "dedup-links")
-        at = still_apart(at, links)
-    # At last all pairs of a bucket's components that can be linked at all. All members are
-    # compared with the bucket's most central one, p. A pair has at most min(|a and p|, |b and p|)
-    # shingles of p in common, and the shingles outside p that both have: pairs are built where
-    # the first bound suffices alone, the others from the shingles shared.
-    pivot = at.groupBy("bucket").agg(best["doc"].alias("p"))
-    at = materialize(at.join(pivot, "bucket").where("doc <> p"), "dedup-pivots")
-    asked = at.select(F.col("doc").alias("a"), F.col("p").alias("b")).distinct()
-    x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
-    y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    near = asked.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>")
-    near = materialize(near, "dedup-outside")
-    to_pivot = near.where(F.col("common") * 100 >= F.col("either") * percent).select(F.col("doc").alias("a"), F.col("p").alias("b"))
-    links = links.unionByName(to_pivot)
-    # Shingles outside p that more than ``heavy`` documents have count as p's: the bound holds for
-    # any set in p's place, and a shingle that p alone has lost does not pair all the others.
-    outer = near.select("doc", "p", F.explode("outside").alias("shingle"))
-    holders = outer.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    outer = materialize(outer.join(holders, ["p", "shingle"]), "dedup-shared")
-    moved = outer.where(F.col("holders") > heavy).groupBy("doc", "p").agg(F.count(F.lit(1)).alias("moved"))
-    to_p = near.select("doc", "p", "common", (1 - F.col("common") / F.col("either")).alias("far")).join(moved, ["doc", "p"], "left")
-    to_p = to_p.select("doc", "p", (F.col("common") + F.coalesce("moved", F.lit(0))).alias("common"), "far")
-    at = materialize(at.join(to_p, ["doc", "p"]), "dedup-apart")
-    names = {"doc": "b", "n": "n_b", "component": "component_b", "common": "common_b", "far": "far_b"}
-    other = at.select("bucket", *[F.col(k).alias(v) for k, v in names.items()])
-    apart = F.col("component") < F.col("component_b")
-    # |a and b| must reach this share of |a| + |b|; 1 - similarity is a metric as well.
-    needed = percent * (F.col("n") + F.col("n_b"))
-    inside = F.least("common", "common_b") * (100 + percent) >= needed
-    cross = at.join(other, "bucket").where(apart & inside & (F.abs(F.col("far") - F.col("far_b")) <= (100 - percent) / 100 + 1e-9))
-    once = at.select("doc", "p", "n", "component", "common").distinct()
-    mine = once.join(outer.where(F.col("holders") <= heavy).select("doc", "p", "shingle"), ["doc", "p"])
-    theirs = mine.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items() if k != "far"])
-    outside = F.least(F.col("n") - F.col("common"), F.col("n_b") - F.col("common_b"))
-    within_reach = (F.least("common", "common_b") + outside) * (100 + percent) >= needed
-    shared = mine.join(theirs, ["p", "shingle"]).where(apart & within_reach).groupBy("p", "doc", "b", "n", "n_b", "common", "common_b").agg(F.count(F.lit(1)).alias("both"))
-    shared = shared.where((F.least("common", "common_b") + F.col("both")) * (100 + percent) >= needed)
-    pairs = pairs_of(cross.select("doc", "b", "n", "n_b").union(shared.select("doc", "b", "n", "n_b")))
-    links = materialize(links.unionByName(compared(pairs).where(linked).select("a", "b")), "dedup-links")
+    # Then the members of a mixed bucket meet its most central one, and in the next round the
+    # most central one outside the components of those before.
+    for _ in range(rounds):
+        done = at.where("led").select("bucket", "component").distinct()
+        lead = pivots(at.join(done, ["bucket", "component"], "left_anti"))
+        at = at.join(lead, "bucket", "left")
+        asked = at.where("component <> pivot.component").where(_possible("n", "pivot.n", percent))
+        more = confirmed(asked.select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).distinct())
+        links = materialize(links.unionByName(more), "dedup-links")
+        led = F.col("led") | F.coalesce(F.col("doc") == F.col("pivot.doc"), F.lit(False))
+        at = still_apart(at.withColumn("led", led).drop("pivot"), links)
+    pairs = _candidates(at.join(pivots(at), "bucket"), both_sets, percent, heavy)
+    links = materialize(links.unionByName(confirmed(pairs)), "dedup-links")
     # Links between doc_ids again, and those of an id's sets to their representatives.
     extra = classes.where("several").select("node", F.col("doc_id").alias("rep"))
     for end in ("a", "b"):
@@ -369,6 +328,50 @@ def near_components(
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _candidates(at: DataFrame, both_sets: list[DataFrame], percent: int, heavy: int) -> DataFrame:
+    """(a, b): the pairs of members with one pivot p and different components that can be linked.
+
+    |a and b| is at most min(|a and p|, |b and p|) and the shingles outside p that both hold,
+    and a link needs percent / (100 + percent) of |a| + |b|. One of the two is outside p's
+    component. Where the first bound does not suffice, a and b have to share so many shingles
+    outside p that, taken from the rarest on, one of the first is among them: such pairs come
+    from a join on these shingles. The few others come from a join on p. Shingles outside p that
+    more than ``heavy`` members have count as p's; the bounds hold for any set in p's place.
+    """
+    at = at.select(F.col("pivot.doc").alias("p"), (F.col("component") == F.col("pivot.component")).alias("near_p"), "doc", "n", "component")
+    at = materialize(at.distinct(), "dedup-pivots")
+    wide = at.select(F.col("doc").alias("a"), F.col("p").alias("b")).join(both_sets[0], "a").join(both_sets[1], "b").select("a", "b", "set_a", "set_b")
+    near = materialize(wide.mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>"), "dedup-outside")
+    outer = near.select("doc", "p", F.explode("outside").alias("shingle"))
+    held = outer.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    outer = materialize(outer.join(held, ["p", "shingle"]), "dedup-shared")
+    moved = outer.groupBy("doc", "p").agg(F.count_if(F.col("holders") > heavy).alias("moved"))
+    low = at.groupBy("p").agg(F.min("n").alias("low"))
+    at = at.join(near.select("doc", "p", "common", F.size("outside").alias("out")), ["doc", "p"]).join(moved, ["doc", "p"], "left").join(low, "p")
+    at = at.withColumn("moved", F.coalesce("moved", F.lit(0))).withColumns({"common": F.col("common") + F.col("moved"), "out": F.col("out") - F.col("moved")})
+    # The common shingles that the bound on p's leaves to be found outside p, at least.
+    lacking = F.ceil(percent * (F.col("n") + F.col("low")) / (100 + percent)) - F.col("common")
+    at = materialize(at.withColumn("lacking", lacking).drop("moved", "low"), "dedup-bounds")
+    names = {x: f"{x}_b" for x in ("near_p", "doc", "n", "component", "common", "out")}
+    apart = (F.col("component") != F.col("component_b")) & (F.col("near_p_b") | (F.col("doc") < F.col("doc_b")))
+    needed = percent * (F.col("n") + F.col("n_b"))
+    inside = F.least("common", "common_b")
+    enough = at.where("lacking <= 0")
+    other = enough.select("p", *[F.col(k).alias(v) for k, v in names.items()])
+    alone = enough.where("NOT near_p").join(other, "p").where(apart & (inside * (100 + percent) >= needed))
+    light = at.join(outer.where(F.col("holders") <= heavy), ["doc", "p"])
+    rarest = Window.partitionBy("doc", "p").orderBy("holders", "shingle")
+    # ``out`` counts the shingles that nobody shares as well; they stand before all others.
+    own = F.col("out") - F.count(F.lit(1)).over(Window.partitionBy("doc", "p"))
+    light = light.withColumn("place", F.row_number().over(rarest) + own).where(F.col("place") <= F.col("out") - F.greatest("lacking", F.lit(1)) + 1)
+    light = materialize(light.select("p", "shingle", *names), "dedup-light")
+    other = light.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items()])
+    reach = (inside + F.least("out", "out_b")) * (100 + percent) >= needed
+    outside = light.where("NOT near_p").join(other, ["p", "shingle"]).where(apart & reach)
+    pairs = alone.select("doc", "doc_b", "n", "n_b").union(outside.select("doc", "doc_b", "n", "n_b"))
+    return pairs.where(_possible("n", "n_b", percent)).select(F.least("doc", "doc_b").alias("a"), F.greatest("doc", "doc_b").alias("b")).distinct()
+
+
 def op10_superminhash(spark, sf_dir: str) -> DataFrame:
     """Every document's component under four-word shingles and similarity 0.8."""
     return near_components(table(spark, sf_dir, "documents"), size=4)

@@ -93,8 +93,9 @@ def test_dedup_against_brute_force(spark, size):
     d = spark.createDataFrame([(i, t, "q") for i, t in texts.items()] + [(5, texts[5], "q")], "doc_id long, text string, component_id string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in dedup.near_components(d, size=size).collect()}
     assert got == brute_components(texts, size, 80)
-    one = dedup.near_components(d, size=size, few=0, star_rounds=0)
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in one.collect()} == got
+    for rounds, heavy in ((0, 0), (0, 1), (1, 10**6), (0, 10**6)):
+        one = dedup.near_components(d, size=size, rounds=rounds, heavy=heavy)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in one.collect()} == got
 
 
 def test_dedup_links_every_text_of_an_id(spark):
