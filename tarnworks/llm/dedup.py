@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnworks.core.graph import connected_components
-from tarnworks.core.io import materialize, table
+from tarnworks.core.io import bucketed, materialize, table
 
 #: Bands of the signature and values in each: at similarity 0.8 a pair shares no band with
 #: probability (1 - 0.8 ** 5) ** 36 = 6e-7.
@@ -229,7 +229,7 @@ def near_components(
     percent: int = 80,
     bands: int = BANDS,
     rows: int = BAND_ROWS,
-    rounds: int = 3,
+    rounds: int = 2,
     heavy: int = 16,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row a document.
@@ -261,6 +261,7 @@ def near_components(
     banded = signed.join(classes, ["set_key", "doc_id"]).select(
         F.col("node").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
+    banded = banded.repartition("bucket")  # once, for both sides of the join
     shared = banded.groupBy("bucket").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     members = materialize(banded.join(shared.select("bucket"), "bucket").dropDuplicates(["bucket", "doc"]), "dedup-members")
     # How central a document is: the members of all its buckets. The original of a group of
@@ -272,7 +273,7 @@ def near_components(
     reps = classes.join(wanted, F.col("node") == F.col("doc"), "left_semi").select("doc_id").distinct()
     texts = d.where("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
     sets = full_sets(texts, size).where(F.length("shingles") > 0).join(several, "doc_id", "left")
-    sets = materialize(sets.select(node.alias("doc_id"), "shingles").dropDuplicates(["doc_id"]), "dedup-sets")
+    sets = bucketed(sets.select(node.alias("doc_id"), "shingles").dropDuplicates(["doc_id"]), "doc_id", "dedup-sets")
     both_sets = [sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"set_{end}")) for end in ("a", "b")]
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -289,9 +290,10 @@ def near_components(
         return materialize(at.join(mixed.select("bucket"), "bucket"), "dedup-apart")
 
     def pivots(at: DataFrame) -> DataFrame:
-        """(bucket, pivot): the most central member of each bucket."""
-        at = at.groupBy("bucket").agg(F.max(F.struct("central", (-F.col("doc")).alias("last"), "doc", "n", "component")).alias("pivot"))
-        return at.select("bucket", "pivot")
+        """(bucket, pivot): the most central member of each bucket outside led components."""
+        best = F.max(F.struct("central", (-F.col("doc")).alias("last"), "doc", "n", "component")).alias("pivot")
+        open_ = at.groupBy("bucket", "component").agg(best, F.bool_or("led").alias("led")).where("NOT led")
+        return open_.groupBy("bucket").agg(F.max("pivot").alias("pivot"))
 
     # First each document meets the most central pivot of its buckets.
     members = members.withColumns({"component": F.col("doc"), "led": F.lit(False)})
@@ -302,15 +304,14 @@ def near_components(
     # Then the members of a mixed bucket meet its most central one, and in the next round the
     # most central one outside the components of those before.
     for _ in range(rounds):
-        done = at.where("led").select("bucket", "component").distinct()
-        lead = pivots(at.join(done, ["bucket", "component"], "left_anti"))
-        at = at.join(lead, "bucket", "left")
+        at = at.join(pivots(at), "bucket", "left")
         asked = at.where("component <> pivot.component").where(_possible("n", "pivot.n", percent))
         more = confirmed(asked.select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).distinct())
         links = materialize(links.unionByName(more), "dedup-links")
         led = F.col("led") | F.coalesce(F.col("doc") == F.col("pivot.doc"), F.lit(False))
         at = still_apart(at.withColumn("led", led).drop("pivot"), links)
-    pairs = _candidates(at.join(pivots(at), "bucket"), both_sets, percent, heavy)
+    top = pivots(at.withColumn("led", F.lit(False)))
+    pairs = _candidates(at.join(top, "bucket"), both_sets, percent, heavy)
     links = materialize(links.unionByName(confirmed(pairs)), "dedup-links")
     # Links between doc_ids again, and those of an id's sets to their representatives.
     extra = classes.where("several").select("node", F.col("doc_id").alias("rep"))
