@@ -212,14 +212,42 @@ def read_avi(data: bytes) -> Avi:
     return avi
 
 
-#: Huffman tables that motion-JPEG frames may leave out: fixed values of the JPEG standard (K.3-K.6):
-#: kind, code counts by length, symbols.
+#: Huffman tables that motion-JPEG frames may leave out: fixed values of the JPEG standard (K.3-K.6).
+#: Kind, numbers of codes of 1 to 16 bits, symbols in order of their codes; hexadecimal.
 STANDARD_TABLES = [
-    (0x00, "00010501010101010100000000000000", "000102030405060708090a0b"),
-    (0x01, "00030101010101010101010000000000", "000102030405060708090a0b"),
-    (0x10, "0002010303020403050504040000017d", "01020300041105122131410613516107227114328191a1082342b1c11552d1f02433627282090a161718191a25262728292a3435363738393a434445464748494a535455565758595a636465666768696a737475767778797a838485868788898a92939495969798999aa2a3a4a5a6a7a8a9aab2b3b4b5b6b7b8b9bac2c3c4c5c6c7c8c9cad2d3d4d5d6d7d8d9dae1e2e3e4e5e6e7e8e9eaf1f2f3f4f5f6f7f8f9fa"),
-    (0x11, "00020102040403040705040400010277", "0001020311040521310612415107617113223281081442 91a1b1c109233352f0156272d10a162434e125f11718191a262728292a35363738393a434445464748494a535455565758595a636465666768696a737475767778797a82838485868788898a92939495969798999aa2a3a4a5a6a7a8a9aab2b3b4b5b6b7b8b9bac2c3c4c5c6c7c8c9cad2d3d4d5d6d7d8d9dae2e3e4e5e6e7e8e9eaf2f3f4f5f6f7f8f9fa".replace(" ", "")),
-]
+    (  # luma DC
+        0x00,
+        "00 01 05 01 01 01 01 01 01 00 00 00 00 00 00 00",
+        "00 01 02 03 04 05 06 07 08 09 0a 0b",
+    ),
+    (  # chroma DC
+        0x01,
+        "00 03 01 01 01 01 01 01 01 01 01 00 00 00 00 00",
+        "00 01 02 03 04 05 06 07 08 09 0a 0b",
+    ),
+    (  # luma AC
+        0x10,
+        "00 02 01 03 03 02 04 03 05 05 04 04 00 00 01 7d",
+        "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 "
+        "23 42 b1 c1 15 52 d1 f0 24 33 62 72 82 09 0a 16 17 18 19 1a 25 26 27 28 "
+        "29 2a 34 35 36 37 38 39 3a 43 44 45 46 47 48 49 4a 53 54 55 56 57 58 59 "
+        "5a 63 64 65 66 67 68 69 6a 73 74 75 76 77 78 79 7a 83 84 85 86 87 88 89 "
+        "8a 92 93 94 95 96 97 98 99 9a a2 a3 a4 a5 a6 a7 a8 a9 aa b2 b3 b4 b5 b6 "
+        "b7 b8 b9 ba c2 c3 c4 c5 c6 c7 c8 c9 ca d2 d3 d4 d5 d6 d7 d8 d9 da e1 e2 "
+        "e3 e4 e5 e6 e7 e8 e9 ea f1 f2 f3 f4 f5 f6 f7 f8 f9 fa",
+    ),
+    (  # chroma AC
+        0x11,
+        "00 02 01 02 04 04 03 04 07 05 04 04 00 01 02 77",
+        "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 "
+        "a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1 17 18 19 1a 26 "
+        "27 28 29 2a 35 36 37 38 39 3a 43 44 45 46 47 48 49 4a 53 54 55 56 57 58 "
+        "59 5a 63 64 65 66 67 68 69 6a 73 74 75 76 77 78 79 7a 82 83 84 85 86 87 "
+        "88 89 8a 92 93 94 95 96 97 98 99 9a a2 a3 a4 a5 a6 a7 a8 a9 aa b2 b3 b4 "
+        "b5 b6 b7 b8 b9 ba c2 c3 c4 c5 c6 c7 c8 c9 ca d2 d3 d4 d5 d6 d7 d8 d9 da "
+        "e2 e3 e4 e5 e6 e7 e8 e9 ea f2 f3 f4 f5 f6 f7 f8 f9 fa",
+    ),
+]
 
 
 @functools.lru_cache(maxsize=64)
@@ -325,7 +353,9 @@ def _idct(coefficients: np.ndarray) -> np.ndarray:
 
 
 def decode_frames(frames: list[bytes]) -> list[Luma | None]:
-    """The luma of each JPEG frame; None for what is no baseline JPEG frame."""
+    """The luma of each JPEG frame; None for what is no baseline JPEG frame or is damaged: an
+    unknown code, more than 64 coefficients, a level out of range, a restart interval that does
+    not end at its marker, or markers missing, out of turn or too many."""
     heads: dict[bytes, Jpeg | None] = {}
     groups: dict[tuple, list[tuple[int, Jpeg]]] = defaultdict(list)
     out: list[Luma | None] = [None] * len(frames)
@@ -370,7 +400,7 @@ def _flat_table(found: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.where(ok, value << 5 | used + (end & 31), 0)
 
 
-def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
+def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma | None]:
     """Frames with the same tables: every restart interval is a stream of its own."""
     jpeg = jpegs[0]
     scans = [f[j.scan :] for f, j in zip(frames, jpegs)]
@@ -380,6 +410,7 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
     after_ff = np.flatnonzero(raw[:-8] == 255)
     follow = raw[after_ff + 1]
     marks = after_ff[(follow >= 0xD0) & (follow <= 0xD7)]
+    closes = after_ff[(follow >= 0xD0) & (follow <= 0xD9)]  # restart markers and images' ends
     drop = np.zeros(len(raw), bool)
     drop[after_ff[follow == 0] + 1] = True
     starts = np.sort(np.concatenate([frame_start[:-1], marks + 2]))
@@ -389,6 +420,13 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
     bit = kept_before[starts] * 8
     order = np.arange(len(starts)) - np.searchsorted(owner, owner, side="left")
     interval = np.full(len(owner), jpeg.interval) if jpeg.interval else mcus[owner]
+    # A stream reaches up to the next marker; markers count from 0 to 7 in turn, the end is last.
+    close = np.append(closes, len(raw) - 8)[np.searchsorted(closes, starts)]
+    end = kept_before[close] * 8
+    streams = np.bincount(owner, minlength=len(frames))[owner]
+    final = order == streams - 1
+    bad = (close >= frame_start[owner + 1]) | (raw[close + 1] != np.where(final, 0xD9, 0xD0 + order % 8))
+    bad |= streams != -(-mcus[owner] // np.maximum(interval, 1))
     first = order * interval
     count = np.clip(mcus[owner] - first, 0, interval)
     # 40-bit windows at each byte hold a code and its extra bits from any bit on.
@@ -413,9 +451,11 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
         value = (w >> (40 - n - size)) & ((1 << size) - 1)
         value = np.where(value < (1 << size >> 1), value - (1 << size) + 1, value)
         bit[where] = at + n + size
+        bad[where[n == 0]] = True
         return symbol, size, value
 
     flat = _flat_blocks(jpeg) if len(jpeg.mcu) == 1 else None
+    most = -(-1024 // max(int(jpeg.quant[0][0]), 1))  # a level of 8-bit samples, quantised
     for m in range(int(count.max(initial=0))):
         live = np.flatnonzero(count > m)
         n_luma = 0
@@ -426,12 +466,14 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
             last[live, 0] += found >> 5
             bit[live] = at + ok
             dc[base[live] + m] = last[live, 0]
+            bad[live] |= np.abs(last[live, 0]) > most
             live = live[ok == 0]
             if not len(live):
                 continue
         for c, dc_table, ac_table in jpeg.mcu:
             _, _, value = take(live, jpeg.tables[dc_table])
             last[live, c] += value
+            bad[live] |= (c == 0) & (np.abs(last[live, c]) > most)
             block = base[live] + m * luma_blocks + n_luma
             if c == 0:
                 dc[block] = last[live, 0]
@@ -440,6 +482,7 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
             while len(todo):
                 symbol, size, value = take(live[todo], jpeg.tables[ac_table])
                 k[todo] += symbol >> 4
+                bad[live[todo[(k[todo] > 63) & (size > 0)]]] = True
                 if c == 0 and size.any():
                     has = (size > 0) & (k[todo] < 64)
                     detail.append((block[todo[has]], k[todo[has]], value[has]))
@@ -447,18 +490,22 @@ def _decode_group(jpegs: list[Jpeg], frames: list[bytes]) -> list[Luma]:
                 todo = todo[((size > 0) | (symbol == 0xF0)) & (k[todo] < 64)]
     q = jpeg.quant[0]
     means = np.clip(np.floor_divide(dc * q[0] + 4, 8) + 128, 0, 255).astype(np.uint8)
-    pixels: dict[int, np.ndarray] = {}
+    which, pixels = np.zeros(0, np.int64), np.zeros((0, 64), np.uint8)
     if detail:
         block, k, value = (np.concatenate([d[i] for d in detail]) for i in range(3))
         which, at = np.unique(block, return_inverse=True)
         coefficients = np.zeros((len(which), 64))
         coefficients[:, 0] = dc[which] * q[0]
         coefficients[at, ZIGZAG[k]] = value * q[k]
-        pixels = dict(zip(which.tolist(), _idct(coefficients)))
-    out = []
+        pixels = _idct(coefficients)
+    bad |= (bit + 7) // 8 * 8 != end
+    broken = np.bincount(owner[bad], minlength=len(frames)) > 0
+    cuts = np.searchsorted(which, frame_at)
+    out: list[Luma | None] = []
     for i in range(len(frames)):
-        lo, hi = int(frame_at[i]), int(frame_at[i + 1])
-        out.append(Luma(jpegs[i], means[lo:hi], {b - lo: p for b, p in pixels.items() if lo <= b < hi}))
+        lo, hi, own = int(frame_at[i]), int(frame_at[i + 1]), slice(cuts[i], cuts[i + 1])
+        luma = Luma(jpegs[i], means[lo:hi], dict(zip((which[own] - lo).tolist(), pixels[own])))
+        out.append(None if broken[i] else luma)
     return out
 
 
@@ -487,9 +534,8 @@ CLIP = "clip int, first_frame int, last_frame int, start_s double, end_s double,
 def clip_rows(df: DataFrame, id_col: str, media_col: str) -> DataFrame:
     """A row for each clip of each AVI: id, clip number from 0, frames, seconds, mean luma.
 
-    Null, empty or broken media and media without a decodable frame give no row; a frame
-    that does not decode is left out of its clip's mean and histogram (it repeats its
-    predecessor's). Null ids and repeated rows pass through.
+    Null, empty or broken media and media without a decodable frame give no row; a damaged
+    frame repeats its predecessor's mean and histogram. Null ids and repeated rows pass through.
     """
     from pyspark.sql.types import StructType
 
@@ -518,6 +564,7 @@ class Found:
     info: str
     clips: list[tuple]
     frames: int
+    damaged: int = 0
 
 
 def analyse(media: bytes | None) -> Found | None:
@@ -553,7 +600,7 @@ def analyse_many(media: list[bytes | None]) -> list[Found | None]:
             (i, a, b, round(a * second, 6), round((b + 1) * second, 6), round(sum(means[a : b + 1]) / (b + 1 - a), 4))
             for i, (a, b) in enumerate(find_clips(histograms))
         ]
-        out.append(Found(b"".join([x.dc.tobytes() for x in good]), avi.info, clips, len(own)))
+        out.append(Found(b"".join([x.dc.tobytes() for x in good]), avi.info, clips, len(own), len(own) - len(good)))
     return out
 
 
@@ -600,7 +647,8 @@ DIGEST = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 lo
 def read_back(stored: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
     """Digests of what the stored media hold, read from their frames, and their clips as a text.
 
-    Media that are null or no AVI give nulls.
+    Media that are null or no AVI give nulls, and so do those with a damaged or missing frame,
+    as their payload is not whole.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -610,10 +658,13 @@ def read_back(stored: DataFrame, id_col: str = "doc_id", media_col: str = "media
     arrow = to_arrow_schema(schema)
 
     def digest(media: bytes | None, found: Found | None) -> tuple:
-        if found is None:
+        if found is None or found.damaged:
             return (None,) * 8
-        notes = dict(x.split("=") for x in found.info.split() if "=" in x)
-        payload = found.payload[: int(notes.get("padded", len(found.payload)))]
+        notes = dict(x.split("=") for x in found.info.split() if x.count("=") == 1)
+        padded = notes.get("padded", str(len(found.payload)))
+        if not padded.isdecimal() or int(padded) > len(found.payload):
+            return (None,) * 8
+        payload = found.payload[: int(padded)]
         feature = f"frames={found.frames};" + "|".join(f"{a}-{b}:{m:.4f}" for _, a, b, _, _, m in found.clips)
         return (
             int(notes.get("bytes", len(payload))), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]),
