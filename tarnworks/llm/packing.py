@@ -71,26 +71,26 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> lis
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = TOKEN_BUDGET, buckets: int = BUCKETS, length=None) -> DataFrame:
     """(id, n_tokens, bucket, padded_to, batch, slot): each document's place in a batch.
 
-    ``length``: a Column that counts a row's tokens; words by default. Buckets number from 0 by
-    bound; batches from 0 inside each, all full but the last. Documents of ``budget`` tokens or
-    more fill a batch alone, unpadded, in the bucket after the others. Empty documents count
-    as one token of padding. Null ids and repeated rows are documents like others. The
-    driver holds the histogram of lengths below the budget: at most ``budget`` rows.
+    ``length``: a Column that counts a row's tokens; words by default. The histogram holds every
+    document's length; buckets number from 0 by bound, batches from 0 inside each, all full but
+    the last. A batch holds as many documents, padded to the bucket's bound, as fit ``budget``,
+    and one at least: a document may be longer than the budget. Empty documents count as one
+    token of padding. Null ids and repeated rows are documents like others; which of two equal
+    ids and lengths comes first is open. The driver holds the histogram: lengths that differ are
+    fewer than the square root of twice the corpus's tokens.
     """
     n = word_count(F.col(text_col)) if length is None else length
-    d = docs.select(F.col(id_col).alias(id_col), n.cast("long").alias("n_tokens")).withColumn("size", F.greatest("n_tokens", F.lit(1)))
-    d = materialize(d, "pack-lengths")
-    rows = d.where(F.col("size") < budget).groupBy("size").count().orderBy("size").toPandas()
+    d = docs.select(F.col(id_col).alias(id_col), n.cast("long").alias("n_tokens"), F.pmod(F.xxhash64(id_col, text_col), F.lit(CLASSES)).cast("int").alias("class"))
+    d = materialize(d.withColumn("size", F.greatest("n_tokens", F.lit(1))), "pack-lengths")
+    rows = d.groupBy("size").count().orderBy("size").toPandas()
     bounds = optimal_bounds(rows["size"].to_numpy(), rows["count"].to_numpy(), buckets)
-    bucket, padded = F.lit(len(bounds)), F.col("size")
+    bucket, padded = F.lit(None).cast("int"), F.lit(None).cast("long")
     for i in reversed(range(len(bounds))):
         bucket = F.when(F.col("size") <= bounds[i], i).otherwise(bucket)
         padded = F.when(F.col("size") <= bounds[i], bounds[i]).otherwise(padded)
-    long = F.col("size") >= budget
-    d = d.withColumn("bucket", F.when(long, len(bounds)).otherwise(bucket)).withColumn("padded_to", F.when(long, F.col("size")).otherwise(padded).cast("long"))
-    d = d.withColumn("class", F.pmod(F.xxhash64(id_col, "size"), F.lit(CLASSES)).cast("int"))
+    d = d.withColumns({"bucket": bucket.cast("int"), "padded_to": padded.cast("long")})
     # A document's number in its bucket: those of the classes before, and its own in its class.
-    # The classes' counts are at most (buckets + 1) * CLASSES rows.
+    # The classes' counts are at most buckets * CLASSES rows.
     before = Window.partitionBy("bucket").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     counts = d.groupBy("bucket", "class").count()
     offsets = counts.select("bucket", "class", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
@@ -101,10 +101,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget
     return numbered.select(
         id_col,
         "n_tokens",
-        F.col("bucket").cast("int").alias("bucket"),
+        "bucket",
         "padded_to",
-        F.when(long, F.col("number")).otherwise(F.floor(F.col("number") / room)).cast("long").alias("batch"),
-        F.when(long, F.lit(0)).otherwise(F.col("number") % room).cast("int").alias("slot"),
+        F.floor(F.col("number") / room).cast("long").alias("batch"),
+        (F.col("number") % room).cast("int").alias("slot"),
     )
 
 
