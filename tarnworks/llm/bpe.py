@@ -9,14 +9,17 @@ task stay in a bounded cache.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,38 @@ def byte_letters() -> list[str]:
     return out
 
 
+def _runs(inside: np.ndarray) -> str:
+    """The code points that are true, as ranges of a character class."""
+    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    return "".join([f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2)])
+
+
+@functools.cache
+def letter_class(kind: str) -> str:
+    """The code points of a class such as ``\\p{L}`` as the tokenizers library's own Unicode tables
+    have it, as ranges of a character class. No letter, number or space lies beyond plane 3."""
+    points = np.concatenate((np.arange(0xD800), np.arange(0xE000, 0x40000)))
+    split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{kind}+"), "removed")
+    inside = np.zeros(0x40000, bool)
+    inside[points] = True
+    for _, (start, end) in split.pre_tokenize_str("".join(map(chr, points.tolist()))):
+        inside[points[start:end]] = False
+    return _runs(inside)
+
+
+@functools.cache
+def newer() -> re.Pattern:
+    """A code point on whose normal form versions of Unicode differ: unknown to Python's tables, or
+    combining or composed and younger than Unicode 3.2."""
+    old, inside = unicodedata.ucd_3_2_0, np.zeros(sys.maxunicode + 1, bool)
+    inside[0x40000:] = True
+    for c in range(0x40000):
+        x = chr(c)
+        if unicodedata.category(x) == "Cn" or (unicodedata.combining(x) or unicodedata.decomposition(x)) and old.category(x) == "Cn":
+            inside[c] = True
+    return re.compile("[" + _runs(inside) + "]")
+
+
 class Cache(dict):
     """Word to [ids, decoded form]; a word that it meets first gets an empty cell and is noted."""
 
@@ -70,10 +105,16 @@ class WordBpe:
             self.halves[a + b] = (a, b)
         self.prefixes = {t[:i] for t in self.vocab for i in range(len(t.removesuffix(self.end)) + 1)}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.split = regex.compile(pattern).findall
+        #: Classes and, for new code points, normal forms are the library's, whatever versions of
+        #: Unicode it and Python have.
+        full = pattern
+        for kind in (r"\p{L}", r"\p{N}", r"\s"):
+            full = full.replace(kind, letter_class(kind))
+        self.split = re.compile(full).findall
+        self.normalizer = tokenizers.Tokenizer.from_file(path).normalizer
         #: The same for ASCII text, where the letters and numbers are few.
         self.split_ascii = re.compile(pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9"), re.ASCII).findall
-        self.cut = regex.compile("|".join(map(regex.escape, self.special))).finditer if self.special else None
+        self.cut = re.compile("|".join(map(re.escape, self.special))).finditer if self.special else None
         self.letters = byte_letters()
         self.spines: tuple[dict, dict] = ({}, {})
         self.reset()
@@ -192,6 +233,8 @@ class WordBpe:
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
             return self.split_ascii(text.lower())
+        if newer().search(text):
+            return self.split(self.normalizer.normalize_str(text))
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:  # lower() looks at a capital sigma's neighbours
             text = text.replace("Σ", "σ")
@@ -251,7 +294,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """One row per row of ``docs``: its id, token count, ids and decoded text, or their digests.
 
     Ids as the tokenizers library's encode(text, add_special_tokens=False) gives them for
-    the file at ``path``; decoded as decode(ids, skip_special_tokens=False): token names
+    the file at ``path``, for any text; decoded as decode(ids, skip_special_tokens=False): token names
     joined by spaces. A null text is empty: no tokens, empty text. Null ids and repeated
     rows pass through; other columns are not read. No shuffle: each task encodes its rows.
     """

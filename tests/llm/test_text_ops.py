@@ -43,6 +43,18 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode(empty(spark), path).count() == 0
 
 
+def test_bpe_equals_the_library_on_all_code_points():
+    path = P.path("word_bpe_49k.json")
+    own, t = bpe.WordBpe(path), tokenizers.Tokenizer.from_file(path)
+    points = [*range(0xD800), *range(0xE000, 0x34000, 7), *range(0xE0000, 0xE0200), 0x10FFFF]
+    texts = ["".join(f"a{chr(c)}! " for c in points[i : i + 400]) for i in range(0, len(points), 400)]
+    rng = np.random.default_rng(4)  # marks that are put in order and composed
+    marks = [*range(0x300, 0x340), 0x16FF0, 0x16FF1, 0x1E475, 0x61, 0x122, 0x1E030, 0xAC00, 0x1100, 0x1161, 0x11A8]
+    texts += ["".join(map(chr, rng.choice(marks, 12))) for _ in range(1000)]
+    for text, found in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode([text])[0][0] == " ".join(map(str, found.ids))
+
+
 def test_bpe_cache_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
     b = bpe.WordBpe(P.path("word_bpe_49k.json"))
@@ -140,6 +152,24 @@ def test_frames_with_detail_and_standard_tables():
         assert (luma.detail[i] == want).all() if any(b[1:]) else i not in luma.detail
 
 
+def test_damaged_frames(spark):
+    """Wrong entropy bytes, cut intervals and lost markers are seen, and other frames stay."""
+    rng = np.random.default_rng(6)
+    payload = rng.integers(0, 256, 64 * 64 * 3, dtype=np.uint8).tobytes()
+    [avi] = media.write_avi([payload], ["bytes=12288 padded=12288"])
+    assert media.analyse(avi).payload == payload
+    start, size = media.read_avi(avi).frames[1]
+    middle = start + size // 2
+    marker = avi.index(b"\xff\xd3", middle)
+    for at, wrong in ((middle, bytes(60)), (middle, b"\xfe" * 60), (middle, rng.integers(0, 255, 300, dtype=np.uint8).tobytes()), (marker, b"\x01\x02"), (marker, b"\xff\xd5"), (start + size - 2, b"\x00\x00")):
+        broken = avi[:at] + wrong + avi[at + len(wrong) :]
+        found = media.analyse(broken)
+        assert (found.frames, found.damaged) == (3, 1) and found.payload == payload[:4096] + payload[8192:]
+        d = spark.createDataFrame([(1, bytearray(broken)), (2, bytearray(avi))], "doc_id long, media binary")
+        rows = {r["doc_id"]: r for r in media.read_back(d).collect()}
+        assert rows[1]["payload_sha256"] is None and rows[2]["payload_bytes"] == 12288
+
+
 def test_clips(spark):
     flat = lambda v: bytes([v]) * 4096
     avi = media.write_avi([flat(10) * 6 + flat(200) * 5 + flat(90) * 4], [""])[0]
