@@ -23,6 +23,8 @@ from tarnworks.core.io import materialize, table
 BITS = 16
 #: Labelled documents that fit the text model at most.
 FIT_DOCS = 8_000
+#: Share of the fitted rows that a language needs: at most 200 languages, so a table of 52 MB at most.
+LEAST_SHARE = 0.005
 #: Weight of a trigram's log likelihood: overlapping trigrams are not independent.
 TEMPER = 0.25
 #: Rows that a level's prior is worth beside its own counts.
@@ -36,15 +38,18 @@ _LETTER[65:91] = np.arange(97, 123)
 
 def trigram_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams over all texts and each text's bounds; what is no letter counts as one
-    space, and trigrams of spaces alone are left out."""
-    raw = _LETTER[np.frombuffer(b"  ".join(texts) + b"  ", np.uint8)]
-    keep = raw > 0
+    space, a text ends with two, and trigrams of spaces alone are left out."""
+    raw = _LETTER[np.frombuffer(b"  ".join([*texts, b""]), np.uint8)]
+    ends = np.cumsum([len(t) + 2 for t in texts])
+    final = np.zeros(len(raw), bool)
+    final[ends - 1] = final[ends - 2] = True
+    keep = (raw > 0) | final
     keep[1:] |= raw[:-1] > 0
-    at = np.concatenate(([0], np.cumsum([len(t) + 2 for t in texts])))
-    at = np.concatenate(([0], np.cumsum(keep)))[at]
-    raw = np.concatenate((raw[keep], np.zeros(2, np.uint32)))
+    raw, final, ends = raw[keep], final[keep], np.cumsum(keep)[ends - 1]
     code = raw[:-2] | raw[1:-1] << 8 | raw[2:] << 16
-    return (code * np.uint32(2654435761)) >> np.uint32(32 - BITS), at
+    own = (code > 0) & ~final[:-2]
+    at = np.concatenate(([0], np.cumsum(own), np.full(2, own.sum())))[np.concatenate(([0], ends))]
+    return (code[own] * np.uint32(2654435761)) >> np.uint32(32 - BITS), at
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -60,9 +65,10 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]
         yield batch.slice(at, len(some)), some
 
 
-def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS) -> tuple[list[str], np.ndarray]:
+def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, least_share: float = LEAST_SHARE) -> tuple[list[str], np.ndarray]:
     """Languages and log likelihoods (buckets x languages) from at most ``fit_docs`` labelled rows,
-    those whose ids' digests are smallest. Rows with a null id, text or language are not labelled."""
+    those whose ids' digests are smallest. Rows with a null id, text or language are not labelled;
+    a language of fewer than ``least_share`` of the fitted rows is none."""
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
     chosen = named.select("id").orderBy(F.xxhash64("id"), "id").limit(fit_docs)
 
@@ -75,11 +81,14 @@ def fit_text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     mine = np.concatenate([code[at[i] : at[i + 1]] for i in np.flatnonzero(lang == name)])
                     n = np.bincount(mine, minlength=1 << BITS)
                     seen = np.flatnonzero(n)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(seen)), pa.array(seen), pa.array(n[seen])], names=["lang", "bucket", "n"])
+                    buckets, counts = np.append(seen, -1), np.append(n[seen], (lang == name).sum())  # -1: rows
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(buckets)), pa.array(buckets), pa.array(counts)], names=["lang", "bucket", "n"])
 
     sample = named.join(F.broadcast(chosen), "id", "left_semi").select("text", "lang")
     sums = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(sums["lang"].unique())
+    rows = sums[sums["bucket"] == -1]
+    languages = sorted(rows["lang"][rows["n"] >= least_share * rows["n"].sum()])
+    sums = sums[sums["bucket"] >= 0]
     table_ = np.zeros((1 << BITS, len(languages)))
     for k, name in enumerate(languages):
         own = sums[sums["lang"] == name]
@@ -132,7 +141,8 @@ def fuse(rows: DataFrame, languages: list[str], keys: list[str], least: float =
     The posterior is proportional to the host prior, the declared language's likelihood and
     the text's. Counts are those of the text's best language over all rows with letters.
     ``keys`` are columns to keep. Accepted: the text has letters and the posterior is
-    ``least`` or more. A null declaration or host is no evidence.
+    ``least`` or more. A null declaration or host is no evidence. Of equal likelihoods or
+    posteriors the first language by name counts.
     """
     if not languages:
         return rows.select(*keys, F.lit("und").alias("predicted"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted"))
@@ -151,7 +161,9 @@ def fuse(rows: DataFrame, languages: list[str], keys: list[str], least: float =
     hosts = hosts.join(above.drop("suffix"), "domain").drop("suffix", "domain")
     told = votes("declared").where("declared IS NOT NULL").select("declared", *named("t"))
     told_all = told.agg(*[F.sum(f"t{k}").alias(f"a{k}") for k in L], F.count(F.lit(1)).alias("kinds"))
-    r = rows.join(hosts, "host", "left").join(told, "declared", "left").join(F.broadcast(everything.join(F.broadcast(told_all))))
+    # Rows without a host meet no host; they are spread by their evidence.
+    spread = F.coalesce("host", F.concat(F.lit(" "), F.xxhash64("evidence", "grams")))
+    r = rows.withColumn("host_key", spread).join(hosts.withColumnRenamed("host", "host_key"), "host_key", "left").join(told, "declared", "left").join(F.broadcast(everything.join(F.broadcast(told_all))))
 
     own = lambda k: F.coalesce((F.col("best") == k).cast("double"), F.lit(0.0))
     n = lambda prefix, k: F.greatest(F.coalesce(F.col(f"{prefix}{k}"), F.lit(0)) - F.when(F.col(f"{prefix}{k}").isNotNull(), own(k)).otherwise(0.0), F.lit(0.0))
