@@ -66,15 +66,23 @@ def temporal_list_join(captures: DataFrame, entries: DataFrame, id_col: str, url
             F.explode(F.sequence(bucket(F.greatest("valid_from", "first")), bucket(F.least(F.coalesce("valid_to", "last"), "last")))).alias("bucket"),
         )
     )
-    # A host's captures of one day share their verdict: each such pair is judged once.
-    asked = c.select("host", "fetched_on").dropna().distinct().select(
-        "host", "fetched_on", bucket(F.col("fetched_on")).alias("bucket"), F.posexplode(host_suffixes(F.col("host"))).alias("steps", "pattern")
+    # A host's captures of one day share their verdict: each such pair is judged once. Of a host's
+    # suffixes only listed ones meet the intervals, so no top-level domain gathers all its hosts.
+    days = c.select("host", "fetched_on").dropna().distinct()
+    listed = entries.select(F.lower("pattern").alias("pattern")).distinct()
+    suffixes = days.select("host").distinct().select("host", F.posexplode(host_suffixes(F.col("host"))).alias("steps", "pattern"))
+    asked = days.join(suffixes.join(listed, "pattern", "left_semi"), "host").select(
+        "host", "fetched_on", bucket(F.col("fetched_on")).alias("bucket"), "steps", "pattern"
     )
     hits = asked.join(held, ["pattern", "bucket"]).where("valid_from <= fetched_on AND (valid_to IS NULL OR fetched_on < valid_to)")
     best = hits.groupBy("host", "fetched_on").agg(
         F.min(F.struct("steps", (F.col("action") != "allow").alias("not_allow"), "list_name", "valid_from", "pattern", "action")).alias("b")
     )
-    return c.join(best, ["host", "fetched_on"], "left").select(
+    # Captures without a host or time meet none: they are spread by their id.
+    best = best.withColumnRenamed("host", "key")
+    key = F.when(F.col("fetched_on").isNotNull(), F.col("host"))
+    c = c.withColumn("key", F.coalesce(key, F.concat(F.lit(" "), F.xxhash64("capture"))))
+    return c.join(best, ["key", "fetched_on"], "left").select(
         F.col("capture").alias(id_col),
         "host",
         "fetched_on",
