@@ -99,8 +99,11 @@ def segments(nodes: DataFrame, tokenizer: str) -> DataFrame:
     carries its tokens and the places of its loss mask; ``leaf`` marks a conversation's last.
     """
     key = F.coalesce("conv_id", F.lit(-(2**63)))
-    shared = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_convs"), F.min(key).alias("owner"))
-    rows = nodes.join(shared, "node").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "node", "n_convs", "owner", "role", "text"))).alias("turns"))
+    # Most nodes are one conversation's own; the others are written, so that the join can divide a
+    # node that very many conversations share.
+    shared = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_convs"), F.min(key).alias("owner")).where("n_convs > 1")
+    rows = nodes.join(materialize(shared, "chat-shared"), "node", "left")
+    rows = rows.withColumns({"n_convs": F.coalesce("n_convs", F.lit(1)), "owner": F.coalesce("owner", key)}).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("at", "node", "n_convs", "owner", "role", "text"))).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
@@ -236,7 +239,8 @@ PROBE = (-7, r"\### Assistant: </turn> ok")
 
 
 def op5_chat_tree(spark, sf_dir: str) -> DataFrame:
-    """All conversations and the probe, formatted over a prefix tree and read back from it."""
+    """All conversations and the probe, formatted over a prefix tree and read back from it. Rows of
+    the table that have the probe's id join its conversation."""
     import public_tokenizers
 
     tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -244,7 +248,8 @@ def op5_chat_tree(spark, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(PROBE[0], i, r, PROBE[1]) for i, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
     turns = conversation_turns(rows.unionByName(probe))
     cut = materialize(segments(materialize(prefix_nodes(turns), "chat-nodes"), tokenizer), "chat-segments")
-    return read_back(cut.where("leaf").select("conv_id", "path"), prefix_tree(cut), tokenizer).drop("attended")
+    tree = materialize(prefix_tree(cut), "chat-tree")
+    return read_back(cut.where("leaf").select("conv_id", "path"), tree, tokenizer).drop("attended")
 
 
 OP5_SQL = r"""
