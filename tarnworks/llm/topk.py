@@ -24,7 +24,8 @@ def integer_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE
     """(id, v): components floor(scale * x) as longs.
 
     Left out: null ids, null vectors, vectors with a null, NaN or infinite component.
-    Rows that repeat an id with the same vector count once.
+    Rows that repeat an id with the same vector count once; an id's different vectors are rows
+    of their own.
     """
     d = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
@@ -129,14 +130,15 @@ def maxscore_topk(
     vec_col: str = "embedding",
     k: int = 10,
     scale: int = SCALE,
-    shard_rows: int = 4096,
-    query_rows: int = 2048,
+    shard_rows: int = 8192,
+    query_rows: int = 16384,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best candidates, exactly.
 
     Score: integer inner product of floor(scale * x); ties go to the smaller id; a
     query's own id is no candidate. Vectors of unequal length: missing components are 0.
-    Fewer than k candidates: all of them. See ``integer_vectors`` for what takes no part;
+    Fewer than k candidates: all of them. An id with several vectors can take several ranks,
+    and as a query has the best of all its vectors' scores. See ``integer_vectors`` for what takes no part;
     no queries or no candidates give no rows. ``shard_rows`` and ``query_rows`` bound what
     one task holds; the number of shards follows from a count.
     """
