@@ -5,6 +5,8 @@ DataFrame functions only; every row is judged in place, without a shuffle."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,37 @@ SENTENCES = {
     "this work is dedicated to the public domain": 18,
     "spdx license identifier mit": 19,
     "spdx license identifier apache 2 0": 20,
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": 21,
+    "this software is provided as is without any express or implied warranty": 22,
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely": 23,
+    "this notice may not be removed or altered from any source distribution": 24,
+    "this is free and unencumbered software released into the public domain": 25,
+    "this source code form is subject to the terms of the mozilla public license v": 26,
+    "if a copy of the mpl was not distributed with this file you can obtain one at": 27,
+    "gnu lesser general public license as published by the free software foundation either other version 2 1 of the license or at your option any later version": 28,
+    "gnu lesser general public license as published by the free software foundation either other version 3 of the license or at your option any later version": 29,
+    "gnu affero general public license as published by the free software foundation either other version 3 of the license or at your option any later version": 30,
+    "distributed under the boost software license version 1 0": 31,
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v": 32,
+    "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": 33,
+    "licensed under cc by nd 4 0": 34,
+    "licensed under cc by nc sa 4 0": 35,
+    "licensed under cc by nc nd 4 0": 36,
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement": 37,
+    "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license": 38,
+    "use of this source code is governed by a bsd style license": 39,
+    "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license": 40,
+    "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law": 41,
+    "the gnu general public license is a free copyleft license for software and other kinds of works": 42,
+    "permission is hereby granted free of charge to any person obtaining a copy of the font software": 43,
+    "this font software is licensed under the sil open font license version 1 1": 44,
+    "licensed under the universal permissive license v": 45,
+    "licensed under the european union public licence": 46,
+    "you may use distribute and copy it under the terms of the artistic license 2 0": 47,
 }
+#: Names of SPDX tags beyond those above (fixed values): a tag is a sentence of its own.
+TAGS = ["0BSD", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "OFL-1.1", "UPL-1.0", "Unlicense", "Zlib"]
+SENTENCES |= {f"spdx license identifier {re.sub('[^a-z0-9]+', ' ', tag.lower())}": 101 + i for i, tag in enumerate(TAGS)}
 #: Ordered rules (fixed values): a document has the licence if the identifiers occur in this order;
 #: other sentences may lie between. The first rule of a licence that matches names its strength.
 RULES = [
@@ -53,7 +85,35 @@ RULES = [
     ("BSD-2-Clause", "text", [16]),
     ("CC0-1.0", "notice", [18]),
     ("Proprietary", "notice", [15]),
+    ("ISC", "text", [21]),
+    ("Zlib", "text", [22, 23, 24]),
+    ("Unlicense", "text", [25]),
+    ("MPL-2.0", "text", [26, 27]),
+    ("MPL-2.0", "notice", [26]),
+    ("LGPL-2.1", "text", [28]),
+    ("LGPL-3.0", "text", [29]),
+    ("AGPL-3.0", "text", [30]),
+    ("BSL-1.0", "notice", [31]),
+    ("EPL-2.0", "notice", [32]),
+    ("WTFPL", "text", [33]),
+    ("CC-BY-ND-4.0", "notice", [34]),
+    ("CC-BY-NC-SA-4.0", "notice", [35]),
+    ("CC-BY-NC-ND-4.0", "notice", [36]),
+    ("BSD-4-Clause", "text", [16, 37]),
+    ("GFDL", "notice", [38]),
+    ("BSD-style", "notice", [39]),
+    ("Apache-2.0", "text", [40]),
+    ("CC0-1.0", "text", [41]),
+    ("GPL-3.0", "text", [42]),
+    ("OFL-1.1", "text", [44, 43]),
+    ("OFL-1.1", "notice", [44]),
+    ("UPL-1.0", "notice", [45]),
+    ("EUPL", "notice", [46]),
+    ("Artistic-2.0", "notice", [47]),
+    *[(tag, "tag", [101 + i]) for i, tag in enumerate(TAGS)],
 ]
+#: A licence's rule that holds a lesser licence's sentences hides it (fixed values).
+HIDES = [("BSD-3-Clause", "BSD-2-Clause"), ("BSD-4-Clause", "BSD-3-Clause"), ("BSD-4-Clause", "BSD-2-Clause")]
 #: Further wordings in real licence texts and notices (fixed values), with the same identifiers.
 WORDINGS = {
     "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": 4,
@@ -62,6 +122,14 @@ WORDINGS = {
     "licensed under a creative commons attribution noncommercial 4 0 international license": 12,
     "licensed under a creative commons attribution 4 0 international license": 13,
     "licensed under a creative commons attribution sharealike 4 0 international license": 14,
+    "licensed under a creative commons attribution noderivatives 4 0 international license": 34,
+    "licensed under a creative commons attribution noncommercial sharealike 4 0 international license": 35,
+    "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license": 36,
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted": 21,
+    "this software is provided as is without any express or implied warranties": 22,
+    "gnu library general public license as published by the free software foundation either other version 2 of the license or at your option any later version": 28,
+    "under the terms of the eclipse public license 2 0": 32,
+    "governed by a bsd style license": 39,
 }
 #: A line with a tag is a paragraph of its own.
 TAG = r"(?im)^(.*SPDX-License-Identifier:.*)$"
@@ -71,7 +139,7 @@ BOUND = r"\n[^\p{L}\p{N}\n]*(?=\n)|[.!?]+[\"')\]]*(?:[ \t\n\f]+|$)"
 #: The GPL's notice with another licence's name is not the GPL's.
 OTHER = "((?:lesser|library|affero) general public license.*?) either version "
 #: What every known sentence holds; texts without it have no known sentence.
-NEEDED = "licens|permi|copyright|software|version|reserved|redistribution|dedicated"
+NEEDED = "licen[sc]|permi|copyright|software|version|reserved|redistribution|dedicated|public domain|source distribution|mpl|acknowledgement"
 
 
 def normalised(sentence):
@@ -115,9 +183,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             case = F.when(test, F.lit(strength)).otherwise(case)
         found.append(F.struct(F.lit(name).alias("name"), case.alias("strength")))
     hits = F.filter(F.array(*found), lambda x: x["strength"].isNotNull())
-    # BSD's third clause tells its two licences apart.
-    both = F.exists(hits, lambda x: x["name"] == "BSD-3-Clause")
-    hits = F.filter(hits, lambda x: ~(both & (x["name"] == "BSD-2-Clause")))
+    names = F.transform(hits, lambda x: x["name"])
+    for greater, lesser in HIDES:
+        hits = F.filter(hits, lambda x: ~(F.array_contains(names, greater) & (x["name"] == lesser)))  # noqa: B023
     hits = F.when(F.col("sentences") != "", hits).otherwise(F.array().cast("array<struct<name:string,strength:string>>"))
     d = d.withColumn("hits", hits)
     return d.select(
@@ -136,9 +204,11 @@ def op8_license_rules(spark, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     known = ", ".join(f"('{s}', {i})" for s, i in SENTENCES.items())
     rules = ", ".join(f"({r}, '{n}', '{s}', '{',' + ',(?:.*,)?'.join(map(str, ids)) + ','}')" for r, (n, s, ids) in enumerate(RULES))
+    hides = ", ".join(map(str, HIDES))
     return rf"""
 WITH known(sentence, id) AS (VALUES {known}),
 rules(r, name, strength, pattern) AS (VALUES {rules}),
+hides(greater, lesser) AS (VALUES {hides}),
 cut AS (
   SELECT doc_id, string_split_regex(coalesce(text, ''), '[\n\r]+|[.!?;]+(?:[ \t\n\f\r]+|$)') AS s FROM documents
 ), parts AS (
@@ -151,7 +221,7 @@ cut AS (
   SELECT i.doc_id, r.name, arg_min(r.strength, r.r) AS strength
   FROM ids i JOIN rules r ON regexp_matches(',' || i.sentences || ',', r.pattern) GROUP BY i.doc_id, r.name
 ), kept AS (
-  SELECT h.* FROM hits h WHERE NOT (h.name = 'BSD-2-Clause' AND EXISTS (SELECT 1 FROM hits b WHERE b.doc_id = h.doc_id AND b.name = 'BSD-3-Clause'))
+  SELECT h.* FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits b JOIN hides x ON b.name = x.greater WHERE b.doc_id = h.doc_id AND h.name = x.lesser)
 ), whole AS (
   SELECT doc_id, string_agg(name, ',' ORDER BY name) AS licenses, string_agg(strength, ',' ORDER BY name) AS strengths FROM kept GROUP BY doc_id
 )
