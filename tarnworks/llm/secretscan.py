@@ -202,24 +202,39 @@ def labelled(text: str, start: int, end: int, told: bool) -> int | None:
     return 0 if DIGEST.search(text[max(0, start - 32) : start]) else None
 
 
-def train_forest(findings: DataFrame, fit_findings: int = FIT_FINDINGS, trees: int = TREES, depth: int = DEPTH) -> list[dict[str, np.ndarray]]:
-    """A forest from labelled findings (label, features), at most ``fit_findings`` of them.
-
-    Of more, those whose features' digests are smallest. Rows with a null label or features
-    take no part. Without both labels the forest answers the share of label 1.
-    """
-    from pyspark.ml.classification import RandomForestClassifier
+def fit_rows(findings: DataFrame, fit_findings: int = FIT_FINDINGS) -> DataFrame:
+    """(label, features as a vector) of at most ``fit_findings`` labelled findings: of more, those
+    whose features' digests are smallest. Rows with a null label or features take no part."""
     from pyspark.ml.functions import array_to_vector
 
     rows = findings.select(F.col("label").cast("double").alias("label"), "features").dropna()
     rows = rows.orderBy(F.xxhash64("features"), "label").limit(fit_findings)
-    fit = materialize(rows.select("label", array_to_vector("features").alias("features")).coalesce(1), "secret-fit")
+    return materialize(rows.select("label", array_to_vector("features").alias("features")).coalesce(1), "secret-fit")
+
+
+def train_model(fit: DataFrame, trees: int = TREES, depth: int = DEPTH):
+    """Spark ML's random forest over ``fit_rows``."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, subsamplingRate=0.8, featureSubsetStrategy="sqrt").fit(fit)
+
+
+def forest_arrays(model) -> list[dict[str, np.ndarray]]:
+    """The trees of Spark ML's model, small enough to go to every task."""
+    return [_arrays(tree._java_obj.rootNode()) if hasattr(tree, "_java_obj") else _arrays(tree) for tree in model.trees]
+
+
+def train_forest(findings: DataFrame, fit_findings: int = FIT_FINDINGS, trees: int = TREES, depth: int = DEPTH) -> list[dict[str, np.ndarray]]:
+    """A forest from labelled findings (label, features), at most ``fit_findings`` of them.
+
+    Without both labels the forest answers the share of label 1.
+    """
+    fit = fit_rows(findings, fit_findings)
     found = {r["label"] for r in fit.select("label").distinct().collect()}
     if found != {0.0, 1.0}:
         share = float(found == {1.0})
         return [{"feature": np.array([-1]), "split": np.zeros(1), "left": np.zeros(1, int), "right": np.zeros(1, int), "share": np.array([share])}]
-    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, subsamplingRate=0.8, featureSubsetStrategy="sqrt").fit(fit)
-    return [_arrays(tree._java_obj.rootNode()) if hasattr(tree, "_java_obj") else _arrays(tree) for tree in model.trees]
+    return forest_arrays(train_model(fit, trees, depth))
 
 
 def _arrays(node) -> dict[str, np.ndarray]:
@@ -260,7 +275,7 @@ def score(forest: list[dict[str, np.ndarray]], rows: np.ndarray) -> np.ndarray:
 
 def scored(findings: DataFrame, forest: list[dict[str, np.ndarray]], id_col: str = "doc_id", least: float = 0.5) -> DataFrame:
     """(id, start, end, score, is_secret) of findings with label and features: what has label 1
-    is a secret whatever its score."""
+    is a secret whatever its score, any other with a score of ``least`` or more."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
