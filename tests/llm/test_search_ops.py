@@ -43,6 +43,13 @@ def test_topk_against_brute_force(spark, kind):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 7)
 
 
+def test_topk_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0], ""), (0, [0.0, 1.0], ""), (1, [1.0, 0.0], ""), (1, [0.0, 2.0], ""), (2, [0.5, 0.5], "")]
+    d = spark.createDataFrame(rows, V)
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in topk.maxscore_topk(d, d.where("vec_id = 0"), k=3).orderBy("rank").collect()]
+    assert got == [(1, 1, 2 * 1024**2), (2, 1, 1024**2), (3, 2, 1024**2 // 2)]
+
+
 def test_topk_empty(spark):
     e = spark.createDataFrame([], V)
     assert topk.maxscore_topk(e, e).count() == 0
@@ -163,6 +170,62 @@ def test_language_fusion(spark):
     assert langid.identify(e, None, docs).count() == 0 and langid.identify(docs, None, e).where("predicted <> 'und'").count() == 0
 
 
+def plain_posterior(rows, languages, weights):
+    """Posteriors of (grams' buckets, declared, suffix, domain, host) rows, one by one, from counts
+    of all other rows."""
+    logs = [[langid.TEMPER * sum(float(weights[b, k]) for b in r[0]) for k in range(len(languages))] for r in rows]
+    best = [int(np.argmax(x)) if r[0] else None for r, x in zip(rows, logs)]
+    out = []
+    for i, (grams, declared, *levels) in enumerate(rows):
+        if not grams:
+            out.append(("und", 0.0))
+            continue
+        others = [j for j in range(len(rows)) if j != i and best[j] is not None]
+        p = [1 / len(languages)] * len(languages)
+        for depth in range(4):
+            inside = [j for j in others if not depth or rows[j][4] is not None and levels[2] is not None and rows[j][2 : 2 + depth] == tuple(levels[:depth])]
+            inside = others if not depth else inside
+            p = [(sum(best[j] == k for j in inside) + langid.STRENGTH * p[k]) / (len(inside) + langid.STRENGTH) for k in range(len(languages))]
+        told = {rows[j][1] for j in range(len(rows)) if best[j] is not None and rows[j][1] is not None}
+        score = []
+        for k in range(len(languages)):
+            share = 0.0
+            if declared is not None:
+                own = [j for j in others if best[j] == k and rows[j][1] is not None]
+                share = math.log((sum(rows[j][1] == declared for j in own) + 0.5) / (len(own) + 0.5 * (len(told) + 1)))
+            score.append(math.log(p[k]) + share + logs[i][k] - max(logs[i]))
+        k = int(np.argmax(score))
+        out.append((languages[k], 1 / sum(math.exp(x - score[k]) for x in score)))
+    return out
+
+
+def test_fusion_against_plain_posteriors(spark):
+    rng = np.random.default_rng(11)
+    letters = {c: ord(c) for c in "abcdefghijklmnopqrstuvwxyz"}
+
+    def buckets(text):
+        raw = [letters.get(chr(b).lower(), b if b > 127 else 0) for b in (text or "").encode()]
+        kept = [x for i, x in enumerate(raw) if x or i and raw[i - 1]] + [0, 0]
+        grams = [(a | b << 8 | c << 16) for a, b, c in zip(kept, kept[1:], kept[2:])]
+        return [(g * 2654435761 & 0xFFFFFFFF) >> (32 - langid.BITS) for g in grams if g]
+
+    rows = [(i, made(("en", "de")[int(rng.random() < 0.4)], int(rng.integers(1, 6)), rng), rng.choice(["en", "de", "EN", "fr"]).item(), f"s{rng.integers(4)}") for i in range(120)]
+    rows += [(200, "in", None, "s1"), (201, "die", "de", None), (202, "", "en", "s2"), (203, None, None, None), (204, "in ", None, "s1"), (205, " - in", "de", "s1"), (206, "...", "de", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.fit_text_model(docs.where("doc_id < 120").withColumn("lang", F.lower("lang")))
+    got = {r["doc_id"]: (r["predicted"], r["posterior"]) for r in langid.fuse(langid.text_evidence(langid.document_rows(docs), model), model[0], ["doc_id"]).collect()}
+    host = lambda s: None if s is None else f"source:{s}"
+    plain = [(buckets(t) if t else [], lang and lang.lower(), None, host(s), host(s)) for _, t, lang, s in rows]
+    for r, (name, p) in zip(rows, plain_posterior(plain, *model)):
+        assert got[r[0]][0] == name and abs(got[r[0]][1] - p) < 2e-5, (r, got[r[0]], name, p)
+
+
+def test_rare_labels_are_no_languages(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, made("en", 9, rng), "en") for i in range(300)] + [(999, made("de", 9, rng), "junk")]
+    assert langid.fit_text_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))[0] == ["en"]
+
+
 def test_host_prior_decides_where_the_text_does_not(spark):
     rng = np.random.default_rng(7)
     rows = [(i, made("de" if i % 2 else "en", 30, rng), None, "german" if i % 2 else "english", 1) for i in range(80)]
@@ -220,6 +283,30 @@ def test_secret_forest(spark):
     assert clean[3]["text"] == rows[3][1]
 
 
+def test_forest_arrays_score_as_spark_ml(spark):
+    """The arrays that go to the tasks give Spark ML's own probabilities; ties at ``least`` count."""
+    from pyspark.ml.functions import vector_to_array
+
+    _, train = secret_corpus(spark, 180, 4)
+    found = secretscan.candidates(train, secretscan.common_trigrams(train)).cache()
+    fit = secretscan.fit_rows(found)
+    model = secretscan.train_model(fit)
+    want = model.transform(fit).select(vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")).collect()
+    got = secretscan.score(secretscan.forest_arrays(model), np.array([r["x"] for r in want]))
+    assert len(want) > 100 and np.abs(got - [r["p"] for r in want]).max() < 1e-9
+    half = [{"feature": np.array([-1]), "split": np.zeros(1), "left": np.zeros(1, int), "right": np.zeros(1, int), "share": np.array([0.5])}]
+    assert secretscan.scored(found.withColumn("label", F.lit(0)), half).where("NOT is_secret").count() == 0
+
+
+def test_secrets_in_long_and_repeated_rows(spark):
+    _, train = secret_corpus(spark, 60, 4)
+    dictionary, forest = secretscan.fitted(train, train.select("doc_id"))
+    long = "plain words " * 200_000 + 'token = "' + "0123456789abcdef" * 2 + '" end'
+    d = spark.createDataFrame([(1, long, "a", 0, "c")] * 2, train.schema)
+    assert [r["text"].endswith('token = "[SECRET]" end') for r in secretscan.redact(d, dictionary, forest).collect()] == [True, True]
+    assert secretscan.candidates(d, dictionary).groupBy("start", "end").count().collect()[0]["count"] == 2
+
+
 def test_secret_odd_inputs(spark):
     _, d = secret_corpus(spark, 12, 3)
     e = d.where("false")

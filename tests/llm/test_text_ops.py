@@ -307,6 +307,25 @@ modification, are permitted provided that the following conditions are met:
 """
 
 
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+ZLIB_TEXT = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+
+3. This notice may not be removed or altered from any source distribution.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
 def test_licenses_in_real_texts(spark):
     def comment(text, mark):
         return "\n".join(f"{mark} {line}".rstrip() for line in text.splitlines())
@@ -320,12 +339,19 @@ def test_licenses_in_real_texts(spark):
         BSD_TEXT.format(owner="Some Firm Inc."): ("BSD-3-Clause", "text"),
         BSD_TEXT.split("3.")[0]: ("BSD-2-Clause", "text"),
         "// SPDX-License-Identifier: MIT\nint x;": ("MIT", "tag"),
+        "# SPDX-License-Identifier: LGPL-2.1-or-later\n": ("LGPL-2.1", "tag"),
+        ISC_TEXT: ("ISC", "text"),
+        ZLIB_TEXT: ("Zlib", "text"),
+        MPL_TEXT: ("MPL-2.0", "text"),
+        "This is free and unencumbered software released into\nthe public domain.": ("Unlicense", "text"),
+        "Distributed under the Boost Software License, Version 1.0.": ("BSL-1.0", "notice"),
         "This work is licensed under a Creative Commons\nAttribution 4.0 International License.": ("CC-BY-4.0", "notice"),
     }
     want |= {f(t): v for t, v in list(want.items())[:7] for f in (lambda t: comment(t, "#"), lambda t: "/*\n" + comment(t, " *") + "\n */", lambda t: t.replace("\n", "\r\n"))}
     want |= {
-        GPL3_TEXT.replace("GNU General", "GNU Affero General"): ("", ""),
-        GPL3_TEXT.replace("GNU General", "GNU Lesser General"): ("", ""),
+        GPL3_TEXT.replace("GNU General", "GNU Affero General"): ("AGPL-3.0", "text"),
+        GPL3_TEXT.replace("GNU General", "GNU Lesser General"): ("LGPL-3.0", "text"),
+        GPL3_TEXT.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1"): ("LGPL-2.1", "text"),
         "// SPDX-License-Identifier: MIT-0\nint x;": ("", ""),
         "It is not licensed under the MIT license.": ("", ""),
         "The files are licensed under the\n\nApache License, Version 2.0.": ("", ""),
