@@ -53,7 +53,7 @@ def materialize(df: DataFrame, name: str = "table", instead_of: DataFrame | None
 
 
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder in buckets of ``key`` and read it back.
+    """Write ``df``, one row a ``key``, to the shared folder in buckets of ``key`` and read it back.
 
     Joins on ``key`` then move the other side alone. There are as many buckets as shuffle
     partitions; the files go when the JVM ends.
@@ -62,6 +62,6 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     path, system = _path(spark, name)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
-    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path.toString()).saveAsTable(held)
+    df.repartition(n, key).dropDuplicates([key]).write.bucketBy(n, key).sortBy(key).option("path", path.toString()).saveAsTable(held)
     system.deleteOnExit(path)
     return spark.table(held)
