@@ -27,6 +27,10 @@ from tarnworks.core.io import bucketed, materialize, table
 #: Bands of the signature and values in each: at similarity 0.8 a pair shares no band with
 #: probability (1 - 0.8 ** 5) ** 36 = 6e-7.
 BANDS, BAND_ROWS = 36, 5
+#: Bits of the filter by which tasks tell documents whose sets are needed from others: 8 MB.
+SPOTS = 1 << 26
+#: Pairs of one document that meet one copy of its set.
+MOST_PAIRS = 1_000
 #: Text bytes whose shingles and signatures are made together.
 PIECE = 1_500_000
 _MUL = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
@@ -173,13 +177,30 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = BAND_
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, set_key, shingles): the digest and the sorted set of each text as 8-byte hashes."""
+def _spot(doc: str):
+    return F.pmod(F.xxhash64(doc), F.lit(SPOTS)) + 1  # bitmap buckets count from 1
+
+
+def full_sets(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
+    """(doc_id, set_key, shingles): the digest and the sorted set, as 8-byte hashes, of the texts
+    whose doc_id is ``wanted``, and of a few others.
+
+    A filter of ``SPOTS`` bits goes to the tasks, so texts are not shuffled to find the wanted
+    ones; where it gets full, more sets than needed are made.
+    """
+    bits = wanted.select(_spot("doc_id").alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("part"))
+    held = np.zeros(SPOTS // 8, np.uint8)
+    for r in bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits")).collect():
+        at = (r["part"] - 1) * len(r["bits"])
+        held[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
+            number, bit = np.divmod(batch.column(2).to_numpy(), 8)
+            batch = batch.filter(pa.array((shared.value[number] >> bit & 1).astype(bool)))
             for ids, texts in _pieces(batch.column(0), batch.column(1)):
                 h, bounds = shingle_sets(texts, size)
                 raw = h.tobytes()
@@ -187,7 +208,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                 keys = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["doc_id", "set_key", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, set_key binary, shingles binary")
+    return docs.select("doc_id", "text", (_spot("doc_id") - 1).alias("spot")).mapInArrow(run, "doc_id long, set_key binary, shingles binary")
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,16 +224,16 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each pair's common shingles, the size of its union, and the shingles of a outside b."""
+    """Each pair's common shingles, the size of its union, and the shingles of b outside a."""
     for batch in batches:
         common, either, rest = [], [], []
         for x, y in zip(batch.column("set_a"), batch.column("set_b")):
             x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            new = np.setdiff1d(x, y, assume_unique=True)
-            common.append(len(x) - len(new))
-            either.append(len(y) + len(new))
+            new = np.setdiff1d(y, x, assume_unique=True)
+            common.append(len(y) - len(new))
+            either.append(len(x) + len(new))
             rest.append(new.astype(np.int64))
-        columns = [batch.column("a"), batch.column("b"), pa.array(common, pa.int64()), pa.array(either, pa.int64()), pa.array(rest, pa.list_(pa.int64()))]
+        columns = [batch.column("b"), batch.column("a"), pa.array(common, pa.int64()), pa.array(either, pa.int64()), pa.array(rest, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["doc", "p", "common", "either", "outside"])
 
 
@@ -271,15 +292,12 @@ def near_components(
     members = materialize(members.join(central, "doc"), "dedup-members")
     wanted = members.select("doc").distinct()
     reps = classes.join(wanted, F.col("node") == F.col("doc"), "left_semi").select("doc_id").distinct()
-    texts = d.where("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi")
-    sets = full_sets(texts, size).where(F.length("shingles") > 0).join(several, "doc_id", "left")
-    sets = bucketed(sets.select(node.alias("doc_id"), "shingles").dropDuplicates(["doc_id"]), "doc_id", "dedup-sets")
-    both_sets = [sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"set_{end}")) for end in ("a", "b")]
+    sets = full_sets(d.where("doc_id IS NOT NULL"), size, reps).where(F.length("shingles") > 0).join(several, "doc_id", "left")
+    sets = bucketed(sets.select(node.alias("doc_id"), "shingles"), "doc_id", "dedup-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links."""
-        wide = pairs.join(both_sets[0], "a").join(both_sets[1], "b").select("a", "b", "set_a", "set_b")
-        found = wide.mapInArrow(_common, "a long, b long, both long, either long")
+        found = with_sets(pairs, sets).mapInArrow(_common, "a long, b long, both long, either long")
         return found.where(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
 
     def still_apart(at: DataFrame, links: DataFrame) -> DataFrame:
@@ -311,7 +329,7 @@ def near_components(
         led = F.col("led") | F.coalesce(F.col("doc") == F.col("pivot.doc"), F.lit(False))
         at = still_apart(at.withColumn("led", led).drop("pivot"), links)
     top = pivots(at.withColumn("led", F.lit(False)))
-    pairs = _candidates(at.join(top, "bucket"), both_sets, percent, heavy)
+    pairs = _candidates(at.join(top, "bucket"), sets, percent, heavy)
     links = materialize(links.unionByName(confirmed(pairs)), "dedup-links")
     # Links between doc_ids again, and those of an id's sets to their representatives.
     extra = classes.where("several").select("node", F.col("doc_id").alias("rep"))
@@ -329,7 +347,21 @@ def near_components(
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _candidates(at: DataFrame, both_sets: list[DataFrame], percent: int, heavy: int) -> DataFrame:
+def with_sets(pairs: DataFrame, sets: DataFrame, most: int = MOST_PAIRS) -> DataFrame:
+    """(a, b, set_a, set_b) of pairs (a, b). Documents ``a`` of more than ``most`` pairs meet them in
+    as many parts, each with a copy of the set."""
+    pairs = materialize(pairs.select("a", "b"), "dedup-pairs")
+    own, other = (sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"set_{end}")) for end in ("a", "b"))
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts")).where("parts > 1")
+    parts = materialize(parts.join(own, "a"), "dedup-hot")
+    pairs = materialize(pairs.join(parts.select("a", "parts"), "a", "left"), "dedup-dealt")
+    copies = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "set_a")
+    hot = pairs.where("parts IS NOT NULL").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts"))).join(copies, ["a", "part"])
+    rest = pairs.where("parts IS NULL").join(own, "a")
+    return hot.select("a", "b", "set_a").unionByName(rest.select("a", "b", "set_a")).join(other, "b").select("a", "b", "set_a", "set_b")
+
+
+def _candidates(at: DataFrame, sets: DataFrame, percent: int, heavy: int) -> DataFrame:
     """(a, b): the pairs of members with one pivot p and different components that can be linked.
 
     |a and b| is at most min(|a and p|, |b and p|) and the shingles outside p that both hold,
@@ -341,7 +373,7 @@ def _candidates(at: DataFrame, both_sets: list[DataFrame], percent: int, heavy:
     """
     at = at.select(F.col("pivot.doc").alias("p"), (F.col("component") == F.col("pivot.component")).alias("near_p"), "doc", "n", "component")
     at = materialize(at.distinct(), "dedup-pivots")
-    wide = at.select(F.col("doc").alias("a"), F.col("p").alias("b")).join(both_sets[0], "a").join(both_sets[1], "b").select("a", "b", "set_a", "set_b")
+    wide = with_sets(at.select(F.col("p").alias("a"), F.col("doc").alias("b")), sets)
     near = materialize(wide.mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>"), "dedup-outside")
     outer = near.select("doc", "p", F.explode("outside").alias("shingle"))
     held = outer.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
