@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.operators.ranks import exact_percentiles
+
 from tarnworks.core.checks import assert_none, assert_some, lookup, require_columns
 from tarnworks.functions.scalar import TRANSFORMS, region_code
 
@@ -92,9 +94,9 @@ def histogram_quantiles(bins: DataFrame, low: float, width: float, at: list[floa
 
 def distribution(df: DataFrame, value: str) -> DataFrame:
     at = [0.02, 0.25, 0.5, 0.75, 0.98]
-    return df.where(F.col(value).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), *[F.percentile(value, F.lit(q)).alias(f"p{int(q * 100)}") for q in at]
-    )
+    sums = df.agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"))
+    found = exact_percentiles(df, value, at).select("n", *[F.get("q", F.lit(i)).alias(f"p{int(q * 100)}") for i, q in enumerate(at)])
+    return found.join(sums)  # one row each
 
 
 def signal_counts(df: DataFrame, signals: list[str], floors: dict[str, int] | None = None) -> DataFrame:

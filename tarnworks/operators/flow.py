@@ -33,23 +33,24 @@ def pointers(codes: DataFrame, width: int, region: str | None = None) -> DataFra
 def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40) -> DataFrame:
     """(cell, end, cyclic): where each cell's path stops; cells on or above a cycle are cyclic.
 
-    Paths stop at cells of ``stop`` (cell) and where next is null: these point at themselves,
-    and pointers double until none moves. What moves after 2 ** rounds steps, or stops moving
-    on a cell that is no end, is cyclic.
+    Paths stop at cells of ``stop`` (cell) and where next is null. Pointers double; a cell that
+    points at an end is done and leaves the loop, so only open cells meet the cells that they
+    point at and ends gather nobody. Distances to an end have no gaps: a round that finishes no
+    cell leaves the cyclic ones, whose ``end`` is some cell on the way.
     """
     halts = stop.select("cell").distinct().withColumn("halt", F.lit(True))
     d = ptr.join(halts, "cell", "left")
     ends = F.coalesce("halt", F.lit(False)) | F.col("next").isNull()
-    state = materialize(d.select("cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("fixed")), "flow-paths")
-    terminal = state.where("fixed").select(F.col("cell").alias("end"), F.lit(True).alias("at_end"))
-    n = state.count()
-    limit = min(rounds, max(1, n).bit_length() + 1)
-    for _ in range(limit):
-        ahead = state.select(F.col("cell").alias("end"), F.col("end").alias("far"))
-        state = materialize(state.join(ahead, "end").select("cell", F.col("far").alias("end"), (F.col("far") != F.col("end")).alias("moved")), "flow-paths")
-        if state.where("moved").isEmpty():
+    state = materialize(d.select("cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("done")), "flow-paths")
+    done, open_ = state.where("done"), state.where("NOT done")
+    for _ in range(rounds):
+        ahead = done.unionByName(open_).select(F.col("cell").alias("end"), F.col("end").alias("far"), F.col("done").alias("final"))
+        moved = open_.join(ahead, "end").select("cell", F.col("far").alias("end"), F.col("final").alias("done"))
+        moved = materialize(moved, "flow-paths")
+        if moved.where("done").isEmpty():
             break
-    return state.join(terminal, "end", "left").select("cell", "end", F.col("at_end").isNull().alias("cyclic"))
+        done, open_ = done.unionByName(moved.where("done")), moved.where("NOT done")
+    return done.unionByName(open_).select("cell", "end", (~F.col("done")).alias("cyclic"))
 
 
 def downstream_reach(ptr: DataFrame, pour: DataFrame, barrier: DataFrame) -> DataFrame:
@@ -89,12 +90,12 @@ def flow_accumulation(ptr: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         if state.where("far IS NOT NULL").isEmpty():
             break
-        add = state.where("far IS NOT NULL").groupBy("far").agg(F.sum("a").alias("more")).withColumnRenamed("far", "cell")
+        open_ = state.where("far IS NOT NULL")
+        add = open_.groupBy("far").agg(F.sum("a").alias("more")).withColumnRenamed("far", "cell")
         ahead = state.select(F.col("cell").alias("far"), F.col("far").alias("next"))
-        state = materialize(
-            state.join(add, "cell", "left").join(ahead, "far", "left").select("cell", F.col("next").alias("far"), (F.col("a") + F.coalesce("more", F.lit(0))).alias("a")),
-            "flow-sums",
-        )
+        moved = open_.join(ahead, "far").select("cell", F.col("next").alias("far"))
+        sums = state.select("cell", "a").join(add, "cell", "left").join(moved, "cell", "left")
+        state = materialize(sums.select("cell", "far", (F.col("a") + F.coalesce("more", F.lit(0))).alias("a")), "flow-sums", instead_of=state)
     return state.select("cell", (F.col("a") - 1).alias("upslope"))
 
 
@@ -155,8 +156,7 @@ def fill_depressions(cells: DataFrame, rounds: int | None = None) -> DataFrame:
             raise RuntimeError(f"depressions not filled in {rounds} rounds")
         low = send(state, "w").groupBy(*CELL).agg(F.min("v").alias("low"))
         fallen = F.least("w", F.greatest("z", F.coalesce("low", F.lit(float("inf")))))
-        state = materialize(state.join(low, CELL, "left").select(*CELL, "z", fallen.alias("w"), (fallen < F.col("w")).alias("moved")), "fill")
+        state = materialize(state.join(low, CELL, "left").select(*CELL, "z", fallen.alias("w"), (fallen < F.col("w")).alias("moved")), "fill", instead_of=state)
         if state.where("moved").isEmpty():
             break
-        state = state.drop("moved")
     return state.select(*CELL, F.col("w").alias("filled"), (F.col("w") - F.col("z")).alias("depth"))

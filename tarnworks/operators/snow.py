@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.core.io import materialize
+from tarnworks.operators.ranks import exact_percentiles, numbered
+
 from tarnworks.functions.scalar import SWE_LEVELS, clipped, interpolate, running_minimum, water_year
 
 POINTS = "array<struct<x:double,y:double>>"
@@ -212,18 +215,11 @@ def equal_bins(rows: DataFrame, value: str, bins: int, key: str) -> DataFrame:
     The rank is global: values are range-partitioned, numbered inside a partition, and moved by
     the counts of the partitions before. Fewer values than bins raise; null values go.
     """
-    from tarnworks.core.io import materialize
-
-    part = materialize(rows.where(F.col(value).isNotNull()).repartitionByRange(value, key).withColumn("part", F.spark_partition_id()), "bin-ranges")
-    sizes = part.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"), F.sum("n").over(Window.partitionBy(F.lit(1))).alias("total"))
-    total = sizes.agg(F.max("total")).first()[0] or 0
+    ranked = numbered(rows.where(F.col(value).isNotNull()), [value, key], "rank")
+    total = rows.where(F.col(value).isNotNull()).count()
     if total < bins:
         raise ValueError(f"{total} values for {bins} bins")
-    inside = Window.partitionBy("part").orderBy(value, key)
-    ranked = part.join(sizes, "part").withColumn("rank", F.col("offset") + F.row_number().over(inside) - 1)
-    return ranked.withColumn("bin", F.floor(F.col("rank") * bins / F.col("total")).cast("int")).drop("part", "offset", "total", "rank")
+    return ranked.withColumn("bin", F.floor(F.col("rank") * bins / total).cast("int")).drop("rank")
 
 
 def curve_library(rows: DataFrame, bins: int, default_curve: list[float], key: str = "zone_id", cv: str = "cv") -> DataFrame:
@@ -254,9 +250,10 @@ def quantile_calibration(rows: DataFrame, sub: str = "cv_subgrid", emp: str = "c
     """
     if mode not in ("auto", "on", "off"):
         raise ValueError(f"mode {mode!r}")
-    steps = F.array(*[F.lit(i / 100) for i in range(101)])
+    steps = [i / 100 for i in range(101)]
     both = rows.where(F.col(sub).isNotNull() & F.col(emp).isNotNull())
-    s = both.agg(F.count(F.lit(1)).alias("n"), F.median(sub).alias("ms"), F.median(emp).alias("me"), F.percentile(sub, steps).alias("x"), F.percentile(emp, steps).alias("y")).first()
+    x, y = (exact_percentiles(both, c, steps).first() for c in (sub, emp))
+    s = {"n": x["n"], "x": x["q"] or [], "y": y["q"] or [], "ms": x["q"][50] if x["n"] else None, "me": y["q"][50] if x["n"] else None}
     report = {"n_derived_overlap": s["n"], "cv_subgrid_median": s["ms"], "cv_empirical_median": s["me"], "calibrated": False}
     bias = abs(s["ms"] - s["me"]) if s["n"] else None
     out = rows.withColumn("cv_calibrated", F.col(sub))
@@ -276,12 +273,13 @@ def reconstruction_error(rows: DataFrame, cv: str, curve: str) -> DataFrame:
     d = lognormal_curves(rows.where(F.col(cv).isNotNull() & F.col(curve).isNotNull()).select(F.col(cv).alias("cv"), F.col(curve).alias("own")))
     gaps = F.zip_with("own", "curve", lambda a, b: F.abs(a - b))
     d = d.select(F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x).alias("sum"), F.array_max(gaps).alias("top"))
-    return d.agg((F.sum("sum") / (11 * F.count(F.lit(1)))).alias("mean_error"), F.percentile("top", F.lit(0.95)).alias("p95_error"))
+    d = materialize(d, "reconstruction")
+    top = exact_percentiles(d, "top", [0.95]).select(F.get("q", F.lit(0)).alias("p95_error"))
+    return d.agg((F.sum("sum") / (11 * F.count(F.lit(1)))).alias("mean_error")).join(top)  # one row each
 
 
 def library_pipeline(records: DataFrame, bins: int, default_curve: list[float], mode: str = "auto", zone: str = "zone_id") -> tuple[DataFrame, DataFrame, dict]:
     """(library, parameters, report) from zone records: fit, calibrate, bin, assign, assemble."""
-    from tarnworks.core.io import materialize
     from tarnworks.functions.scalar import threshold_inches
 
     fitted = best_cv(records.where("sdc_status = 'derived'"), zone)

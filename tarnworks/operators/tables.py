@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnworks.core.checks import assert_none
+from tarnworks.core.io import materialize
+from tarnworks.operators.ranks import exact_percentiles
 
 # Key sets ---------------------------------------------------------------------------
 
@@ -67,8 +69,9 @@ def network_keys(topology: DataFrame, key: str = "comid", down: str = "dnhydrose
 
 def gap_runs(ids: DataFrame, key: str) -> DataFrame:
     """(first, last, size) of each run of missing ids between present ones: gaps by lead, in
-    range partitions whose first ids are handed to the partition before."""
-    d = ids.select(key).distinct().repartitionByRange(key).withColumn("part", F.spark_partition_id())
+    range partitions whose first ids are handed to the partition before. The partitions are
+    written, so that both readings agree."""
+    d = materialize(ids.select(key).distinct().repartitionByRange(key).withColumn("part", F.spark_partition_id()), "gap-ranges")
     inner = d.withColumn("next", F.lead(key).over(Window.partitionBy("part").orderBy(key)))
     edge = d.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
     edge = edge.withColumn("next", F.lead("low").over(Window.orderBy("part"))).select(F.col("high").alias(key), "next")
@@ -140,8 +143,8 @@ def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int
 
 def percentiles(df: DataFrame, value: str, at: list[float], by: list[str] | None = None) -> DataFrame:
     """Linear percentiles (0-100) of the valid values, over all rows or by columns."""
-    g = df.groupBy(*by) if by else df
-    return g.agg(*[F.percentile(value, F.lit(q / 100)).alias(f"p{q:g}".replace(".", "_")) for q in at])
+    found = exact_percentiles(df, value, [q / 100 for q in at], by)
+    return found.select(*(by or []), *[F.get("q", F.lit(i)).alias(f"p{q:g}".replace(".", "_")) for i, q in enumerate(at)])
 
 
 def rank_of(df: DataFrame, value: str, x: float) -> DataFrame:
@@ -173,7 +176,9 @@ def threshold_sweep(bins: DataFrame, totals: DataFrame, zone: str, low: float, w
     above = bins.select(zone, "bin", "n", t).where(centre > F.col("t")).groupBy(zone, "t").agg(F.sum("n").alias("above"))
     value = F.when(F.col("n_perv") > 0, (F.col("onstream") + F.coalesce("above", F.lit(0))) / F.col("n_perv")).otherwise(0.0)
     v = every.join(above, [zone, "t"], "left").select("t", F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)).alias("v"))
-    return v.groupBy("t").agg(F.avg("v").alias("mean"), F.median("v").alias("median"), F.avg((F.col("v") == 0).cast("double")).alias("share_0"), F.avg((F.col("v") == 1).cast("double")).alias("share_1"))
+    v = materialize(v, "sweep")
+    middle = percentiles(v, "v", [50], ["t"]).withColumnRenamed("p50", "median")
+    return v.groupBy("t").agg(F.avg("v").alias("mean"), F.avg((F.col("v") == 0).cast("double")).alias("share_0"), F.avg((F.col("v") == 1).cast("double")).alias("share_1")).join(middle, "t")
 
 
 def compare_parameters(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
@@ -192,12 +197,15 @@ def loglog_regression(df: DataFrame, by: str, x: str, y: str, least: int = 3) ->
 
 def prediction_skill(df: DataFrame, observed: str, predicted: str) -> DataFrame:
     d = F.col(predicted) - F.col(observed)
-    return df.where(F.col(observed).isNotNull() & F.col(predicted).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.corr(observed, predicted).alias("r"), F.sqrt(F.avg(d * d)).alias("rmse"), F.median(d).alias("median_bias"))
+    both = materialize(df.where(F.col(observed).isNotNull() & F.col(predicted).isNotNull()).select(F.col(observed).alias("o"), F.col(predicted).alias("p"), d.alias("d")), "skill")
+    sums = both.agg(F.count(F.lit(1)).alias("n"), F.corr("o", "p").alias("r"), F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("rmse"))
+    return sums.join(percentiles(both, "d", [50]).select(F.col("p50").alias("median_bias")))  # one row each
 
 
 def quartiles(df: DataFrame, ratio: Column, inside: float = 1 / 3) -> DataFrame:
-    q = df.select(ratio.alias("r")).where("r IS NOT NULL").agg(F.percentile("r", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(F.lit(1)).alias("n"))
-    return q.select("n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), F.lit(inside).between(F.col("q")[0], F.col("q")[2]).alias("has_inside"))
+    q = exact_percentiles(df.select(ratio.alias("r")), "r", [0.25, 0.5, 0.75])
+    q1, median, q3 = (F.get("q", F.lit(i)) for i in range(3))
+    return q.select("n", q1.alias("q1"), median.alias("median"), q3.alias("q3"), F.lit(inside).between(q1, q3).alias("has_inside"))
 
 
 def flatness(cells: DataFrame, key: str = "comid", limit: float = 0.01) -> DataFrame:

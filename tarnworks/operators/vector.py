@@ -147,18 +147,20 @@ def spatial_batches(points: DataFrame, size: int, key: str = "zone_id") -> DataF
     import math
 
     from tarnworks.core.io import materialize
+    from tarnworks.operators.ranks import exact_percentiles, numbered
 
     n = points.count()
     d = points.select(key, "x", "y").withColumn("node", F.lit(1).cast("long"))
     levels = max(0, math.ceil(math.log2(max(1, n // size)))) if n > size else 0
     for level in range(levels):
         axis = "xy"[level % 2]
-        cut = d.groupBy("node").agg(F.median(axis).alias("cut"), F.count(F.lit(1)).alias("n"), F.min(axis).alias("lo"), F.max(axis).alias("hi"))
+        cut = d.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min(axis).alias("lo"), F.max(axis).alias("hi"))
+        cut = cut.join(exact_percentiles(d, axis, [0.5], ["node"]).select("node", F.get("q", F.lit(0)).alias("cut")), "node")
         right = (F.col(axis) > F.col("cut")).cast("long")
         split = (F.col("n") > size // 2) & (F.col("lo") < F.col("hi"))
         d = materialize(d.join(cut, "node").select(key, "x", "y", F.when(split, 2 * F.col("node") + right).otherwise(2 * F.col("node")).alias("node")), "batches")
-    names = d.select("node").distinct().withColumn("batch_id", (F.row_number().over(Window.orderBy("node")) - 1).cast("int"))
-    return d.join(F.broadcast(names), "node").select(key, "batch_id")
+    names = numbered(d.select("node").distinct(), ["node"], "batch_id")
+    return d.join(names, "node").select(key, F.col("batch_id").cast("int").alias("batch_id"))
 
 
 def tile_membership(boxes: DataFrame, key: str, size: float, fine: DataFrame) -> DataFrame:

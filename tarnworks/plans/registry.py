@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnworks.plans import catalog, cells, depth, masks, snow, tables, zonal  # noqa: F401  registers its queries
+from tarnworks.plans import catalog, cells, depth, masks, scans, snow, tables, zonal  # noqa: F401  registers its queries
 from tarnworks.plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
