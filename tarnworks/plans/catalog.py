@@ -88,14 +88,14 @@ def agg44(spark, sf):
     return c.shortfall(o, o.where("o_custkey % 5 <> 0"), "o_orderkey")
 
 
-def _catalog(spark, sf, parts="p_size <= 12"):
-    p = table(spark, sf, "part").where(parts)
+def _catalog(spark, sf):
+    p = table(spark, sf, "part")
     col = F.struct(F.col("p_type").alias("col"), F.concat(F.lit("prm_"), F.col("p_type")).alias("prms"), F.array_repeat(F.lit("flow"), (F.col("p_size") % 3).cast("int")).alias("processes"))
     g = p.groupBy(F.col("p_brand").alias("name")).agg(F.sort_array(F.collect_set(col)).alias("columns"), F.min("p_size").alias("k"))
     return g.withColumn("defects", F.when(F.col("k") % 2 == 0, F.array(F.lit("SMALL"))).otherwise(F.array().cast("array<string>"))).withColumn("builder", F.concat(F.lit("b"), (F.col("k") % 3).cast("string")))
 
 
-CATALOG = """WITH p AS (SELECT DISTINCT p_brand AS name, p_type AS col, p_size % 3 AS np FROM part WHERE p_size <= 12), k AS (SELECT p_brand AS name, min(p_size) AS k FROM part WHERE p_size <= 12 GROUP BY p_brand) """
+CATALOG = """WITH p AS (SELECT DISTINCT p_brand AS name, p_type AS col, p_size % 3 AS np FROM part), k AS (SELECT p_brand AS name, min(p_size) AS k FROM part GROUP BY p_brand) """
 
 
 @query("agg46_process_columns", CATALOG + "SELECT string_agg(col, ' or ' ORDER BY name, np) AS \"column\", 'prm_' || col AS param FROM p JOIN k USING (name) WHERE np > 0 AND NOT (k % 2 = 0 AND col = 'SMALL') GROUP BY col")
@@ -118,29 +118,6 @@ def agg54(spark, sf):
     return c.entries_by_builder(_catalog(spark, sf))
 
 
-# The same over all parts.
-
-
-@query("agg46_process_columns_whole")
-def agg46_whole(spark, sf):
-    return c.process_columns(_catalog(spark, sf, "true"), "flow")
-
-
-@query("agg46_unused_columns_whole")
-def agg46u_whole(spark, sf):
-    return c.unused_columns(_catalog(spark, sf, "true"))
-
-
-@query("agg45_catalog_rows_whole")
-def agg45_whole(spark, sf):
-    return _catalog(spark, sf, "true").select("name", F.explode("columns").alias("c")).select("name", "c.col", "c.prms")
-
-
-@query("agg54_entries_by_builder_whole")
-def agg54_whole(spark, sf):
-    return c.entries_by_builder(_catalog(spark, sf, "true"))
-
-
 @query("agg53_unexpected_categories", "SELECT ftype, count(*) AS n FROM keys WHERE ftype NOT IN ('BUILDING', 'MACHINERY') GROUP BY ftype", K)
 def agg53(spark, sf):
     return c.unexpected_categories(model(spark, sf, "keys"), "ftype", ["BUILDING", "MACHINERY"])

@@ -259,15 +259,13 @@ def grf07(spark, sf):
     return flow.own_terminus_share(flow.path_ends(ptr, pour.select("cell").union(bar)), poly)
 
 
-@query("grf01_regions", """+ m AS (SELECT row, col, cell FROM grid WHERE cell % 3 = 0 OR cell % 10 = 1), e AS (SELECT a.cell AS a, b.cell AS b FROM m a JOIN m b ON abs(a.row - b.row) <= 1 AND abs(a.col - b.col) <= 1 AND a.cell <> b.cell AND a.row < 40 AND b.row < 40),
- w(a, b) AS (SELECT cell, cell FROM m WHERE row < 40 UNION SELECT w.a, e.b FROM w JOIN e ON e.a = w.b)
- SELECT m.row, m.col, CAST(min(w.b) + 1 AS BIGINT) AS label FROM m JOIN w ON w.a = m.cell GROUP BY m.row, m.col""", G)
-def grf01(spark, sf):
-    return flow.regions(model(spark, sf, "grid").where("(cell % 3 = 0 OR cell % 10 = 1) AND row < 40"), 64)
+LEAST = """w(a, b) USING KEY (a) AS (SELECT n, n FROM v UNION SELECT e.b, min(w.b) FROM w JOIN e ON e.a = w.a JOIN recurring.w r ON r.a = e.b WHERE w.b < r.b GROUP BY e.b)"""
 
 
-@query("grf01_regions_whole")
-def grf01_whole(spark, sf):
+@query("grf01_regions", f"""+ m AS (SELECT row, col, cell FROM grid WHERE cell % 3 = 0 OR cell % 10 = 1), v AS (SELECT cell AS n FROM m), o AS (SELECT unnest(range(-1, 2)) AS d),
+ e AS MATERIALIZED (SELECT a.cell AS a, b.cell AS b FROM m a, o i, o j, m b WHERE b.row = a.row + i.d AND b.col = a.col + j.d AND a.cell <> b.cell), {LEAST}
+ SELECT m.row, m.col, CAST(w.b + 1 AS BIGINT) AS label FROM m JOIN w ON w.a = m.cell""", G)
+def grf01(spark, sf):
     return flow.regions(model(spark, sf, "grid").where("cell % 3 = 0 OR cell % 10 = 1"), 64)
 
 
@@ -276,21 +274,12 @@ def grf08(spark, sf):
     return flow.fill_depressions(model(spark, sf, "grid").select("row", "col", "value"))
 
 
-@query("grf09_tile_components", """WITH RECURSIVE m AS (SELECT DISTINCT l_orderkey AS polygon, l_partkey % 1000 + 1000 * (l_orderkey % 5) AS tile FROM lineitem WHERE l_quantity < 6), e AS (SELECT DISTINCT a.tile AS a, b.tile AS b FROM m a JOIN m b USING (polygon)),
- w(a, b) AS (SELECT DISTINCT tile, tile FROM m UNION SELECT w.a, e.b FROM w JOIN e ON e.a = w.b) SELECT a AS tile, min(b) AS component FROM w GROUP BY a""")
+@query("grf09_tile_components", f"""WITH RECURSIVE m AS (SELECT DISTINCT l_orderkey AS polygon, l_partkey * 5 + l_orderkey % 5 AS tile FROM lineitem), v AS (SELECT DISTINCT tile AS n FROM m),
+ e AS MATERIALIZED (SELECT DISTINCT a.tile AS a, b.tile AS b FROM m a JOIN m b USING (polygon)), {LEAST} SELECT a AS tile, b AS component FROM w""")
 def grf09(spark, sf):
     from tarnworks.core.io import table
 
-    m = table(spark, sf, "lineitem").where("l_quantity < 6").selectExpr("l_orderkey AS polygon", "l_partkey % 1000 + 1000 * (l_orderkey % 5) AS tile").distinct()
-    return flow.tile_components(m)
-
-
-@query("grf09_tile_components_whole")
-def grf09_whole(spark, sf):
-    from tarnworks.core.io import table
-
-    m = table(spark, sf, "lineitem").selectExpr("l_orderkey AS polygon", "l_partkey * 5 + l_orderkey % 5 AS tile").distinct()
-    return flow.tile_components(m)
+    return flow.tile_components(table(spark, sf, "lineitem").selectExpr("l_orderkey AS polygon", "l_partkey * 5 + l_orderkey % 5 AS tile").distinct())
 
 
 @query("grf05_transitive_reach", """WITH RECURSIVE a AS (SELECT c_custkey AS a, (c_custkey * 7 + 3) % (SELECT count(*) FROM customer) AS b FROM customer WHERE c_custkey % 4 <> 0), e AS (SELECT a, b FROM a UNION SELECT b, a FROM a),

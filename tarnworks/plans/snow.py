@@ -60,9 +60,9 @@ def win04(spark, sf):
     return r(snow.normalised(snow.without_reversals(snow.melt_seasons(model(spark, sf, "daily")))).select("zone_id", "wy", "day", "swe_n", "sca_n"), 6)
 
 
-@query("win05_annual_curves", SEASON + " SELECT zone_id, wy, CAST(level AS INTEGER) AS level, round(value, 6) AS value FROM cur", D)
+@query("win05_annual_curves", SEASON + " SELECT zone_id, wy, CAST(level AS INTEGER) AS level, round(value, 12) AS value FROM cur", D)
 def win05(spark, sf):
-    return r(snow.annual_curves(model(spark, sf, "daily")).select("zone_id", "wy", F.posexplode("curve").alias("level", "value")), 6)
+    return r(snow.annual_curves(model(spark, sf, "daily")).select("zone_id", "wy", F.posexplode("curve").alias("level", "value")), 12)
 
 
 @query("win06_median_curve", SEASON + " SELECT zone_id, CAST(level AS INTEGER) AS level, round(median, 6) AS median FROM med", D)
@@ -110,11 +110,11 @@ def win12(spark, sf):
 
 
 @query("win13_zone_records", SEASON + f""" SELECT st.zone_id, sdc_status, CASE WHEN sdc_status = 'derived' THEN k.sca_class ELSE 'mid' END AS sca_class, round(similarity, 6) AS similarity, n_seasons, coalesce(n_peak_years, 0) AS n_peak_years,
- round(peak_swe_mm, 4) AS peak_swe_mm, round(cv_subgrid, 6) AS cv_subgrid, round(CASE WHEN sdc_status = 'derived' THEN v.s ELSE 5.5 END, 4) AS curve_sum
+ round(peak_swe_mm, 4) AS peak_swe_mm, round(cv_subgrid, 6) AS cv_subgrid, round(CASE WHEN sdc_status = 'derived' THEN v.s ELSE 5.5 END, 12) AS curve_sum
  FROM st LEFT JOIN ({CLASS}) k USING (zone_id) LEFT JOIN pks USING (zone_id) LEFT JOIN (SELECT zone_id, sum(value) AS s FROM cur JOIN rep USING (zone_id, wy) GROUP BY zone_id) v USING (zone_id)""", D)
 def win13(spark, sf):
     d = _records(spark, sf).withColumn("curve_sum", F.aggregate("curve", F.lit(0.0), lambda a, x: a + x)).drop("curve")
-    return r(r(d, 4, "peak_swe_mm", "curve_sum"), 6, "similarity", "cv_subgrid")
+    return r(r(r(d, 4, "peak_swe_mm"), 12, "curve_sum"), 6, "similarity", "cv_subgrid")
 
 
 BINS = """SELECT p_partkey, p_retailprice + p_size AS cv FROM part"""

@@ -35,7 +35,7 @@ def test_regions(spark, folder):
     m = {divmod(k, 64) for k in range(4000) if k % 3 == 0 or k % 10 == 1}
     near = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
     want = components((r * 64 + c, (r + i) * 64 + c + j) for r, c in m for i, j in near if (r + i, c + j) in m)
-    got = {(x["row"], x["col"]): x["label"] for x in registry.QUERIES["grf01_regions_whole"](spark, folder[0]).collect()}
+    got = {(x["row"], x["col"]): x["label"] for x in registry.QUERIES["grf01_regions"](spark, folder[0]).collect()}
     assert got == {divmod(k, 64): v + 1 for k, v in want.items()} and max(got)[0] > 40
 
 
@@ -44,7 +44,7 @@ def test_tiles(spark, folder):
     for k, p, _ in folder[1]:
         tile = p * 5 + k % 5
         edges.append((first.setdefault(k, tile), tile))
-    got = {x["tile"]: x["component"] for x in registry.QUERIES["grf09_tile_components_whole"](spark, folder[0]).collect()}
+    got = {x["tile"]: x["component"] for x in registry.QUERIES["grf09_tile_components"](spark, folder[0]).collect()}
     assert got == components(edges)
 
 
@@ -52,14 +52,14 @@ def test_catalog(spark, folder):
     run = lambda name: registry.QUERIES[name](spark, folder[0])
     rows = {(b, t, s % 3) for b, t, s in folder[2]}
     least = {b: min(s for x, _, s in folder[2] if x == b) for b, _, _ in folder[2]}
-    assert sorted(map(tuple, run("agg45_catalog_rows_whole").collect())) == sorted((b, t, "prm_" + t) for b, t, _ in rows)
-    assert sorted(map(tuple, run("agg46_unused_columns_whole").collect())) == sorted((b, t) for b, t, n in rows if n == 0)
+    assert sorted(map(tuple, run("agg45_catalog_rows").collect())) == sorted((b, t, "prm_" + t) for b, t, _ in rows)
+    assert sorted(map(tuple, run("agg46_unused_columns").collect())) == sorted((b, t) for b, t, n in rows if n == 0)
     alternatives = {}
     for b, t, n in sorted(rows):
         if n:
             alternatives.setdefault("prm_" + t, []).append(t)
-    assert {x["param"]: x["column"] for x in run("agg46_process_columns_whole").collect()} == {k: " or ".join(v) for k, v in alternatives.items()}
+    assert {x["param"]: x["column"] for x in run("agg46_process_columns").collect()} == {k: " or ".join(v) for k, v in alternatives.items()}
     builders = {}
     for b in sorted(least):
         builders.setdefault(f"b{least[b] % 3}", []).append(b)
-    assert {x["builder"]: (x["entries"], x["n"]) for x in run("agg54_entries_by_builder_whole").collect()} == {k: (",".join(v), len(v)) for k, v in builders.items()}
+    assert {x["builder"]: (x["entries"], x["n"]) for x in run("agg54_entries_by_builder").collect()} == {k: (",".join(v), len(v)) for k, v in builders.items()}
