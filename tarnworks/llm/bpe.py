@@ -29,6 +29,10 @@ from tarnworks.core.io import table
 CACHE_WORDS = 500_000
 #: Characters of text whose words are taken together.
 PIECE_CHARS = 1_000_000
+#: Last code point of plane 0. Classes cut there compile to one lookup a character; beyond it each
+#: range costs a comparison.
+PLANE_0 = 0xFFFF
+beyond = re.compile("[\U00010000-\U0010ffff]").search
 ENCODED = "n_tokens long, ids array<int>, decoded string"
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -50,8 +54,8 @@ def _runs(inside: np.ndarray) -> str:
 
 
 @functools.cache
-def letter_class(kind: str) -> str:
-    """The code points of a class such as ``\\p{L}`` as the tokenizers library's own Unicode tables
+def letter_class(kind: str, last: int = sys.maxunicode) -> str:
+    """The code points up to ``last`` of a class such as ``\\p{L}`` as the tokenizers library's own Unicode tables
     have it, as ranges of a character class. No letter, number or space lies beyond plane 3."""
     points = np.concatenate((np.arange(0xD800), np.arange(0xE000, 0x40000)))
     split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{kind}+"), "removed")
@@ -59,12 +63,12 @@ def letter_class(kind: str) -> str:
     inside[points] = True
     for _, (start, end) in split.pre_tokenize_str("".join(map(chr, points.tolist()))):
         inside[points[start:end]] = False
-    return _runs(inside)
+    return _runs(inside[: last + 1])
 
 
 @functools.cache
-def newer() -> re.Pattern:
-    """A code point on whose normal form versions of Unicode differ: unknown to Python's tables, or
+def newer(last: int = sys.maxunicode) -> re.Pattern:
+    """A code point up to ``last`` on whose normal form versions of Unicode differ: unknown to Python's tables, or
     combining or composed and younger than Unicode 3.2."""
     old, inside = unicodedata.ucd_3_2_0, np.zeros(sys.maxunicode + 1, bool)
     inside[0x40000:] = True
@@ -72,7 +76,7 @@ def newer() -> re.Pattern:
         x = chr(c)
         if unicodedata.category(x) == "Cn" or (unicodedata.combining(x) or unicodedata.decomposition(x)) and old.category(x) == "Cn":
             inside[c] = True
-    return re.compile("[" + _runs(inside) + "]")
+    return re.compile("[" + _runs(inside[: last + 1]) + "]")
 
 
 class Cache(dict):
@@ -107,10 +111,10 @@ class WordBpe:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         #: Classes and, for new code points, normal forms are the library's, whatever versions of
         #: Unicode it and Python have.
-        full = pattern
+        full = plane = pattern
         for kind in (r"\p{L}", r"\p{N}", r"\s"):
-            full = full.replace(kind, letter_class(kind))
-        self.split = re.compile(full).findall
+            full, plane = full.replace(kind, letter_class(kind)), plane.replace(kind, letter_class(kind, PLANE_0))
+        self.split, self.split_plane = re.compile(full).findall, re.compile(plane).findall
         self.normalizer = tokenizers.Tokenizer.from_file(path).normalizer
         #: The same for ASCII text, where the letters and numbers are few.
         self.split_ascii = re.compile(pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9"), re.ASCII).findall
@@ -233,12 +237,14 @@ class WordBpe:
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
             return self.split_ascii(text.lower())
-        if newer().search(text):
-            return self.split(self.normalizer.normalize_str(text))
-        text = unicodedata.normalize("NFC", text)
-        if "Σ" in text:  # lower() looks at a capital sigma's neighbours
-            text = text.replace("Σ", "σ")
-        return self.split(text.lower())
+        if (newer() if beyond(text) else newer(PLANE_0)).search(text):
+            text = self.normalizer.normalize_str(text)
+        else:
+            text = unicodedata.normalize("NFC", text)
+            if "Σ" in text:  # lower() looks at a capital sigma's neighbours
+                text = text.replace("Σ", "σ")
+            text = text.lower()
+        return (self.split if beyond(text) else self.split_plane)(text)
 
     def encode(self, texts: list[str]) -> list[tuple[str, str]]:
         """For each text its ids and its decoded form, both joined by spaces."""

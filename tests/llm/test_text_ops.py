@@ -15,7 +15,7 @@ tokenizers = pytest.importorskip("tokenizers")
 
 TEXTS = [
     None, "", "   ", "Hello, world! It's 42.", "ÉTÉ naïve ΣΑΣ İstanbul", "a<|endoftext|>b <|startoftext|>", "x" * 3000, "tab\tnew\nline nbsp",
-    "😀👩‍👩‍👧 ok", "!!!???...", "the the the", "Ünïcödé ½ ² Ⅷ", "don't WE'RE 's's",
+    "😀👩‍👩‍👧 ok", "!!!???...", "the the the", "Ünïcödé ½ ² Ⅷ", "don't WE'RE 's's", "a\ufa6cb \ufa6c1!", "é𝐀𝟏\U0001e475 b",
 ]
 
 
