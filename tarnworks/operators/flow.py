@@ -6,8 +6,6 @@ shared folder each round, and the rounds are the logarithm of the longest path.
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,24 +137,63 @@ def tile_components(membership: DataFrame) -> DataFrame:
     return membership.select("tile").distinct().join(found, "tile", "left").select("tile", F.coalesce("component", "tile").alias("component"))
 
 
-def fill_depressions(cells: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(row, col, filled, depth): each cell raised to its lowest way out of the table.
+def fill_depressions(cells: DataFrame, rounds: int = 60, by: tuple[str, ...] = ()) -> DataFrame:
+    """(row, col, filled, depth): each cell raised to its lowest way out of the table, or of its
+    own window where ``by`` names the windows' keys. Cells with a missing neighbour are outlets;
+    null and NaN values are missing cells.
 
-    Iterates w = max(z, least neighbour w) from above until nothing falls; cells with a missing
-    neighbour are outlets. Rounds follow the longest way out of a depression; raises when a given
-    number of ``rounds`` does not suffice.
+    Cells flow to their least neighbour, so each ends in an outlet or a basin's lowest cell. The
+    level of a basin is its least largest pass on a way to an outlet: every basin takes its lowest
+    pass, basins joined so are contracted with that pass as a lower limit, and so on. A round at
+    least halves the open basins; raises when ``rounds`` do not suffice.
     """
-    z = cells.where("value IS NOT NULL").select(*CELL, F.col("value").alias("z"))
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in D8.values()])
-    send = lambda d, v: d.withColumn("s", F.explode(steps)).select((F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"), F.col(v).alias("v"))
-    near = send(z, "z").groupBy(*CELL).agg(F.count(F.lit(1)).alias("n"))
-    state = materialize(z.join(near, CELL, "left").select(*CELL, "z", F.when(F.coalesce("n", F.lit(0)) < 8, F.col("z")).otherwise(F.lit(float("inf"))).alias("w")), "fill")
-    for turn in itertools.count():
-        if turn == rounds:
-            raise RuntimeError(f"depressions not filled in {rounds} rounds")
-        low = send(state, "w").groupBy(*CELL).agg(F.min("v").alias("low"))
-        fallen = F.least("w", F.greatest("z", F.coalesce("low", F.lit(float("inf")))))
-        state = materialize(state.join(low, CELL, "left").select(*CELL, "z", fallen.alias("w"), (fallen < F.col("w")).alias("moved")), "fill", instead_of=state)
-        if state.where("moved").isEmpty():
+    key = [*by, *CELL]
+    cell = F.struct(*key).alias("cell")
+    valid = cells.where("value IS NOT NULL").select(*key, F.col("value").cast("double").alias("z")).where(~F.isnan("z"))
+    steps = lambda d8: F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in d8])
+    send = lambda d, d8, *v: d.withColumn("s", F.explode(steps(d8))).select(*by, (F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"), *v)
+    near = send(valid, D8.values(), F.struct("z", cell).alias("v")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
+    d = valid.join(near, key, "left").withColumn("outlet", F.coalesce("n", F.lit(0)) < 8)
+    down = F.when(~F.col("outlet") & (F.col("v") < F.struct("z", cell)), F.col("v.cell"))
+    ptr = materialize(d.select(cell, "z", "outlet", down.alias("next")), "fill-cells")
+    outlets = ptr.where("outlet").select("cell")
+    out = outlets.select(F.col("cell").alias("end"), F.lit(True).alias("out"))
+    ends = path_ends(ptr.select("cell", "next"), outlets).join(out, "end", "left")
+    basins = ends.select("cell", F.when(F.col("out"), F.lit(None)).otherwise(F.col("end")).alias("basin"))
+    cells = materialize(ptr.select("cell", "z").join(basins, "cell").select("cell.*", "z", "basin"), "fill-basins")
+
+    # (a, b, p): the lowest pass between neighbouring basins, both ways; a null b is an outlet.
+    met = send(cells, ((0, 1), (1, -1), (1, 0), (1, 1)), F.col("z").alias("z_a"), F.col("basin").alias("a")).join(cells, key)
+    met = met.select("a", F.col("basin").alias("b"), F.greatest("z", "z_a").alias("p")).where(~F.col("a").eqNullSafe(F.col("b")))
+    both = met.unionByName(met.select(F.col("b").alias("a"), F.col("a").alias("b"), "p")).where("a IS NOT NULL")
+    lowest = lambda e: materialize(e.groupBy("a", "b").agg(F.min("p").alias("p")), "fill-passes")
+    edges, level = lowest(both), None
+    for _ in range(rounds):
+        if edges.isEmpty():
             break
-    return state.select(*CELL, F.col("w").alias("filled"), (F.col("w") - F.col("z")).alias("depth"))
+        # One order of all passes, so that only two basins can pick each other: the smaller is the root.
+        rank = F.struct("p", F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), "b")
+        pick = materialize(edges.groupBy("a").agg(F.min(rank).alias("m")).select("a", "m.b", "m.p"), "fill-picks")
+        other = pick.select(F.col("a").alias("b"), F.col("b").alias("back"))
+        root = F.coalesce((F.col("back") == F.col("a")) & (F.col("a") < F.col("b")), F.lit(False))
+        chain = pick.join(other, "b", "left").select(F.col("a").alias("cell"), F.when(~root, F.col("b")).alias("next"))
+        over = pick.where("b IS NULL").select(F.col("a").alias("end"), F.lit(True).alias("out"))
+        tops = path_ends(chain, pick.where("b IS NULL").select(F.col("a").alias("cell"))).join(over, "end", "left")
+        tops = tops.select(F.col("cell").alias("a"), F.when(F.col("out"), F.lit(None)).otherwise(F.col("end")).alias("top"))
+        tops = materialize(tops.join(pick.select("a", "p"), "a"), "fill-tops")
+        if level is None:
+            level = tops.select(F.col("a").alias("basin"), "top", "p")
+        else:
+            moved = level.withColumnsRenamed({"top": "a", "p": "so_far"}).join(tops, "a", "left")
+            level = moved.select("basin", "top", F.greatest("so_far", "p").alias("p"))
+        level = materialize(level, "fill-levels")
+        of = lambda end: tops.select(F.col("a").alias(end), F.col("top").alias(f"{end}_top"))  # noqa: E731, B023
+        rest = edges.join(of("a"), "a").join(of("b"), "b", "left").select(F.col("a_top").alias("a"), F.col("b_top").alias("b"), "p")
+        edges = lowest(rest.where("a IS NOT NULL").where(~F.col("a").eqNullSafe(F.col("b"))))
+    else:
+        if not edges.isEmpty():
+            raise RuntimeError(f"depressions not filled in {rounds} rounds")
+    if level is None:
+        return cells.select(*key, F.col("z").alias("filled"), F.lit(0.0).alias("depth"))
+    full = cells.join(level.select("basin", "p"), "basin", "left").withColumn("filled", F.greatest("z", "p"))
+    return full.select(*key, "filled", (F.col("filled") - F.col("z")).alias("depth"))

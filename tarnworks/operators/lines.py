@@ -5,10 +5,6 @@ Edges meet edges in square bins; the geometry of a pair is worked out for its ow
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +41,10 @@ def line_cuts(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone
     return p.select(line, "seq", zone, F.explode(F.coalesce(single, shared)).alias("t")).distinct()
 
 
-def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
-    """(line, zone, overlap): length of each line inside each polygon, pairs above 1e-6 only.
-
-    An edge is cut where it meets the polygon; pieces whose middle lies inside count whole, and
-    pieces on the polygon's own boundary count as inside.
-    """
+def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges cut where they meet polygons: all pieces (line, zone, piece, ax, ay, bx, by, len), the
+    (piece, zone) whose middle is inside, and the (piece, zone, along) whose middle lies on the
+    polygon's own boundary; ``along`` is positive where the boundary runs the same way."""
     cuts = line_cuts(lines, polygons, line, zone, size)
     # Edges that lie inside a polygon without meeting its boundary: by their first point.
     start = lines.select(F.concat_ws("/", line, "seq").alias("point_id"), F.col("x1").alias("x"), F.col("y1").alias("y"), line, "seq")
@@ -60,19 +54,29 @@ def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id"
     knots = every.groupBy(line, "seq", zone).agg(F.array_sort(F.array_distinct(F.concat(F.flatten(F.collect_list("ts")), ends))).alias("k"))
     pieces = knots.select(line, "seq", zone, F.explode(F.arrays_zip(F.slice("k", 1, F.size("k") - 1).alias("a"), F.slice("k", 2, F.size("k") - 1).alias("b"))).alias("p")).select(line, "seq", zone, "p.a", "p.b").where("b - a > 1e-12")
     at = pieces.join(lines.select(line, "seq", *SEG), [line, "seq"])
-    mid = (F.col("a") + F.col("b")) / 2
-    at = at.withColumn("x", F.col("x1") + mid * (F.col("x2") - F.col("x1"))).withColumn("y", F.col("y1") + mid * (F.col("y2") - F.col("y1")))
-    at = at.withColumn("piece", F.concat_ws("/", line, "seq", zone, F.col("a").cast("string"))).withColumn("len", (F.col("b") - F.col("a")) * F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2))
+    point = lambda t, c: F.col(f"{c}1") + t * (F.col(f"{c}2") - F.col(f"{c}1"))
+    piece = F.concat_ws("/", line, "seq", zone, F.col("a").cast("string")).alias("piece")
+    at = at.select(line, zone, piece, *[point(F.col(t), c).alias(f"{t}{c}") for t in "ab" for c in "xy"], *[point((F.col("a") + F.col("b")) / 2, c).alias(c) for c in "xy"])
+    at = at.withColumn("len", F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2))
     hit = points_in_polygons(at.select("piece", "x", "y"), polygons, "piece", zone, size)
-    within = at.join(hit, ["piece", zone], "left_semi")
-    middle = at.select("piece", zone, F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    near = _met(middle, polygons.select(zone, *SEG), size).where(F.col(f"{zone}_b") == F.col(zone))
+    way = at.select("piece", zone, (F.col("bx") - F.col("ax")).alias("wx"), (F.col("by") - F.col("ay")).alias("wy"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    near = _met(way, polygons.select(zone, *SEG), size).where(F.col(f"{zone}_b") == F.col(zone))
     ex, ey = F.col("x2_b") - F.col("x1_b"), F.col("y2_b") - F.col("y1_b")
     off = F.abs((F.col("x1") - F.col("x1_b")) * ey - (F.col("y1") - F.col("y1_b")) * ex)
-    along = ((F.col("x1") - F.col("x1_b")) * ex + (F.col("y1") - F.col("y1_b")) * ey) / (ex * ex + ey * ey)
-    edge = near.where((off < 1e-9) & along.between(0, 1)).select("piece", zone).distinct()
-    on_edge = at.join(edge, ["piece", zone], "left_semi").join(hit, ["piece", zone], "left_anti")
-    return within.select(line, zone, "len").unionByName(on_edge.select(line, zone, "len")).groupBy(line, zone).agg(F.sum("len").alias("overlap")).where("overlap > 1e-6")
+    share = ((F.col("x1") - F.col("x1_b")) * ex + (F.col("y1") - F.col("y1_b")) * ey) / (ex * ex + ey * ey)
+    edge = near.where((off < 1e-9) & share.between(0, 1)).groupBy("piece", zone).agg(F.max(F.col("wx") * ex + F.col("wy") * ey).alias("along"))
+    return at, hit, edge
+
+
+def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+    """(line, zone, overlap): length of each line inside each polygon, pairs above 1e-6 only.
+
+    An edge is cut where it meets the polygon; pieces whose middle lies inside count whole, and
+    pieces on the polygon's own boundary count as inside.
+    """
+    at, hit, edge = _pieces(lines, polygons, line, zone, size)
+    counted = hit.select("piece", zone).union(edge.select("piece", zone)).distinct()
+    return at.join(counted, ["piece", zone], "left_semi").groupBy(line, zone).agg(F.sum("len").alias("overlap")).where("overlap > 1e-6")
 
 
 def flow_through(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
@@ -105,61 +109,34 @@ def intersecting(polygons: DataFrame, targets: DataFrame, zone: str = "zone_id",
 def overlap_areas(a: DataFrame, b: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
     """(zone, source, area) of polygon pairs that overlap, b's zones as ``source``.
 
-    Candidate pairs share a bin of their bounding boxes. The area is a sum over pairs of
-    triangles from the pair's origin to each edge, with the product of their signs.
+    The boundary of what two polygons share is the pieces of each one's edges inside the other,
+    and, once, the pieces on both boundaries that run the same way; the area is its sum of
+    signed triangles. Rings may turn either way, holes against their outer ring; repeated edges
+    of a polygon count once.
     """
-    box = lambda d, z: d.groupBy(z).agg(F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x9"), F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y9"), F.collect_list(F.struct(*SEG)).alias("ring"))
-    span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / size).cast("long"), F.floor(F.col(hi) / size).cast("long"))
-    left, right = box(a, zone), box(b.withColumnRenamed(zone, "source"), "source")
-    bins = lambda d: d.withColumn("bx", F.explode(span("x0", "x9"))).withColumn("by", F.explode(span("y0", "y9")))
-    r = right.select("source", *[F.col(c).alias(f"{c}_b") for c in ("x0", "x9", "y0", "y9")])
-    rb = r.withColumn("bx", F.explode(span("x0_b", "x9_b"))).withColumn("by", F.explode(span("y0_b", "y9_b")))
-    pairs = bins(left.drop("ring")).join(rb, ["bx", "by"]).where("x9 > x0_b AND x9_b > x0 AND y9 > y0_b AND y9_b > y0").select(zone, "source").distinct()
-    both = pairs.join(left.select(zone, F.col("ring").alias("ring_a")), zone).join(right.select("source", F.col("ring").alias("ring_b")), "source")
-    kind = dict(a.dtypes)[zone]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            area = [_overlap(_ring(x), _ring(y)) for x, y in zip(pdf["ring_a"], pdf["ring_b"])]
-            yield pd.DataFrame({zone: pdf[zone], "source": pdf["source"], "area": area})
-
-    return both.select(zone, "source", "ring_a", "ring_b").mapInPandas(run, f"{zone} {kind}, source {dict(b.dtypes)[zone]}, area double").where("area > 1e-9")
-
-
-def _ring(edges) -> np.ndarray:
-    return np.array([[e["x1"], e["y1"], e["x2"], e["y2"]] for e in edges], float)
-
-
-def _overlap(a: np.ndarray, b: np.ndarray) -> float:
-    origin = a[0, :2]
-    a, b = a - np.tile(origin, 2), b - np.tile(origin, 2)
-    total = 0.0
-    for p in a:
-        sp = np.sign(p[0] * p[3] - p[1] * p[2])
-        for q in b:
-            sq = np.sign(q[0] * q[3] - q[1] * q[2])
-            if sp and sq:
-                total += sp * sq * _triangles(p, q, sp, sq)
-    return abs(total)
-
-
-def _triangles(p: np.ndarray, q: np.ndarray, sp: float, sq: float) -> float:
-    """Area common to the triangles (0, p) and (0, q), by clipping one with the other's sides."""
-    poly = [np.zeros(2), p[:2], p[2:]] if sp > 0 else [np.zeros(2), p[2:], p[:2]]
-    clip = [np.zeros(2), q[:2], q[2:]] if sq > 0 else [np.zeros(2), q[2:], q[:2]]
-    for k in range(3):
-        c, d = clip[k], clip[(k + 1) % 3]
-        side = lambda z: (d[0] - c[0]) * (z[1] - c[1]) - (d[1] - c[1]) * (z[0] - c[0])  # noqa: B023, E731
-        out = []
-        for i, z in enumerate(poly):
-            w = poly[i - 1]
-            sz, sw = side(z), side(w)
-            if (sz >= 0) != (sw >= 0):
-                out.append(w + (z - w) * (sw / (sw - sz)))
-            if sz >= 0:
-                out.append(z)
-        poly = out
-        if len(poly) < 3:
-            return 0.0
-    x, y = np.array(poly).T
-    return abs(float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1)))) / 2
+    signed = F.sum((F.col("x1") - F.col("x0")) * (F.col("y2") - F.col("y0")) - (F.col("x2") - F.col("x0")) * (F.col("y1") - F.col("y0")))
+
+    def turned(d: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Distinct edges (name, seq, x1, ..) with the inside on their left, and (name, x0, y0)."""
+        d = d.select(F.col(zone).alias(name), *SEG).where("x1 <> x2 OR y1 <> y2").distinct()
+        corner = d.groupBy(name).agg(F.min("x1").alias("x0"), F.min("y1").alias("y0"))
+        ring = d.join(corner, name)
+        back = ring.groupBy(name).agg((signed < 0).alias("back"))
+        e = d.join(back, name)
+        swap = lambda c, other: F.when(F.col("back"), F.col(other)).otherwise(F.col(c)).alias(c)
+        e = e.select(name, swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
+        return e.withColumn("seq", F.concat_ws(",", *SEG)), corner
+
+    left, corner = turned(a, zone)
+    right, _ = turned(b, "source")
+    here = {"inside": _pieces(left, right, zone, "source", size), "of_b": _pieces(right, left, "source", zone, size)}
+    parts = []
+    for own, (at, hit, edge) in here.items():
+        key = ["piece", "source" if own == "inside" else zone]
+        within = hit.join(edge, key, "left_anti").select(*key)
+        if own == "inside":
+            within = within.union(edge.where("along > 0").select(*key))
+        parts.append(at.join(within, key, "left_semi").select(zone, "source", "ax", "ay", "bx", "by"))
+    cross = (F.col("ax") - F.col("x0")) * (F.col("by") - F.col("y0")) - (F.col("bx") - F.col("x0")) * (F.col("ay") - F.col("y0"))
+    pieces = parts[0].unionByName(parts[1]).join(corner, zone)
+    return pieces.groupBy(zone, "source").agg((F.sum(cross) / 2).alias("area")).where("area > 1e-9")

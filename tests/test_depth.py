@@ -77,6 +77,25 @@ def test_overlap_areas_and_lengths(spark):
     assert got == {1: 3.0, 2: round(0.5**0.5, 9), 3: 4.0}  # line 3 runs along the shore
 
 
+def test_overlap_areas_of_holes_shores_and_random_triangles(spark):
+    rng = np.random.default_rng(8)
+    square = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    a = ring(spark, 1, square(0, 0, 6)) + ring(spark, 1, square(2, 2, 2)[::-1]) + ring(spark, 2, square(6, 0, 2))
+    b = ring(spark, 7, square(1, 1, 4)[::-1]) + ring(spark, 8, square(0, 0, 6)) + ring(spark, 9, square(2, 2, 2))
+    want = {(1, 7): 12.0, (1, 8): 32.0}
+    tri = rng.random((12, 3, 2)) * 4 + 20
+    inside = lambda t, p: len({np.sign((t[i][0] - t[i - 1][0]) * (p[1] - t[i - 1][1]) - (t[i][1] - t[i - 1][1]) * (p[0] - t[i - 1][0])) for i in range(3)}) == 1
+    for i in range(6):
+        a, b = a + ring(spark, 20 + i, tri[i].tolist()), b + ring(spark, 40 + i, tri[6 + i].tolist())
+    g = (np.arange(240) + 0.5) / 60 + 20
+    masks = [np.array([[inside(t, (x, y)) for x in g] for y in g]) for t in tri]
+    got = {(r["zone_id"], r["source"]): r["area"] for r in lines.overlap_areas(spark.createDataFrame(a, E), spark.createDataFrame(b, E), size=2.0).collect()}
+    assert {k: round(v, 9) for k, v in got.items() if k[0] < 20} == want
+    for i in range(6):
+        for j in range(6):
+            assert abs(got.get((20 + i, 40 + j), 0.0) - (masks[i] & masks[6 + j]).sum() / 3600) < 0.05
+
+
 def test_batches_keep_all(spark):
     rng = np.random.default_rng(1)
     p = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((100, 2)))] + [(200 + i, 0.5, 0.5) for i in range(30)], "zone_id long, x double, y double")

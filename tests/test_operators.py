@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,5 +184,22 @@ def test_reach_and_fill_have_no_silent_limit(spark):
     pit = [(i, j, 1.0 if i == 2 and j > 0 else 9.0) for i in range(5) for j in range(6)]
     d = spark.createDataFrame(pit, "row int, col int, value double")
     assert {r["filled"] for r in flow.fill_depressions(d).where("row = 2 AND col > 0").collect()} == {1.0}
+    # Three pits in a row behind each other: one contraction does not empty them.
+    row = [9.0, 1.0, 5.0, 2.0, 6.0, 3.0, 4.0, 0.0, 7.0, 9.0]
+    d = spark.createDataFrame([(i, j, row[j] if i == 2 else 9.0) for i in range(5) for j in range(10)], "row int, col int, value double")
     with pytest.raises(RuntimeError):
         flow.fill_depressions(d, rounds=1)
+
+
+def test_fill_is_the_priority_flood(spark):
+    from tarnworks.operators.depth import fill_window
+
+    rng = np.random.default_rng(5)
+    grids = {1: rng.integers(0, 6, (17, 23)).astype(float), 2: rng.random((9, 30)), 3: np.full((6, 6), 2.0), 4: rng.integers(0, 90, (25, 25)).astype(float)}
+    grids[2][rng.random((9, 30)) < 0.08] = np.nan
+    grids[3][2:4, 2:4] = 1.0
+    cells_ = [(k, i, j, None if np.isnan(v) else float(v)) for k, g in grids.items() for (i, j), v in np.ndenumerate(g)]
+    d = spark.createDataFrame(cells_, "comid long, row int, col int, value double").repartition(5)
+    got = {tuple(r)[:3]: r["filled"] for r in flow.fill_depressions(d, by=("comid",)).collect()}
+    want = {(k, i, j): v for k, g in grids.items() for (i, j), v in np.ndenumerate(fill_window(g)) if not np.isnan(v)}
+    assert got == want
