@@ -1,98 +1,127 @@
 """Per-polygon depths from windowed elevation cells.
 
 ``cells`` is (comid, row, col, value, inside): a window of cells round each polygon, ``inside``
-where the centre lies in it. A window is bounded by ``oversized``; each is worked in one group.
+where the centre lies in it. A cell has one row in its window.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.core.io import materialize
+from tarnworks.operators.flow import fill_depressions
+
 #: Mean depth over maximum depth by basin shape: fixed values.
 SHAPE_FACTORS = {"cone": 1 / 3, "paraboloid": 0.5, "cylinder": 1.0}
-RECORD = "comid long, mean_depth_m double, measured_max_m double, hollister_max_m double, range_m double, n_inside long, flat boolean, method string"
-
-
-def fill_window(z: np.ndarray) -> np.ndarray:
-    """A window raised to its lowest way out over the border, eight neighbours; NaN cells are outlets."""
-    rows, cols = z.shape
-    filled = np.full(z.shape, np.inf)
-    heap = []
-    for i in range(rows):
-        for j in range(cols):
-            near = z[max(0, i - 1) : i + 2, max(0, j - 1) : j + 2]
-            if np.isnan(z[i, j]):
-                filled[i, j] = np.nan
-            elif i in (0, rows - 1) or j in (0, cols - 1) or np.isnan(near).any():
-                filled[i, j] = z[i, j]
-                heapq.heappush(heap, (z[i, j], i, j))
-    while heap:
-        level, i, j = heapq.heappop(heap)
-        for a in range(max(0, i - 1), min(rows, i + 2)):
-            for b in range(max(0, j - 1), min(cols, j + 2)):
-                if filled[a, b] == np.inf:
-                    filled[a, b] = max(level, z[a, b])
-                    heapq.heappush(heap, (filled[a, b], a, b))
-    return filled
-
-
-def shore_distance(inside: np.ndarray, size: float) -> float:
-    """Largest distance of an inside cell to its nearest outside one, cell centres; cells beyond the
-    window are outside."""
-    padded = np.pad(inside, 1)
-    out, own = np.argwhere(~padded), np.argwhere(padded)
-    best = 0.0
-    for k in range(0, len(own), 256):
-        d = ((own[k : k + 256, None, :] - out[None, :, :]) ** 2).sum(axis=2).min(axis=1)
-        best = max(best, float(d.max()))
-    return best**0.5 * size
-
-
-def ring_slope(z: np.ndarray, inside: np.ndarray, size: float, width: int = 2) -> float:
-    """Mean gradient of the cells within ``width`` cells outside the shore; 0 without such cells."""
-    grown = inside
-    for _ in range(width):
-        p = np.pad(grown, 1)
-        grown = np.any([p[i : i + z.shape[0], j : j + z.shape[1]] for i in range(3) for j in range(3)], axis=0)
-    ring = grown & ~inside
-    if min(z.shape) < 2 or not ring.any():
-        return 0.0
-    gy, gx = np.gradient(z, size)
-    slope = np.hypot(gx, gy)[ring]
-    slope = slope[np.isfinite(slope)]
-    return float(slope.mean()) if len(slope) else 0.0
-
-
-def polygon_record(pdf: pd.DataFrame, size: float, flat_below: float = 0.01) -> pd.DataFrame:
-    """One polygon's depths: filled less raw elevation inside, and the shore-slope maximum."""
-    r0, c0 = pdf["row"].min(), pdf["col"].min()
-    z = np.full((pdf["row"].max() - r0 + 1, pdf["col"].max() - c0 + 1), np.nan)
-    at = (pdf["row"] - r0).to_numpy(), (pdf["col"] - c0).to_numpy()
-    z[at] = pdf["value"].to_numpy(float)
-    inside = np.zeros(z.shape, bool)
-    inside[at] = pdf["inside"].fillna(False).to_numpy(bool)
-    valid = inside & np.isfinite(z)
-    n = int(valid.sum())
-    spread = float(z[valid].max() - z[valid].min()) if n else 0.0
-    hollister = ring_slope(z, inside, size) * shore_distance(inside, size) if inside.any() else 0.0
-    flat = not n or spread < flat_below
-    depth = np.clip(fill_window(z) - z, 0, None)[valid] if not flat else np.array([])
-    return pd.DataFrame(
-        [(int(pdf["comid"].iloc[0]), float(depth.mean()) if len(depth) else None, float(depth.max()) if len(depth) else None, hollister, spread, n, flat, "flat" if flat else "measured")],
-        columns=[c.split()[0] for c in RECORD.split(", ")],
-    )
-
-
-def depth_records(cells: DataFrame, size: float) -> DataFrame:
+
+
+def _run_reach(cells: DataFrame, line: str, along: str) -> DataFrame:
+    """Adds ``reach``: the steps ``along`` a line of cells to the first cell that is not there."""
+    keys = ["comid", line]
+    order = Window.partitionBy(*keys).orderBy(along)
+    d = cells.withColumn("run", F.col(along) - F.row_number().over(order))
+    run = Window.partitionBy(*keys, "run")
+    reach = F.least(F.col(along) - F.min(along).over(run), F.max(along).over(run) - F.col(along)) + 1
+    return d.withColumn("reach", reach.cast("long")).drop("run")
+
+
+def column_distances(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The largest distance to the shore, squared, in some columns of one polygon: for each cell
+    the least of reach ** 2 + (rows apart) ** 2 over its column; missing cells have reach 0."""
+    r0, c0 = pdf["row"].min() - 1, pdf["col"].min()
+    square = np.zeros((pdf["row"].max() - r0 + 2, pdf["col"].max() - c0 + 1), np.int64)
+    square[pdf["row"] - r0, pdf["col"] - c0] = pdf["reach"].to_numpy(np.int64) ** 2
+    best, k = square.copy(), 1
+    while k * k < best.max():
+        np.minimum(best[k:], square[:-k] + k * k, out=best[k:])
+        np.minimum(best[:-k], square[k:] + k * k, out=best[:-k])
+        k += 1
+    return pd.DataFrame({"comid": [pdf["comid"].iloc[0]], "square": [best.max()]})
+
+
+def shore_distances(inside: DataFrame, columns: int = 64) -> DataFrame:
+    """(comid, distance): the largest distance in cells of an inside cell (comid, row, col) to its
+    nearest cell that is not inside, centre to centre.
+
+    First along the rows, then down the columns, ``columns`` of them in a task's group.
+    """
+    strips = _run_reach(inside, "row", "col").withColumn("strip", F.floor(F.col("col") / columns))
+    found = strips.groupBy("comid", "strip").applyInPandas(lambda pdf: column_distances(pdf), "comid long, square long")
+    return found.groupBy("comid").agg(F.sqrt(F.max("square")).alias("distance"))
+
+
+def ring_slopes(cells: DataFrame, inside: DataFrame, size: float, width: int = 2) -> DataFrame:
+    """(comid, slope): mean gradient of the window's cells within ``width`` cells outside the shore.
+
+    Central differences, one-sided at the window's border; cells without their neighbours'
+    values are ignored. Polygons without such cells, or of one row or column, have no row.
+    """
+    across = _run_reach(inside, "row", "col").where("reach = 1").select("comid", "row", "col")
+    shore = across.union(_run_reach(inside, "col", "row").where("reach = 1").select("comid", "row", "col"))
+    box = cells.groupBy("comid").agg(F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1")).where("r1 > r0 AND c1 > c0")
+    step = F.sequence(F.lit(-width), F.lit(width))
+    grown = shore.withColumn("i", F.explode(step)).withColumn("j", F.explode(step)).select("comid", (F.col("row") + F.col("i")).alias("row"), (F.col("col") + F.col("j")).alias("col")).distinct()
+    key = ["comid", "row", "col"]
+    ring = grown.join(inside, key, "left_anti").join(box, "comid").where("row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1")
+    sides = {"here": (0, 0), "up": (-1, 0), "down": (1, 0), "left": (0, -1), "right": (0, 1)}
+    looks = F.array(*[F.struct(F.lit(n).alias("side"), F.lit(i).alias("i"), F.lit(j).alias("j")) for n, (i, j) in sides.items()])
+    at = ring.withColumn("s", F.explode(looks)).select("comid", *[F.col(c).alias(f"ring_{c}") for c in ("row", "col")], "r0", "r1", "c0", "c1", "s.side", (F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"))
+    seen = at.join(cells.select(*key, "value"), key).groupBy("comid", "ring_row", "ring_col", "r0", "r1", "c0", "c1")
+    seen = seen.agg(*[F.max(F.when(F.col("side") == n, F.col("value"))).alias(n) for n in sides])
+    slope = lambda at, lo, hi, less, more: F.when(F.col(at) == F.col(lo), F.col(more) - F.col("here")).when(F.col(at) == F.col(hi), F.col("here") - F.col(less)).otherwise((F.col(more) - F.col(less)) / 2) / size
+    gy, gx = slope("ring_row", "r0", "r1", "up", "down"), slope("ring_col", "c0", "c1", "left", "right")
+    return seen.groupBy("comid").agg(F.avg(F.sqrt(gy * gy + gx * gx)).alias("slope")).where("slope IS NOT NULL")
+
+
+def _windows(cells: DataFrame) -> DataFrame:
+    """The windows' cells with a key, one row a cell; NaN and infinite values are missing."""
+    value = F.col("value").cast("double")
+    kept = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value).alias("value")
+    return cells.where("comid IS NOT NULL").select(F.col("comid").cast("long").alias("comid"), "row", "col", kept, F.coalesce("inside", F.lit(False)).alias("inside"))
+
+
+def shore_estimates(cells: DataFrame, size: float) -> DataFrame:
+    """(comid, hollister_max_m) of every polygon: mean slope in a ring of two cells round the shore
+    times the largest distance to the shore; 0 without inside cells or ring."""
+    d = _windows(cells)
+    inside = d.where("inside").select("comid", "row", "col")
+    e = d.select("comid").distinct().join(shore_distances(inside), "comid", "left").join(ring_slopes(d, inside, size), "comid", "left")
+    return e.select("comid", F.coalesce(F.col("slope") * F.col("distance") * size, F.lit(0.0)).alias("hollister_max_m"))
+
+
+def depth_records(cells: DataFrame, size: float, flat_below: float = 0.01) -> DataFrame:
     """One row a polygon: mean and largest depth to spill (null where flat or empty), the shore
-    estimate, range, cells inside, method. Null keys are left out."""
-    d = cells.where("comid IS NOT NULL").select(F.col("comid").cast("long").alias("comid"), "row", "col", F.col("value").cast("double").alias("value"), "inside")
-    return d.groupBy("comid").applyInPandas(lambda pdf: polygon_record(pdf, size), RECORD)
+    estimate, range, cells inside, method. Null keys are left out.
+
+    The windows of all polygons are filled together, and no group holds a whole window.
+    """
+    d = materialize(_windows(cells), "depth-cells")
+    own = d.where("inside AND value IS NOT NULL").groupBy("comid").agg(F.count(F.lit(1)).alias("n_inside"), (F.max("value") - F.min("value")).alias("range_m"))
+    own = d.select("comid").distinct().join(own, "comid", "left").fillna(0, ["n_inside"]).fillna(0.0, ["range_m"])
+    own = materialize(own.withColumn("flat", (F.col("n_inside") == 0) | (F.col("range_m") < flat_below)), "depth-ranges")
+    steep = d.join(own.where("NOT flat").select("comid"), "comid", "left_semi")
+    filled = fill_depressions(steep, by=("comid",)).select("comid", "row", "col", "depth")
+    deep = steep.where("inside").select("comid", "row", "col").join(filled, ["comid", "row", "col"])
+    deep = deep.groupBy("comid").agg(F.avg("depth").alias("mean_depth_m"), F.max("depth").alias("measured_max_m"))
+    found = own.join(deep, "comid", "left").join(shore_estimates(d, size), "comid")
+    method = F.when(F.col("flat"), "flat").otherwise("measured").alias("method")
+    return found.select("comid", "mean_depth_m", "measured_max_m", "hollister_max_m", "range_m", "n_inside", "flat", method)
+
+
+def batch_status(polygons: DataFrame, cells: DataFrame, least: float = 0.9) -> DataFrame:
+    """One row of the batch's counts: polygons, those without any window cell (failed reads), those
+    with no valid cell inside (failed computations), the share that succeeded, and ``warned``
+    where it is below ``least``. A polygon counts once, however often it is listed."""
+    valid = F.col("inside") & F.col("value").isNotNull()
+    seen = _windows(cells).groupBy("comid").agg(F.max(valid).alias("valid"))
+    d = polygons.where("comid IS NOT NULL").select(F.col("comid").cast("long").alias("comid")).distinct().join(seen, "comid", "left")
+    n = F.count(F.lit(1))
+    counts = d.agg(n.alias("n_polygons"), F.count_if(F.col("valid").isNull()).alias("n_unread"), F.count_if(~F.col("valid")).alias("n_failed"), F.count_if("valid").alias("done"))
+    share = F.when(F.col("n_polygons") > 0, F.col("done") / F.col("n_polygons"))
+    return counts.select("n_polygons", "n_unread", "n_failed", share.alias("share"), F.coalesce(share < least, F.lit(False)).alias("warned"))
 
 
 def max_to_mean(maximum, shape: str = "cone"):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnworks.core.io import materialize
 from tarnworks.operators.vector import points_in_polygons
 
 SEG = ["x1", "y1", "x2", "y2"]
@@ -125,7 +126,7 @@ def overlap_areas(a: DataFrame, b: DataFrame, zone: str = "zone_id", size: float
         e = d.join(back, name)
         swap = lambda c, other: F.when(F.col("back"), F.col(other)).otherwise(F.col(c)).alias(c)
         e = e.select(name, swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
-        return e.withColumn("seq", F.concat_ws(",", *SEG)), corner
+        return materialize(e.withColumn("seq", F.concat_ws(",", *SEG)), "rings"), corner
 
     left, corner = turned(a, zone)
     right, _ = turned(b, "source")

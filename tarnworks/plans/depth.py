@@ -21,6 +21,28 @@ def dep06(spark, sf):
     return r(depth.depth_records(_cells(spark, sf), 10.0), 6)
 
 
+# The ring of two cells round the shore, its slopes, and the largest distance to the shore, cell by cell.
+SHORE = f"""+ w AS ({WINDOW}), b AS (SELECT comid, min(row) AS r0, max(row) AS r1, min(col) AS c0, max(col) AS c1 FROM w GROUP BY comid), i AS (SELECT comid, row, col FROM w WHERE inside),
+ pad AS (SELECT comid, y AS row, x AS col FROM b, LATERAL (SELECT unnest(range(r0 - 1, r1 + 2)) AS y), LATERAL (SELECT unnest(range(c0 - 1, c1 + 2)) AS x)), o AS (SELECT * FROM pad ANTI JOIN i USING (comid, row, col)),
+ near AS (SELECT i.comid, i.row, i.col, min((i.row - o.row) * (i.row - o.row) + (i.col - o.col) * (i.col - o.col)) AS square FROM i JOIN o ON i.comid = o.comid GROUP BY i.comid, i.row, i.col), far AS (SELECT comid, sqrt(max(square)) AS distance FROM near GROUP BY comid),
+ ring AS (SELECT DISTINCT o.comid, o.row, o.col, r0, r1, c0, c1 FROM o JOIN b ON b.comid = o.comid AND o.row BETWEEN r0 AND r1 AND o.col BETWEEN c0 AND c1 AND r1 > r0 AND c1 > c0 JOIN i ON i.comid = o.comid AND abs(i.row - o.row) <= 2 AND abs(i.col - o.col) <= 2),
+ g AS (SELECT q.comid, CASE WHEN q.row = r0 THEN d.value - h.value WHEN q.row = r1 THEN h.value - u.value ELSE (d.value - u.value) / 2 END / 10 AS gy, CASE WHEN q.col = c0 THEN e.value - h.value WHEN q.col = c1 THEN h.value - l.value ELSE (e.value - l.value) / 2 END / 10 AS gx
+  FROM ring q LEFT JOIN w h ON h.comid = q.comid AND h.row = q.row AND h.col = q.col LEFT JOIN w u ON u.comid = q.comid AND u.row = q.row - 1 AND u.col = q.col LEFT JOIN w d ON d.comid = q.comid AND d.row = q.row + 1 AND d.col = q.col
+  LEFT JOIN w l ON l.comid = q.comid AND l.row = q.row AND l.col = q.col - 1 LEFT JOIN w e ON e.comid = q.comid AND e.row = q.row AND e.col = q.col + 1), s AS (SELECT comid, avg(sqrt(gx * gx + gy * gy)) AS slope FROM g GROUP BY comid)
+ SELECT comid, round(coalesce(slope * distance * 10, 0), 6) AS hollister_max_m FROM b LEFT JOIN far USING (comid) LEFT JOIN s USING (comid)"""
+
+
+@query("dep03_shore_slope", SHORE, ("grid",))
+def dep03(spark, sf):
+    return r(depth.shore_estimates(_cells(spark, sf), 10.0), 6)
+
+
+@query("dep07_batch_status", f"""+ w AS ({WINDOW}), s AS (SELECT comid, bool_or(inside) AS valid FROM w GROUP BY comid), c AS (SELECT count(*) AS n, count(*) FILTER (valid IS NULL) AS u, count(*) FILTER (NOT valid) AS f FROM (SELECT DISTINCT c_custkey AS comid FROM customer) LEFT JOIN s USING (comid))
+ SELECT n AS n_polygons, u AS n_unread, f AS n_failed, round((n - u - f) / n, 6) AS share, (n - u - f) / n < 0.9 AS warned FROM c""", ("grid",))
+def dep07(spark, sf):
+    return r(depth.batch_status(table(spark, sf, "customer").select(F.col("c_custkey").alias("comid")), _cells(spark, sf)), 6, "share")
+
+
 @query("dep05_interior_cells", f"+ w AS ({WINDOW}) SELECT comid, count(*) AS n FROM w WHERE inside GROUP BY comid", ("grid",))
 def dep05(spark, sf):
     return _cells(spark, sf).where("inside").groupBy("comid").agg(F.count(F.lit(1)).alias("n"))

@@ -1,6 +1,8 @@
 """Depth windows, lines and polygons on literal cases."""
 
 import numpy as np
+import pandas as pd
+import plain_depth
 from pyspark.sql import functions as F
 
 from tarnworks.operators import depth, lines, vector
@@ -11,18 +13,18 @@ def test_fill_window():
     z = np.full((5, 5), 5.0)
     z[1:4, 1:4] = 2.0
     z[2, 4] = 3.0  # the way out
-    assert (depth.fill_window(z)[1:4, 1:4] == 3).all()
+    assert (plain_depth.fill_window(z)[1:4, 1:4] == 3).all()
     z[2, 2] = np.nan  # an outlet inside
-    assert np.nanmax(depth.fill_window(z)[1:4, 1:4]) == 2
+    assert np.nanmax(plain_depth.fill_window(z)[1:4, 1:4]) == 2
 
 
 def test_shore_distance_and_ring():
     inside = np.zeros((7, 7), bool)
     inside[2:5, 2:5] = True
-    assert depth.shore_distance(inside, 10.0) == 20.0
+    assert plain_depth.shore_distance(inside, 10.0) == 20.0
     z = np.add.outer(np.zeros(7), np.arange(7.0)) * 10
-    assert np.isclose(depth.ring_slope(z, inside, 10.0), 1.0)
-    assert depth.ring_slope(z, np.ones((7, 7), bool), 10.0) == 0.0
+    assert np.isclose(plain_depth.ring_slope(z, inside, 10.0), 1.0)
+    assert plain_depth.ring_slope(z, np.ones((7, 7), bool), 10.0) == 0.0
 
 
 def test_depth_records(spark):
@@ -34,6 +36,31 @@ def test_depth_records(spark):
     assert set(got) == {1, 2, 3}
 
 
+def test_depth_records_are_the_plain_ones(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k, (n, m) in enumerate([(20, 90), (13, 9), (1, 6), (30, 30), (8, 8)]):
+        z = rng.random((n, m)) * 5
+        z[rng.random((n, m)) < 0.03] = np.nan
+        inside = rng.random((n, m)) < (0.97 if k != 4 else 0)
+        inside[:3] &= k == 2
+        rows += [(k, i + 5, j - 3, float(z[i, j]) if k != 1 or j else None, bool(inside[i, j])) for i in range(n) for j in range(m) if k != 3 or (i + j) % 41]
+    schema = "comid long, row int, col int, value double, inside boolean"
+    frame = pd.DataFrame(rows, columns=["comid", "row", "col", "value", "inside"])
+    want = pd.concat([plain_depth.polygon_record(g, 10.0) for _, g in frame.groupby("comid")]).set_index("comid")
+    got = depth.depth_records(spark.createDataFrame(rows, schema).repartition(4), 10.0).toPandas().set_index("comid").loc[want.index]
+    assert list(got["method"]) == list(want["method"]) and list(got["n_inside"]) == list(want["n_inside"])
+    for c in ("mean_depth_m", "measured_max_m", "hollister_max_m", "range_m"):
+        assert np.allclose(got[c].astype(float), want[c].astype(float), equal_nan=True), c
+
+
+def test_batch_status(spark):
+    d = spark.createDataFrame([(1, 0, 0, 1.0, True), (2, 0, 0, float("nan"), True), (3, 0, 0, 1.0, None)], "comid long, row int, col int, value double, inside boolean")
+    p = spark.createDataFrame([(1,), (1,), (2,), (3,), (4,), (None,)], "comid long")
+    assert tuple(depth.batch_status(p, d).first()) == (4, 1, 2, 0.25, True)
+    assert tuple(depth.batch_status(p.limit(0), d).first()) == (0, 0, 0, None, False)
+
+
 def test_depth_fill_ladder(spark):
     rows = [(1, "LakePond", "17", 1.0, 3.0, False), (2, "LakePond", "17", 2.0, 3.0, False), (3, "LakePond", "17", None, 3.0, True), (4, "LakePond", "9", None, 3.0, True), (5, "Playa", "2", None, None, True), (6, "LakePond", "17", 900.0, 3.0, False)]
     d = spark.createDataFrame(rows, "comid long, ftype string, ecoregion string, dprst_depth_m double, hollister_max_m double, flat boolean")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plain_depth import fill_window
 from tarnworks.core import checks
 from tarnworks.core.graph import connected_components
 from tarnworks.functions import scalar
@@ -192,8 +193,6 @@ def test_reach_and_fill_have_no_silent_limit(spark):
 
 
 def test_fill_is_the_priority_flood(spark):
-    from tarnworks.operators.depth import fill_window
-
     rng = np.random.default_rng(5)
     grids = {1: rng.integers(0, 6, (17, 23)).astype(float), 2: rng.random((9, 30)), 3: np.full((6, 6), 2.0), 4: rng.integers(0, 90, (25, 25)).astype(float)}
     grids[2][rng.random((9, 30)) < 0.08] = np.nan
