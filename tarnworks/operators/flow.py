@@ -28,8 +28,9 @@ def pointers(codes: DataFrame, width: int, region: str | None = None) -> DataFra
     return d.join(known, "to", "left").select("cell", F.when(F.coalesce("there", F.lit(False)) & (F.col("r") == F.col("to_r")), F.col("to")).alias("next"))
 
 
-def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40) -> DataFrame:
+def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40, width: int | None = None) -> DataFrame:
     """(cell, end, cyclic): where each cell's path stops; cells on or above a cycle are cyclic.
+    With the table's ``width``, also ``box``: the rows and columns (r0, r1, c0, c1) of the path.
 
     Paths stop at cells of ``stop`` (cell) and where next is null. Pointers double; a cell that
     points at an end is done and leaves the loop, so only open cells meet the cells that they
@@ -39,16 +40,23 @@ def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40) -> DataFrame:
     halts = stop.select("cell").distinct().withColumn("halt", F.lit(True))
     d = ptr.join(halts, "cell", "left")
     ends = F.coalesce("halt", F.lit(False)) | F.col("next").isNull()
-    state = materialize(d.select("cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("done")), "flow-paths")
+    start = ["cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("done")]
+    path = []  # the box of a cell's path up to its end; a longer path's box holds both parts
+    if width is not None:
+        row, col = F.floor(F.col("cell") / width), F.pmod(F.col("cell"), F.lit(width))
+        start.append(F.struct(row.alias("r0"), row.alias("r1"), col.alias("c0"), col.alias("c1")).alias("box"))
+        least, most = (lambda c: F.least(f"box.{c}", f"rest.{c}").alias(c)), (lambda c: F.greatest(f"box.{c}", f"rest.{c}").alias(c))
+        path = [F.struct(least("r0"), most("r1"), least("c0"), most("c1")).alias("box")]
+    state = materialize(d.select(*start), "flow-paths")
     done, open_ = state.where("done"), state.where("NOT done")
     for _ in range(rounds):
-        ahead = done.unionByName(open_).select(F.col("cell").alias("end"), F.col("end").alias("far"), F.col("done").alias("final"))
-        moved = open_.join(ahead, "end").select("cell", F.col("far").alias("end"), F.col("final").alias("done"))
+        ahead = done.unionByName(open_).select(F.col("cell").alias("end"), F.col("end").alias("far"), F.col("done").alias("final"), *([F.col("box").alias("rest")] if path else []))
+        moved = open_.drop("done").join(ahead, "end").select("cell", F.col("far").alias("end"), F.col("final").alias("done"), *path)
         moved = materialize(moved, "flow-paths")
         if moved.where("done").isEmpty():
             break
         done, open_ = done.unionByName(moved.where("done")), moved.where("NOT done")
-    return done.unionByName(open_).select("cell", "end", (~F.col("done")).alias("cyclic"))
+    return done.unionByName(open_).select("cell", "end", (~F.col("done")).alias("cyclic"), *(["box"] if path else []))
 
 
 def downstream_reach(ptr: DataFrame, pour: DataFrame, barrier: DataFrame) -> DataFrame:
@@ -107,11 +115,22 @@ def regions(mask: DataFrame, width: int) -> DataFrame:
     return m.join(found, "cell", "left").select(*CELL, (F.coalesce("component", "cell") + 1).alias("label"))
 
 
-def own_terminus_share(ends: DataFrame, polygons: DataFrame) -> DataFrame:
-    """(comid, share) of polygon cells (cell, comid) whose path ends inside the same polygon."""
+def own_terminus_share(ends: DataFrame, polygons: DataFrame, pad: float | None = None, width: int | None = None) -> DataFrame:
+    """(comid, share) of polygon cells (cell, comid) whose path ends inside the same polygon.
+
+    With ``pad`` (cells) and the table's ``width``, only paths count that stay in the polygon's
+    box widened by ``pad`` or half the box's longer side; ``ends`` then needs the paths' boxes.
+    """
     inside = polygons.select(F.col("cell").alias("end"), F.col("comid").alias("end_comid")).distinct()
-    j = polygons.join(ends.where("NOT cyclic").select("cell", "end"), "cell", "left").join(inside, "end", "left")
-    own = j.groupBy("comid", "cell").agg(F.max(F.coalesce(F.col("end_comid") == F.col("comid"), F.lit(False)).cast("int")).alias("own"))
+    there = ends.where("NOT cyclic")
+    j = polygons.join(there.select("cell", "end", *(["box"] if pad is not None else [])), "cell", "left").join(inside, "end", "left")
+    stays = F.lit(True)
+    if pad is not None:
+        row, col = F.floor(F.col("cell") / width), F.pmod(F.col("cell"), F.lit(width))
+        j = j.join(polygons.groupBy("comid").agg(F.min(row).alias("y0"), F.max(row).alias("y1"), F.min(col).alias("x0"), F.max(col).alias("x1")), "comid")
+        room = F.greatest(F.lit(float(pad)), F.greatest(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")) / 2)
+        stays = (F.col("box.r0") >= F.col("y0") - room) & (F.col("box.r1") <= F.col("y1") + room) & (F.col("box.c0") >= F.col("x0") - room) & (F.col("box.c1") <= F.col("x1") + room)
+    own = j.groupBy("comid", "cell").agg(F.max(F.coalesce((F.col("end_comid") == F.col("comid")) & stays, F.lit(False)).cast("int")).alias("own"))
     return own.groupBy("comid").agg(F.avg("own").alias("share"))
 
 

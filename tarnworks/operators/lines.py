@@ -92,6 +92,26 @@ def flow_through(lines: DataFrame, polygons: DataFrame, line: str = "line_id", z
     return twice.union(through).distinct()
 
 
+#: Polygon kinds that never flow through: fixed values.
+STILL = ["Playa", "Ice Mass"]
+
+
+def flowing_polygons(lines: DataFrame, polygons: DataFrame, kinds: DataFrame, channels: DataFrame, routed: DataFrame | None = None, network: DataFrame | None = None, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+    """(zone) of polygons on the stream: a line flows through them, the upstream end of a line of
+    ``routed`` (line; default all) lies inside, or they meet a polygon of ``channels``.
+
+    ``kinds`` is (zone, ftype): the still kinds and zones without a kind are left out; with
+    ``network`` (zone), so are zones that it does not hold. A line's first point is its upstream end.
+    """
+    through = flow_through(lines, polygons, line, zone, size)
+    first = lines.groupBy(line).agg(F.min(F.struct("seq", F.col("x1").alias("x"), F.col("y1").alias("y"))).alias("p")).select(line, "p.x", "p.y")
+    first = first if routed is None else first.join(routed.select(line), line, "left_semi")
+    started = points_in_polygons(first, polygons, line, zone, size).select(zone)
+    found = through.union(started).union(intersecting(polygons, channels, zone, size)).distinct()
+    found = found.join(kinds.where(~F.col("ftype").isin(STILL)).select(zone), zone, "left_semi")
+    return found if network is None else found.join(network.select(zone), zone, "left_semi")
+
+
 def intersecting(polygons: DataFrame, targets: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
     """(zone) of polygons that meet a target polygon: edges that cross, or a corner inside."""
     a, b = polygons.select(zone, *SEG), targets.select(F.col(zone).alias("target"), *SEG)

@@ -201,3 +201,15 @@ def jon06(spark, sf):
  SELECT zone_id, count(*) AS n_cells FROM a WHERE w > 1e-9 GROUP BY zone_id""")
 def jon18(spark, sf):
     return zonal.cells_per_zone(vector.coverage(_edges(spark, sf)).where("w > 1e-9"))
+
+
+KINDS = "SELECT s_suppkey AS zone_id, CASE WHEN s_nationkey % 6 = 0 THEN 'Playa' WHEN s_nationkey % 6 = 1 THEN 'Ice Mass' ELSE 'LakePond' END AS ftype FROM supplier"
+
+
+@query("jon08_flowing_polygons", f"""{OVER}, c AS (SELECT * FROM ({OTHER}) WHERE zone_id % 3 > 0), x AS (SELECT zone_id FROM v WHERE overlap > 0 AND a < x0 AND b > xe UNION SELECT zone_id FROM l JOIN sh ON y >= y0 AND y < y1 AND l.a >= x0 AND l.a < CASE WHEN y < ym THEN x1 ELSE xm END WHERE line_id % 3 > 0
+ UNION SELECT sh.zone_id FROM sh, c WHERE least(sh.x1, c.x1) > greatest(sh.x0, c.x0) AND least(sh.y1, c.y1) > greatest(sh.y0, c.y0) AND NOT (c.x0 >= sh.xm AND c.y0 >= sh.ym)) SELECT x.zone_id FROM x JOIN ({KINDS}) k USING (zone_id) JOIN (SELECT DISTINCT l_suppkey AS zone_id FROM lineitem) n USING (zone_id) WHERE ftype = 'LakePond'""")
+def jon08f(spark, sf):
+    kinds = spark.sql(KINDS.replace("FROM supplier", "FROM {su}"), su=table(spark, sf, "supplier"))
+    l = _lines(spark, sf)
+    network = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("zone_id"))
+    return lines.flowing_polygons(l, _edges(spark, sf), kinds, _other(spark, sf), l.where("line_id % 3 > 0").select("line_id"), network, size=5.0)

@@ -259,6 +259,16 @@ def grf07(spark, sf):
     return flow.own_terminus_share(flow.path_ends(ptr, pour.select("cell").union(bar)), poly)
 
 
+@query("grf07_within_window", FLOW + """, wb AS (SELECT cell, min(floor(cur / 64)) AS p0, max(floor(cur / 64)) AS p1, min(cur % 64) AS q0, max(cur % 64) AS q1 FROM walk GROUP BY cell),
+ pb AS (SELECT floor(cell / 7) AS k, min(floor(cell / 64)) AS y0, max(floor(cell / 64)) AS y1, min(cell % 64) AS x0, max(cell % 64) AS x1 FROM cod WHERE wet GROUP BY floor(cell / 7)), pr AS (SELECT *, greatest(1, greatest(y1 - y0, x1 - x0) / 2) AS pad FROM pb)
+ SELECT CAST(floor(c.cell / 7) AS BIGINT) AS comid, avg(CASE WHEN floor(e.fin / 7) = floor(c.cell / 7) AND fw.wet AND p0 >= y0 - pad AND p1 <= y1 + pad AND q0 >= x0 - pad AND q1 <= x1 + pad THEN 1.0 ELSE 0 END) AS share
+ FROM cod c LEFT JOIN fin e USING (cell) LEFT JOIN cod fw ON fw.cell = e.fin LEFT JOIN wb ON wb.cell = c.cell JOIN pr ON pr.k = floor(c.cell / 7) WHERE c.wet GROUP BY floor(c.cell / 7)""", G)
+def grf07w(spark, sf):
+    codes, ptr, pour, bar = _flow(spark, sf)
+    poly = codes.where("wet").select("cell", F.floor(F.col("cell") / 7).cast("long").alias("comid"))
+    return flow.own_terminus_share(flow.path_ends(ptr, pour.select("cell").union(bar), width=64), poly, pad=1, width=64)
+
+
 LEAST = """w(a, b) USING KEY (a) AS (SELECT n, n FROM v UNION SELECT e.b, min(w.b) FROM w JOIN e ON e.a = w.a JOIN recurring.w r ON r.a = e.b WHERE w.b < r.b GROUP BY e.b)"""
 
 

@@ -96,6 +96,15 @@ def test_d8_reach(spark):
     assert rows(both, "cell", "drains") == [(0, 1), (1, 1), (2, 1), (3, 0)]
 
 
+def test_own_terminus_within_window(spark):
+    # Out along the first row, back along the second: both ends in one polygon.
+    ptr = chain(spark, [*[1] * 8, 4, 255, *[16] * 8], 9)
+    ends = flow.path_ends(ptr, cell(spark, [9]), width=9)
+    polygon = spark.createDataFrame([(0, 5), (9, 5)], "cell long, comid long")
+    share = lambda **limit: rows(flow.own_terminus_share(ends, polygon, **limit), "comid", "share")
+    assert share() == [(5, 1.0)] and share(pad=8, width=9) == [(5, 1.0)] and share(pad=7, width=9) == [(5, 0.5)]
+
+
 def test_accumulation(spark):
     assert rows(flow.flow_accumulation(chain(spark, [1, 1, 1, 255], 4)), "cell", "upslope") == [(0, 0), (1, 1), (2, 2), (3, 3)]
 
