@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarnworks.llm import bpe, chat, dedup, langid, license, media, packing, secretscan, topk, urlfilter
+from tarnworks.llm import balltree, bpe, bursttrie, chat, dedup, langid, license, media, packing, secretscan, topk, urlfilter, warc
 
 QUERIES = {
     "op1_media_avi": media.op1_media_avi,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_license_rules": license.op8_license_rules,
     "op9_maxscore_topk": topk.op9_maxscore_topk,
     "op10_superminhash": dedup.op10_superminhash,
+    "op11_warc_salvage": warc.op11_warc_salvage,
+    "op12_ball_tree_search": balltree.op12_ball_tree_search,
+    "op13_burst_trie": bursttrie.op13_burst_trie,
 }
 SQL = {
     "op4_temporal_url_lists": urlfilter.OP4_SQL,
@@ -22,4 +25,7 @@ SQL = {
     "op5_chat_tree": chat.OP5_SQL,
     "op9_maxscore_topk": topk.OP9_SQL,
     "op10_superminhash": dedup.OP10_SQL,
+    "op11_warc_salvage": warc.OP11_SQL,
+    "op12_ball_tree_search": balltree.OP12_SQL,
+    "op13_burst_trie": bursttrie.OP13_SQL,
 }
