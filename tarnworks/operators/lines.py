@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.core.io import materialize
+from tarnworks.operators.polygon_index import SEG, points_in_cover, polygon_cover, touched_cells
 from tarnworks.operators.vector import points_in_polygons
 
-SEG = ["x1", "y1", "x2", "y2"]
-
 
 def _binned(edges: DataFrame, size: float) -> DataFrame:
-    """An edge for each square bin of its bounding box."""
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / size).cast("long"), F.floor(F.greatest(a, b) / size).cast("long"))
-    return edges.withColumn("bx", F.explode(span("x1", "x2"))).withColumn("by", F.explode(span("y1", "y2")))
+    """An edge for each square bin that it touches."""
+    return touched_cells(edges, size).withColumnsRenamed({"cx": "bx", "cy": "by"})
 
 
 def _met(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
@@ -47,9 +45,10 @@ def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: f
     (piece, zone) whose middle is inside, and the (piece, zone, along) whose middle lies on the
     polygon's own boundary; ``along`` is positive where the boundary runs the same way."""
     cuts = line_cuts(lines, polygons, line, zone, size)
+    cover = polygon_cover(polygons, zone, size)
     # Edges that lie inside a polygon without meeting its boundary: by their first point.
     start = lines.select(F.concat_ws("/", line, "seq").alias("point_id"), F.col("x1").alias("x"), F.col("y1").alias("y"), line, "seq")
-    inside = points_in_polygons(start.select("point_id", "x", "y"), polygons, "point_id", zone, size).join(start.select("point_id", line, "seq"), "point_id").select(line, "seq", zone)
+    inside = points_in_cover(start.select("point_id", "x", "y"), cover, "point_id", zone, size).join(start.select("point_id", line, "seq"), "point_id").select(line, "seq", zone)
     ends = F.array(F.lit(0.0), F.lit(1.0))
     every = cuts.select(line, "seq", zone, F.array("t").alias("ts")).unionByName(inside.select(line, "seq", zone, ends.alias("ts")))
     knots = every.groupBy(line, "seq", zone).agg(F.array_sort(F.array_distinct(F.concat(F.flatten(F.collect_list("ts")), ends))).alias("k"))
@@ -59,7 +58,7 @@ def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: f
     piece = F.concat_ws("/", line, "seq", zone, F.col("a").cast("string")).alias("piece")
     at = at.select(line, zone, piece, *[point(F.col(t), c).alias(f"{t}{c}") for t in "ab" for c in "xy"], *[point((F.col("a") + F.col("b")) / 2, c).alias(c) for c in "xy"])
     at = at.withColumn("len", F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2))
-    hit = points_in_polygons(at.select("piece", "x", "y"), polygons, "piece", zone, size)
+    hit = points_in_cover(at.select("piece", "x", "y"), cover, "piece", zone, size)
     way = at.select("piece", zone, (F.col("bx") - F.col("ax")).alias("wx"), (F.col("by") - F.col("ay")).alias("wy"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     near = _met(way, polygons.select(zone, *SEG), size).where(F.col(f"{zone}_b") == F.col(zone))
     ex, ey = F.col("x2_b") - F.col("x1_b"), F.col("y2_b") - F.col("y1_b")

@@ -52,3 +52,24 @@ def exact_percentiles(df: DataFrame, value: str, at: list[float], by: list[str]
     between = F.col("a") + (F.col("b") - F.col("a")) * (place(F.col("x.q")) - low)
     found = ends.groupBy(*by).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("x.i", between.alias("v")))).alias("q"))
     return found.select(*by, F.coalesce("n", F.lit(0)).alias("n"), F.transform("q", lambda x: x["v"]).alias("q"))
+
+
+def weighted_quantiles(df: DataFrame, value: str, weight: str, at: list[float], by: list[str]) -> DataFrame:
+    """(by ..., q): per group, for each share of ``at``, the smallest value whose weight, summed from
+    below, reaches that share of the group's weight.
+
+    ``df`` has a row for each distinct value of a group; nulls are left out. Rows are range-partitioned
+    by group and value; a partition holds running weights, moved by the sums of those before, so
+    that a group of any size is spread over tasks.
+    """
+    part = materialize(df.where(F.col(value).isNotNull()).repartitionByRange(*by, value).withColumn("_part", F.spark_partition_id()), "quantile-ranges")
+    group = Window.partitionBy(*by)  # a row a partition
+    sizes = part.groupBy(*by, "_part").agg(F.sum(weight).alias("_size"))
+    sizes = sizes.withColumns({"_offset": F.coalesce(F.sum("_size").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)), "_all": F.sum("_size").over(group)}).drop("_size")
+    # A partition holds few groups or a piece of one, so sizes has about a row a group and partition.
+    sizes = sizes.withColumnsRenamed({"_part": "_at"} | {c: f"_by{i}" for i, c in enumerate(by)})
+    same = [F.col("_part") == F.col("_at"), *[F.equal_null(c, F.col(f"_by{i}")) for i, c in enumerate(by)]]
+    upto = F.sum(weight).over(Window.partitionBy(*by, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    own = part.withColumn("_upto", upto).join(sizes, same).withColumn("_share", (F.col("_offset") + F.col("_upto")) / F.col("_all"))
+    cuts = [F.min(F.when(F.col("_share") >= q - 1e-12, F.col(value))) for q in at]
+    return own.groupBy(*by).agg(F.array(*cuts).alias("q"))

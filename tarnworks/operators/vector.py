@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.operators.polygon_index import points_in_cover, polygon_cover
+
 
 def coverage(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
     """(zone, row, col, w): the share of each unit cell that each polygon covers.
@@ -50,22 +52,10 @@ def measures(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
     return s.select(zone, F.abs(F.col("k") / 2).alias("area"), (F.col("mx") / (3 * F.col("k"))).alias("cx"), (F.col("my") / (3 * F.col("k"))).alias("cy"), "xmin", "ymin", "xmax", "ymax")
 
 
-def _bins(low, high, size: float):
-    return F.sequence(F.floor(low / size).cast("long"), F.floor(high / size).cast("long"))
-
-
 def points_in_polygons(points: DataFrame, edges: DataFrame, point: str = "point_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
-    """(point, zone) of points (point, x, y) inside polygons: an odd number of edges to the right.
-
-    Edges meet the points of the y bins they cross, of height ``size``: choose it near the
-    edges' height, so that an edge lies in few bins and a bin holds few edges.
-    """
-    e = edges.where("y1 <> y2").withColumn("bin", F.explode(_bins(F.least("y1", "y2"), F.greatest("y1", "y2"), size)))
-    p = points.select(point, "x", "y", F.floor(F.col("y") / size).cast("long").alias("bin"))
-    spans = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    right = F.col("x") < F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    hits = p.join(e.select(zone, "x1", "y1", "x2", "y2", "bin"), "bin").where(spans & right)
-    return hits.groupBy(point, zone).agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").select(point, zone)
+    """(point, zone) of points (point, x, y) inside polygons, over their quadtree cover of cells of
+    ``size``; see ``polygon_index``."""
+    return points_in_cover(points, polygon_cover(edges, zone, size), point, zone, size)
 
 
 def first_polygon(points: DataFrame, edges: DataFrame, label: str = "unassigned", point: str = "point_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:

@@ -5,33 +5,38 @@ Inputs are (zone, value or class, w) rows: a cell's coverage by a zone is ``w``.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.core.io import materialize
+from tarnworks.operators.ranks import weighted_quantiles
+
 
 def continuous(cells: DataFrame, zone: str = "zone_id", value: str = "value", w: str = "w", quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count (sum of coverage), mean, std (population), min, quantiles, max, sum of each zone.
 
     A null value is no cell; a zone without a valid cell keeps its row with count 0 and null
     statistics. Quantile q: the smallest value whose weight, summed from below, reaches q of
-    the zone's weight. Equal values are summed first, so a zone's window holds its distinct
-    values alone.
+    the zone's weight. Equal values of a zone are summed and written first; quantiles come from
+    running weights over range partitions, and the deviation from a second pass about the mean,
+    so that neither a zone of all cells nor values far from zero do harm.
     """
-    zones = cells.groupBy(zone).agg(
-        F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col(w))), F.lit(0.0)).alias("count"),
-        (F.sum(F.col(w) * F.col(value)) / F.sum(F.when(F.col(value).isNotNull(), F.col(w)))).alias("mean"),
-        (F.sum(F.col(w) * F.col(value) * F.col(value)) / F.sum(F.when(F.col(value).isNotNull(), F.col(w)))).alias("square"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.sum(F.col(w) * F.col(value)).alias("sum"),
-    )
-    zones = zones.withColumn("std", F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))).drop("square")
-    by_value = cells.where(F.col(value).isNotNull()).groupBy(zone, value).agg(F.sum(w).alias("n"))
-    up = Window.partitionBy(zone).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(zone)
-    share = by_value.withColumn("share", F.sum("n").over(up) / F.sum("n").over(whole))
-    cut = share.groupBy(zone).agg(*[F.min(F.when(F.col("share") >= q - 1e-12, F.col(value))).alias(f"p{int(100 * q)}") for q in quantiles])
-    return zones.join(cut, zone, "left")
+    by_value = materialize(cells.groupBy(F.col(zone).alias("zone"), F.col(value).cast("double").alias("value")).agg(F.sum(w).alias("n")), "zone-values")
+    x, n = F.col("value"), F.col("n")
+    valid = F.sum(F.when(x.isNotNull(), n))
+    zones = by_value.groupBy("zone").agg(F.coalesce(valid, F.lit(0.0)).alias("count"), (F.sum(n * x) / valid).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"), F.sum(n * x).alias("sum"))
+    zones = materialize(zones, "zone-means")
+    keyed = lambda d: d.withColumnRenamed("zone", "_zone")
+    same = F.equal_null("zone", "_zone")
+    about = by_value.where(x.isNotNull()).join(keyed(zones.select("zone", "mean")), same).select("zone", (n * (x - F.col("mean")) ** 2).alias("square"), "n")
+    std = about.groupBy("zone").agg(F.sqrt(F.sum("square") / F.sum("n")).alias("std"))
+    cut = weighted_quantiles(by_value, "value", "n", list(quantiles), ["zone"])
+    cut = cut.select("zone", *[F.get("q", F.lit(i)).alias(f"p{int(100 * q)}") for i, q in enumerate(quantiles)])
+    out = zones.join(keyed(std), same, "left").drop("_zone").join(keyed(cut), same, "left").drop("_zone")
+    return out.withColumnRenamed("zone", zone)
 
 
 def histogram(cells: DataFrame, zone: str = "zone_id", klass: str = "class", w: str = "w") -> DataFrame:
@@ -100,7 +105,9 @@ def series(weights: DataFrame, grid: DataFrame, values: list[str], zone: str = "
     """Per zone and day, for each variable: masked mean, std, min, max, sum and count over the
     valid cells, and the plain mean and sum, which are null where any cell is.
 
-    ``weights`` is (zone, row, col, w), ``grid`` (date, row, col, variables).
+    ``weights`` is (zone, row, col, w), ``grid`` (date, row, col, variables). Deviations are taken
+    from sums of squares; zones and days whose deviation is so much smaller than their mean that
+    this loses digits get a second pass about the mean (equal cells have 0).
     """
     j = weights.join(grid, ["row", "col"])
     out = []
@@ -108,9 +115,10 @@ def series(weights: DataFrame, grid: DataFrame, values: list[str], zone: str = "
         x, w = F.col(v), F.col("w")
         n = F.sum(F.when(x.isNotNull(), w))
         mean, full = F.sum(w * x) / n, F.count_if(x.isNull()) == 0
+        square = F.greatest(F.sum(w * x * x) / n - mean * mean, F.lit(0.0))
         out += [
             mean.alias(f"{v}_masked_mean"),
-            F.sqrt(F.greatest(F.sum(w * x * x) / n - mean * mean, F.lit(0.0))).alias(f"{v}_masked_std"),
+            F.when(F.min(x) == F.max(x), 0.0).otherwise(F.sqrt(square)).alias(f"{v}_masked_std"),
             F.min(x).alias(f"{v}_masked_min"),
             F.max(x).alias(f"{v}_masked_max"),
             F.sum(w * x).alias(f"{v}_masked_sum"),
@@ -118,7 +126,16 @@ def series(weights: DataFrame, grid: DataFrame, values: list[str], zone: str = "
             F.when(full, mean).alias(f"{v}_mean"),
             F.when(full, F.sum(w * x)).alias(f"{v}_sum"),
         ]
-    return j.groupBy(zone, date).agg(*out)
+    found = materialize(j.groupBy(zone, date).agg(*out), "zone-series")
+    # Sums of squares keep about 16 digits of mean squared.
+    loses = lambda v: (F.col(f"{v}_masked_min") < F.col(f"{v}_masked_max")) & (F.col(f"{v}_masked_std") < 1e-3 * F.abs(f"{v}_masked_mean"))
+    again = found.where(reduce(or_, [loses(v) for v in values])).select(zone, date, *[f"{v}_masked_mean" for v in values])
+    if again.isEmpty():
+        return found
+    about = [F.sqrt(F.sum(F.col("w") * (F.col(v) - F.col(f"{v}_masked_mean")) ** 2) / F.sum(F.when(F.col(v).isNotNull(), F.col("w")))).alias(f"_{v}") for v in values]
+    exact = j.join(again, [zone, date]).groupBy(zone, date).agg(*about)
+    better = found.join(exact, [zone, date], "left")
+    return better.withColumns({f"{v}_masked_std": F.when(loses(v), F.col(f"_{v}")).otherwise(F.col(f"{v}_masked_std")) for v in values}).select(*found.columns)
 
 
 def snow_cover(swe):
