@@ -1,11 +1,18 @@
-"""Flow on D8 grids and graphs: reach, labels, accumulation and regions, by pointer doubling.
+"""Flow on D8 grids and graphs: reach, labels, accumulation and regions.
 
-A pointer table is (cell, next); a null next ends a path. Every loop writes its state to the
-shared folder each round, and the rounds are the logarithm of the longest path.
+A pointer table is (cell, next), with a ``block`` of cells that lie together where there is one; a
+null next ends a path. Paths are contracted inside blocks first, then doubled over what is left.
+Every loop writes its state to the shared folder each round, and the rounds are the logarithm of
+the longest path.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,35 +35,104 @@ def pointers(codes: DataFrame, width: int, region: str | None = None) -> DataFra
     return d.join(known, "to", "left").select("cell", F.when(F.coalesce("there", F.lit(False)) & (F.col("r") == F.col("to_r")), F.col("to")).alias("next"))
 
 
-def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40, width: int | None = None) -> DataFrame:
-    """(cell, end, cyclic): where each cell's path stops; cells on or above a cycle are cyclic.
-    With the table's ``width``, also ``box``: the rows and columns (r0, r1, c0, c1) of the path.
-
-    Paths stop at cells of ``stop`` (cell) and where next is null. Pointers double; a cell that
-    points at an end is done and leaves the loop, so only open cells meet the cells that they
-    point at and ends gather nobody. Distances to an end have no gaps: a round that finishes no
-    cell leaves the cyclic ones, whose ``end`` is some cell on the way.
-    """
-    halts = stop.select("cell").distinct().withColumn("halt", F.lit(True))
-    d = ptr.join(halts, "cell", "left")
-    ends = F.coalesce("halt", F.lit(False)) | F.col("next").isNull()
-    start = ["cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("done")]
-    path = []  # the box of a cell's path up to its end; a longer path's box holds both parts
-    if width is not None:
-        row, col = F.floor(F.col("cell") / width), F.pmod(F.col("cell"), F.lit(width))
-        start.append(F.struct(row.alias("r0"), row.alias("r1"), col.alias("c0"), col.alias("c1")).alias("box"))
-        least, most = (lambda c: F.least(f"box.{c}", f"rest.{c}").alias(c)), (lambda c: F.greatest(f"box.{c}", f"rest.{c}").alias(c))
-        path = [F.struct(least("r0"), most("r1"), least("c0"), most("c1")).alias("box")]
-    state = materialize(d.select(*start), "flow-paths")
+def in_tiles(ptr: DataFrame, width: int, tile: int = 512) -> DataFrame:
+    """Pointers of a grid of ``width`` columns with the square tile that each cell lies in."""
+    row, col = F.floor(F.col("cell") / width), F.pmod(F.col("cell"), F.lit(width))
+    return ptr.withColumn("block", (F.floor(row / tile) * math.ceil(width / tile) + F.floor(col / tile)).cast("long"))
+
+
+def _parts(ptr: DataFrame) -> DataFrame:
+    """Pointers with the part that is contracted together: their tile, or a range of cells."""
+    if "block" in ptr.columns:
+        return ptr.withColumnRenamed("block", "part")
+    return materialize(ptr.repartitionByRange("cell").withColumn("part", F.spark_partition_id()), "flow-parts")
+
+
+def _local(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A part's cells in order, where each points inside the part (itself if nowhere), the cell that
+    it points at outside, and whether it ends or leaves the part there."""
+    cell = table["cell"].to_numpy()
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    there = table["next"].combine_chunks()
+    goes = there.is_valid().to_numpy(zero_copy_only=False)[order] & ~table["halt"].to_numpy()[order]
+    to = there.fill_null(0).to_numpy()[order]
+    at = np.searchsorted(cell, to)
+    at[at == len(cell)] = 0
+    inner = goes & (cell[at] == to)
+    return cell, np.where(inner, at, np.arange(len(cell))), to, ~goes, goes & ~inner
+
+
+def _doubled(state: DataFrame, rounds: int, box: list[str]) -> DataFrame:
+    """(cell, end, done, loops, box): pointers (cell, end) followed until a done one. Only open rows
+    meet the rows that they point at. Distances to an end have no gaps: a round that finishes no row
+    leaves the cyclic ones, whose ``end`` is some cell on the way."""
+    least, most = (lambda c: F.least(f"box.{c}", f"rest.{c}").alias(c)), (lambda c: F.greatest(f"box.{c}", f"rest.{c}").alias(c))
+    path = [F.struct(least("r0"), most("r1"), least("c0"), most("c1")).alias("box")] if box else []
+    state = materialize(state, "flow-paths")
     done, open_ = state.where("done"), state.where("NOT done")
     for _ in range(rounds):
-        ahead = done.unionByName(open_).select(F.col("cell").alias("end"), F.col("end").alias("far"), F.col("done").alias("final"), *([F.col("box").alias("rest")] if path else []))
-        moved = open_.drop("done").join(ahead, "end").select("cell", F.col("far").alias("end"), F.col("final").alias("done"), *path)
+        if open_.isEmpty():
+            break
+        ahead = done.unionByName(open_).select(F.col("cell").alias("end"), F.col("end").alias("far"), F.col("done").alias("final"), F.col("loops").alias("far_loops"), *[F.col(b).alias("rest") for b in box])
+        moved = open_.drop("done", "loops").join(ahead, "end").select("cell", F.col("far").alias("end"), F.col("final").alias("done"), F.col("far_loops").alias("loops"), *path)
         moved = materialize(moved, "flow-paths")
         if moved.where("done").isEmpty():
             break
         done, open_ = done.unionByName(moved.where("done")), moved.where("NOT done")
-    return done.unionByName(open_).select("cell", "end", (~F.col("done")).alias("cyclic"), *(["box"] if path else []))
+    return done.unionByName(open_)
+
+
+PATH = "cell long, root long, kind int, onward long"
+BOX = ["r0", "r1", "c0", "c1"]
+
+
+def path_ends(ptr: DataFrame, stop: DataFrame, rounds: int = 40, width: int | None = None) -> DataFrame:
+    """(cell, end, cyclic): where each cell's path stops; cells on or above a cycle are cyclic.
+    With the table's ``width``, also ``box``: the rows and columns (r0, r1, c0, c1) of the path.
+
+    Paths stop at cells of ``stop`` (cell), where next is null and where next is no cell. Two levels:
+    a task follows the paths inside its part (a tile of ``in_tiles``, else a range of cells) to
+    their ends or to the cells where they leave it; only these border cells are then followed from
+    part to part by doubling, and one join gives every cell the end of its border cell. ``end`` of
+    a cyclic cell is some cell on the way. Cells that are no longs are doubled one by one.
+    """
+    halts = stop.select("cell").distinct().withColumn("halt", F.lit(True))
+    d = ptr.join(halts, "cell", "left").withColumn("halt", F.coalesce("halt", F.lit(False)))
+    if dict(ptr.dtypes)["cell"] != "bigint":
+        ends = F.col("halt") | F.col("next").isNull()
+        state = d.select("cell", F.when(ends, F.col("cell")).otherwise(F.col("next")).alias("end"), ends.alias("done"), F.lit(False).alias("loops"))
+        return _doubled(state, rounds, []).select("cell", "end", (~F.col("done") | F.col("loops")).alias("cyclic"))
+    boxed = width is not None
+
+    def contract(table: pa.Table) -> pa.Table:
+        cell, p, to, ends, leaves = _local(table)
+        first = p
+        boxes = [cell // width, cell // width, cell % width, cell % width] if boxed else []
+        for _ in range(len(cell).bit_length() + 1):
+            boxes = [pick(b, b[p]) for pick, b in zip((np.minimum, np.maximum) * 2, boxes)]
+            p, before = p[p], p
+            if np.array_equal(p, before):
+                break
+        kind = np.where(ends, 0, np.where(leaves, 1, 2))[p]  # a root that neither ends nor leaves is on a cycle
+        kind = np.where((first[p] == p) & (kind < 2), kind, 2)
+        columns = [pa.array(cell), pa.array(cell[p]), pa.array(kind.astype(np.int32)), pa.array(to, mask=~leaves)]
+        return pa.table([*columns, *map(pa.array, boxes)], names=["cell", "root", "kind", "onward", *(BOX if boxed else [])])
+
+    schema = PATH + "".join(f", {c} long" for c in BOX) if boxed else PATH
+    parted = _parts(d.select("cell", "next", "halt", *[c for c in ("block",) if c in ptr.columns]))
+    local = materialize(parted.groupBy("part").applyInArrow(contract, schema), "flow-local")
+    box = [F.struct(*BOX).alias("box")] if boxed else []
+    local = local.select("cell", "root", "kind", "onward", *box)
+    names = ["box"] if boxed else []
+    ahead = local.select(F.col("cell").alias("onward"), F.col("root").alias("end"), F.col("kind").alias("k"), *names)
+    border = local.where("kind = 1 AND cell = root").select("cell", "onward", *[F.col(b).alias("own") for b in names]).join(ahead, "onward", "left")
+    border = border.select("cell", F.coalesce("end", "cell").alias("end"), (F.coalesce("k", F.lit(0)) != 1).alias("done"), (F.coalesce("k", F.lit(0)) == 2).alias("loops"), *[F.coalesce(b, "own").alias(b) for b in names])
+    far = _doubled(border, rounds, names).select(F.col("cell").alias("root"), "end", (~F.col("done") | F.col("loops")).alias("cyclic"), *[F.col(b).alias("rest") for b in names])
+    least, most = (lambda c: F.least(f"box.{c}", f"rest.{c}").alias(c)), (lambda c: F.greatest(f"box.{c}", f"rest.{c}").alias(c))
+    whole = [F.struct(least("r0"), most("r1"), least("c0"), most("c1")).alias("box")] if boxed else []
+    left = local.where("kind = 1").join(far, "root").select("cell", "end", "cyclic", *whole)
+    return local.where("kind <> 1").select("cell", F.col("root").alias("end"), (F.col("kind") == 2).alias("cyclic"), *names).unionByName(left)
 
 
 def downstream_reach(ptr: DataFrame, pour: DataFrame, barrier: DataFrame) -> DataFrame:
@@ -83,26 +159,59 @@ def same_zone(reach: DataFrame, zones: DataFrame, land: DataFrame) -> DataFrame:
     return reach.where("label > 0").join(zones.select("cell", "zone_id"), "cell").where("label = zone_id").join(land.select("cell"), "cell", "left_semi").select("cell", "label")
 
 
-def flow_accumulation(ptr: DataFrame, rounds: int = 40) -> DataFrame:
-    """(cell, upslope): the cells above each cell, without itself. Cells on or above a cycle are
-    left out first.
+def _summed(state: DataFrame, rounds: int) -> DataFrame:
+    """(cell, a): each a and all above it on a forest (cell, far, a), far null at a root.
 
-    With P_k the 2 ** k-th cell down (null past the end), A(c) += sum of A(d) over d with
+    With P_k the 2 ** k-th cell down (null past the end), a(c) += sum of a(d) over d with
     P_k(d) = c: a cell at distance 2 ** k .. 2 ** (k + 1) - 1 has one ancestor at 2 ** k.
     """
-    ends = path_ends(ptr, ptr.where("next IS NULL").select("cell"))
-    good = ends.where("NOT cyclic").select("cell")
-    state = materialize(ptr.join(good, "cell", "left_semi").select("cell", F.col("next").alias("far"), F.lit(1).cast("long").alias("a")), "flow-sums")
+    state = materialize(state, "flow-sums")
     for _ in range(rounds):
-        if state.where("far IS NOT NULL").isEmpty():
-            break
         open_ = state.where("far IS NOT NULL")
+        if open_.isEmpty():
+            break
         add = open_.groupBy("far").agg(F.sum("a").alias("more")).withColumnRenamed("far", "cell")
         ahead = state.select(F.col("cell").alias("far"), F.col("far").alias("next"))
         moved = open_.join(ahead, "far").select("cell", F.col("next").alias("far"))
         sums = state.select("cell", "a").join(add, "cell", "left").join(moved, "cell", "left")
         state = materialize(sums.select("cell", "far", (F.col("a") + F.coalesce("more", F.lit(0))).alias("a")), "flow-sums", instead_of=state)
-    return state.select("cell", (F.col("a") - 1).alias("upslope"))
+    return state.select("cell", "a")
+
+
+def flow_accumulation(ptr: DataFrame, rounds: int = 40) -> DataFrame:
+    """(cell, upslope): the cells above each cell, without itself. Cells on or above a cycle are
+    left out first.
+
+    A task sums the cells of its part (see ``path_ends``) and hands on what leaves it; the forest of
+    these border cells, far fewer than cells, is summed by doubling; then every part is summed once
+    more with what flows in. So each pass writes every cell once, whatever the longest path.
+    """
+    parted = materialize(_parts(ptr.select("cell", "next", *[c for c in ("block",) if c in ptr.columns])), "flow-parted")
+    cyclic = path_ends(parted.withColumnRenamed("part", "block"), parted.where("next IS NULL").select("cell"), rounds).where("cyclic").select("cell")
+    good = materialize(parted.join(cyclic, "cell", "left_anti").withColumns({"halt": F.lit(False), "a": F.lit(1).cast("long")}), "flow-acyclic")
+
+    def sums(table: pa.Table) -> pa.Table:
+        cell, first, to, _, leaves = _local(table)
+        a = table["a"].to_numpy()[np.argsort(table["cell"].to_numpy(), kind="stable")].copy()
+        own = np.arange(len(cell))
+        p = np.where(first == own, -1, first)
+        while (live := np.flatnonzero(p >= 0)).size:
+            np.add.at(a, p[live], a[live].copy())
+            p[live] = p[p[live]]
+        root = first
+        for _ in range(len(cell).bit_length() + 1):
+            root = root[root]
+        return pa.table([pa.array(cell), pa.array(a), pa.array(cell[root]), pa.array(leaves[root]), pa.array(to, mask=~leaves)], names=["cell", "a", "root", "leaves", "onward"])
+
+    schema = "cell long, a long, root long, leaves boolean, onward long"
+    local = materialize(good.groupBy("part").applyInArrow(sums, schema), "flow-local")
+    ahead = local.select(F.col("cell").alias("onward"), F.when(F.col("leaves"), F.col("root")).alias("far"))
+    border = local.where("leaves AND cell = root").select("cell", "a", "onward").join(ahead, "onward", "left")
+    border = materialize(border, "flow-border")
+    total = _summed(border.select("cell", "far", "a"), rounds)
+    inflow = border.select("cell", "onward").join(total, "cell").groupBy("onward").agg(F.sum("a").alias("more")).withColumnRenamed("onward", "cell")
+    fed = good.join(inflow, "cell", "left").withColumn("a", F.col("a") + F.coalesce("more", F.lit(0))).drop("more")
+    return fed.groupBy("part").applyInArrow(sums, schema).select("cell", (F.col("a") - 1).alias("upslope"))
 
 
 def regions(mask: DataFrame, width: int) -> DataFrame:

@@ -40,12 +40,12 @@ def line_cuts(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone
     return p.select(line, "seq", zone, F.explode(F.coalesce(single, shared)).alias("t")).distinct()
 
 
-def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: float, cover: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Edges cut where they meet polygons: all pieces (line, zone, piece, ax, ay, bx, by, len), the
     (piece, zone) whose middle is inside, and the (piece, zone, along) whose middle lies on the
     polygon's own boundary; ``along`` is positive where the boundary runs the same way."""
     cuts = line_cuts(lines, polygons, line, zone, size)
-    cover = polygon_cover(polygons, zone, size)
+    cover = cover if cover is not None else polygon_cover(polygons, zone, size)
     # Edges that lie inside a polygon without meeting its boundary: by their first point.
     start = lines.select(F.concat_ws("/", line, "seq").alias("point_id"), F.col("x1").alias("x"), F.col("y1").alias("y"), line, "seq")
     inside = points_in_cover(start.select("point_id", "x", "y"), cover, "point_id", zone, size).join(start.select("point_id", line, "seq"), "point_id").select(line, "seq", zone)
@@ -68,26 +68,28 @@ def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: f
     return at, hit, edge
 
 
-def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0, cover: DataFrame | None = None) -> DataFrame:
     """(line, zone, overlap): length of each line inside each polygon, pairs above 1e-6 only.
 
     An edge is cut where it meets the polygon; pieces whose middle lies inside count whole, and
-    pieces on the polygon's own boundary count as inside.
+    pieces on the polygon's own boundary count as inside. A ``polygon_cover`` of the polygons can
+    be given.
     """
-    at, hit, edge = _pieces(lines, polygons, line, zone, size)
+    at, hit, edge = _pieces(lines, polygons, line, zone, size, cover)
     counted = hit.select("piece", zone).union(edge.select("piece", zone)).distinct()
     return at.join(counted, ["piece", zone], "left_semi").groupBy(line, zone).agg(F.sum("len").alias("overlap")).where("overlap > 1e-6")
 
 
-def flow_through(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+def flow_through(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0, cover: DataFrame | None = None) -> DataFrame:
     """(zone) of polygons that a line flows through: it meets the boundary twice or more, or both
     its ends lie outside and some length inside."""
+    cover = cover if cover is not None else polygon_cover(polygons, zone, size)
     cuts = line_cuts(lines, polygons, line, zone, size)
     twice = cuts.groupBy(line, zone).agg(F.count_distinct(F.struct(F.col("seq"), F.round("t", 9))).alias("n")).where("n >= 2").select(zone)
     low, high = F.min(F.struct("seq", F.col("x1").alias("x"), F.col("y1").alias("y"))), F.max(F.struct("seq", F.col("x2").alias("x"), F.col("y2").alias("y")))
     ends = lines.groupBy(line).agg(low.alias("a"), high.alias("b")).select(line, F.explode(F.array(F.struct("a.x", "a.y"), F.struct("b.x", "b.y"))).alias("p")).select(F.col(line).alias("point_id"), "p.x", "p.y")
-    touching = points_in_polygons(ends.withColumn("point_id", F.struct("point_id", "x", "y")), polygons, "point_id", zone, size).select(F.col("point_id.point_id").alias(line), zone)
-    through = overlap_lengths(lines, polygons, line, zone, size).join(touching, [line, zone], "left_anti").select(zone)
+    touching = points_in_cover(ends.withColumn("point_id", F.struct("point_id", "x", "y")), cover, "point_id", zone, size).select(F.col("point_id.point_id").alias(line), zone)
+    through = overlap_lengths(lines, polygons, line, zone, size, cover).join(touching, [line, zone], "left_anti").select(zone)
     return twice.union(through).distinct()
 
 
@@ -102,10 +104,11 @@ def flowing_polygons(lines: DataFrame, polygons: DataFrame, kinds: DataFrame, ch
     ``kinds`` is (zone, ftype): the still kinds and zones without a kind are left out; with
     ``network`` (zone), so are zones that it does not hold. A line's first point is its upstream end.
     """
-    through = flow_through(lines, polygons, line, zone, size)
+    cover = polygon_cover(polygons, zone, size)
+    through = flow_through(lines, polygons, line, zone, size, cover)
     first = lines.groupBy(line).agg(F.min(F.struct("seq", F.col("x1").alias("x"), F.col("y1").alias("y"))).alias("p")).select(line, "p.x", "p.y")
     first = first if routed is None else first.join(routed.select(line), line, "left_semi")
-    started = points_in_polygons(first, polygons, line, zone, size).select(zone)
+    started = points_in_cover(first, cover, line, zone, size).select(zone)
     found = through.union(started).union(intersecting(polygons, channels, zone, size)).distinct()
     found = found.join(kinds.where(~F.col("ftype").isin(STILL)).select(zone), zone, "left_semi")
     return found if network is None else found.join(network.select(zone), zone, "left_semi")

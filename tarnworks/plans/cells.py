@@ -195,7 +195,7 @@ FLOW = f"""+ cod AS ({CODES}), s(code, i, j) AS (VALUES (1, 0, 1), (2, 1, 1), (4
 def _flow(spark, sf):
     codes = spark.sql(CODES.replace("FROM grid", "FROM {grid}"), grid=model(spark, sf, "grid"))
     pour = codes.where("cell % 23 = 0").select("cell", (F.col("cell") % 97 + 1).alias("label"))
-    return codes, flow.pointers(codes, 64), pour, codes.where("cell % 31 = 0").select("cell")
+    return codes, flow.in_tiles(flow.pointers(codes, 64), 64), pour, codes.where("cell % 31 = 0").select("cell")
 
 
 @query("grd19_terminal_cells", f"+ cod AS ({CODES}) SELECT row, col FROM cod WHERE code = 0", G)
