@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.operators.lines import self_crossings
 from tarnworks.operators.ranks import exact_percentiles
 
 from tarnworks.core.checks import assert_none, assert_some, lookup, require_columns
@@ -158,13 +159,28 @@ def layer_audit(a: DataFrame, b: DataFrame, key: str, area: str) -> DataFrame:
     return own.join(F.broadcast(both))
 
 
-def ring_screening(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
-    """(zone, n_edges, area, unclosed): rings whose ends do not meet are unclosed: some corner is
-    not as often an edge's start as an edge's end."""
+def ring_screening(edges: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+    """(zone, n_edges, area, unclosed, n_crossings): rings whose ends do not meet are unclosed: some
+    corner is not as often an edge's start as an edge's end. ``n_crossings`` counts the pairs of
+    edges that cross or touch without being neighbours."""
     corner = F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"), F.lit(1).alias("d")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"), F.lit(-1).alias("d")))).alias("c")
     open_ = edges.select(zone, corner).groupBy(zone, "c.x", "c.y").agg(F.sum("c.d").alias("d")).where("d <> 0").select(zone).distinct().withColumn("unclosed", F.lit(True))
     g = edges.groupBy(zone).agg(F.count(F.lit(1)).alias("n_edges"), F.abs(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))
-    return g.join(open_, zone, "left").withColumn("unclosed", F.coalesce("unclosed", F.lit(False)))
+    g = g.join(open_, zone, "left").join(self_crossings(edges, zone, size), zone, "left")
+    return g.withColumns({"unclosed": F.coalesce("unclosed", F.lit(False)), "n_crossings": F.coalesce("n_crossings", F.lit(0))})
+
+
+def geometry_counts(layer: DataFrame, edges: DataFrame, zone: str = "zone_id", kind: str = "kind", size: float = 1.0) -> DataFrame:
+    """(kind, n_rows, n_empty, n_zero_area, n_unclosed, n_crossing): what a layer (zone, kind) holds.
+
+    A null kind is a row without geometry; a row without edges is empty; an area below 1e-12 is
+    none. Every row of the layer counts, and a zone's edges once.
+    """
+    d = layer.select(zone, kind).join(ring_screening(edges, zone, size), zone, "left")
+    return d.groupBy(kind).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("n_edges").isNull()).alias("n_empty"), F.count_if(F.col("area") < 1e-12).alias("n_zero_area"),
+        F.count_if("unclosed").alias("n_unclosed"), F.count_if(F.col("n_crossings") > 0).alias("n_crossing"),
+    )
 
 
 @dataclass(frozen=True)

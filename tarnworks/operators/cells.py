@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.core.checks import assert_none
+from tarnworks.core.io import materialize
+from tarnworks.operators.ranks import exact_percentiles
 
 CELL = ["row", "col"]
 
@@ -214,12 +216,17 @@ def fill_zone(primary: DataFrame, fill: DataFrame) -> DataFrame:
 
 
 def difference_statistics(a: DataFrame, b: DataFrame, region: str = "region") -> DataFrame:
-    """Per region over common valid cells: n, mean, mean_abs, std, p1, p50, p99, share within 0.1."""
-    j = a.select(*CELL, region, F.col("value").alias("x")).join(b.select(*CELL, F.col("value").alias("y")), CELL).where("x IS NOT NULL AND y IS NOT NULL").withColumn("d", F.col("x") - F.col("y"))
-    return j.groupBy(region).agg(
+    """Per region over common valid cells: n, mean, mean_abs, std, p1, p50, p95 and p99 of the
+    differences, and the share within 0.1. Percentiles come from range partitions."""
+    j = a.select(*CELL, region, F.col("value").alias("x")).join(b.select(*CELL, F.col("value").alias("y")), CELL).where("x IS NOT NULL AND y IS NOT NULL")
+    j = materialize(j.select(region, (F.col("x") - F.col("y")).alias("d")), "differences")
+    s = j.groupBy(region).agg(
         F.count(F.lit(1)).alias("n"), F.avg("d").alias("mean"), F.avg(F.abs("d")).alias("mean_abs"), F.stddev_pop("d").alias("std"),
-        *[F.percentile("d", F.lit(q / 100)).alias(f"p{q}") for q in (1, 50, 99)], F.avg((F.abs("d") <= 0.1).cast("double")).alias("within"),
+        F.avg((F.abs("d") <= 0.1).cast("double")).alias("within"),
     )
+    at = (1, 50, 95, 99)
+    q = exact_percentiles(j, "d", [p / 100 for p in at], [region]).select(F.col(region).alias("_region"), *[F.get("q", F.lit(i)).alias(f"p{p}") for i, p in enumerate(at)])
+    return s.join(q, F.equal_null(region, "_region"), "left").drop("_region")
 
 
 def gained_lost(new: DataFrame, old: DataFrame, region: str, cell_area: float) -> DataFrame:

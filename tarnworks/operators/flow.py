@@ -244,16 +244,16 @@ def own_terminus_share(ends: DataFrame, polygons: DataFrame, pad: float | None =
 
 
 def transitive_reach(seeds: DataFrame, adjacency: DataFrame, targets: DataFrame, rounds: int = 60) -> DataFrame:
-    """(seed, key): the target keys that each seed reaches over an adjacency (a, b), both ways,
-    however far.
+    """(seed, key): the smallest target key that each seed reaches over an adjacency (a, b), both
+    ways, however far; a seed that reaches none has no row.
 
-    Seeds and targets of one component meet; ids are long. Raises when ``rounds`` of the
-    components do not suffice.
+    Ids are long. A component keeps one key, so however many seeds and targets it has, each seed
+    gives a row. Raises when ``rounds`` of the components do not suffice.
     """
     found = connected_components(adjacency, rounds=rounds)
     of = lambda d, name: d.join(found.withColumnRenamed("node", name), name, "left").select(name, F.coalesce("component", name).alias("component"))
     s, t = (of(d.select(name).where(F.col(name).isNotNull()).distinct(), name) for d, name in ((seeds, "seed"), (targets, "key")))
-    return s.join(t, "component").select("seed", "key")
+    return s.join(t.groupBy("component").agg(F.min("key").alias("key")), "component").select("seed", "key")
 
 
 def tile_components(membership: DataFrame) -> DataFrame:

@@ -163,3 +163,67 @@ def overlap_areas(a: DataFrame, b: DataFrame, zone: str = "zone_id", size: float
     cross = (F.col("ax") - F.col("x0")) * (F.col("by") - F.col("y0")) - (F.col("bx") - F.col("x0")) * (F.col("ay") - F.col("y0"))
     pieces = parts[0].unionByName(parts[1]).join(corner, zone)
     return pieces.groupBy(zone, "source").agg((F.sum(cross) / 2).alias("area")).where("area > 1e-9")
+
+
+def _point_to_edge(x, y, ax, ay, bx, by):
+    """Distance of a point to an edge."""
+    dx, dy = F.col(bx) - F.col(ax), F.col(by) - F.col(ay)
+    t = ((F.col(x) - F.col(ax)) * dx + (F.col(y) - F.col(ay)) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    t = F.greatest(F.least(F.coalesce(t, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    return F.sqrt((F.col(x) - F.col(ax) - t * dx) ** 2 + (F.col(y) - F.col(ay) - t * dy) ** 2)
+
+
+def _meet(strict: bool = False):
+    """Whether the edges of a row, the second with suffix _b, have a point in common; strictly: in
+    the inside of both."""
+    side = lambda p, q, r: (F.col(q[0]) - F.col(p[0])) * (F.col(r[1]) - F.col(p[1])) - (F.col(q[1]) - F.col(p[1])) * (F.col(r[0]) - F.col(p[0]))
+    a, b, c, d = (("x1", "y1"), ("x2", "y2"), ("x1_b", "y1_b"), ("x2_b", "y2_b"))
+    one, two = F.signum(side(a, b, c)) * F.signum(side(a, b, d)), F.signum(side(c, d, a)) * F.signum(side(c, d, b))
+    if strict:
+        return (one < 0) & (two < 0)
+    boxes = (F.greatest("x1", "x2") >= F.least("x1_b", "x2_b")) & (F.greatest("x1_b", "x2_b") >= F.least("x1", "x2")) & (F.greatest("y1", "y2") >= F.least("y1_b", "y2_b")) & (F.greatest("y1_b", "y2_b") >= F.least("y1", "y2"))
+    return boxes & (one <= 0) & (two <= 0)
+
+
+def near_links(polygons: DataFrame, distance: float, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+    """(a, b), a < b: links that connect the polygons whose distance is at most ``distance``.
+
+    Two polygons are near when two of their edges are, or one holds a corner of the other. Edges
+    that several polygons share are compared once, for the smallest of them, and link the others to
+    it; so copies of a polygon give a link each and not all pairs. The links join the same polygons
+    as all near pairs do, directly or over others.
+    """
+    e = polygons.select(F.col(zone).alias("zone"), *SEG).distinct()
+    ahead = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") <= F.col("y2")))
+    ends = [F.when(ahead, F.col(c)).otherwise(F.col(o)).alias(c) for c, o in zip(SEG, ["x2", "y2", "x1", "y1"])]
+    e = materialize(e.select("zone", *ends).distinct(), "near-edges")
+    owner = e.groupBy(*SEG).agg(F.min("zone").alias("first"))
+    shared = e.join(owner, SEG).where("zone <> first").select(F.col("first").alias("a"), F.col("zone").alias("b"))
+    right = touched_cells(owner.withColumnsRenamed({"first": "other"} | {c: f"{c}_b" for c in SEG}).withColumnsRenamed({f"{c}_b": c for c in SEG}), size).withColumnsRenamed({c: f"{c}_b" for c in SEG})
+    met = touched_cells(owner, size, distance / size + 1e-7).join(right, ["cx", "cy"]).where("first < other").drop("cx", "cy").distinct()
+    gap = F.least(
+        _point_to_edge("x1", "y1", "x1_b", "y1_b", "x2_b", "y2_b"), _point_to_edge("x2", "y2", "x1_b", "y1_b", "x2_b", "y2_b"),
+        _point_to_edge("x1_b", "y1_b", "x1", "y1", "x2", "y2"), _point_to_edge("x2_b", "y2_b", "x1", "y1", "x2", "y2"),
+    )
+    close = met.where(_meet() | (gap <= distance)).select(F.col("first").alias("a"), F.col("other").alias("b"))
+    # Polygons that have an edge of their own; copies are linked above.
+    own = polygons.join(owner.select(F.col("first").alias(zone)).distinct(), zone, "left_semi")
+    corner = own.groupBy(zone).agg(F.min(F.struct("x1", "y1")).alias("p")).select(F.col(zone).alias("own"), F.col("p.x1").alias("x"), F.col("p.y1").alias("y"))
+    inside = points_in_polygons(corner, own.select(F.col(zone).alias("other"), *SEG), "own", "other", size).where("own <> other")
+    inside = inside.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+    return shared.union(close).union(inside).distinct()
+
+
+def self_crossings(polygons: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
+    """(zone, n_crossings): pairs of a polygon's edges that meet although they share no corner.
+
+    Edges of one polygon meet in the bins that they touch; neighbours, which share a corner, are
+    left out, and so are edges that repeat.
+    """
+    e = polygons.select(zone, *SEG).where("x1 <> x2 OR y1 <> y2").distinct()
+    right = touched_cells(e, size).withColumnsRenamed({c: f"{c}_b" for c in SEG})
+    first, second = F.struct(*SEG), F.struct(*[f"{c}_b" for c in SEG])
+    pairs = touched_cells(e, size).join(right, [zone, "cx", "cy"]).where(first < second).drop("cx", "cy").distinct()
+    shares = lambda a, b: (F.col(f"x{a}") == F.col(f"x{b}_b")) & (F.col(f"y{a}") == F.col(f"y{b}_b"))
+    apart = ~(shares(1, 1) | shares(1, 2) | shares(2, 1) | shares(2, 2))
+    return pairs.where(apart & _meet()).groupBy(zone).agg(F.count(F.lit(1)).alias("n_crossings"))

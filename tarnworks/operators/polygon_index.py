@@ -26,16 +26,17 @@ def crosses_right(e, x: Column, y: Column) -> Column:
     return F.when((e["y1"] > y) != (e["y2"] > y), x < at).otherwise(F.lit(False))
 
 
-def touched_cells(edges: DataFrame, size: float) -> DataFrame:
-    """The edges with each cell (cx, cy) that they touch: column by column, the rows they pass there."""
+def touched_cells(edges: DataFrame, size: float, margin: float = NEAR) -> DataFrame:
+    """The edges with each cell (cx, cy) that they touch, or come nearer to than ``margin`` cells:
+    column by column, the rows they pass there."""
     cell = lambda c, by=0.0: F.floor(c / size + by).cast("long")
-    e = edges.withColumn("cx", F.explode(F.sequence(cell(F.least("x1", "x2"), -NEAR), cell(F.greatest("x1", "x2"), NEAR))))
+    e = edges.withColumn("cx", F.explode(F.sequence(cell(F.least("x1", "x2"), -margin), cell(F.greatest("x1", "x2"), margin))))
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     level = lambda x: F.col("y1") + (x - F.col("x1")) * (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    left, right = (F.col("cx") - NEAR) * size, (F.col("cx") + 1 + NEAR) * size
+    left, right = (F.col("cx") - margin) * size, (F.col("cx") + 1 + margin) * size
     side = lambda x: F.greatest(F.least(level(F.greatest(F.least(x, F.greatest("x1", "x2")), F.least("x1", "x2"))), high), low)
     a, b = F.when(F.col("x1") == F.col("x2"), low).otherwise(side(left)), F.when(F.col("x1") == F.col("x2"), high).otherwise(side(right))
-    return e.withColumn("cy", F.explode(F.sequence(cell(F.least(a, b), -NEAR), cell(F.greatest(a, b), NEAR))))
+    return e.withColumn("cy", F.explode(F.sequence(cell(F.least(a, b), -margin), cell(F.greatest(a, b), margin))))
 
 
 def polygon_cover(edges: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:

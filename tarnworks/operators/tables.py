@@ -263,7 +263,8 @@ def fill_depths(depths: DataFrame, models: DataFrame) -> DataFrame:
 
 def fill_gaps(params: DataFrame, places: DataFrame, columns: list[str], key: str = "zone_id", k: int = 1) -> DataFrame:
     """One row for every place (key, x, y): each column's null or absent value becomes the mean of
-    its k nearest rows that have one. Donors are searched per column."""
+    its k nearest rows that have one. Donors are searched per column; a place without coordinates
+    gets none and stays null."""
     from tarnworks.operators.vector import nearest
 
     every = places.select(key).join(params.select(key, *columns), key, "left")

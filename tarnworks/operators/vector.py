@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnworks.core.io import materialize
 from tarnworks.operators.polygon_index import points_in_cover, polygon_cover
 
 
@@ -86,48 +87,75 @@ def last_polygon_wins(cells: DataFrame, order: str = "zone_id") -> DataFrame:
     return cells.groupBy("row", "col").agg(F.max(order).alias("label"))
 
 
-def nearest(missing: DataFrame, donors: DataFrame, k: int = 1, key: str = "zone_id", size: float | None = None) -> DataFrame:
-    """(key, rank, donor): each row's k nearest donors by distance of (x, y), ties by id.
+#: Donors in a bin that is not divided further, and how often a bin is halved at most.
+BIN_DONORS, BIN_LEVELS = 8, 26
 
-    Donors meet rows in square bins of ``size``, ring after ring: a row is done when its k-th
-    distance is within the rings searched. Without ``size`` it comes from the donors' extent,
-    for about four donors a bin. Fewer than k donors: all of them.
-    """
-    from tarnworks.core.io import materialize
 
-    s = donors.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+def nearest(missing: DataFrame, donors: DataFrame, k: int = 1, key: str = "zone_id") -> DataFrame:
+    """(key, rank, donor, distance): each row's k nearest donors by distance of (x, y), ties by id.
+
+    Donors lie in a pyramid of square bins with their counts; bins of more than ``BIN_DONORS``
+    distinct places are divided. All rows start at the top bin and descend together: in each round a
+    row's k donors are surely within some distance, that of the nearest bins that hold k; bins that
+    begin beyond it are left, the others divided. So a row meets a few bins a level and then the
+    donors of a few bins, however far it lies from all donors. Fewer than k donors: all of them; no
+    donor raises. Rows and donors without coordinates take no part. Of donors at one place only
+    the k with the smallest ids can count.
+    """
+    there = lambda d: d.where("x IS NOT NULL AND y IS NOT NULL").where(~F.isnan("x") & ~F.isnan("y"))
+    xy = [F.col(c).cast("double").alias(c) for c in "xy"]
+    same_place = Window.partitionBy("dx", "dy").orderBy("donor")
+    d = there(donors.select(key, *xy)).select(F.col(key).alias("donor"), F.col("x").alias("dx"), F.col("y").alias("dy"))
+    d = materialize(d.withColumn("n", F.row_number().over(same_place)).where(F.col("n") <= k).drop("n"), "donors")
+    s = d.agg(F.count(F.lit(1)).alias("n"), F.min("dx").alias("x0"), F.max("dx").alias("x1"), F.min("dy").alias("y0"), F.max("dy").alias("y1")).first()
     if not s["n"]:
         raise ValueError("no donor")
-    width = max(s["x1"] - s["x0"], s["y1"] - s["y0"], 1e-9)
-    size = size or width / max(1.0, (s["n"] / 4) ** 0.5)
     k = min(k, s["n"])
-    cell = lambda c: F.floor(F.col(c) / size).cast("long")
-    d = donors.select(F.col(key).alias("donor"), F.col("x").alias("dx"), F.col("y").alias("dy"), cell("x").alias("bx"), cell("y").alias("by"))
-    todo = missing.select(key, "x", "y")
-    out, rings = None, 1
-    far = F.sqrt((F.col("x") - F.col("dx")) ** 2 + (F.col("y") - F.col("dy")) ** 2)
-    best = Window.partitionBy(key).orderBy("distance", "donor")
-    box = int(width / size) + 2
-    while True:
-        reach = F.sequence(F.lit(-rings), F.lit(rings))
-        asked = todo.withColumn("i", F.explode(reach)).withColumn("j", F.explode(reach))
-        asked = asked.withColumn("bx", cell("x") + F.col("i")).withColumn("by", cell("y") + F.col("j"))
-        found = asked.join(d, ["bx", "by"]).withColumn("distance", far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        found = materialize(found.select(key, "rank", "donor", "distance"), "nearest")
-        last = found.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far"))
-        done = last.where((F.col("n") == k) & (F.col("far") <= rings * size)).select(key)
-        part = found.join(done, key, "left_semi")
-        out = part if out is None else out.unionByName(part)
-        todo = materialize(todo.join(done, key, "left_anti"), "nearest-todo")
-        if todo.isEmpty():
-            break
-        if rings > 2 * box:  # rows far outside the donors' extent: all donors, in their order
-            rest = todo.join(F.broadcast(d) if s["n"] <= 10_000 else d).withColumn("distance", far)
-            rest = rest.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            out = out.unionByName(rest.select(key, "rank", "donor", "distance"))
+    x0, y0 = s["x0"], s["y0"]
+    width = max(s["x1"] - x0, s["y1"] - y0, 1e-9) * (1 + 1e-9)
+    levels = min(BIN_LEVELS, s["n"].bit_length() + 8)  # level 0 is the top bin
+    fine = 2.0**levels / width
+    code = lambda c, low: F.least(F.floor((F.col(c) - low) * fine), F.lit(2**levels - 1)).cast("long")
+    up = lambda c: F.call_function("shiftright", F.col(c), (F.lit(levels) - F.col("level")).cast("int")).alias(c)
+    bins = d.select(code("dx", x0).alias("bx"), code("dy", y0).alias("by"), F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
+    bins = materialize(bins.select("level", up("bx"), up("by")).groupBy("level", "bx", "by").agg(F.count(F.lit(1)).alias("n")), "donor-bins")
+    parents = bins.where(F.col("n") > BIN_DONORS).select((F.col("level") + 1).alias("level"), F.col("bx").alias("px"), F.col("by").alias("py"))
+    half = lambda c: F.call_function("shiftright", F.col(c), F.lit(1))
+    kept = bins.withColumns({"px": half("bx"), "py": half("by")})
+    kept = kept.where("level = 0").unionByName(kept.where("level > 0").join(parents, ["level", "px", "py"]).select(*kept.columns))
+    leaf = (F.col("n") <= BIN_DONORS) | (F.col("level") == levels)
+    kept = materialize(kept.withColumn("leaf", leaf), "donor-pyramid")
+
+    size = F.lit(width) / F.pow(F.lit(2.0), F.col("level"))
+    slack = F.lit(1e-9 * width) + 1e-12 * (F.abs("x") + F.abs("y") + abs(x0) + abs(y0))  # for the rounding of bins
+    low = {c: F.lit(o) + F.col(f"b{c}") * size for c, o in (("x", x0), ("y", y0))}
+    off = {c: F.greatest(low[c] - F.col(c), F.col(c) - low[c] - size, F.lit(0.0)) for c in "xy"}
+    most = {c: F.greatest(F.abs(F.col(c) - low[c]), F.abs(low[c] + size - F.col(c))) for c in "xy"}
+    bounds = {"near": F.sqrt(off["x"] ** 2 + off["y"] ** 2) - slack, "far": F.sqrt(most["x"] ** 2 + most["y"] ** 2) + slack}
+    row = [key, "x", "y"]
+    by_far = Window.partitionBy(*row).orderBy("far").rowsBetween(Window.unboundedPreceding, 0)
+
+    def pruned(asked: DataFrame) -> DataFrame:
+        """Bins that may hold one of the row's k nearest: a row has few bins."""
+        d = asked.withColumns(bounds).withColumn("upto", F.sum("n").over(by_far))
+        reach = F.min(F.when(F.col("upto") >= k, F.col("far"))).over(Window.partitionBy(*row))
+        return d.withColumn("reach", reach).where(F.col("near") <= F.col("reach")).select(*row, "level", "bx", "by", "n", "leaf")
+
+    todo = there(missing.select(key, *xy)).distinct()
+    asked = materialize(todo.join(F.broadcast(kept.where("level = 0"))).select(*row, "level", "bx", "by", "n", "leaf"), "nearest-bins")
+    for _ in range(levels):
+        if asked.where("NOT leaf").isEmpty():
             break
-        rings *= 2
-    return out.select(key, F.col("rank").cast("int").alias("rank"), "donor", "distance")
+        down = asked.where("NOT leaf").select(*row, (F.col("level") + 1).alias("level"), F.col("bx").alias("px"), F.col("by").alias("py"))
+        below = down.join(kept, ["level", "px", "py"]).select(*row, "level", "bx", "by", "n", "leaf")
+        asked = materialize(pruned(asked.where("leaf").unionByName(below)), "nearest-bins", instead_of=asked)
+    holders = kept.where("leaf").select("level").distinct()
+    placed = d.withColumns({"cx": code("dx", x0), "cy": code("dy", y0)}).join(F.broadcast(holders)).withColumns({"bx": F.col("cx"), "by": F.col("cy")})
+    placed = placed.select("donor", "dx", "dy", "level", up("bx"), up("by"))
+    far = F.sqrt((F.col("x") - F.col("dx")) ** 2 + (F.col("y") - F.col("dy")) ** 2)
+    best = Window.partitionBy(*row).orderBy("distance", "donor")
+    found = asked.where("leaf").join(placed, ["level", "bx", "by"]).withColumn("distance", far).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select(key, F.col("rank").cast("int").alias("rank"), "donor", "distance")
 
 
 def spatial_batches(points: DataFrame, size: int, key: str = "zone_id") -> DataFrame:

@@ -132,13 +132,30 @@ def zon24(spark, sf):
     return r(r(d, 4, "max_gap", "mean_gap"), 2, "area")
 
 
-@query("agg50_ring_screening", f"WITH sh AS ({SHAPE}) SELECT zone_id, CASE WHEN zone_id % 7 = 0 THEN 5 ELSE 6 END AS n_edges, zone_id % 7 = 0 AS unclosed FROM sh")
+def _faulty_edges(spark, sf):
+    """Rings of which some lack their last edge and some take two corners in the wrong order."""
+    s = spark.sql(SHAPE.replace("FROM supplier", "FROM {su}"), su=table(spark, sf, "supplier"))
+    ring = ["x0", "y0"], ["x1", "y0"], ["x1", "ym"], ["xm", "ym"], ["xm", "y1"], ["x0", "y1"]
+    turned = [ring[i] for i in (0, 3, 2, 1, 4, 5)]
+    edges = lambda k: F.array(*[F.struct(*[F.col(c).cast("double").alias(n) for c, n in zip((*a, *b), ("x1", "y1", "x2", "y2"))]) for a, b in zip(k, (*k[1:], k[0]))])
+    e = F.when(F.col("zone_id") % 5 == 1, edges(turned)).otherwise(edges(ring))
+    e = F.when(F.col("zone_id") % 7 == 0, F.slice(e, 1, 5)).otherwise(e)
+    return s.select("zone_id", F.explode(e).alias("e")).select("zone_id", "e.*")
+
+
+@query("agg50_ring_screening", f"WITH sh AS ({SHAPE}) SELECT zone_id, CASE WHEN zone_id % 7 = 0 THEN 5 ELSE 6 END AS n_edges, zone_id % 7 = 0 AS unclosed, CASE WHEN zone_id % 5 = 1 THEN 1 ELSE 0 END AS n_crossings FROM sh")
 def agg50(spark, sf):
-    e = _edges(spark, sf)
-    last = F.struct("y1", "x1", "y2")
-    top = e.groupBy("zone_id").agg(F.max(last).alias("m"))
-    e = e.join(top, "zone_id").where(~((F.col("zone_id") % 7 == 0) & (last == F.col("m")))).drop("m")
-    return c.ring_screening(e).drop("area")
+    return c.ring_screening(_faulty_edges(spark, sf), size=3.0).drop("area")
+
+
+@query("agg50_geometry_counts", """SELECT CASE WHEN s_nationkey % 6 = 5 THEN NULL WHEN s_nationkey % 6 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind, count(*) AS n_rows, count(*) FILTER (s_suppkey % 13 = 0) AS n_empty, count(*) FILTER (s_suppkey % 13 = 1) AS n_zero_area,
+ count(*) FILTER (s_suppkey % 7 = 0 AND s_suppkey % 13 > 1) AS n_unclosed, count(*) FILTER (s_suppkey % 5 = 1 AND s_suppkey % 13 > 1) AS n_crossing FROM supplier GROUP BY 1""")
+def agg50c(spark, sf):
+    layer = table(spark, sf, "supplier").selectExpr("s_suppkey AS zone_id", "CASE WHEN s_nationkey % 6 = 5 THEN NULL WHEN s_nationkey % 6 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind")
+    e = _faulty_edges(spark, sf).where("zone_id % 13 > 0")
+    there, back = ("named_struct('x1', %s, 'y1', 0.5D, 'x2', %s, 'y2', 0.5D)" % x for x in (("0.5D", "3.5D"), ("3.5D", "0.5D")))
+    flat = layer.where("zone_id % 13 = 1").selectExpr("zone_id", f"inline(array({there}, {back}))")
+    return c.geometry_counts(layer, e.where("zone_id % 13 > 1").unionByName(flat), size=3.0)
 
 
 @query("udf01_source_hook", SERIES_SQL + "SELECT zone_id, date, round(sum(w * swe * 2) / sum(w) FILTER (swe IS NOT NULL), 9) AS swe FROM j GROUP BY zone_id, date")
