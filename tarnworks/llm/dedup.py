@@ -15,6 +15,7 @@ component are never paired, and a bucket's members are not paired with each othe
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,10 @@ SPOTS = 1 << 26
 MOST_PAIRS = 1_000
 #: Text bytes whose shingles and signatures are made together.
 PIECE = 1_500_000
+#: Pairs at the limit that the bands of differences may miss, and how many such bands a set has at most.
+MISS, MOST_BANDS = 1e-5, 1024
+#: Classes of pairs by their differences' size over the difference that a link allows; the first holds all smaller ones.
+SPREAD = [1.8, 2.3, 2.8, 3.4, 4.0, 5.0, 7.0]
 _MUL = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -224,17 +229,85 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each pair's common shingles, the size of its union, and the shingles of b outside a."""
+    """Each pair's common shingles, the size of its union, the shingles of b outside a, and those
+    that only one of them has."""
     for batch in batches:
-        common, either, rest = [], [], []
+        common, either, rest, delta = [], [], [], []
         for x, y in zip(batch.column("set_a"), batch.column("set_b")):
             x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
             new = np.setdiff1d(y, x, assume_unique=True)
             common.append(len(y) - len(new))
             either.append(len(x) + len(new))
             rest.append(new.astype(np.int64))
-        columns = [batch.column("b"), batch.column("a"), pa.array(common, pa.int64()), pa.array(either, pa.int64()), pa.array(rest, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc", "p", "common", "either", "outside"])
+            delta.append(np.concatenate([new, np.setdiff1d(x, y, assume_unique=True)]).view(np.int64))
+        sets = [pa.array(c, pa.list_(pa.int64())) for c in (rest, delta)]
+        columns = [batch.column("b"), batch.column("a"), pa.array(common, pa.int64()), pa.array(either, pa.int64()), *sets]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "p", "common", "either", "outside", "delta"])
+
+
+def difference_bands(kind: int, members: int) -> tuple[int, int]:
+    """Rows a band and bands for differences of a class in a group of so many members.
+
+    Two linked sets whose differences to the pivot have u times the size that a link allows between
+    them have differences of similarity (u - 1) / (u + 1) at least. Rows grow with the logarithm of
+    the group; bands are as many as keep a pair at the limit from being missed more often than
+    ``MISS``, and rows as few as keep these below ``MOST_BANDS``.
+    """
+    least = (SPREAD[kind] - 1) / (SPREAD[kind] + 1)
+    count = lambda rows: int(np.ceil(np.log(MISS) / np.log1p(-(least**rows))))
+    rows = max(2, min(12, round(np.log2(max(members, 2))) - 4))
+    while rows > 1 and count(rows) > MOST_BANDS:
+        rows -= 1
+    return rows, count(rows)
+
+
+def _difference_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Band keys of each member's difference to its pivot, under each class that is asked of it."""
+    for batch in batches:
+        for i, (delta, kinds, members) in enumerate(zip(batch.column("delta"), batch.column("kinds").to_pylist(), batch.column("members").to_pylist())):
+            x = delta.values.to_numpy().view(np.uint64)
+            of, keys = [], []
+            for kind in kinds:
+                rows, bands = difference_bands(kind, members)
+                seed = _mix(np.arange(1, rows * bands + 1, dtype=np.uint64) * _MUL[0]) | np.uint64(1)
+                low = np.concatenate([np.multiply.outer(s, x).min(axis=1) for s in np.array_split(seed, max(1, len(seed) * len(x) // PIECE))])
+                key = np.arange(bands, dtype=np.uint64)
+                for values in low.reshape(bands, rows).T:
+                    key = _mix(key ^ values)
+                of += [kind] * bands
+                keys.append(key.view(np.int64))
+            if keys:
+                same = [pa.array(np.full(len(of), v)) for v in (batch.column("p")[i].as_py(), batch.column("doc")[i].as_py())]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(of, pa.int32()), pa.array(np.concatenate(keys))], names=["p", "doc", "kind", "key"])
+
+
+def _alike_differences(enough: DataFrame, near: DataFrame, names: dict[str, str], percent: int) -> DataFrame:
+    """Pairs of members that are not linked with their pivot p, by bands of their differences to p.
+
+    Two sets differ by what their differences to p differ by. A link allows t (|A| + |B|) of that, t
+    being (100 - percent) / (100 + percent); a set that is not linked with p differs by more from p, so
+    the differences of a pair that is linked have much in common. A pair's class is that of its
+    u, its differences over what it allows; a member has keys under each class that it can reach
+    with some member of its group.
+    """
+    allowed = F.lit((100 - percent) / (100 + percent))
+    d = enough.join(near.where("NOT linked").select("p", "doc", "delta"), ["p", "doc"]).withColumn("u", F.col("differ") / (allowed * F.col("n")))
+    d = materialize(d, "dedup-differences")
+    group = d.groupBy("p").agg(F.count(F.lit(1)).alias("members"), F.min("u").alias("low"), F.max("u").alias("high")).where("members > 1")
+    # A pair's u lies between its members', nearer to the larger one's: sizes differ by percent at most.
+    w = 100 / (100 + percent) + 1e-9
+    least = F.greatest((1 - w) * F.col("u") + w * F.col("low"), F.col("low")) - 1e-9
+    most = F.least((1 - w) * F.col("u") + w * F.col("high"), F.col("high")) + 1e-9
+    ends = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(x if i else 0.0).alias("a"), F.lit(y).alias("b")) for i, (x, y) in enumerate(zip(SPREAD, [*SPREAD[1:], 1e300]))])
+    kinds = F.transform(F.filter(ends, lambda e: (e["a"] <= most) & (e["b"] > least)), lambda e: e["k"])
+    asked = d.join(group, "p").select("p", "doc", "delta", kinds.alias("kinds"), "members")
+    keys = asked.mapInArrow(_difference_keys, "p long, doc long, kind int, key long")
+    keys = materialize(keys.join(d.select("p", *names, "differ"), ["p", "doc"]), "dedup-difference-keys")
+    other = keys.select("p", "kind", "key", F.col("differ").alias("differ_b"), *[F.col(k).alias(v) for k, v in names.items()])
+    apart = (F.col("component") != F.col("component_b")) & (F.col("near_p_b") | (F.col("doc") < F.col("doc_b")))
+    u = (F.col("differ") + F.col("differ_b")) / (allowed * (F.col("n") + F.col("n_b")))
+    of_pair = sum((u >= x).cast("int") for x in SPREAD[1:])
+    return keys.where("NOT near_p").join(other, ["p", "kind", "key"]).where(apart & (F.col("kind") == of_pair))
 
 
 def _possible(n_a: str, n_b: str, percent: int):
@@ -368,19 +441,21 @@ def _candidates(at: DataFrame, sets: DataFrame, percent: int, heavy: int) -> Dat
     and a link needs percent / (100 + percent) of |a| + |b|. One of the two is outside p's
     component. Where the first bound does not suffice, a and b have to share so many shingles
     outside p that, taken from the rarest on, one of the first is among them: such pairs come
-    from a join on these shingles. The few others come from a join on p. Shingles outside p that
+    from a join on these shingles. The others come from bands of the members' differences to p where
+    neither is linked with p, and from a join on p with the members that are. Shingles outside p that
     more than ``heavy`` members have count as p's; the bounds hold for any set in p's place.
     """
     at = at.select(F.col("pivot.doc").alias("p"), (F.col("component") == F.col("pivot.component")).alias("near_p"), "doc", "n", "component")
     at = materialize(at.distinct(), "dedup-pivots")
     wide = with_sets(at.select(F.col("p").alias("a"), F.col("doc").alias("b")), sets)
-    near = materialize(wide.mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>"), "dedup-outside")
+    near = wide.mapInArrow(_outside, "doc long, p long, common long, either long, outside array<long>, delta array<long>")
+    near = materialize(near.withColumn("linked", F.col("common") * 100 >= F.col("either") * percent), "dedup-outside")
     outer = near.select("doc", "p", F.explode("outside").alias("shingle"))
     held = outer.groupBy("p", "shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     outer = materialize(outer.join(held, ["p", "shingle"]), "dedup-shared")
     moved = outer.groupBy("doc", "p").agg(F.count_if(F.col("holders") > heavy).alias("moved"))
     low = at.groupBy("p").agg(F.min("n").alias("low"))
-    at = at.join(near.select("doc", "p", "common", F.size("outside").alias("out")), ["doc", "p"]).join(moved, ["doc", "p"], "left").join(low, "p")
+    at = at.join(near.select("doc", "p", "linked", F.size("delta").alias("differ"), "common", F.size("outside").alias("out")), ["doc", "p"]).join(moved, ["doc", "p"], "left").join(low, "p")
     at = at.withColumn("moved", F.coalesce("moved", F.lit(0))).withColumns({"common": F.col("common") + F.col("moved"), "out": F.col("out") - F.col("moved")})
     # The common shingles that the bound on p's leaves to be found outside p, at least.
     lacking = F.ceil(percent * (F.col("n") + F.col("low")) / (100 + percent)) - F.col("common")
@@ -390,8 +465,12 @@ def _candidates(at: DataFrame, sets: DataFrame, percent: int, heavy: int) -> Dat
     needed = percent * (F.col("n") + F.col("n_b"))
     inside = F.least("common", "common_b")
     enough = at.where("lacking <= 0")
-    other = enough.select("p", *[F.col(k).alias(v) for k, v in names.items()])
-    alone = enough.where("NOT near_p").join(other, "p").where(apart & (inside * (100 + percent) >= needed))
+    fits = inside * (100 + percent) >= needed
+    # With a member that is linked with p; sets differ by what their differences to p differ at least.
+    other = enough.where("linked").select("p", F.col("differ").alias("differ_b"), *[F.col(k).alias(v) for k, v in names.items()])
+    close = F.abs(F.col("differ") - F.col("differ_b")) * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n_b"))
+    alone = enough.where("NOT near_p").join(other, "p").where((F.col("component") != F.col("component_b")) & fits & close)
+    alike = _alike_differences(enough, near, names, percent).where(fits)
     light = at.join(outer.where(F.col("holders") <= heavy), ["doc", "p"])
     rarest = Window.partitionBy("doc", "p").orderBy("holders", "shingle")
     # ``out`` counts the shingles that nobody shares as well; they stand before all others.
@@ -401,7 +480,7 @@ def _candidates(at: DataFrame, sets: DataFrame, percent: int, heavy: int) -> Dat
     other = light.select("p", "shingle", *[F.col(k).alias(v) for k, v in names.items()])
     reach = (inside + F.least("out", "out_b")) * (100 + percent) >= needed
     outside = light.where("NOT near_p").join(other, ["p", "shingle"]).where(apart & reach)
-    pairs = alone.select("doc", "doc_b", "n", "n_b").union(outside.select("doc", "doc_b", "n", "n_b"))
+    pairs = reduce(DataFrame.union, [d.select("doc", "doc_b", "n", "n_b") for d in (alone, alike, outside)])
     return pairs.where(_possible("n", "n_b", percent)).select(F.least("doc", "doc_b").alias("a"), F.greatest("doc", "doc_b").alias("b")).distinct()
 
 

@@ -131,6 +131,60 @@ def test_pairs_of_a_large_group_do_not_grow_with_its_square(spark):
                 assert (min(i, j), max(i, j)) in pairs
 
 
+def left_out(n, rng):
+    """Copies of one text that leave out six runs of 17 words each, and the text itself."""
+    base, rows = [f"w{i}" for i in range(400)], []
+    for i in range(n):
+        keep = np.ones(400, bool)
+        for at in rng.integers(0, 383, 6):
+            keep[at : at + 17] = False
+        rows.append((i + 1, " ".join(np.array(base)[keep])))
+    return [(0, " ".join(base)), *rows]
+
+
+def one_pivot(spark, rows):
+    """The pairs that are left of a bucket whose pivot is document 0."""
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    at = dedup.signatures(d, 5).select(F.lit(1).alias("bucket"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("component"))
+    at = at.withColumn("pivot", F.struct(F.lit(0).cast("long").alias("doc"), F.lit(0).cast("long").alias("component")))
+    return {tuple(r) for r in dedup._candidates(at, dedup.full_sets(d, 5, d.select("doc_id")).select("doc_id", "shingles"), 80, 16).collect()}
+
+
+def test_copies_that_leave_words_out_are_not_all_paired(spark):
+    """All lie below the limit to the original: these were all pairs of the group."""
+    a_copy = {}
+    for n in (300, 1200):
+        rows = left_out(n, np.random.default_rng(13))
+        pairs = one_pivot(spark, rows)
+        a_copy[n] = len(pairs) / n
+        sets = [shingles(t, 5) for _, t in rows]
+        at = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+        m = np.zeros((len(sets), len(at)), np.float32)
+        for i, s in enumerate(sets):
+            m[i, [at[g] for g in s]] = 1
+        both, size = m @ m.T, m.sum(1)
+        linked = np.triu(100 * both >= 80 * (size[:, None] + size - both), 1)
+        assert {tuple(map(int, x)) for x in np.argwhere(linked) if x[0]} <= pairs and linked[1:].sum() > 0
+    assert a_copy[300] < 60 and a_copy[1200] < 2 * a_copy[300]
+
+
+def test_recall_just_above_the_limit(spark):
+    """Pairs with a similarity from 0.80 to 0.83: none of them is missed."""
+    rng = np.random.default_rng(14)
+    rows, want = [], 0
+    while want < 300:
+        words = [f"{want}x{i}" for i in range(300)]
+        other = list(words)
+        for k in rng.choice(300, rng.integers(6, 9), replace=False):
+            other[k] = f"{want}y{k}"
+        a, b = shingles(" ".join(words), 5), shingles(" ".join(other), 5)
+        if 0.80 <= len(a & b) / len(a | b) <= 0.83:
+            rows += [(2 * want, " ".join(words)), (2 * want + 1, " ".join(other))]
+            want += 1
+    got = dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.where("component_id = 2 * floor(doc_id / 2)").count() == 600
+
+
 def test_dedup_links_every_text_of_an_id(spark):
     """Two texts an id, in an order that puts near copies under different ids."""
     texts = corpus()
