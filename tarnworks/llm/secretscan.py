@@ -12,6 +12,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -58,41 +59,59 @@ TRAILING = ".,;:!?)]}"
 #: Made-up values, and words before digests: neither is a secret.
 PLACEHOLDER = re.compile(r"(?i)\$\{|\{\{|\$\(|\A<[^>]*>\Z|%\(|\*{4}|x{6}|\.{3}|\A(?:your|my|insert|replace|enter)[_\- ]|changeme|placeholder|redacted|example\Z|os\.environ|getenv|process\.env")
 DIGEST = re.compile(r"(?i)(?:commit|sha-?\d*|md5|checksum|digest|revision|rev|hash|etag|integrity|uuid)\W{0,4}\Z")
+#: Assigned values that are code: calls, dotted names, paths, and words joined by underscores.
+CODE = re.compile(r"[A-Za-z_][\w.]*\(.*|[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+(?:\[.*)?|(?:\.{0,2}/|~/|[A-Za-z]:\\)[\w./\\\-]+|[A-Za-z]+\d{0,4}(?:_(?:[A-Za-z]+\d{0,4}|\d{1,4}))+", re.S)
 _LETTERS = re.compile(r"[a-zà-öø-ÿ]+")
 
 FEATURES = [
-    "length", "digits", "upper", "lower", "hex", "distinct", "entropy", "class_changes", "letter_digit", "dictionary", "longest_word",
+    "length", "digits", "upper", "lower", "hex", "distinct", "entropy", "class_changes", "letter_digit", "dictionary", "words", "longest_word",
     "quote_before", "assign_before", "space_after", *[f"near_{w}" for w in NEIGHBOURS], *[f"word_{i}" for i in range(HASHED)],
     *[f"path_{p}" for p in PATH_PARTS], *[f"path_hash_{i}" for i in range(HASHED)],
 ]
 
 
-def letter_trigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(trigram, n): how often each trigram of ASCII letters occurs in all texts, at most 17,576 rows."""
-    code = np.full(256, 26, np.int64)
-    code[97:123] = code[65:91] = np.arange(26)
+@dataclass(frozen=True)
+class Dictionary:
+    """Words, and trigrams inside words, that are common in the corpus."""
+
+    words: frozenset[str]
+    trigrams: frozenset[str]
+
+
+#: ASCII letters in lower case; all else parts words.
+_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 else 32 for b in range(256))
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n): how often each run of 3 to 24 ASCII letters occurs in all texts, in lower case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(27**3, np.int64)
+        seen: Counter[bytes] = Counter()
+        give = lambda: pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
         for batch in batches:
             for t in batch.column(0):
-                raw = code[np.frombuffer((t.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)]
-                if len(raw) > 2:
-                    total += np.bincount(raw[:-2] * 729 + raw[1:-1] * 27 + raw[2:], minlength=27**3)
-        seen = np.array([i for i in np.flatnonzero(total) if 26 not in (i // 729, i // 27 % 27, i % 27)], np.int64)
-        names = ["".join(chr(97 + x) for x in (i // 729, i // 27 % 27, i % 27)) for i in seen]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(total[seen])], names=["trigram", "n"])
+                seen.update(w for w in (t.as_py() or "").encode("utf-8", "surrogatepass").translate(_WORDS).split() if 2 < len(w) < 25)
+                if len(seen) > 200_000:
+                    yield give()
+                    seen.clear()
+        if seen:
+            yield give()
 
-    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "trigram string, n long").groupBy("trigram").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def common_trigrams(docs: DataFrame, text_col: str = "text", share: float = 1e-4) -> frozenset[str]:
-    """The dictionary: trigrams that make up ``share`` or more of all."""
-    counts = letter_trigrams(docs, text_col).toPandas()
-    return frozenset(counts["trigram"][counts["n"] >= share * counts["n"].sum()])
+def corpus_dictionary(docs: DataFrame, text_col: str = "text", word_share: float = 1e-5, share: float = 1e-4) -> Dictionary:
+    """Words that make up ``word_share`` or more of all, so 1 / ``word_share`` at most, and trigrams
+    that make up ``share`` or more of those in all words (at most 17,576 exist)."""
+    counts = materialize(word_counts(docs, text_col), "secret-words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    words = counts.where(F.col("n") >= word_share * total).toPandas()["word"]
+    grams = F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 2), lambda i: F.substring("word", i, F.lit(3))))
+    trigrams = counts.select(grams.alias("trigram"), "n").groupBy("trigram").agg(F.sum("n").alias("n")).toPandas()
+    return Dictionary(frozenset(words), frozenset(trigrams["trigram"][trigrams["n"] >= share * trigrams["n"].sum()]))
 
 
-def features(text: str, start: int, end: int, path: str, dictionary: frozenset[str]) -> list[float]:
+def features(text: str, start: int, end: int, path: str, dictionary: Dictionary) -> list[float]:
     c = text[start:end]
     n = len(c)
     kinds = ["d" if x.isdigit() else "u" if x.isupper() else "l" if x.islower() else "p" for x in c]
@@ -113,19 +132,19 @@ def features(text: str, start: int, end: int, path: str, dictionary: frozenset[s
     return [
         float(n), kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n, sum(x in "0123456789abcdefABCDEF" for x in c) / n,
         len(count) / n, -sum(k / n * math.log2(k / n) for k in count.values()), changes / n, swaps / n,
-        sum(g in dictionary for g in grams) / max(1, n - 2), max(map(len, words), default=0) / n,
+        sum(g in dictionary.trigrams for g in grams) / max(1, n - 2), sum(len(w) for w in words if w in dictionary.words) / n, max(map(len, words), default=0) / n,
         float(before[-1:] in ("'", '"')), float(tail.rstrip("\"'").rstrip()[-1:] in ("=", ":")), float(text[end : end + 1].isspace()),
         *[float(w in near[-3:]) for w in NEIGHBOURS], *hashed, *[float(p in path) for p in PATH_PARTS], *of_path,
     ]
 
 
-FINDING = "start int, end int, label int, features array<double>"
+FINDING = "start int, end int, label int, issued boolean, features array<double>"
 
 
-def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(id, start, end, label, features) of every candidate in the whole text.
+def candidates(docs: DataFrame, dictionary: Dictionary, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
+    """(id, start, end, label, issued, features) of every candidate in the whole text.
 
-    ``label`` as of ``labelled``, null without evidence. Null texts have no candidate; null
+    ``label`` as of ``labelled``, null without evidence; ``issued`` where the format alone tells. Null texts have no candidate; null
     paths are empty.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -137,7 +156,7 @@ def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, start, end, label, row = [], [], [], [], []
+            at, start, end, label, issued, row = [], [], [], [], [], []
             paths = batch.column("path")
             for i, t in enumerate(batch.column("text")):
                 text = t.as_py() or ""
@@ -146,9 +165,10 @@ def candidates(docs: DataFrame, dictionary: frozenset[str], id_col: str = "doc_i
                     start.append(first)
                     end.append(last)
                     label.append(labelled(text, first, last, told))
+                    issued.append(ISSUED.match(text[first:last]) is not None)
                     row.append(features(text, first, last, paths[i].as_py(), dictionary))
             ids = batch.column(0).take(pa.array(at, pa.int64()))
-            columns = [ids] + [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate((start, end, label, row))]
+            columns = [ids] + [pa.array(x, arrow.field(k + 1).type) for k, x in enumerate((start, end, label, issued, row))]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return d.mapInArrow(run, schema)
@@ -187,12 +207,12 @@ def spans(text: str) -> list[tuple[int, int, bool]]:
 
 def labelled(text: str, start: int, end: int, told: bool) -> int | None:
     """1: an issuer's format, or a told value of mixed characters that is not made up. 0: words,
-    numbers, paths, digests and made-up values. None: no evidence either way."""
+    numbers, code, paths, digests and made-up values. None: no evidence either way."""
     c = text[start:end]
     if ISSUED.match(c):
         return 1
     digit, letter = any(x.isdigit() for x in c), any(x.isalpha() for x in c)
-    if PLACEHOLDER.search(c):
+    if PLACEHOLDER.search(c) or CODE.fullmatch(c):
         return 0
     if told:
         mixed = digit or (not c.isalnum() and any(x in "!@#$%^&*~+" for x in c))
@@ -274,19 +294,19 @@ def score(forest: list[dict[str, np.ndarray]], rows: np.ndarray) -> np.ndarray:
 
 
 def scored(findings: DataFrame, forest: list[dict[str, np.ndarray]], id_col: str = "doc_id", least: float = 0.5) -> DataFrame:
-    """(id, start, end, score, is_secret) of findings with label and features: what has label 1
-    is a secret whatever its score, any other with a score of ``least`` or more."""
+    """(id, start, end, score, is_secret) of findings with features: the forest decides, a score of
+    ``least`` or more is a secret; ``issued`` findings, whose format an issuer fixes, are certain."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    d = findings.select(id_col, "start", "end", "features", (F.coalesce("label", F.lit(0)) == 1).alias("known"))
+    d = findings.select(id_col, "start", "end", "features", "issued")
     schema = StructType([*list(d.schema)[:3], *StructType.fromDDL("score double, is_secret boolean").fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = score(forest, np.array(batch.column("features").to_pylist(), float).reshape(-1, len(FEATURES))).round(6)
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array(p), pa.array((p >= least) | np.array(batch.column("known").to_pylist(), bool))], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + [pa.array(p), pa.array((p >= least) | np.array(batch.column("issued").to_pylist(), bool))], schema=arrow)
 
     return d.mapInArrow(run, schema)
 
@@ -294,13 +314,13 @@ def scored(findings: DataFrame, forest: list[dict[str, np.ndarray]], id_col: str
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", fit_findings: int = FIT_FINDINGS):
     """(dictionary, forest): the dictionary of all texts, and a forest fitted on the findings of
     the documents that ``labels`` names."""
-    dictionary = common_trigrams(docs, text_col)
+    dictionary = corpus_dictionary(docs, text_col)
     found = candidates(docs, dictionary, id_col, text_col, path_col)
     own = labels.select(F.col("doc_id").alias(id_col)).distinct()
     return dictionary, train_forest(found.join(own, id_col, "left_semi"), fit_findings)
 
 
-def redact(docs: DataFrame, dictionary: frozenset[str], forest: list, text_col: str = "text", path_col: str = "source", least: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, dictionary: Dictionary, forest: list, text_col: str = "text", path_col: str = "source", least: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret in the text replaced by ``mark``; all rows and columns stay, and
     n_chars, where there is one, is the new length. Null texts stay null."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -312,14 +332,14 @@ def redact(docs: DataFrame, dictionary: frozenset[str], forest: list, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, paths = batch.column(at_text).to_pylist(), batch.column(at_path).to_pylist()
-            found, rows, known = [], [], []
+            found, rows, issued = [], [], []
             for i, text in enumerate(texts):
-                for a, b, told in spans(text or ""):
+                for a, b, _ in spans(text or ""):
                     found.append((i, a, b))
-                    known.append(labelled(text, a, b, told) == 1)
+                    issued.append(ISSUED.match(text[a:b]) is not None)
                     rows.append(features(text, a, b, paths[i] or "", dictionary))
             if rows:
-                bad = (score(forest, np.array(rows)) >= least) | np.array(known)
+                bad = (score(forest, np.array(rows)) >= least) | np.array(issued)
                 for (i, a, b), secret in zip(reversed(found), bad[::-1]):
                     if secret:
                         texts[i] = texts[i][:a] + mark + texts[i][b:]
@@ -334,7 +354,7 @@ def redact(docs: DataFrame, dictionary: frozenset[str], forest: list, text_col:
 def op6_secret_forest(spark, sf_dir: str) -> DataFrame:
     """Every candidate of every document with the forest's verdict."""
     docs = table(spark, sf_dir, "documents")
-    dictionary = common_trigrams(docs)
+    dictionary = corpus_dictionary(docs)
     found = materialize(candidates(docs, dictionary), "secret-candidates")
     own = table(spark, sf_dir, "labels").select("doc_id").distinct()
     return scored(found, train_forest(found.join(own, "doc_id", "left_semi")))
