@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tarnworks.core.io import materialize, table
 
 #: Sequences that a container may hold before it bursts, and a bound on the number of heads.
-CAPACITY, HEADS = 1024, 1 << 16
+CAPACITY, HEADS = 128, 1 << 16
 #: A turn's id: 16 bytes of MD5 and 8 bytes with the length of its text in UTF-8.
 WIDTH = 24
 NO_ENDS = hashlib.sha256(b"").hexdigest()
