@@ -446,7 +446,7 @@ def test_forest_removes_false_positives_of_the_rule(spark):
         rng = np.random.default_rng(seed)
         pick = lambda a, k: "".join(rng.choice(list(a), k))
         word = lambda: str(rng.choice(["load", "user", "cache", "path", "index", "build", "value", "request", "config", "store"]))
-        code = lambda: str(rng.choice([f"{word()}_{word()}_v{rng.integers(9)}()", f"{word()}.{word()}_{rng.integers(9)}", f"./{word()}/{word()}{rng.integers(9)}.pem", f"{word()}{rng.integers(999)}_of_{word()}_v{rng.integers(9)}", f"{word()}{rng.integers(99)}_{word()}", f"{word()}({word()}{rng.integers(9)})"]))
+        code = lambda: str(rng.choice([f"{word()}_{word()}_v{rng.integers(9)}()", f"{word()}.{word()}_{rng.integers(9)}", f"{word()}.{word().upper()}_{word().upper()}_{rng.integers(9)}", f"./{word()}/{word()}{rng.integers(9)}.pem", f"{word()}{rng.integers(999)}_of_{word()}_v{rng.integers(9)}", f"{word()}{rng.integers(99)}_{word()}", f"{word()}({word()}{rng.integers(9)})"]))
         rows = []
         for i in range(n):
             name = str(rng.choice(["api_key", "password", "secret", "token", "private_key"]))
