@@ -28,18 +28,35 @@ def _run_reach(cells: DataFrame, line: str, along: str) -> DataFrame:
     return d.withColumn("reach", reach.cast("long")).drop("run")
 
 
+def farthest(heights: list[int]) -> int:
+    """The largest value of the lower envelope of the parabolas heights[p] + (q - p) ** 2 at the
+    places q of a column: each parabola enters and leaves the envelope once, so time is linear."""
+    on, since = [0], [float("-inf")]  # parabolas of the envelope, and where each begins
+    for q in range(1, len(heights)):
+        while True:
+            p = on[-1]
+            meet = (heights[q] + q * q - heights[p] - p * p) / (2 * (q - p))
+            if meet > since[-1]:
+                break
+            on.pop()
+            since.pop()
+        on.append(q)
+        since.append(meet)
+    most, k = 0, 0
+    for q in range(len(heights)):
+        while k + 1 < len(on) and since[k + 1] < q:
+            k += 1
+        most = max(most, heights[on[k]] + (q - on[k]) ** 2)
+    return most
+
+
 def column_distances(pdf: pd.DataFrame) -> pd.DataFrame:
     """The largest distance to the shore, squared, in some columns of one polygon: for each cell
     the least of reach ** 2 + (rows apart) ** 2 over its column; missing cells have reach 0."""
     r0, c0 = pdf["row"].min() - 1, pdf["col"].min()
     square = np.zeros((pdf["row"].max() - r0 + 2, pdf["col"].max() - c0 + 1), np.int64)
     square[pdf["row"] - r0, pdf["col"] - c0] = pdf["reach"].to_numpy(np.int64) ** 2
-    best, k = square.copy(), 1
-    while k * k < best.max():
-        np.minimum(best[k:], square[:-k] + k * k, out=best[k:])
-        np.minimum(best[:-k], square[k:] + k * k, out=best[:-k])
-        k += 1
-    return pd.DataFrame({"comid": [pdf["comid"].iloc[0]], "square": [best.max()]})
+    return pd.DataFrame({"comid": [pdf["comid"].iloc[0]], "square": [max(map(farthest, square.T.tolist()))]})
 
 
 def shore_distances(inside: DataFrame, columns: int = 64) -> DataFrame:

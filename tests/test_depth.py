@@ -136,3 +136,14 @@ def test_nearest_far_away(spark):
     m = spark.createDataFrame([(9, 500.0, 500.0), (8, 0.4, 0.4)], "zone_id long, x double, y double")
     got = sorted(tuple(r)[:3] for r in vector.nearest(m, d, 2).select("zone_id", "rank", "donor").collect())
     assert got == [(8, 1, 1), (8, 2, 2), (9, 1, 2), (9, 2, 1)]
+
+
+def test_lower_envelope_against_all_places():
+    rng = np.random.default_rng(9)
+    for n in (1, 2, 3, 17, 60):
+        for top in (2, 40, 5000):
+            h = [int(x) for x in rng.integers(0, top, n)]
+            assert depth.farthest(h) == max(min(v + (q - p) ** 2 for p, v in enumerate(h)) for q in range(n))
+    flat = [10**8] * 20_000  # a wide column: each place looks at all others no more
+    flat[0] = flat[-1] = 0
+    assert depth.farthest(flat) == 9999**2
