@@ -68,13 +68,14 @@ def srt01(spark, sf):
 @query("snk03_published", """SELECT 'raw' AS version, p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS p_size FROM part
  UNION ALL SELECT 'filled', p_partkey, CASE WHEN p_size % 5 = 0 THEN 7 ELSE p_size END FROM part""")
 def snk03(spark, sf):
-    """Published twice: the raw copy stays the first one, and whole numbers keep their type."""
+    """Published twice under one name: the raw copy stays the first one, the current version is the
+    second, and whole numbers keep their type."""
     path, raw_path = _folder(spark, "published"), _folder(spark, "raw")
     raw = table(spark, sf, "part").selectExpr("p_partkey", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS p_size")
     filled = raw.withColumn("p_size", F.coalesce(F.col("p_size").cast("double"), F.lit(7.0)))
-    sinks.publish_filled(raw, filled, path, raw_path)
-    sinks.publish_filled(filled, filled, _folder(spark, "published"), raw_path)
-    both = [spark.read.parquet(p).select(F.lit(v).alias("version"), "p_partkey", "p_size") for p, v in ((raw_path, "raw"), (path, "filled"))]
+    sinks.publish_filled(raw, raw.withColumn("p_size", F.lit(0)), path, raw_path)
+    sinks.publish_filled(raw.withColumn("p_size", F.lit(1)), filled, path, raw_path)
+    both = [d.select(F.lit(v).alias("version"), "p_partkey", "p_size") for d, v in ((spark.read.parquet(raw_path), "raw"), (sinks.published(spark, path), "filled"))]
     return both[0].unionByName(both[1])
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnworks.core.checks import assert_unique
@@ -19,12 +21,41 @@ def pinned(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def publish_filled(raw: DataFrame, filled: DataFrame, path: str, raw_path: str) -> None:
-    """Write the filled table as a new version; the raw one is kept only the first time.
+    """Publish the filled table under ``path``; the raw one is kept only the first time.
 
     Whole numbers return to their type before filling where no value is missing.
     """
     raw.write.mode("ignore").parquet(raw_path)
-    restore_integers(raw, filled).write.mode("errorifexists").parquet(path)
+    publish(restore_integers(raw, filled), path)
+
+
+def publish(df: DataFrame, path: str) -> str:
+    """Write ``df`` as a new version of the table ``path`` and make it the current one; returns its name.
+
+    A version is a folder of its own, and the file ``CURRENT`` names the current one; it is replaced
+    by a rename, so a reader finds the old version or the new one, whole. Older versions stay for
+    those who read them; a write that fails leaves the current one as it was.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path}/versions/{version}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    new, current = (hadoop.Path(f"{path}/{name}") for name in (f".new-{version}", "CURRENT"))
+    files = hadoop.FileContext.getFileContext(current.toUri(), spark._jsc.hadoopConfiguration())
+    out = new.getFileSystem(spark._jsc.hadoopConfiguration()).create(new)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = getattr(hadoop, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    files.rename(files.makeQualified(new), files.makeQualified(current), over)
+    return version
+
+
+def published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a table that ``publish`` writes; raises where there is none."""
+    version = spark.read.text(f"{path}/CURRENT").first()["value"]
+    return spark.read.parquet(f"{path}/versions/{version}")
 
 
 def restore_integers(raw: DataFrame, filled: DataFrame) -> DataFrame:

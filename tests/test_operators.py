@@ -175,7 +175,11 @@ def test_sorted_sink_and_publish(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 3
     filled = d.withColumn("v", F.coalesce(F.col("v").cast("double"), F.lit(2.2)))
     sinks.publish_filled(d, filled, str(tmp_path / "f"), str(tmp_path / "raw"))
-    assert dict(spark.read.parquet(str(tmp_path / "f")).dtypes)["v"] == "int"
+    old = sinks.published(spark, str(tmp_path / "f"))
+    assert dict(old.dtypes)["v"] == "int"
+    sinks.publish_filled(d.where("id < 2"), filled.where("id < 3").withColumn("v", F.lit(9)), str(tmp_path / "f"), str(tmp_path / "raw"))
+    assert [r["v"] for r in sinks.published(spark, str(tmp_path / "f")).collect()] == [9, 9]
+    assert sorted(r["v"] for r in old.collect()) == [1, 2, 5]  # an open reader keeps its version
     assert spark.read.parquet(str(tmp_path / "raw")).where("v IS NULL").count() == 1
 
 
