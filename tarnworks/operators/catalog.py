@@ -24,6 +24,14 @@ def derived_columns(df: DataFrame, declared: dict[str, tuple[str, str]]) -> Data
     return df.withColumns({name: TRANSFORMS[t](F.col(s)) for name, (s, t) in declared.items()})
 
 
+def declared_status(declared: DataFrame, columns: list[str], source: str = "source", transform: str = "transform") -> DataFrame:
+    """Declarations (.., source, transform) with a ``status``: ``unknown transform`` where the name is
+    not on the whitelist (or null), ``missing source`` where no such column exists, else ``ok``."""
+    known, there = F.col(transform).isin(sorted(TRANSFORMS)), F.col(source).isin(columns)
+    absent = lambda c: ~F.coalesce(c, F.lit(False))
+    return declared.withColumn("status", F.when(absent(known), "unknown transform").when(absent(there), "missing source").otherwise("ok"))
+
+
 def in_categories(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
     """Rows of the categories; none at all raises."""
     return assert_some(df.where(F.col(column).isin(keep)), f"{column} in {keep}")

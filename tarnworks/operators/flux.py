@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnworks.core.checks import assert_none
@@ -40,12 +40,14 @@ def raw_parameters(perm: DataFrame, slope: DataFrame, area: DataFrame, zone: str
 def rescale(df: DataFrame, ranges: dict[str, tuple[float, float]], batch: str | None = None) -> DataFrame:
     """Each column moved linearly to its range, per batch or over all rows; a column without
     spread takes the middle of its range."""
-    w = Window.partitionBy(batch) if batch else None
-    if w is None:  # one row of bounds rather than one partition of all rows
-        bounds = df.agg(*[f(c).alias(f"{n}_{c}") for c in ranges for n, f in (("lo", F.min), ("hi", F.max))])
-        df = df.join(F.broadcast(bounds))
+    ends = [f(c).alias(f"_{n}_{c}") for c in ranges for n, f in (("lo", F.min), ("hi", F.max))]
+    if batch is None:  # one row of bounds
+        df = df.join(F.broadcast(df.agg(*ends)))
+    else:  # a row of bounds a batch; the rows of a batch do not have to meet in one task
+        bounds = df.groupBy(F.col(batch).alias("_batch")).agg(*ends)
+        df = df.join(bounds, F.equal_null(batch, "_batch"), "left").drop("_batch")
     out = {}
     for c, (low, high) in ranges.items():
-        lo, hi = (F.min(c).over(w), F.max(c).over(w)) if w is not None else (F.col(f"lo_{c}"), F.col(f"hi_{c}"))
+        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         out[c] = F.when(hi == lo, (low + high) / 2).otherwise((F.col(c) - lo) / (hi - lo) * (high - low) + low)
-    return df.withColumns(out).drop(*[f"{n}_{c}" for c in ranges for n in ("lo", "hi")])
+    return df.withColumns(out).drop(*[f"_{n}_{c}" for c in ranges for n in ("lo", "hi")])

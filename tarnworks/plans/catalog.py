@@ -164,6 +164,17 @@ def udf01(spark, sf):
     return r(c.Source(["swe"], hook=lambda d: d.withColumn("swe", F.col("swe") * 2)).aggregate(w, g), 9)
 
 
+DECLARED = """SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'p_cost' ELSE 'p_size' END AS source,
+ CASE p_partkey % 6 WHEN 0 THEN 'deg_to_fraction' WHEN 1 THEN 'inches_from_mm' WHEN 2 THEN 'inches_from_m' WHEN 3 THEN 'copy' WHEN 4 THEN 'eval' END AS transform FROM part"""
+
+
+@query("udf02_declared_transforms", f"""SELECT *, CASE WHEN transform IS NULL OR transform NOT IN ('deg_to_fraction', 'inches_from_mm', 'inches_from_m', 'copy') THEN 'unknown transform'
+ WHEN source NOT IN ('p_size', 'p_retailprice') THEN 'missing source' ELSE 'ok' END AS status FROM ({DECLARED})""")
+def udf02(spark, sf):
+    declared = spark.sql(DECLARED.replace("FROM part", "FROM {p}"), p=table(spark, sf, "part"))
+    return c.declared_status(declared, ["p_size", "p_retailprice"])
+
+
 @query("udf03_runner_registry", "SELECT zone_id, arg_max(lu_code, (n, -lu_code)) AS dominant FROM hist GROUP BY zone_id", ("hist",))
 def udf03(spark, sf):
     return c.RUNNERS["soils"](cells=model(spark, sf, "cells"))
