@@ -59,15 +59,31 @@ def column_distances(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"comid": [pdf["comid"].iloc[0]], "square": [max(map(farthest, square.T.tolist()))]})
 
 
-def shore_distances(inside: DataFrame, columns: int = 64) -> DataFrame:
+def shore_distances(inside: DataFrame, columns: int = 64, most: int = 2**26, faults: bool = False) -> DataFrame:
     """(comid, distance): the largest distance in cells of an inside cell (comid, row, col) to its
     nearest cell that is not inside, centre to centre.
 
-    First along the rows, then down the columns, ``columns`` of them in a task's group.
+    First along the rows, then down the columns, ``columns`` of them in a task's group. A group
+    whose rows span more than ``most`` cells raises; with ``faults``, what a group raises stands as
+    text in a third column, ``fault``, and its polygon has no distance.
     """
+
+    def strip(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            spanned = (int(pdf["row"].max()) - int(pdf["row"].min()) + 3) * columns
+            if spanned > most:
+                raise ValueError(f"a strip of {spanned} cells; at most {most}")
+            return column_distances(pdf).assign(fault=None)
+        except Exception as error:
+            if not faults:
+                raise
+            return pd.DataFrame({"comid": pdf["comid"].iloc[:1], "square": pd.array([None], "Int64"), "fault": [f"{type(error).__name__}: {error}"]})
+
     strips = _run_reach(inside, "row", "col").withColumn("strip", F.floor(F.col("col") / columns))
-    found = strips.groupBy("comid", "strip").applyInPandas(lambda pdf: column_distances(pdf), "comid long, square long")
-    return found.groupBy("comid").agg(F.sqrt(F.max("square")).alias("distance"))
+    found = strips.groupBy("comid", "strip").applyInPandas(strip, "comid long, square long, fault string")
+    fault = F.min("fault")
+    found = found.groupBy("comid").agg(F.when(fault.isNull(), F.sqrt(F.max("square"))).alias("distance"), fault.alias("fault"))
+    return found if faults else found.drop("fault")
 
 
 def ring_slopes(cells: DataFrame, inside: DataFrame, size: float, width: int = 2) -> DataFrame:
@@ -100,18 +116,24 @@ def _windows(cells: DataFrame) -> DataFrame:
     return cells.where("comid IS NOT NULL").select(F.col("comid").cast("long").alias("comid"), "row", "col", kept, F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
-def shore_estimates(cells: DataFrame, size: float) -> DataFrame:
+def shore_estimates(cells: DataFrame, size: float, faults: bool = False) -> DataFrame:
     """(comid, hollister_max_m) of every polygon: mean slope in a ring of two cells round the shore
-    times the largest distance to the shore; 0 without inside cells or ring."""
+    times the largest distance to the shore; 0 without inside cells or ring. With ``faults`` also
+    ``fault``, where the estimate is null."""
     d = _windows(cells)
     inside = d.where("inside").select("comid", "row", "col")
-    e = d.select("comid").distinct().join(shore_distances(inside), "comid", "left").join(ring_slopes(d, inside, size), "comid", "left")
-    return e.select("comid", F.coalesce(F.col("slope") * F.col("distance") * size, F.lit(0.0)).alias("hollister_max_m"))
+    e = d.select("comid").distinct().join(shore_distances(inside, faults=True) if faults else shore_distances(inside), "comid", "left")
+    e = e.join(ring_slopes(d, inside, size), "comid", "left")
+    estimate = F.coalesce(F.col("slope") * F.col("distance") * size, F.lit(0.0))
+    if not faults:
+        return e.select("comid", estimate.alias("hollister_max_m"))
+    return e.select("comid", F.when(F.col("fault").isNull(), estimate).alias("hollister_max_m"), "fault")
 
 
-def depth_records(cells: DataFrame, size: float, flat_below: float = 0.01) -> DataFrame:
+def depth_records(cells: DataFrame, size: float, flat_below: float = 0.01, faults: bool = False) -> DataFrame:
     """One row a polygon: mean and largest depth to spill (null where flat or empty), the shore
-    estimate, range, cells inside, method. Null keys are left out.
+    estimate, range, cells inside, method; with ``faults`` what its tasks raised. Null keys are
+    left out.
 
     The windows of all polygons are filled together, and no group holds a whole window.
     """
@@ -123,9 +145,58 @@ def depth_records(cells: DataFrame, size: float, flat_below: float = 0.01) -> Da
     filled = fill_depressions(steep, by=("comid",)).select("comid", "row", "col", "depth")
     deep = steep.where("inside").select("comid", "row", "col").join(filled, ["comid", "row", "col"])
     deep = deep.groupBy("comid").agg(F.avg("depth").alias("mean_depth_m"), F.max("depth").alias("measured_max_m"))
-    found = own.join(deep, "comid", "left").join(shore_estimates(d, size), "comid")
+    found = own.join(deep, "comid", "left").join(shore_estimates(d, size, faults), "comid")
     method = F.when(F.col("flat"), "flat").otherwise("measured").alias("method")
-    return found.select("comid", "mean_depth_m", "measured_max_m", "hollister_max_m", "range_m", "n_inside", "flat", method)
+    return found.select("comid", "mean_depth_m", "measured_max_m", "hollister_max_m", "range_m", "n_inside", "flat", method, *(["fault"] if faults else []))
+
+
+def chosen_windows(polygons: DataFrame, cells: DataFrame) -> DataFrame:
+    """(comid, resolution): the window that a polygon reads, one row a polygon.
+
+    A polygon (comid, resolution) that asks for 1m, in any of its rows, takes the 1m window where
+    it has a cell and else the 10m one; the others take the 10m window. Null where there is none.
+    """
+    p = polygons.where("comid IS NOT NULL").groupBy(F.col("comid").cast("long").alias("comid")).agg(F.coalesce(F.max(F.col("resolution") == "1m"), F.lit(False)).alias("fine"))
+    has = cells.groupBy(F.col("comid").cast("long").alias("comid")).agg(*[F.max(F.col("resolution") == s).alias(f"has_{s}") for s in ("1m", "10m")])
+    best = F.when(F.col("fine") & F.col("has_1m"), "1m").when(F.col("has_10m"), "10m")
+    return p.join(has, "comid", "left").select("comid", best.alias("resolution"))
+
+
+def depth_job(polygons: DataFrame, cells: DataFrame, flat_below: float = 0.01) -> DataFrame:
+    """One row a polygon (comid, resolution asked for): ``status``, ``fault``, the resolution read
+    and the columns of ``depth_records``.
+
+    ``cells`` is (comid, resolution, row, col, value, inside); values may be text. Status is
+    ``read_failure`` for a polygon without a window, ``compute_error`` for one whose window is
+    broken (a cell without a place, a cell twice, a value that is no number) or whose task raised,
+    and ``done``. A polygon's fault is data: its depths are null, all others are as without it.
+    Broken windows leave before the windows are filled together.
+    """
+    chosen = materialize(chosen_windows(polygons, cells), "depth-chosen")
+    number = F.col("value").try_cast("double")
+    d = cells.withColumn("comid", F.col("comid").cast("long")).join(chosen, ["comid", "resolution"], "left_semi")
+    d = d.select("comid", "row", "col", number.alias("value"), "inside", (F.col("value").isNotNull() & number.isNull()).alias("bad"))
+    d = materialize(d, "depth-windows")
+    spots = d.groupBy("comid", "row", "col").agg((F.count(F.lit(1)) > 1).alias("twice"), F.max("bad").alias("bad"))
+    nowhere = F.col("row").isNull() | F.col("col").isNull()
+    seen = spots.groupBy("comid").agg(F.max(nowhere).alias("nowhere"), F.max("twice").alias("twice"), F.max("bad").alias("bad"))
+    broken = F.when(F.col("nowhere"), "a cell without a place").when(F.col("twice"), "a cell twice").when(F.col("bad"), "a value that is no number")
+    broken = materialize(seen.select("comid", broken.alias("broken")).where("broken IS NOT NULL"), "depth-broken")
+    # The shore estimate is slope times distance, both in cells: it holds for any cell size.
+    found = depth_records(d.join(broken, "comid", "left_anti"), 1.0, flat_below, faults=True)
+    e = chosen.join(broken, "comid", "left").join(found, "comid", "left")
+    fault = F.when(F.col("resolution").isNull(), "no window").otherwise(F.coalesce("broken", "fault"))
+    status = F.when(F.col("resolution").isNull(), "read_failure").when(fault.isNotNull(), "compute_error").otherwise("done")
+    kept = [F.when(fault.isNull(), F.col(c)).alias(c) for c in ("mean_depth_m", "measured_max_m", "hollister_max_m", "range_m", "n_inside", "flat", "method")]
+    return e.select("comid", status.alias("status"), fault.alias("fault"), "resolution", *kept)
+
+
+def job_summary(job: DataFrame, least: float = 0.9) -> DataFrame:
+    """One row of a depth job's counts: polygons, failed reads, failed computations, windows
+    read at 1m, the share done and ``warned`` where it is below ``least``."""
+    n = job.agg(F.count(F.lit(1)).alias("n_polygons"), F.count_if(F.col("status") == "read_failure").alias("n_read_failure"), F.count_if(F.col("status") == "compute_error").alias("n_compute_error"), F.count_if(F.col("resolution") == "1m").alias("n_fine"), F.count_if(F.col("status") == "done").alias("done"))
+    share = F.when(F.col("n_polygons") > 0, F.col("done") / F.col("n_polygons"))
+    return n.select("n_polygons", "n_read_failure", "n_compute_error", "n_fine", share.alias("share"), F.coalesce(share < least, F.lit(False)).alias("warned"))
 
 
 def batch_status(polygons: DataFrame, cells: DataFrame, least: float = 0.9) -> DataFrame:

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 from tarnworks.core.io import materialize
 
 
-def numbered(df: DataFrame, order: list[str], name: str = "number") -> DataFrame:
-    """Adds ``name``: each row's place from 0 in the order of ``order``; ties in any order.
+def numbered(df: DataFrame, order: list[str], name: str = "number", by: list[str] | None = None) -> DataFrame:
+    """Adds ``name``: each row's place from 0 in the order of ``order``, over all rows or inside the
+    groups of ``by`` (nulls are a group); ties in any order. A group may span any number of tasks.
 
     The partitions are written before they are counted, so that both readings agree.
     """
-    part = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "rank-ranges")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = part.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a partition
-    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return part.join(sizes, "_part").withColumn(name, (F.col("_offset") + inside).cast("long")).drop("_part", "_offset")
+    by = by or []
+    part = materialize(df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id()), "rank-ranges")
+    before = Window.partitionBy(*(by or [F.lit(1)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = part.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))  # a row a group and partition
+    sizes = sizes.select(F.col("_part").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)])
+    same = [F.col("_part") == F.col("_at"), *[F.equal_null(c, F.col(f"_by{i}")) for i, c in enumerate(by)]]
+    inside = F.row_number().over(Window.partitionBy("_part", *by).orderBy(*order)) - 1
+    found = part.withColumn("_inside", inside).join(sizes, same)
+    return found.select(*df.columns, (F.col("_offset") + F.col("_inside")).cast("long").alias(name))
 
 
 def exact_percentiles(df: DataFrame, value: str, at: list[float], by: list[str] | None = None) -> DataFrame:

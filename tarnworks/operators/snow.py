@@ -225,7 +225,7 @@ def equal_bins(rows: DataFrame, value: str, bins: int, key: str) -> DataFrame:
 def curve_library(rows: DataFrame, bins: int, default_curve: list[float], key: str = "zone_id", cv: str = "cv") -> DataFrame:
     """(deplcrv_id, curve_kind, cv, curve): id 1 the default curve, then one for each bin's median."""
     b = equal_bins(rows.select(key, cv), cv, bins, key)
-    medians = b.groupBy("bin").agg(F.median(cv).alias("cv")).select((F.col("bin") + 2).alias("deplcrv_id"), F.lit("cv_bin").alias("curve_kind"), "cv")
+    medians = exact_percentiles(b, cv, [0.5], ["bin"]).select((F.col("bin") + 2).alias("deplcrv_id"), F.lit("cv_bin").alias("curve_kind"), F.get("q", F.lit(0)).alias("cv"))
     first = rows.sparkSession.createDataFrame([(1, "default", None, [float(x) for x in default_curve])], "deplcrv_id int, curve_kind string, cv double, curve array<double>")
     return lognormal_curves(medians).unionByName(first)
 

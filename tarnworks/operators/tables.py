@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarnworks.core.checks import assert_none
 from tarnworks.core.io import materialize
-from tarnworks.operators.ranks import exact_percentiles
+from tarnworks.operators.ranks import exact_percentiles, numbered
 
 # Key sets ---------------------------------------------------------------------------
 
@@ -228,16 +228,21 @@ def donor_models(depths: DataFrame, folds: int = FOLDS, least: int = MIN_DONORS)
 
     The slope goes through the origin over shape * shore maximum. It is used only where its
     cross-validated error is below the median's, on the same folds: row numbers by a digest of
-    the key, modulo ``folds``.
+    the key, modulo ``folds``. Numbers and medians come from range partitions, so that a group
+    of donors may be larger than a task.
     """
+    group = ["ecoregion", "ftype"]
     d = depths.where("NOT flat AND dprst_depth_m > 0").select("ecoregion", "ftype", "comid", F.col("dprst_depth_m").alias("y"), (CONE * F.col("hollister_max_m")).alias("x"))
-    order = Window.partitionBy("ecoregion", "ftype").orderBy(F.md5(F.col("comid").cast("string")), "comid")
-    d = d.withColumn("fold", ((F.row_number().over(order) - 1) % folds).cast("int"))
+    d = numbered(d.withColumn("digest", F.md5(F.col("comid").cast("string"))), ["digest", "comid"], "place", group)
+    d = materialize(d.select(*group, "x", "y", (F.col("place") % folds).cast("int").alias("fold")), "donor-folds")
     train = d.withColumn("test", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).where("test <> fold")
-    fit = train.groupBy("ecoregion", "ftype", "test").agg(F.median("y").alias("m"), (F.sum(F.col("x") * F.col("y")) / F.sum(F.col("x") * F.col("x"))).alias("k"))
+    k = (F.sum(F.col("x") * F.col("y")) / F.sum(F.col("x") * F.col("x"))).alias("k")
+    fit = percentiles(train, "y", [50], [*group, "test"]).withColumnRenamed("p50", "m").join(train.groupBy(*group, "test").agg(k), [*group, "test"])
     held = d.withColumnRenamed("fold", "test").join(fit, ["ecoregion", "ftype", "test"])
     error = held.groupBy("ecoregion", "ftype").agg(F.avg((F.col("y") - F.col("m")) ** 2).alias("e_median"), F.avg((F.col("y") - F.col("k") * F.col("x")) ** 2).alias("e_slope"))
-    whole = d.groupBy("ecoregion", "ftype").agg(F.count(F.lit(1)).alias("n"), F.median("y").alias("median"), (F.sum(F.col("x") * F.col("y")) / F.sum(F.col("x") * F.col("x"))).alias("slope"))
+    middle = percentiles(d, "y", [50], group).select(F.col("ecoregion").alias("e"), F.col("ftype").alias("f"), F.col("p50").alias("median"))
+    whole = d.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), k.alias("slope"))
+    whole = whole.join(middle, F.equal_null("ecoregion", "e") & F.equal_null("ftype", "f")).drop("e", "f")
     return whole.where(F.col("n") >= least).join(error, ["ecoregion", "ftype"], "left").select("ecoregion", "ftype", "n", "median", "slope", F.coalesce(F.col("e_slope") < F.col("e_median"), F.lit(False)).alias("use_slope"))
 
 
@@ -245,8 +250,8 @@ def fill_depths(depths: DataFrame, models: DataFrame) -> DataFrame:
     """Adds depth_m and method: measured, or for flat and invalid rows the group's model, the
     ecoregion's median, the type's median, the floor; never above the cap."""
     donors = depths.where("NOT flat AND dprst_depth_m > 0")
-    eco = donors.groupBy("ecoregion").agg(F.median("dprst_depth_m").alias("eco_median"))
-    kind = donors.groupBy("ftype").agg(F.median("dprst_depth_m").alias("ftype_median"))
+    eco = percentiles(donors, "dprst_depth_m", [50], ["ecoregion"]).withColumnRenamed("p50", "eco_median")
+    kind = percentiles(donors, "dprst_depth_m", [50], ["ftype"]).withColumnRenamed("p50", "ftype_median")
     d = depths.join(models.drop("n"), ["ecoregion", "ftype"], "left").join(eco, "ecoregion", "left").join(kind, "ftype", "left")
     measured = ~F.col("flat") & (F.coalesce("dprst_depth_m", F.lit(0.0)) > 0)
     slope = F.when(F.col("use_slope") & (F.col("hollister_max_m") > 0), F.col("slope") * CONE * F.col("hollister_max_m"))

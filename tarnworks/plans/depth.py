@@ -43,6 +43,34 @@ def dep07(spark, sf):
     return r(depth.batch_status(table(spark, sf, "customer").select(F.col("c_custkey").alias("comid")), _cells(spark, sf)), 6, "share")
 
 
+# Windows at two resolutions, values as text; some polygons have broken windows.
+JOB_WINDOWS = f"""SELECT comid, CASE WHEN comid % 3 = 0 THEN '1m' ELSE '10m' END AS resolution, CASE WHEN comid % 11 = 4 AND col = 3 THEN NULL ELSE row END AS row, col,
+ CASE WHEN comid % 5 = 2 AND row = 7 AND col = 7 THEN 'n/a' WHEN comid % 13 = 1 THEN '7.5' ELSE CAST(value AS STRING) END AS value, inside FROM ({WINDOW}) UNION ALL SELECT comid, '10m', row, col, '1.0', inside FROM ({WINDOW}) WHERE comid % 7 = 1 AND row = 5"""
+JOB = "SELECT c_custkey AS comid, CASE WHEN c_custkey % 2 = 0 THEN '1m' ELSE '10m' END AS resolution FROM customer"
+JOB_SQL = f"""+ p AS ({JOB}), w AS ({JOB_WINDOWS}), h AS (SELECT comid, bool_or(resolution = '1m') AS h1, bool_or(resolution = '10m') AS h10 FROM w GROUP BY comid),
+ c AS (SELECT comid, CASE WHEN p.resolution = '1m' AND h1 THEN '1m' WHEN h10 THEN '10m' END AS resolution FROM p LEFT JOIN h USING (comid)),
+ s AS (SELECT comid, row, col, count(*) > 1 AS twice, bool_or(value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL) AS bad FROM w JOIN c USING (comid, resolution) GROUP BY comid, row, col),
+ b AS (SELECT comid, CASE WHEN bool_or(row IS NULL OR col IS NULL) THEN 'a cell without a place' WHEN bool_or(twice) THEN 'a cell twice' WHEN bool_or(bad) THEN 'a value that is no number' END AS broken FROM s GROUP BY comid),
+ v AS (SELECT comid, count(*) AS n, max(CAST(value AS DOUBLE)) - min(CAST(value AS DOUBLE)) AS range FROM w JOIN c USING (comid, resolution) JOIN b USING (comid) WHERE broken IS NULL AND inside AND value IS NOT NULL GROUP BY comid),
+ j AS (SELECT comid, CASE WHEN resolution IS NULL THEN 'read_failure' WHEN broken IS NULL THEN 'done' ELSE 'compute_error' END AS status, CASE WHEN resolution IS NULL THEN 'no window' ELSE broken END AS fault, resolution, n, range FROM c LEFT JOIN b USING (comid) LEFT JOIN v USING (comid))"""
+
+
+def _job(spark, sf):
+    cells = spark.sql(JOB_WINDOWS.replace("FROM grid", "FROM {grid}"), grid=model(spark, sf, "grid"))
+    return depth.depth_job(spark.sql(JOB.replace("FROM customer", "FROM {c}"), c=table(spark, sf, "customer")), cells)
+
+
+@query("dep07_depth_job", JOB_SQL + """ SELECT comid, status, fault, resolution, CASE WHEN status = 'done' THEN coalesce(n, 0) END AS n_inside, CASE WHEN status = 'done' THEN coalesce(range, 0) < 0.01 END AS flat FROM j""", ("grid",))
+def dep07_job(spark, sf):
+    return _job(spark, sf).select("comid", "status", "fault", "resolution", "n_inside", "flat")
+
+
+@query("dep07_job_summary", JOB_SQL + """ SELECT count(*) AS n_polygons, count(*) FILTER (status = 'read_failure') AS n_read_failure, count(*) FILTER (status = 'compute_error') AS n_compute_error, count(*) FILTER (resolution = '1m') AS n_fine,
+ round(avg(CASE WHEN status = 'done' THEN 1.0 ELSE 0 END), 6) AS share, avg(CASE WHEN status = 'done' THEN 1.0 ELSE 0 END) < 0.9 AS warned FROM j""", ("grid",))
+def dep07_summary(spark, sf):
+    return r(depth.job_summary(_job(spark, sf)), 6, "share")
+
+
 @query("dep05_interior_cells", f"+ w AS ({WINDOW}) SELECT comid, count(*) AS n FROM w WHERE inside GROUP BY comid", ("grid",))
 def dep05(spark, sf):
     return _cells(spark, sf).where("inside").groupBy("comid").agg(F.count(F.lit(1)).alias("n"))

@@ -30,6 +30,14 @@ def src01(spark, sf):
     return scans.scan_layer(spark, path, ["comid", "ftype"], "ftype <> 'P'", (20, 10, 60, 50), "geom")
 
 
+@query("src01_laid_out_layer", f"WITH l AS ({LAYER}) SELECT comid, ftype FROM l WHERE xmax >= 20 AND xmin <= 30 AND ymax >= 10 AND ymin <= 25")
+def src01_laid_out(spark, sf):
+    """The layer along a Z curve, and a small box of it."""
+    path = _folder(spark, "layer")
+    sinks.write_layer(spark.sql(LAYER.replace("FROM orders", "FROM {o}"), o=table(spark, sf, "orders")), path)
+    return scans.scan_layer(spark, path, ["comid", "ftype"], bbox=(20, 10, 30, 25))
+
+
 @query("src04_parameter_csv", "SELECT p_partkey AS hru_id, p_size AS cov_type, p_retailprice AS srad FROM part")
 def src04(spark, sf):
     path = _folder(spark, "parameters")

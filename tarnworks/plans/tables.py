@@ -8,6 +8,7 @@ from tarnworks.core.io import table
 from tarnworks.functions import scalar
 from tarnworks.operators import tables as t
 from tarnworks.operators import vector
+from tarnworks.operators.ranks import exact_percentiles
 from tarnworks.plans.base import model, query
 from tarnworks.plans.zonal import r
 
@@ -283,7 +284,8 @@ def agg35(spark, sf):
 @query("agg36_flatness_summary", """+ f AS (SELECT class, zone_id, max(value) - min(value) AS range FROM cells WHERE value IS NOT NULL GROUP BY class, zone_id) SELECT class, count(*) AS n, round(median(range), 4) AS median_range, round(quantile_cont(range, 0.9), 4) AS p90_range FROM f GROUP BY class""", ("cells",))
 def agg36(spark, sf):
     f = t.flatness(model(spark, sf, "cells").withColumn("k", F.struct("class", "zone_id")), "k")
-    return r(f.groupBy(F.col("k.class").alias("class")).agg(F.count(F.lit(1)).alias("n"), F.median("range").alias("median_range"), F.percentile("range", F.lit(0.9)).alias("p90_range")))
+    f = exact_percentiles(f.select(F.col("k.class").alias("class"), "range"), "range", [0.5, 0.9], ["class"])
+    return r(f.select("class", "n", F.get("q", F.lit(0)).alias("median_range"), F.get("q", F.lit(1)).alias("p90_range")))
 
 
 @query("dep01_flatness", "SELECT zone_id AS comid, round(max(value) - min(value), 4) AS range, round(stddev_pop(value), 4) AS std, count(DISTINCT round(value, 3)) AS n_unique, max(value) - min(value) < 0.01 AS flat FROM cells WHERE value IS NOT NULL GROUP BY zone_id", ("cells",))

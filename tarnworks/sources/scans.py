@@ -11,7 +11,8 @@ from tarnworks.core.checks import assert_none, assert_some, duplicate_keys, requ
 def scan_layer(spark: SparkSession, path: str, columns: list[str], where: str | None = None, bbox: tuple | None = None, geom: str | None = None) -> DataFrame:
     """Columns of a layer's rows under a filter and a bounding box; rows without geometry go.
 
-    The box meets rows whose columns xmin, ymin, xmax, ymax touch it, so that Parquet prunes.
+    The box meets rows whose columns xmin, ymin, xmax, ymax touch it, so that Parquet prunes
+    files and row groups; ``sinks.write_layer`` lays a layer out for that.
     """
     df = spark.read.parquet(path)
     if bbox:

@@ -15,6 +15,39 @@ def write_sorted(df: DataFrame, key: str, path: str) -> None:
     assert_unique(df, key).repartitionByRange(key).sortWithinPartitions(key).write.parquet(path)
 
 
+def spread_bits(x):
+    """The lower 16 bits of a column with a zero between any two."""
+    x = x.cast("long").bitwiseAND(0xFFFF)
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return x
+
+
+def z_order(x, y, extent: tuple[float, float, float, float]):
+    """The place of (x, y) on a Z curve of 2**16 x 2**16 cells over ``extent`` (x0, y0, x1, y1);
+    points outside count in the edge cells, null places have none."""
+    x0, y0, x1, y1 = extent
+    cell = lambda v, lo, hi: F.least(F.greatest(F.floor((v - lo) / ((hi - lo) or 1.0) * 65536), F.lit(0)), F.lit(65535))
+    code = spread_bits(cell(x, x0, x1)).bitwiseOR(F.shiftleft(spread_bits(cell(y, y0, y1)), 1))
+    return F.when(x.isNotNull() & y.isNotNull(), code)
+
+
+def write_layer(layer: DataFrame, path: str, files: int | None = None, group_bytes: int | None = None) -> None:
+    """Write a layer with columns xmin, ymin, xmax, ymax so that readers of a box skip most of it.
+
+    Rows follow the Z curve of their boxes' centres over the layer's extent: range partitions, each
+    sorted, so that files and row groups (of ``group_bytes``) cover small boxes and their minima
+    and maxima prune. Rows without bounds stand first.
+    """
+    e = tuple(layer.agg(*[F.min(c).cast("double") for c in ("xmin", "ymin")], *[F.max(c).cast("double") for c in ("xmax", "ymax")]).first())
+    middle = lambda a, b: (F.col(a).cast("double") + F.col(b).cast("double")) / 2
+    code = z_order(middle("xmin", "xmax"), middle("ymin", "ymax"), e) if None not in e else F.lit(0).cast("long")
+    laid = layer.withColumn("_z", code)
+    laid = laid.repartitionByRange(files, "_z") if files else laid.repartitionByRange("_z")
+    out = laid.sortWithinPartitions("_z").drop("_z").write
+    (out.option("parquet.block.size", group_bytes) if group_bytes else out).parquet(path)
+
+
 def pinned(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """The listed columns with fixed types, so that an empty table keeps its schema."""
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])

@@ -147,3 +147,29 @@ def test_lower_envelope_against_all_places():
     flat = [10**8] * 20_000  # a wide column: each place looks at all others no more
     flat[0] = flat[-1] = 0
     assert depth.farthest(flat) == 9999**2
+
+
+def test_depth_job_holds_faults_as_data(spark):
+    def window(comid, resolution, value=lambda i, j: 5.0 if i in (0, 4) or j in (0, 4) else 2.0):
+        return [(comid, resolution, i, j, str(value(i, j)), 0 < i < 4 and 0 < j < 4) for i in range(5) for j in range(5)]
+
+    bowl = lambda i, j: 5.0 if i in (0, 4) or j in (0, 4) else 2.0 + (i == 2 and j == 2)
+    rows = window(1, "1m", bowl) + window(2, "10m", bowl) + window(3, "1m", bowl) + window(4, "10m") + [(4, "10m", 2, 2, "oops", True)]
+    rows += window(5, "10m", lambda i, j: "oops" if i == j == 2 else 1.0) + window(6, "10m") + [(6, "10m", None, 1, "1.0", True)]
+    rows += window(7, "10m", bowl) + [(7, "10m", 10**8, 2, "1.0", True)] + window(8, "10m", lambda i, j: "NaN") + window(1, "10m", lambda i, j: "oops")
+    cells = spark.createDataFrame(rows, "comid long, resolution string, row int, col int, value string, inside boolean")
+    asked = [(1, "1m"), (1, "10m"), (2, "1m"), (3, "10m"), (4, "10m"), (5, "10m"), (6, None), (7, "10m"), (8, "10m"), (9, "1m"), (None, "1m")]
+    job = depth.depth_job(spark.createDataFrame(asked, "comid long, resolution string"), cells)
+    got = {r["comid"]: r for r in job.collect()}
+    assert set(got) == set(range(1, 10)) and len(got) == job.count()
+    assert {k: r["status"] for k, r in got.items()} == {1: "done", 2: "done", 3: "read_failure", 4: "compute_error", 5: "compute_error", 6: "compute_error", 7: "compute_error", 8: "done", 9: "read_failure"}
+    assert [got[k]["fault"] for k in (1, 3, 4, 5, 6)] == [None, "no window", "a cell twice", "a value that is no number", "a cell without a place"]
+    assert got[7]["fault"].startswith("ValueError: a strip of") and got[7]["mean_depth_m"] is None
+    assert [got[k]["resolution"] for k in (1, 2, 3, 9)] == ["1m", "10m", None, None]
+    alone = depth.depth_records(cells.where("comid = 1 AND resolution = '1m'"), 10.0).first()
+    for c in ("mean_depth_m", "measured_max_m", "hollister_max_m", "range_m", "n_inside", "flat", "method"):
+        assert got[1][c] == got[2][c] and (got[1][c] == alone[c] or np.isclose(got[1][c], alone[c])), c
+    assert got[8]["flat"] and got[8]["n_inside"] == 0
+    assert tuple(depth.job_summary(job).first()) == (9, 2, 4, 1, 3 / 9, True)
+    none = depth.depth_job(spark.createDataFrame([], "comid long, resolution string"), cells)
+    assert none.count() == 0 and tuple(depth.job_summary(none).first()) == (0, 0, 0, 0, None, False)
