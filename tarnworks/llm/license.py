@@ -41,9 +41,9 @@ SENTENCES = {
     "this is free and unencumbered software released into the public domain": 25,
     "this source code form is subject to the terms of the mozilla public license v": 26,
     "if a copy of the mpl was not distributed with this file you can obtain one at": 27,
-    "gnu lesser general public license as published by the free software foundation either other version 2 1 of the license or at your option any later version": 28,
-    "gnu lesser general public license as published by the free software foundation either other version 3 of the license or at your option any later version": 29,
-    "gnu affero general public license as published by the free software foundation either other version 3 of the license or at your option any later version": 30,
+    "gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": 28,
+    "gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": 29,
+    "gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": 30,
     "distributed under the boost software license version 1 0": 31,
     "this program and the accompanying materials are made available under the terms of the eclipse public license v": 32,
     "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": 33,
@@ -61,6 +61,8 @@ SENTENCES = {
     "licensed under the universal permissive license v": 45,
     "licensed under the european union public licence": 46,
     "you may use distribute and copy it under the terms of the artistic license 2 0": 47,
+    "under the terms of the gnu general public license version 2 as published by the free software foundation": 48,
+    "under the terms of the gnu general public license version 3 as published by the free software foundation": 49,
 }
 #: Names of SPDX tags beyond those above (fixed values): a tag is a sentence of its own.
 TAGS = ["0BSD", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "OFL-1.1", "UPL-1.0", "Unlicense", "Zlib"]
@@ -78,6 +80,8 @@ RULES = [
     ("GPL-3.0", "text", [9, 10]),
     ("GPL-3.0", "notice", [8]),
     ("GPL-2.0", "text", [9, 11]),
+    ("GPL-2.0", "notice", [48]),
+    ("GPL-3.0", "notice", [49]),
     ("CC-BY-NC-4.0", "notice", [12]),
     ("CC-BY-4.0", "notice", [13]),
     ("CC-BY-SA-4.0", "notice", [14]),
@@ -127,19 +131,25 @@ WORDINGS = {
     "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license": 36,
     "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted": 21,
     "this software is provided as is without any express or implied warranties": 22,
-    "gnu library general public license as published by the free software foundation either other version 2 of the license or at your option any later version": 28,
+    "gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version": 28,
     "under the terms of the eclipse public license 2 0": 32,
     "governed by a bsd style license": 39,
+    "licensed under the terms of the mit license": 2,
+    "released under the terms of the mit license": 1,
+    "under the terms of version 2 of the gnu general public license as published by the free software foundation": 48,
+    "under the terms of version 3 of the gnu general public license as published by the free software foundation": 49,
 }
 #: A line with a tag is a paragraph of its own.
 TAG = r"(?im)^(.*SPDX-License-Identifier:.*)$"
 #: Bounds of sentences: lines without letters and digits (blank, or comment marks alone), and
 #: stops and marks before white space or the end.
 BOUND = r"\n[^\p{L}\p{N}\n]*(?=\n)|[.!?]+[\"')\]]*(?:[ \t\n\f]+|$)"
-#: The GPL's notice with another licence's name is not the GPL's.
-OTHER = "((?:lesser|library|affero) general public license.*?) either version "
+#: The GPL's notice after another licence's name is not the GPL's.
+OTHER = r"(?<!(?:lesser|library|affero) general public license.{0,400} either version)"
+#: A tag's further names stand behind these words, each as in a tag of its own.
+NEXT_NAME = r" (?:or|and) (?!later\b)"
 #: What every known sentence holds; texts without it have no known sentence.
-NEEDED = "licen[sc]|permi|copyright|software|version|reserved|redistribution|dedicated|public domain|source distribution|mpl|acknowledgement"
+NEEDED = "licen[sc]|permi|copyright|software|version|reserved|redistribution|dedicated|public[^a-z0-9]+domain|source[^a-z0-9]+distribution|mpl|acknowledgement"
 
 
 def normalised(sentence):
@@ -153,11 +163,14 @@ def sentence_ids(text):
     known = F.create_map(*[F.lit(x) for pair in phrases.items() for x in pair])
     # Longest first; not after "not", and "MIT" not before the rest of another tag's name.
     any_of = "|".join(sorted(phrases, key=len, reverse=True)).replace("identifier mit", "identifier mit(?! (?:0|cmu|modern|advertising|enna|feh|festival|khronos|click|open|wu|stk|testregex)\\b)")
+    any_of = any_of.replace("|either version", f"|either version{OTHER}")
     pattern = rf"(?<!\bnot )\b({any_of})\b"
+    tag = "spdx license identifier"
+    each_name = lambda s: F.when(s.contains(tag), F.regexp_replace(s, NEXT_NAME, f" {tag} ")).otherwise(s)
     lines = F.regexp_replace(F.regexp_replace(text, "\\r\\n?", "\n"), TAG, "\n\n$1\n\n")
     lines = F.regexp_replace(lines, r"(?im)^[ \t]*(?:dnl|rem)\b", "")
     hits = F.filter(F.split(lines, BOUND), lambda s: F.lower(s).rlike(NEEDED))
-    clean = F.transform(hits, lambda s: F.regexp_replace(normalised(s), OTHER, "$1 either other version "))
+    clean = F.transform(hits, lambda s: each_name(normalised(s)))
     found = F.flatten(F.transform(clean, lambda s: F.regexp_extract_all(s, F.lit(pattern), F.lit(1))))
     return F.transform(found, lambda p: F.try_element_at(known, p))
 
@@ -167,7 +180,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     ``sentences``: identifiers joined by commas, ``licenses``: names of the licences whose rule
     matches, by name, with the strength of the first matching rule; all empty where there is
-    none. Null and empty texts have none. Null ids and repeated rows pass through.
+    none. Names stand for a licence's version, with or without later ones. A tag with several
+    names (AND, OR) gives them all, one with an exception (WITH) the licence. Null and empty
+    texts have none. Null ids and repeated rows pass through.
     """
     d = docs.select(F.col(id_col).alias(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ids = F.when(F.lower("text").rlike(NEEDED), F.array_join(sentence_ids(F.col("text")), ",")).otherwise(F.lit(""))

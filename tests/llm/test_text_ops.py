@@ -355,6 +355,17 @@ def test_licenses_in_real_texts(spark):
         "// SPDX-License-Identifier: MIT-0\nint x;": ("", ""),
         "It is not licensed under the MIT license.": ("", ""),
         "The files are licensed under the\n\nApache License, Version 2.0.": ("", ""),
+        "// SPDX-License-Identifier: (MIT OR Apache-2.0)\n": ("Apache-2.0,MIT", "tag,tag"),
+        "# SPDX-License-Identifier: Apache-2.0 OR MIT\nx": ("Apache-2.0,MIT", "tag,tag"),
+        "# SPDX-License-Identifier: BSD-3-Clause AND ISC": ("BSD-3-Clause,ISC", "tag,tag"),
+        "# SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) OR EPL-2.0 OR MIT-0": ("EPL-2.0,GPL-2.0", "tag,tag"),
+        "/* SPDX-License-Identifier: GPL-2.0-or-later */": ("GPL-2.0", "tag"),
+        "You may use it under the terms of the GNU General Public License\nversion 2 as published by the Free Software Foundation.": ("GPL-2.0", "notice"),
+        "This is licensed under the terms of\n# the MIT license.": ("MIT", "notice"),
+        ZLIB_TEXT.replace("source distribution", "source\n distribution"): ("Zlib", "text"),
+        ZLIB_TEXT.replace("source distribution", "source distribution").replace("\n", "\n * "): ("Zlib", "text"),
+        "Released into the public\n// domain: this is free and unencumbered software released into the public\ndomain.": ("Unlicense", "text"),
+        GPL3_TEXT.replace("GNU General Public License", "GNU Lesser General Public License (LGPL)"): ("", ""),
     }
     d = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
     got = {r["doc_id"]: (r["licenses"], r["strengths"]) for r in license.scan_licenses(d).collect()}
