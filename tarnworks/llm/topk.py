@@ -1,8 +1,8 @@
 """Exact top-k inner-product search with MaxScore over sharded inverted indexes.
 
 Every (dimension, sign) is a term with a posting list of the vectors that have a
-component of that sign. A shard of candidates is indexed inside one task; blocks of
-queries meet every shard once, and the shards' top lists are merged by Spark.
+component of that sign. A shard of candidates is indexed once, inside one task; the queries
+stream through every shard's index, and the shards' top lists are merged by Spark.
 """
 
 from __future__ import annotations
@@ -113,14 +113,26 @@ def _matrix(rows: pd.Series) -> np.ndarray:
     return out
 
 
-def _dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-    """Rows dealt by id into ``n_own`` groups, each repeated for every group of the other side."""
-    return df.select(
-        F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int").alias(own),
-        F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other),
-        "id",
-        "v",
-    )
+def _searched(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """Answers of rows sorted by shard, a shard's candidates before the queries: a shard is indexed
+    once, when its first query comes, and the queries stream through the index."""
+    shard, held, index = None, [], None
+    for batch in batches:
+        out = []
+        for key, rows in batch.groupby("shard", sort=False):
+            if key != shard:
+                shard, held, index = key, [], None
+            if len(own := rows[~rows["asked"]]):
+                held.append(own)
+            for query_id, v in rows.loc[rows["asked"], ["id", "v"]].itertuples(index=False):
+                if index is None and held:
+                    whole = pd.concat(held)
+                    index, held = ShardIndex(whole["id"].to_numpy(), _matrix(whole["v"])), []
+                if index is not None:
+                    ids, score = index.search(query_id, np.asarray(v, np.int64), k)
+                    out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids, "score": score}))
+        if out:
+            yield pd.concat(out)
 
 
 def maxscore_topk(
@@ -131,7 +143,6 @@ def maxscore_topk(
     k: int = 10,
     scale: int = SCALE,
     shard_rows: int = 8192,
-    query_rows: int = 16384,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best candidates, exactly.
 
@@ -139,30 +150,18 @@ def maxscore_topk(
     query's own id is no candidate. Vectors of unequal length: missing components are 0.
     Fewer than k candidates: all of them. An id with several vectors can take several ranks,
     and as a query has the best of all its vectors' scores. See ``integer_vectors`` for what takes no part;
-    no queries or no candidates give no rows. ``shard_rows`` and ``query_rows`` bound what
-    one task holds; the number of shards follows from a count.
+    no queries or no candidates give no rows. A candidate is in one shard, of about ``shard_rows``
+    (their number follows from a count), which bounds what one task holds; queries go to every
+    shard and pass its index in batches.
     """
     c = integer_vectors(candidates, id_col, vec_col, scale).dropDuplicates()
     q = integer_vectors(queries, id_col, vec_col, scale).dropDuplicates()
-    n_c, n_q = c.count(), q.count()
-    shards, blocks = max(1, math.ceil(n_c / shard_rows)), max(1, math.ceil(n_q / query_rows))
-    c = _dealt(c, "shard", shards, "block", blocks)
-    q = _dealt(q, "block", blocks, "shard", shards)
-
-    def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            index = ShardIndex(left["id"].to_numpy(), _matrix(left["v"]))
-            for own, v in zip(right["id"].to_numpy(), right["v"]):
-                ids, score = index.search(own, np.asarray(v, np.int64), k)
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-    found = (
-        c.groupBy("shard", "block")
-        .cogroup(q.groupBy("shard", "block"))
-        .applyInPandas(search, "query_id long, vec_id long, score long")
-    )
+    shards = max(1, math.ceil(c.count() / shard_rows))
+    # By id and vector: an id with many vectors is spread over all shards.
+    dealt = c.select(F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asked"), "id", "v")
+    sent = q.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asked"), "id", "v")
+    rows = dealt.unionByName(sent).repartition("shard").sortWithinPartitions("shard", "asked")
+    found = rows.mapInPandas(lambda batches: _searched(batches, k), "query_id long, vec_id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(w))

@@ -39,7 +39,7 @@ def test_topk_against_brute_force(spark, kind):
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
     rows += [(900, None), (901, [None] * 12), (905, [float("nan")] * 12), (None, [1.0] * 12), (910, [0.5, 0.5]), (915, []), rows[1]]
     df = spark.createDataFrame([(*r, "z") for r in rows], V)
-    got = topk.maxscore_topk(df, df.where("vec_id % 5 = 0"), k=7, shard_rows=20, query_rows=9)
+    got = topk.maxscore_topk(df, df.where("vec_id % 5 = 0"), k=7, shard_rows=20)
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 7)
 
 
@@ -53,6 +53,21 @@ def test_topk_id_with_two_vectors(spark):
 def test_topk_empty(spark):
     e = spark.createDataFrame([], V)
     assert topk.maxscore_topk(e, e).count() == 0
+    hot = spark.createDataFrame([(0, [float(i), 1.0]) for i in range(300)] + [(i, [1.0, float(i)]) for i in range(1, 40)], "vec_id long, embedding array<double>")
+    few = topk.maxscore_topk(hot, hot.where("vec_id = 5"), k=400, shard_rows=16)  # one id holds most rows
+    assert few.count() == 338 and few.where("vec_id = 0").count() == 300
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # shards and queries over many batches
+    try:
+        small = topk.maxscore_topk(hot, hot.where("vec_id % 3 = 1"), k=4, shard_rows=64).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(small) == sorted(topk.maxscore_topk(hot, hot.where("vec_id % 3 = 1"), k=4, shard_rows=10**6).collect()) and len(small) == 13 * 4
+
+
+def test_topk_stores_each_candidate_once(spark):
+    d = spark.range(200).selectExpr("id AS vec_id", "array(cast(id AS double), 1D) AS embedding")
+    plan = topk.maxscore_topk(d, d.where("vec_id % 2 = 0"), k=2, shard_rows=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # of the queries alone
 
 
 def shingles(text, size):
