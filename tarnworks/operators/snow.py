@@ -134,10 +134,14 @@ def selection_status(limits: dict = LIMITS):
     )
 
 
+#: Cover at half the snow below which a curve is low, above which it is high.
+CLASS_LIMITS = (0.45, 0.55)
+
+
 def curve_class(curve):
     """low, mid or high by the cover at half the snow."""
     half = F.element_at(curve, 6)
-    return F.when(half < 0.45, "low").when(half > 0.55, "high").otherwise("mid")
+    return F.when(half < CLASS_LIMITS[0], "low").when(half > CLASS_LIMITS[1], "high").otherwise("mid")
 
 
 def zone_records(daily: DataFrame, cells: DataFrame, water: DataFrame, default_curve: list[float], limits: dict = LIMITS, zone: str = "zone_id", date: str = "date") -> DataFrame:
@@ -282,8 +286,10 @@ def library_pipeline(records: DataFrame, bins: int, default_curve: list[float],
     """(library, parameters, report) from zone records: fit, calibrate, bin, assign, assemble."""
     from tarnworks.functions.scalar import threshold_inches
 
+    # Records and their fits are read by several steps: written once each.
+    records = materialize(records, "zone-records")
     fitted = best_cv(records.where("sdc_status = 'derived'"), zone)
-    rows, report = quantile_calibration(records.join(fitted, zone, "left"), mode=mode)
+    rows, report = quantile_calibration(materialize(records.join(fitted, zone, "left"), "fitted-records"), mode=mode)
     source = F.when(F.col("cv_calibrated").isNotNull(), "subgrid_calibrated" if report["calibrated"] else "subgrid").when(F.col("cv_empirical").isNotNull(), "empirical").otherwise("default_no_snow")
     rows = materialize(rows.withColumns({"cv_assign": F.coalesce("cv_calibrated", "cv_empirical"), "cv_source": source}), "library-rows")
     library = materialize(curve_library(rows, bins, default_curve, zone, "cv_assign"), "curve-library")

@@ -29,7 +29,7 @@ MODEL = {
     "canopy": "SELECT zone_id, 10 + zone_id % 80 AS canopy_mean FROM zones WHERE zone_id % 9 <> 0",
     # Daily snow of zones: sums by ship date, shaped so that a water year melts out in June.
     "daily": """SELECT zone_id, date, CASE WHEN moy IN (7, 8, 9) THEN 0.0 WHEN moy = 6 THEN 0.0 ELSE q * shape END AS swe,
-        CASE WHEN moy IN (6, 7, 8, 9) THEN 0.0 ELSE least(1.0, q * shape / 40) END AS sca, q * shape / 5 AS swe_std FROM (
+        CASE WHEN moy IN (6, 7, 8, 9) THEN 0.0 ELSE least(1.0, q * shape / 40) END AS sca, q * shape * (0.1 + CAST(zone_id * 37 % 1009 AS DOUBLE) / 1009) AS swe_std FROM (
         SELECT zone_id, date, q, month(date) AS moy, CASE month(date) WHEN 10 THEN 0.2 WHEN 11 THEN 0.5 WHEN 12 THEN 0.8 WHEN 1 THEN 1.0 WHEN 2 THEN 1.5 WHEN 3 THEN 1.2 WHEN 4 THEN 0.7 WHEN 5 THEN 0.3 ELSE 0 END AS shape FROM (
         SELECT l_suppkey AS zone_id, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)))""",
     # A grid of 64 columns from orders: values, masks and D8 codes by arithmetic.

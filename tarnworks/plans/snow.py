@@ -40,6 +40,28 @@ SEASON = """+ d AS (SELECT *, CAST(year(date) + CASE WHEN month(date) >= 10 THEN
 D = ("daily",)
 
 
+def lognormal_sql(coefficients: str, name: str = "lg") -> str:
+    """CTEs that end in ``name``(cv, level, value): the lognormal curve at the eleven levels for each cv of
+    the query. The normal distribution's integral is the series of the error function."""
+    phi = "0.5 * (1 + sign({0}) * list_sum(list_transform(range(0, 90), lambda k: exp((2 * k + 1) * ln(greatest(abs({0}) / sqrt(2), 1e-300)) - lgamma(k + 1.5) - {0} * {0} / 2))))"
+    return f""" {name}_cv AS (SELECT DISTINCT CAST(cv AS DOUBLE) AS cv FROM ({coefficients}) WHERE cv IS NOT NULL),
+ {name}_m AS (SELECT cv, z, i, -6 * z + i * (12 * z / 3999) AS m FROM (SELECT cv, sqrt(ln(1 + greatest(cv, 1e-4) * greatest(cv, 1e-4))) AS z FROM {name}_cv), (SELECT unnest(range(0, 4000)) AS i)),
+ {name}_a AS (SELECT cv, i, m, (-z * z / 2 - m) / z AS a, (z * z / 2 - m) / z AS b FROM {name}_m),
+ {name}_y AS (SELECT cv, i, m, {phi.format("a")} AS y, {phi.format("b")} AS b FROM {name}_a),
+ {name}_x AS (SELECT cv, b - exp(m) * y AS x, y, i FROM {name}_y),
+ {name}_n AS (SELECT *, lead(x) OVER o AS nx, lead(y) OVER o AS ny FROM (SELECT cv, x, y, -i AS i FROM {name}_x UNION ALL SELECT cv, 1.0, 1.0, 1 FROM {name}_cv) WINDOW o AS (PARTITION BY cv ORDER BY i)),
+ {name}_l AS (SELECT cv, 10 - j AS level, j / 10.0 AS lx FROM {name}_cv, (SELECT unnest(range(1, 10)) AS j)),
+ {name} AS (SELECT l.cv, l.level, greatest(0, least(1, arg_max(n.y + (n.ny - n.y) * (l.lx - n.x) / (n.nx - n.x), n.i))) AS value
+   FROM {name}_l l JOIN {name}_n n ON n.cv = l.cv AND n.x <= l.lx AND n.nx > l.lx GROUP BY l.cv, l.level
+   UNION ALL SELECT cv, 0, 1.0 FROM {name}_cv UNION ALL SELECT cv, 10, 0.0 FROM {name}_cv)"""
+
+
+GRID = "SELECT round(0.05 * unnest(range(1, 61)), 2) AS cv"
+#: (zone_id, cv_empirical) over the representative curves.
+FITTED = """ SELECT zone_id, arg_min(cv, (gap, cv)) AS cv_empirical FROM (SELECT c.zone_id, lg.cv, round(sum((c.value - lg.value) ** 2), 12) AS gap
+   FROM cur c JOIN rep USING (zone_id, wy) JOIN lg ON lg.level = c.level WHERE c.level BETWEEN 1 AND 9 GROUP BY c.zone_id, lg.cv) GROUP BY zone_id"""
+
+
 @query("win01_water_year", SEASON + " SELECT zone_id, date, wy FROM d", D)
 def win01(spark, sf):
     return snow.with_water_year(model(spark, sf, "daily")).select("zone_id", "date", "wy")
@@ -143,15 +165,42 @@ def win15(spark, sf):
     return r(out.select("zone_id", "cv_calibrated"), 6)
 
 
-@query("win16_reconstruction_error")
+OWN = "SELECT cv_subgrid AS cv FROM st JOIN pks USING (zone_id) WHERE sdc_status = 'derived'"
+
+
+@query("win16_reconstruction_error", SEASON + "," + lognormal_sql(OWN) + """ SELECT round(sum(s) / (11 * count(*)), 6) AS mean_error, round(quantile_cont(t, 0.95), 6) AS p95_error FROM (
+ SELECT c.zone_id, sum(abs(c.value - lg.value)) AS s, max(abs(c.value - lg.value)) AS t FROM cur c JOIN rep USING (zone_id, wy) JOIN st USING (zone_id) JOIN pks USING (zone_id)
+   JOIN lg ON lg.cv = cv_subgrid AND lg.level = c.level WHERE sdc_status = 'derived' GROUP BY c.zone_id)""", D)
 def win16(spark, sf):
     rec = _records(spark, sf)
     return r(snow.reconstruction_error(rec.where("sdc_status = 'derived'"), "cv_subgrid", "curve"), 6)
 
 
-@query("win17_library_parameters")
+LIBRARY = SEASON + "," + lognormal_sql(GRID) + f""", emp AS ({FITTED}),
+ z AS (SELECT st.zone_id, sdc_status, n_seasons, similarity, cv_subgrid, peak_swe_mm, coalesce(n_peak_years, 0) AS n_peak_years, CASE WHEN sdc_status = 'derived' THEN k.sca_class ELSE 'mid' END AS sca_class,
+   CASE WHEN sdc_status = 'derived' THEN cv_empirical END AS cv_empirical FROM st LEFT JOIN pks USING (zone_id) LEFT JOIN emp USING (zone_id) LEFT JOIN ({CLASS}) k USING (zone_id)),
+ pair AS (SELECT cv_subgrid AS s, cv_empirical AS e FROM z WHERE cv_subgrid IS NOT NULL AND cv_empirical IS NOT NULL),
+ qs AS (SELECT unnest(quantile_cont(s, list_transform(range(0, 101), lambda i: i / 100.0))) AS x, unnest(quantile_cont(e, list_transform(range(0, 101), lambda i: i / 100.0))) AS y, unnest(range(0, 101)) AS q FROM pair),
+ kn AS (SELECT x, arg_min(y, q) AS y FROM qs GROUP BY x),
+ cal AS (SELECT count(*) >= 2 AND abs(median(s) - median(e)) > 0.1 AND (SELECT count(*) FROM kn) >= 2 AS told FROM pair),
+ lo AS (SELECT z.zone_id, max(x) AS x, arg_max(y, x) AS y FROM z JOIN kn ON x <= cv_subgrid GROUP BY z.zone_id),
+ hi AS (SELECT z.zone_id, min(x) AS x, arg_min(y, x) AS y FROM z JOIN kn ON x > cv_subgrid GROUP BY z.zone_id),
+ c AS (SELECT z.*, told, CASE WHEN NOT told OR cv_subgrid IS NULL THEN cv_subgrid WHEN lo.x IS NULL THEN hi.y WHEN hi.x IS NULL THEN lo.y ELSE lo.y + (hi.y - lo.y) * (cv_subgrid - lo.x) / (hi.x - lo.x) END AS cv_calibrated
+   FROM z CROSS JOIN cal LEFT JOIN lo USING (zone_id) LEFT JOIN hi USING (zone_id)),
+ a AS (SELECT *, coalesce(cv_calibrated, cv_empirical) AS cv_assign,
+   CASE WHEN cv_calibrated IS NOT NULL THEN CASE WHEN told THEN 'subgrid_calibrated' ELSE 'subgrid' END WHEN cv_empirical IS NOT NULL THEN 'empirical' ELSE 'default_no_snow' END AS cv_source FROM c),
+ bin AS (SELECT cv_assign, floor((row_number() OVER (ORDER BY cv_assign, zone_id) - 1) * 4 / count(*) OVER ()) AS bin FROM a WHERE cv_assign IS NOT NULL),
+ lib AS (SELECT CAST(bin + 2 AS INTEGER) AS id, quantile_cont(cv_assign, 0.5) AS mid FROM bin GROUP BY bin),
+ near AS (SELECT zone_id, arg_min(id, (abs(mid - cv_assign), id)) AS id FROM a, lib WHERE cv_assign IS NOT NULL GROUP BY zone_id),"""
+
+
+@query("win17_library_parameters", LIBRARY + lognormal_sql("SELECT mid AS cv FROM lib", "lib_lg") + """
+ SELECT a.zone_id, coalesce(near.id, 1) AS hru_deplcrv, round(CASE WHEN peak_swe_mm > 0 THEN peak_swe_mm / 25.4 ELSE 0 END, 4) AS snarea_thresh, round(cv_assign, 6) AS cv_assign, round(cv_subgrid, 6) AS cv_subgrid,
+   round(cv_empirical, 6) AS cv_empirical, cv_source, sdc_status, sca_class, round(similarity, 6) AS similarity, n_seasons, n_peak_years, round(peak_swe_mm, 4) AS peak_swe_mm, round(coalesce(s, 5.5), 6) AS curve_sum
+ FROM a LEFT JOIN near USING (zone_id) LEFT JOIN lib ON lib.id = near.id LEFT JOIN (SELECT cv, sum(value) AS s FROM lib_lg GROUP BY cv) v ON v.cv = lib.mid""", D)
 def win17(spark, sf):
-    return snow.library_pipeline(_records(spark, sf), 4, DEFAULT)[1]
+    d = snow.library_pipeline(_records(spark, sf), 4, DEFAULT)[1].withColumn("curve_sum", F.aggregate("curve", F.lit(0.0), lambda a, x: a + x)).drop("curve")
+    return r(r(d, 4, "snarea_thresh", "peak_swe_mm"), 6, "cv_assign", "cv_subgrid", "cv_empirical", "similarity", "curve_sum")
 
 
 @query("win18_yearly_merge", SEASON + " SELECT zone_id, date, wy FROM d", D)
@@ -174,7 +223,10 @@ def agg52(spark, sf):
     return snow.status_shares(_records(spark, sf))
 
 
-@query("jon13_nearest_curve")
+@query("jon13_nearest_curve", """WITH v AS (SELECT p_partkey AS zone_id, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_size / CAST(25 AS DOUBLE) END AS cv FROM part),
+ k AS (SELECT cv, floor((row_number() OVER (ORDER BY cv, zone_id) - 1) * 8 / count(*) OVER ()) AS bin FROM v WHERE cv IS NOT NULL),
+ b AS (SELECT CAST(bin + 2 AS INTEGER) AS id, quantile_cont(cv, 0.5) AS mid FROM k GROUP BY bin)
+ SELECT v.zone_id, v.cv, coalesce(arg_min(b.id, (abs(b.mid - v.cv), b.id)), 1) AS hru_deplcrv FROM v LEFT JOIN b ON v.cv IS NOT NULL GROUP BY v.zone_id, v.cv""")
 def jon13(spark, sf):
     from tarnworks.core.io import table
 
@@ -182,14 +234,17 @@ def jon13(spark, sf):
     return snow.nearest_curve(d, snow.curve_library(d, 8, DEFAULT))
 
 
-@query("scl07_lognormal_curve")
+CVS = "SELECT p_size / CAST(25 AS DOUBLE) AS cv FROM part"
+
+
+@query("scl07_lognormal_curve", f"WITH {lognormal_sql(CVS)} SELECT p_partkey, CAST(level AS INTEGER) AS level, round(value, 6) AS value FROM part JOIN lg ON lg.cv = p_size / CAST(25 AS DOUBLE)")
 def scl07(spark, sf):
     from tarnworks.core.io import table
 
     return r(snow.lognormal_curves(table(spark, sf, "part").selectExpr("p_partkey", "p_size / 25.0D AS cv")).select("p_partkey", F.posexplode("curve").alias("level", "value")), 6)
 
 
-@query("scl08_best_cv")
+@query("scl08_best_cv", SEASON + "," + lognormal_sql(GRID) + FITTED, D)
 def scl08(spark, sf):
     return snow.best_cv(snow.representative(snow.annual_curves(model(spark, sf, "daily"))))
 

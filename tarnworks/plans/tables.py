@@ -118,7 +118,13 @@ def jon19(spark, sf):
     return vector.tile_membership(b, "k", 10.0, fine)
 
 
-@query("par01_spatial_batches")
+@query("par01_spatial_batches", f"""WITH RECURSIVE {PTS}, h AS (
+ SELECT point_id AS zone_id, x, y, CAST(1 AS BIGINT) AS node, 0 AS level, CASE WHEN n > 100 THEN greatest(0, ceil(log2(greatest(1, n // 100)))) ELSE 0 END AS levels FROM pts, (SELECT count(*) AS n FROM pts)
+ UNION ALL
+ SELECT zone_id, x, y, 2 * node + CASE WHEN n > 50 AND lo < hi AND v > cut THEN 1 ELSE 0 END, level + 1, levels FROM (
+  SELECT *, count(*) OVER (PARTITION BY node) AS n, min(v) OVER (PARTITION BY node) AS lo, max(v) OVER (PARTITION BY node) AS hi, quantile_cont(v, 0.5) OVER (PARTITION BY node) AS cut
+  FROM (SELECT *, CASE WHEN level % 2 = 0 THEN x ELSE y END AS v FROM h WHERE level < levels)))
+ SELECT zone_id, CAST(dense_rank() OVER (ORDER BY node) - 1 AS INTEGER) AS batch_id FROM h WHERE level = levels""")
 def par01(spark, sf):
     return vector.spatial_batches(_points(spark, sf).withColumnRenamed("point_id", "zone_id"), 100)
 
