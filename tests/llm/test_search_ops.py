@@ -294,23 +294,23 @@ def plain_posterior(rows, languages, weights):
     return out
 
 
-def test_fusion_against_plain_posteriors(spark):
-    rng = np.random.default_rng(11)
+def plain_buckets(text):
     letters = {c: ord(c) for c in "abcdefghijklmnopqrstuvwxyz"}
+    raw = [letters.get(chr(b).lower(), b if b > 127 else 0) for b in (text or "").encode()]
+    kept = [x for i, x in enumerate(raw) if x or i and raw[i - 1]] + [0, 0]
+    grams = [(a | b << 8 | c << 16) for a, b, c in zip(kept, kept[1:], kept[2:])]
+    return [(g * 2654435761 & 0xFFFFFFFF) >> (32 - langid.BITS) for g in grams if g]
 
-    def buckets(text):
-        raw = [letters.get(chr(b).lower(), b if b > 127 else 0) for b in (text or "").encode()]
-        kept = [x for i, x in enumerate(raw) if x or i and raw[i - 1]] + [0, 0]
-        grams = [(a | b << 8 | c << 16) for a, b, c in zip(kept, kept[1:], kept[2:])]
-        return [(g * 2654435761 & 0xFFFFFFFF) >> (32 - langid.BITS) for g in grams if g]
 
+def test_fusion_against_plain_posteriors(spark):
+    rng = np.random.default_rng(11)
     rows = [(i, made(("en", "de")[int(rng.random() < 0.4)], int(rng.integers(1, 6)), rng), rng.choice(["en", "de", "EN", "fr"]).item(), f"s{rng.integers(4)}") for i in range(120)]
     rows += [(200, "in", None, "s1"), (201, "die", "de", None), (202, "", "en", "s2"), (203, None, None, None), (204, "in ", None, "s1"), (205, " - in", "de", "s1"), (206, "...", "de", "s1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     model = langid.fit_text_model(docs.where("doc_id < 120").withColumn("lang", F.lower("lang")))
     got = {r["doc_id"]: (r["predicted"], r["posterior"]) for r in langid.fuse(langid.text_evidence(langid.document_rows(docs), model), model[0], ["doc_id"]).collect()}
     host = lambda s: None if s is None else f"source:{s}"
-    plain = [(buckets(t) if t else [], lang and lang.lower(), None, host(s), host(s)) for _, t, lang, s in rows]
+    plain = [(plain_buckets(t) if t else [], lang and lang.lower(), None, host(s), host(s)) for _, t, lang, s in rows]
     for r, (name, p) in zip(rows, plain_posterior(plain, *model)):
         assert got[r[0]][0] == name and abs(got[r[0]][1] - p) < 2e-5, (r, got[r[0]], name, p)
 
