@@ -50,7 +50,7 @@ def off_land_count(cells: DataFrame, land: DataFrame) -> DataFrame:
 def above_region_threshold(cells: DataFrame, thresholds: DataFrame, region: str = "region") -> DataFrame:
     """Adds ``passes``: value above its region's threshold; a cell without region never passes; a
     region that cells have and the thresholds (a row a region) lack raises."""
-    known = F.broadcast(thresholds.select(region, "t"))
+    known = thresholds.select(region, "t")
     assert_none(cells.select(region).where(F.col(region).isNotNull()).distinct().join(known, region, "left_anti"), "regions without threshold")
     return cells.join(known, region, "left").withColumn("passes", F.coalesce(F.col("value") > F.col("t"), F.lit(False))).drop("t")
 

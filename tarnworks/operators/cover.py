@@ -1,7 +1,7 @@
 """Land-cover parameters from class percentages and a crosswalk.
 
-``perc`` is (zone, lu_code, perc); the crosswalk is a small table (one row a land-cover
-code) that is broadcast. Codes the crosswalk lacks take no part.
+``perc`` is (zone, lu_code, perc); the crosswalk has one row a land-cover code, so that Catalyst
+broadcasts it by its measured size. Codes the crosswalk lacks take no part.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ def class_percentages(hist: DataFrame, zone: str = "zone_id", code: str = "lu_co
 
 
 def unmatched_codes(perc: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    return perc.select("lu_code").distinct().join(F.broadcast(crosswalk.select("lu_code")), "lu_code", "left_anti")
+    return perc.select("lu_code").distinct().join(crosswalk.select("lu_code"), "lu_code", "left_anti")
 
 
 def _matched(perc: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    return perc.join(F.broadcast(crosswalk), "lu_code").where("nhm_cov_type IS NOT NULL")
+    return perc.join(crosswalk, "lu_code").where("nhm_cov_type IS NOT NULL")
 
 
 def _cover_type():

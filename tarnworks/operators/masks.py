@@ -64,7 +64,9 @@ def append_sinks(waterbodies: DataFrame, sinks: DataFrame, reached: DataFrame, k
 
 
 def grid_mismatches(grids: DataFrame, template: str, name: str = "grid_id") -> DataFrame:
-    """(grid, field) of grids whose shape, system or transform differs from the template's."""
+    """(grid, field) of grids whose shape, system or transform differs from the template's; a template
+    that is named twice raises."""
+    assert_none(grids.where(F.col(name) == template).groupBy(name).count().where("count > 1"), "template grids named twice")
     fields = ["crs", "width", "height", "a", "b", "c", "d", "e", "f"]
     t = grids.where(F.col(name) == template).select(*[F.col(f).cast("string").alias(f"t_{f}") for f in fields])
     pairs = F.array(*[F.struct(F.lit(f).alias("field"), (~F.equal_null(F.col(f).cast("string"), F.col(f"t_{f}"))).alias("off")) for f in fields])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnworks.core.io import shared_dir, table
@@ -56,9 +57,9 @@ def snk01(spark, sf):
     path = _folder(spark, "sorted")
     sinks.write_sorted(table(spark, sf, "orders").select(F.col("o_orderkey").alias("hru_id"), F.col("o_totalprice").alias("value")), "hru_id", path)
     d = spark.read.parquet(path).select("hru_id", "value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
-    files = d.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("hru_id").alias("low"))
-    earlier = files.select(F.col("file").alias("before"), F.col("n").alias("rows"))
-    offset = files.join(earlier, F.col("before") < F.col("file"), "left").groupBy("file").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("offset"))  # a row a file
+    files = d.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    offset = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     return d.join(offset, "file").select("hru_id", "value", (F.col("offset") + F.col("at")).alias("place"))
 
 

@@ -30,7 +30,7 @@ def scan_cells(cells: DataFrame, grids: DataFrame) -> DataFrame:
 
     ``grids`` has a row a grid: metadata whose number of rows does not grow with the cells.
     """
-    g = F.broadcast(grids.select("grid_id", "nodata", "a", "c", "e", "f"))
+    g = grids.select("grid_id", "nodata", "a", "c", "e", "f")
     valid = F.col("value").isNotNull() & ~F.isnan("value") & (F.col("nodata").isNull() | (F.col("value") != F.col("nodata")))
     return (
         cells.join(g, "grid_id")

@@ -215,3 +215,14 @@ def test_fill_is_the_priority_flood(spark):
     got = {tuple(r)[:3]: r["filled"] for r in flow.fill_depressions(d, by=("comid",)).collect()}
     want = {(k, i, j): v for k, g in grids.items() for (i, j), v in np.ndenumerate(fill_window(g)) if not np.isnan(v)}
     assert got == want
+
+
+def test_a_template_grid_named_twice_raises(spark):
+    from tarnworks.operators import masks
+
+    grid = lambda name, width: (name, "m", width, 4, 30.0, 0.0, 0.0, 0.0, -30.0, 0.0)
+    schema = "grid_id string, crs string, width int, height int, a double, b double, c double, d double, e double, f double"
+    once = spark.createDataFrame([grid("t", 5), grid("u", 6), grid("v", 5)], schema)
+    assert [tuple(r) for r in masks.grid_mismatches(once, "t").collect()] == [("u", "width")]
+    with pytest.raises(ValueError, match="named twice"):
+        masks.grid_mismatches(once.unionByName(once), "t").collect()
