@@ -170,12 +170,16 @@ D8 = {1: (0, 1), 2: (1, 1), 4: (1, 0), 8: (1, -1), 16: (0, -1), 32: (-1, -1), 64
 
 
 def neighbours(cells: DataFrame) -> DataFrame:
-    """Each valid cell with the values of its up to eight neighbours: (row, col, value, code, n_value)."""
+    """Each valid cell with the values of its up to eight neighbours: (row, col, value, code, n_value).
+
+    The eight rows a cell are more than Catalyst's estimate, which takes an exploded array for one
+    row, so that this join is never one by broadcast.
+    """
     steps = F.array(*[F.struct(F.lit(k).alias("code"), F.lit(i).alias("i"), F.lit(j).alias("j")) for k, (i, j) in D8.items()])
     # A neighbour's value is sent to the cells that look at it.
     sent = cells.where(F.col("value").isNotNull()).withColumn("s", F.explode(steps))
     sent = sent.select((F.col("row") - F.col("s.i")).alias("row"), (F.col("col") - F.col("s.j")).alias("col"), F.col("s.code").alias("code"), F.col("value").alias("n_value"))
-    return cells.where(F.col("value").isNotNull()).select(*CELL, "value").join(sent, CELL)
+    return cells.where(F.col("value").isNotNull()).select(*CELL, "value").join(sent.hint("merge"), CELL)
 
 
 def slope_aspect(cells: DataFrame, size: float) -> DataFrame:
