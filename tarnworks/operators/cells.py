@@ -199,7 +199,7 @@ def flow_pointer(cells: DataFrame) -> DataFrame:
     diagonal = F.col("code").isin([2, 8, 32, 128])
     drop = (F.col("value") - F.col("n_value")) / F.when(diagonal, F.sqrt(F.lit(2.0))).otherwise(1.0)
     best = neighbours(cells).where("n_value < value").groupBy(*CELL).agg(F.max_by("code", F.struct(drop.alias("d"), -F.col("code"))).alias("code"))
-    return cells.where(F.col("value").isNotNull()).select(*CELL).join(best, CELL, "left").select(*CELL, F.coalesce("code", F.lit(0)).alias("code"))
+    return cells.where(F.col("value").isNotNull()).select(*CELL).join(best.hint("merge"), CELL, "left").select(*CELL, F.coalesce("code", F.lit(0)).alias("code"))
 
 
 def overlap_mosaic(tiles: DataFrame, how: str = "min", order: str = "tile") -> DataFrame:

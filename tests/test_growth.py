@@ -23,3 +23,9 @@ def test_neighbours_are_not_sent_to_the_driver(slope):
     assert "Broadcast" not in plan(near)
     assert near.count() == 8 * 18 * 18 + 5 * 4 * 18 + 3 * 4
     assert "Broadcast" not in plan(cells.slope_aspect(slope, 1.0))
+
+
+def test_pointers_are_not_sent_to_the_driver(slope):
+    found = cells.flow_pointer(slope)
+    assert "Broadcast" not in plan(found)
+    assert found.count() == 400
