@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,28 +14,46 @@ from tarnworks.core.io import materialize
 
 #: Edges that one task may hold: some tens of megabytes.
 SMALL = 300_000
+#: Nodes that a task's union-find holds before it hands on its forest and begins another.
+HELD = 400_000
 
 
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over the edges of one task: each node with its set's smallest node."""
-    parent: dict[int, int] = {}
+def _forest(held: int | None = HELD) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Union-find over the edges of one task: each node with its set's smallest node.
 
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent[up]
-            x = parent[x]
-        return x
+    Once ``held`` nodes are in memory their forest is handed on and the next edges begin another,
+    so a task's memory does not grow with its edges. Forests of pieces connect the same nodes as
+    their edges; None holds all nodes, so that each has one row.
+    """
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = parent[x]
+            return x
+
+        def trees() -> Iterator[pa.RecordBatch]:
+            nodes = np.fromiter(parent, np.int64, len(parent))
+            roots = np.fromiter((root(x) for x in nodes.tolist()), np.int64, len(parent))
+            parent.clear()
+            keep = nodes != roots
+            nodes, roots = nodes[keep], roots[keep]
+            for at in range(0, len(nodes), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + 100_000]), pa.array(roots[at : at + 100_000])], names=["a", "b"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if held is not None and len(parent) >= held:
+                yield from trees()
+        yield from trees()
 
-    for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            a, b = root(a), root(b)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    nodes = np.fromiter(parent, np.int64, len(parent))
-    roots = np.fromiter((root(x) for x in list(parent)), np.int64, len(parent))
-    keep = nodes != roots
-    for at in range(0, int(keep.sum()), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[keep][at : at + 100_000]), pa.array(roots[keep][at : at + 100_000])], names=["a", "b"])
+    return shrink
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, small: int = SMALL) -> DataFrame:
@@ -43,15 +61,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
 
     Long ids; edges with a null end and loops are left out. Every round first shrinks each
     task's edges to a forest by union-find, then hooks each node to its smallest neighbour,
-    jumps to the roots and keeps the edges between roots. At most ``small`` edges after the
+    jumps to the roots and keeps the edges between roots. A task holds at most about ``HELD`` nodes. At most ``small`` edges after the
     first shrinking are finished by one task. Nodes without an edge are not returned. Raises
     when ``rounds`` do not suffice.
     """
     e = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
-    forest = e.mapInArrow(_forest, "a long, b long").distinct()
+    forest = e.mapInArrow(_forest(), "a long, b long").distinct()
     e = materialize(forest, "component-edges")
     if e.count() <= small:
-        flat = e.coalesce(1).mapInArrow(_forest, "a long, b long")
+        flat = e.coalesce(1).mapInArrow(_forest(None), "a long, b long")
         both = flat.unionByName(flat.select(F.col("b").alias("a"), "b"))
         return materialize(both.distinct().select(F.col("a").alias("node"), F.col("b").alias("component")), "component-labels")
     label = None  # (node, component) of all nodes hooked so far
@@ -69,7 +87,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
                 break
         of = lambda end: up.select(F.col("node").alias(end), F.col("up").alias(f"{end}_up"))
         e = e.join(of("a"), "a").join(of("b"), "b").where("a_up <> b_up").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
-        e = materialize(e.mapInArrow(_forest, "a long, b long").distinct(), "component-edges")
+        e = materialize(e.mapInArrow(_forest(), "a long, b long").distinct(), "component-edges")
         if label is None:
             label = up
         else:

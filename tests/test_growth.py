@@ -1,10 +1,10 @@
 """Plans and steps whose figures must not outgrow the input: what they move, hold or send to the driver."""
 
-import math
-
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tarnworks.core import graph
 from tarnworks.operators import cells
 
 
@@ -29,3 +29,29 @@ def test_pointers_are_not_sent_to_the_driver(slope):
     found = cells.flow_pointer(slope)
     assert "Broadcast" not in plan(found)
     assert found.count() == 400
+
+
+def test_a_tasks_forest_is_bounded():
+    """The union-find held every node of its task, and gave nothing before the last edge."""
+    read = []
+
+    def batches():
+        for at in range(0, 4000, 100):
+            read.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(range(at, at + 100)), pa.array(range(at + 1, at + 101))], names=["a", "b"])
+
+    found = graph._forest(300)(batches())
+    first = next(found)
+    assert len(read) <= 4
+    edges = [(a, b) for x in (first, *found) for a, b in zip(*(c.to_pylist() for c in x.columns))]
+    assert len(edges) <= 4000
+    up = dict(edges)
+    top = lambda x: top(up[x]) if x in up else x
+    assert {top(x) for x in range(0, 4001, 100)} == {0}
+
+
+def test_components_over_bounded_forests(spark, monkeypatch):
+    monkeypatch.setattr(graph._forest, "__defaults__", (20,))
+    ring = spark.range(3000).selectExpr("id AS a", "CASE WHEN id % 500 = 499 THEN id - 499 ELSE id + 1 END AS b")
+    found = graph.connected_components(ring, small=0)
+    assert sorted(map(tuple, found.collect())) == [(x, x - x % 500) for x in range(3000)]
