@@ -8,7 +8,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnworks.core.io import materialize
@@ -101,15 +101,29 @@ def ratio_quality(num: DataFrame, den: DataFrame, zone: str = "zone_id") -> Data
     )
 
 
-def series(weights: DataFrame, grid: DataFrame, values: list[str], zone: str = "zone_id", date: str = "date") -> DataFrame:
+#: Rows of cells that a task of the series' join takes from either side.
+CELL_ROWS = 100_000
+
+
+def cell_parts(spark: SparkSession, rows: int) -> int:
+    """Tasks of ``series``' join for an input of at most ``rows`` rows."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // CELL_ROWS))
+
+
+def series(weights: DataFrame, grid: DataFrame, values: list[str], zone: str = "zone_id", date: str = "date", parts: int | None = None) -> DataFrame:
     """Per zone and day, for each variable: masked mean, std, min, max, sum and count over the
     valid cells, and the plain mean and sum, which are null where any cell is.
 
     ``weights`` is (zone, row, col, w), ``grid`` (date, row, col, variables). Deviations are taken
     from sums of squares; zones and days whose deviation is so much smaller than their mean that
     this loses digits get a second pass about the mean (equal cells have 0).
+
+    A cell gives a row a zone and day, so tasks of the join that are cut by what they read grow in
+    what they hold; ``parts`` is the number of tasks instead (``cell_parts`` of the larger input).
     """
-    j = weights.join(grid, ["row", "col"])
+    if parts is not None:
+        weights, grid = (d.repartition(parts, "row", "col") for d in (weights, grid))
+    j = weights.join(grid.hint("merge") if parts is not None else grid, ["row", "col"])
     out = []
     for v in values:
         x, w = F.col(v), F.col("w")

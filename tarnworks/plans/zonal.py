@@ -228,11 +228,16 @@ def _series(spark, sf):
     return (spark.sql(t.replace("FROM lineitem", "FROM {li}"), li=li) for t in (SERIES_W, SERIES_G))
 
 
+def _parts(spark, sf):
+    """Weights and grid have at most a row each for one of these."""
+    return zonal.cell_parts(spark, table(spark, sf, "lineitem").count())
+
+
 @query("zon12_series", SERIES_SQL + f"""SELECT zone_id, date, round({_V}, 9) AS swe_masked_mean, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 9) AS swe_masked_std,
  round(min(swe), 9) AS swe_masked_min, round(max(swe), 9) AS swe_masked_max, round(sum(w * swe), 9) AS swe_masked_sum, round(coalesce(sum(w) FILTER (swe IS NOT NULL), 0), 9) AS swe_masked_count,
  round(CASE WHEN bool_and(swe IS NOT NULL) THEN {_V} END, 9) AS swe_mean, round(CASE WHEN bool_and(swe IS NOT NULL) THEN sum(w * swe) END, 9) AS swe_sum FROM j GROUP BY zone_id, date""")
 def zon12(spark, sf):
-    return r(zonal.series(*_series(spark, sf), ["swe"]), 9)
+    return r(zonal.series(*_series(spark, sf), ["swe"], parts=_parts(spark, sf)), 9)
 
 
 @query("zon13_series_std", SERIES_SQL + f"SELECT zone_id, date, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 3) AS swe_std FROM j GROUP BY zone_id, date")

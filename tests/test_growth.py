@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnworks.core import graph
-from tarnworks.operators import cells
+from tarnworks.operators import cells, zonal
+from tarnworks.plans import registry
 
 
 def plan(df):
@@ -55,3 +56,20 @@ def test_components_over_bounded_forests(spark, monkeypatch):
     ring = spark.range(3000).selectExpr("id AS a", "CASE WHEN id % 500 = 499 THEN id - 499 ELSE id + 1 END AS b")
     found = graph.connected_components(ring, small=0)
     assert sorted(map(tuple, found.collect())) == [(x, x - x % 500) for x in range(3000)]
+
+
+def test_series_in_parts_of_bounded_rows(spark):
+    """Tasks of the join were cut by what they read, and held some rows for each of these."""
+    assert zonal.cell_parts(spark, 50_000_000) == 500 and zonal.cell_parts(spark, 1) == spark.sparkContext.defaultParallelism
+    w = spark.range(600).selectExpr("id % 7 AS zone_id", "CAST(id % 50 AS INT) AS row", "CAST(id % 4 AS INT) AS col", "1.0D + id % 3 AS w")
+    g = spark.range(900).selectExpr("id % 5 AS date", "CAST(id % 60 AS INT) AS row", "CAST(id % 4 AS INT) AS col", "CASE WHEN id % 11 > 0 THEN CAST(id % 13 AS DOUBLE) END AS swe")
+    rows = lambda d: sorted(tuple(None if x is None else round(x, 9) for x in r) for r in d.collect())
+    assert rows(zonal.series(w, g, ["swe"], parts=11)) == rows(zonal.series(w, g, ["swe"]))
+
+
+@pytest.mark.parametrize("name", ["zon12_series"])
+def test_series_queries_count_their_rows(spark, name, monkeypatch):
+    asked = []
+    monkeypatch.setattr(zonal, "cell_parts", lambda spark, rows: asked.append(rows) or 5)
+    registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert asked and asked[0] > 5000
