@@ -249,7 +249,7 @@ def zon13(spark, sf):
 def zon14(spark, sf):
     w, g = _series(spark, sf)
     g = g.withColumn("sca", zonal.snow_cover(F.col("swe") - 20))
-    return r(zonal.series(w, g, ["sca"]).select("zone_id", "date", F.col("sca_masked_mean").alias("sca")), 9)
+    return r(zonal.series(w, g, ["sca"], parts=_parts(spark, sf)).select("zone_id", "date", F.col("sca_masked_mean").alias("sca")), 9)
 
 
 @query("zon15_cells_per_zone", SERIES_SQL + "SELECT zone_id, count(*) AS n_cells FROM weights GROUP BY zone_id")
