@@ -207,10 +207,10 @@ class Source:
         if self.statistic not in ("mean", "sum", "masked_mean", "masked_std", "masked_min", "masked_max", "masked_sum", "masked_count"):
             raise ValueError(f"statistic {self.statistic!r}")
 
-    def aggregate(self, weights: DataFrame, grid: DataFrame) -> DataFrame:
+    def aggregate(self, weights: DataFrame, grid: DataFrame, parts: int | None = None) -> DataFrame:
         from tarnworks.operators.zonal import series
 
-        s = series(weights, grid.transform(self.hook) if self.hook else grid, self.variables)
+        s = series(weights, grid.transform(self.hook) if self.hook else grid, self.variables, parts=parts)
         return s.select("zone_id", "date", *[F.col(f"{v}_{self.statistic}").alias(v) for v in self.variables], *[F.col(f"{v}_masked_std").alias(f"{v}_std") for v in self.spread])
 
 

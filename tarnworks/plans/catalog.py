@@ -10,7 +10,7 @@ from tarnworks.operators import catalog as c
 from tarnworks.operators import lines, vector, zonal
 from tarnworks.plans.base import model, query
 from tarnworks.plans.tables import SHAPE, _edges
-from tarnworks.plans.zonal import SERIES_SQL, _series, r
+from tarnworks.plans.zonal import SERIES_SQL, _parts, _series, r
 
 K = ("keys",)
 
@@ -161,7 +161,7 @@ def agg50c(spark, sf):
 @query("udf01_source_hook", SERIES_SQL + "SELECT zone_id, date, round(sum(w * swe * 2) / sum(w) FILTER (swe IS NOT NULL), 9) AS swe FROM j GROUP BY zone_id, date")
 def udf01(spark, sf):
     w, g = _series(spark, sf)
-    return r(c.Source(["swe"], hook=lambda d: d.withColumn("swe", F.col("swe") * 2)).aggregate(w, g), 9)
+    return r(c.Source(["swe"], hook=lambda d: d.withColumn("swe", F.col("swe") * 2)).aggregate(w, g, _parts(spark, sf)), 9)
 
 
 DECLARED = """SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'p_cost' ELSE 'p_size' END AS source,
