@@ -242,7 +242,7 @@ def zon12(spark, sf):
 
 @query("zon13_series_std", SERIES_SQL + f"SELECT zone_id, date, round(sqrt(greatest(sum(w * swe * swe) / sum(w) FILTER (swe IS NOT NULL) - ({_V}) ** 2, 0)), 3) AS swe_std FROM j GROUP BY zone_id, date")
 def zon13(spark, sf):
-    return r(zonal.series(*_series(spark, sf), ["swe"]).select("zone_id", "date", F.col("swe_masked_std").alias("swe_std")), 3)
+    return r(zonal.series(*_series(spark, sf), ["swe"], parts=_parts(spark, sf)).select("zone_id", "date", F.col("swe_masked_std").alias("swe_std")), 3)
 
 
 @query("zon14_snow_cover", SERIES_SQL + "SELECT zone_id, date, round(sum(w * CASE WHEN swe IS NULL THEN NULL WHEN swe > 20 THEN 1 ELSE 0 END) / sum(w) FILTER (swe IS NOT NULL), 9) AS sca FROM j GROUP BY zone_id, date")

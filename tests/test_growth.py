@@ -67,7 +67,7 @@ def test_series_in_parts_of_bounded_rows(spark):
     assert rows(zonal.series(w, g, ["swe"], parts=11)) == rows(zonal.series(w, g, ["swe"]))
 
 
-@pytest.mark.parametrize("name", ["zon12_series", "zon14_snow_cover", "udf01_source_hook"])
+@pytest.mark.parametrize("name", ["zon12_series", "zon14_snow_cover", "udf01_source_hook", "zon13_series_std"])
 def test_series_queries_count_their_rows(spark, name, monkeypatch):
     asked = []
     monkeypatch.setattr(zonal, "cell_parts", lambda spark, rows: asked.append(rows) or 5)
