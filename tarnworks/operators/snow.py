@@ -6,6 +6,8 @@ rows, whatever the number of zones and years.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -186,14 +188,28 @@ def lognormal_curve(cv: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
+#: Curves that a task keeps: some tens of megabytes.
+CURVES = 100_000
+
+
+def curve_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The curves of a task's coefficients, batch by batch. Each is made once, as long as the task has
+    met at most ``CURVES`` of them."""
+    made: dict[float, np.ndarray] = {}
+    for values in batches:
+        new = [v for v in values.dropna().unique() if v not in made]
+        if len(made) + len(new) > CURVES:
+            made, new = {}, values.dropna().unique()
+        made.update(zip(new, lognormal_curve(new)))
+        yield pd.Series([None if pd.isna(v) else made[v] for v in values], index=values.index)
+
+
 def lognormal_curves(rows: DataFrame, cv: str = "cv") -> DataFrame:
     """Adds ``curve`` to rows with a coefficient of variation; null where that is null."""
 
     @F.pandas_udf("array<double>")
-    def curve(values: pd.Series) -> pd.Series:
-        good = values.dropna()
-        made = dict(zip(good.unique(), lognormal_curve(good.unique())))
-        return pd.Series([None if pd.isna(v) else made[v] for v in values], index=values.index)
+    def curve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return curve_batches(batches)
 
     return rows.withColumn("curve", curve(F.col(cv)))
 

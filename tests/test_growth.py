@@ -1,11 +1,12 @@
 """Plans and steps whose figures must not outgrow the input: what they move, hold or send to the driver."""
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tarnworks.core import graph
-from tarnworks.operators import cells, zonal
+from tarnworks.core import graph, io
+from tarnworks.operators import cells, lines, snow, vector, zonal
 from tarnworks.plans import registry
 
 
@@ -73,3 +74,17 @@ def test_series_queries_count_their_rows(spark, name, monkeypatch):
     monkeypatch.setattr(zonal, "cell_parts", lambda spark, rows: asked.append(rows) or 5)
     registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert asked and asked[0] > 5000
+
+
+def test_a_curve_is_made_once_a_task(monkeypatch):
+    """Every batch of a task made the curves of all its coefficients again."""
+    made, plain = [], snow.lognormal_curve
+    monkeypatch.setattr(snow, "lognormal_curve", lambda cv: made.extend(cv) or plain(cv))
+    batches = [pd.Series([0.5, None, 1.0, 0.5]), pd.Series([1.0, 0.5]), pd.Series([None], dtype=float), pd.Series([2.0, 0.5])]
+    found = [x for b in snow.curve_batches(iter(batches)) for x in b]
+    assert made == [0.5, 1.0, 2.0]
+    for cv, curve in zip([x for b in batches for x in b], found, strict=True):
+        assert curve is None if pd.isna(cv) else list(curve) == list(plain([cv])[0])
+    monkeypatch.setattr(snow, "CURVES", 2)
+    again = [x for b in snow.curve_batches(iter(batches)) for x in b]
+    assert [None if x is None else list(x) for x in again] == [None if x is None else list(x) for x in found]
