@@ -19,9 +19,13 @@ def _binned(edges: DataFrame, size: float) -> DataFrame:
 
 
 def _met(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
-    """Pairs of edges of a and b that share a bin, once each, b's columns with the suffix _b."""
+    """Pairs of edges of a and b that share a bin, once each, b's columns with the suffix _b.
+
+    The bins are shuffled, whatever the size of a side: a table read in few tasks would else make all
+    its pairs in these, and edges in several bins are estimated as one row each.
+    """
     right = _binned(b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns]).withColumnsRenamed({f"{c}_b": c for c in SEG}), size).withColumnsRenamed({c: f"{c}_b" for c in SEG})
-    return _binned(a, size).join(right, ["bx", "by"]).drop("bx", "by").distinct()
+    return _binned(a, size).join(right.hint("merge"), ["bx", "by"]).drop("bx", "by").distinct()
 
 
 def line_cuts(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0) -> DataFrame:

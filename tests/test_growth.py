@@ -88,3 +88,12 @@ def test_a_curve_is_made_once_a_task(monkeypatch):
     monkeypatch.setattr(snow, "CURVES", 2)
     again = [x for b in snow.curve_batches(iter(batches)) for x in b]
     assert [None if x is None else list(x) for x in again] == [None if x is None else list(x) for x in found]
+
+
+def test_edge_pairs_are_shuffled(spark):
+    """A side read in one task made all pairs there when the other was sent to it."""
+    e = spark.range(40).selectExpr("id AS line_id", "0 AS seq", "id * 1.0D AS x1", "0D AS y1", "id + 1.5D AS x2", "0.5D AS y2")
+    met = lines._met(e.drop("seq"), e.drop("seq"), 1.0)
+    assert "Broadcast" not in plan(met)
+    near = {(a, b) for a in range(40) for b in range(40) if abs(a - b) <= 1}
+    assert near <= {(r["line_id"], r["line_id_b"]) for r in met.collect()}
