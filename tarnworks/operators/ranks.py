@@ -42,6 +42,7 @@ def exact_percentiles(df: DataFrame, value: str, at: list[float], by: list[str]
     before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumns({"_offset": F.coalesce(F.sum("_size").over(before), F.lit(0)), "n": F.sum("_size").over(group)}).drop("_size")
     sizes = sizes.withColumnsRenamed({"_part": "_at"} | {c: f"_by{i}" for i, c in enumerate(by)})
+    sizes = materialize(sizes, "percentile-sizes") if by else sizes  # written, the smaller side is seen to be smaller
     same = [F.col("_part") == F.col("_at"), *[F.equal_null(c, F.col(f"_by{i}")) for i, c in enumerate(by)]]
     own = part.join(sizes, same).select(*by, "_part", "_v", "_n", "_offset", "n")
     upto = F.col("_offset") + F.sum("_n").over(Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))

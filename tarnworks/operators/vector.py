@@ -143,7 +143,7 @@ def nearest(missing: DataFrame, donors: DataFrame, k: int = 1, key: str = "zone_
 
     todo = there(missing.select(key, *xy)).distinct()
     asked = materialize(todo.join(F.broadcast(kept.where("level = 0"))).select(*row, "level", "bx", "by", "n", "leaf"), "nearest-bins")
-    for _ in range(levels):
+    for level in range(levels):
         if asked.where("NOT leaf").isEmpty():
             break
         down = asked.where("NOT leaf").select(*row, (F.col("level") + 1).alias("level"), F.col("bx").alias("px"), F.col("by").alias("py"))
@@ -174,6 +174,7 @@ def spatial_batches(points: DataFrame, size: int, key: str = "zone_id") -> DataF
         axis = "xy"[level % 2]
         cut = d.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min(axis).alias("lo"), F.max(axis).alias("hi"))
         cut = cut.join(exact_percentiles(d, axis, [0.5], ["node"]).select("node", F.get("q", F.lit(0)).alias("cut")), "node")
+        cut = materialize(cut, "batch-cuts")  # a row a node: joins see its size, not that of a sum over all points
         right = (F.col(axis) > F.col("cut")).cast("long")
         split = (F.col("n") > size // 2) & (F.col("lo") < F.col("hi"))
         d = materialize(d.join(cut, "node").select(key, "x", "y", F.when(split, 2 * F.col("node") + right).otherwise(2 * F.col("node")).alias("node")), "batches")

@@ -97,3 +97,14 @@ def test_edge_pairs_are_shuffled(spark):
     assert "Broadcast" not in plan(met)
     near = {(a, b) for a in range(40) for b in range(40) if abs(a - b) <= 1}
     assert near <= {(r["line_id"], r["line_id_b"]) for r in met.collect()}
+
+
+def test_batches_do_not_send_points_to_the_driver(spark, monkeypatch):
+    """The cuts were estimated larger than the points, so each level sent all points."""
+    plans, write = [], io.materialize
+    monkeypatch.setattr(io, "materialize", lambda df, name="table", **k: (plans.append(plan(df)) if name == "batches" else None, write(df, name, **k))[1])
+    points = write(spark.range(20000).selectExpr("id AS zone_id", "CAST(id * 37 % 9001 AS DOUBLE) AS x", "CAST(id * 53 % 8999 AS DOUBLE) AS y"), "points")
+    found = vector.spatial_batches(points, 5000)
+    assert len(plans) == 2 and all("BuildLeft" not in p for p in plans)
+    sizes = [r["n"] for r in found.groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 4 and min(sizes) > 4900
