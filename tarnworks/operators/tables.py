@@ -272,13 +272,15 @@ def fill_gaps(params: DataFrame, places: DataFrame, columns: list[str], key: str
     gets none and stays null."""
     from tarnworks.operators.vector import nearest
 
-    every = places.select(key).join(params.select(key, *columns), key, "left")
+    # A row a place on both sides: joins that move rows by key and none to the driver.
+    spots = places.select(key, "x", "y").hint("merge")
+    every = places.select(key).join(params.select(key, *columns).hint("merge"), key, "left")
     for c in columns:
-        donors = every.where(F.col(c).isNotNull()).select(key, F.col(c).alias("v")).join(places.select(key, "x", "y"), key)
-        missing = every.where(F.col(c).isNull()).select(key).join(places.select(key, "x", "y"), key)
-        near = nearest(missing, donors, k, key).join(donors.select(F.col(key).alias("donor"), "v"), "donor")
+        donors = every.where(F.col(c).isNotNull()).select(key, F.col(c).alias("v")).join(spots, key)
+        missing = every.where(F.col(c).isNull()).select(key).join(spots, key)
+        near = nearest(missing, donors, k, key).join(donors.select(F.col(key).alias("donor"), "v").hint("merge"), "donor")
         filled = near.groupBy(key).agg(F.avg("v").alias("filled"))
-        every = every.join(filled, key, "left").withColumn(c, F.coalesce(F.col(c).cast("double"), "filled")).drop("filled")
+        every = every.join(filled.hint("merge"), key, "left").withColumn(c, F.coalesce(F.col(c).cast("double"), "filled")).drop("filled")
     return every
 
 

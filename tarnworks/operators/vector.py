@@ -147,7 +147,7 @@ def nearest(missing: DataFrame, donors: DataFrame, k: int = 1, key: str = "zone_
         if asked.where("NOT leaf").isEmpty():
             break
         down = asked.where("NOT leaf").select(*row, (F.col("level") + 1).alias("level"), F.col("bx").alias("px"), F.col("by").alias("py"))
-        below = down.join(kept, ["level", "px", "py"]).select(*row, "level", "bx", "by", "n", "leaf")
+        below = down.join(kept.where(F.col("level") == level + 1), ["level", "px", "py"]).select(*row, "level", "bx", "by", "n", "leaf")
         asked = materialize(pruned(asked.where("leaf").unionByName(below)), "nearest-bins", instead_of=asked)
     holders = kept.where("leaf").select("level").distinct()
     placed = d.withColumns({"cx": code("dx", x0), "cy": code("dy", y0)}).join(F.broadcast(holders)).withColumns({"bx": F.col("cx"), "by": F.col("cy")})

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnworks.core import graph, io
-from tarnworks.operators import cells, lines, snow, vector, zonal
+from tarnworks.operators import cells, flow, lines, snow, tables, vector, zonal
 from tarnworks.plans import registry
 
 
@@ -108,3 +108,13 @@ def test_batches_do_not_send_points_to_the_driver(spark, monkeypatch):
     assert len(plans) == 2 and all("BuildLeft" not in p for p in plans)
     sizes = [r["n"] for r in found.groupBy("batch_id").agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 20000 and len(sizes) == 4 and min(sizes) > 4900
+
+
+def test_gaps_are_joined_by_key(spark, monkeypatch):
+    """Tables of a row a place were sent to the driver, donors several times."""
+    asked, search = [], vector.nearest
+    monkeypatch.setattr(vector, "nearest", lambda missing, donors, *a: (asked.extend([plan(missing), plan(donors)]), search(missing, donors, *a))[1])
+    places = spark.range(60).selectExpr("id AS zone_id", "id * 1.0D AS x", "0D AS y")
+    found = tables.fill_gaps(places.where("zone_id % 3 = 0").selectExpr("zone_id", "zone_id * 2.0D AS a"), places, ["a"])
+    assert asked and all("Broadcast" not in p for p in asked)
+    assert {r["zone_id"]: r["a"] for r in found.collect()} == {i: 2.0 * (3 * round(i / 3) if i < 58 else 57) for i in range(60)}
