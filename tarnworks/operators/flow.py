@@ -278,11 +278,15 @@ def fill_depressions(cells: DataFrame, rounds: int = 60, by: tuple[str, ...] = (
     key = [*by, *CELL]
     cell = F.struct(*key).alias("cell")
     valid = cells.where("value IS NOT NULL").select(*key, F.col("value").cast("double").alias("z")).where(~F.isnan("z"))
+    kinds = dict(valid.dtypes)
     steps = lambda d8: F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in d8])
     send = lambda d, d8, *v: d.withColumn("s", F.explode(steps(d8))).select(*by, (F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"), *v)
-    near = send(valid, D8.values(), F.struct("z", cell).alias("v")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
+    # A neighbour is its place in the order of the nine cells, that of their keys; 4 is the cell itself.
+    place = (4 - 3 * F.col("s.i") - F.col("s.j")).cast("byte").alias("k")
+    near = send(valid, D8.values(), F.struct("z", place).alias("v")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
     d = valid.join(near, key, "left").withColumn("outlet", F.coalesce("n", F.lit(0)) < 8)
-    down = F.when(~F.col("outlet") & (F.col("v") < F.struct("z", cell)), F.col("v.cell"))
+    lower = F.struct(*by, *[(F.col(c) + step).cast(kinds[c]).alias(c) for c, step in (("row", F.floor(F.col("v.k") / 3) - 1), ("col", F.col("v.k") % 3 - 1))])
+    down = F.when(~F.col("outlet") & ((F.col("v.z") < F.col("z")) | ((F.col("v.z") == F.col("z")) & (F.col("v.k") < 4))), lower)
     ptr = materialize(d.select(cell, "z", "outlet", down.alias("next")), "fill-cells")
     outlets = ptr.where("outlet").select("cell")
     out = outlets.select(F.col("cell").alias("end"), F.lit(True).alias("out"))

@@ -118,3 +118,18 @@ def test_gaps_are_joined_by_key(spark, monkeypatch):
     found = tables.fill_gaps(places.where("zone_id % 3 = 0").selectExpr("zone_id", "zone_id * 2.0D AS a"), places, ["a"])
     assert asked and all("Broadcast" not in p for p in asked)
     assert {r["zone_id"]: r["a"] for r in found.collect()} == {i: 2.0 * (3 * round(i / 3) if i < 58 else 57) for i in range(60)}
+
+
+def test_fill_sends_a_neighbours_place_and_not_its_key(spark, monkeypatch):
+    """Each of the eight rows that a cell sends held the cell's whole key."""
+    plans, write = [], flow.materialize
+    monkeypatch.setattr(flow, "materialize", lambda df, name="table", **k: (plans.append(plan(df)) if name == "fill-cells" else None, write(df, name, **k))[1])
+    d = spark.range(3, 200).selectExpr("id DIV 100 AS w", "CAST(id % 100 DIV 10 AS INT) AS row", "CAST(id % 10 AS INT) AS col", "CAST(id * id % 7 AS DOUBLE) AS value")
+    found = {(r["w"], r["row"], r["col"]): r["filled"] for r in flow.fill_depressions(d, by=("w",)).collect()}
+    assert "as tinyint" in plans[0] and len(found) == 197
+    z = {(r["w"], r["row"], r["col"]): r["value"] for r in d.collect()}
+    near = lambda c: [(c[0], c[1] + i, c[2] + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
+    want = {c: z[c] if any(n not in z for n in near(c)) else 1e9 for c in z}
+    for _ in range(200):
+        want = {c: max(z[c], min([want[c], *[want[n] for n in near(c) if n in z]])) for c in z}
+    assert found == want
