@@ -47,21 +47,22 @@ def line_cuts(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone
 def _pieces(lines: DataFrame, polygons: DataFrame, line: str, zone: str, size: float, cover: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Edges cut where they meet polygons: all pieces (line, zone, piece, ax, ay, bx, by, len), the
     (piece, zone) whose middle is inside, and the (piece, zone, along) whose middle lies on the
-    polygon's own boundary; ``along`` is positive where the boundary runs the same way."""
+    polygon's own boundary; ``along`` is positive where the boundary runs the same way. The pieces
+    are written, since all three need them, and joined by shuffles, as they grow with the lines."""
     cuts = line_cuts(lines, polygons, line, zone, size)
     cover = cover if cover is not None else polygon_cover(polygons, zone, size)
     # Edges that lie inside a polygon without meeting its boundary: by their first point.
-    start = lines.select(F.concat_ws("/", line, "seq").alias("point_id"), F.col("x1").alias("x"), F.col("y1").alias("y"), line, "seq")
-    inside = points_in_cover(start.select("point_id", "x", "y"), cover, "point_id", zone, size).join(start.select("point_id", line, "seq"), "point_id").select(line, "seq", zone)
+    start = lines.select(F.struct(F.col(line).alias("line"), "seq").alias("start"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    inside = points_in_cover(start, cover, "start", zone, size).select(F.col("start.line").alias(line), "start.seq", zone)
     ends = F.array(F.lit(0.0), F.lit(1.0))
     every = cuts.select(line, "seq", zone, F.array("t").alias("ts")).unionByName(inside.select(line, "seq", zone, ends.alias("ts")))
     knots = every.groupBy(line, "seq", zone).agg(F.array_sort(F.array_distinct(F.concat(F.flatten(F.collect_list("ts")), ends))).alias("k"))
-    pieces = knots.select(line, "seq", zone, F.explode(F.arrays_zip(F.slice("k", 1, F.size("k") - 1).alias("a"), F.slice("k", 2, F.size("k") - 1).alias("b"))).alias("p")).select(line, "seq", zone, "p.a", "p.b").where("b - a > 1e-12")
-    at = pieces.join(lines.select(line, "seq", *SEG), [line, "seq"])
+    knots = knots.join(lines.select(line, "seq", *SEG).hint("merge"), [line, "seq"])
+    at = knots.select(line, "seq", zone, *SEG, F.explode(F.arrays_zip(F.slice("k", 1, F.size("k") - 1).alias("a"), F.slice("k", 2, F.size("k") - 1).alias("b"))).alias("p")).select(line, "seq", zone, *SEG, "p.a", "p.b").where("b - a > 1e-12")
     point = lambda t, c: F.col(f"{c}1") + t * (F.col(f"{c}2") - F.col(f"{c}1"))
     piece = F.concat_ws("/", line, "seq", zone, F.col("a").cast("string")).alias("piece")
     at = at.select(line, zone, piece, *[point(F.col(t), c).alias(f"{t}{c}") for t in "ab" for c in "xy"], *[point((F.col("a") + F.col("b")) / 2, c).alias(c) for c in "xy"])
-    at = at.withColumn("len", F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2))
+    at = materialize(at.withColumn("len", F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2)), "pieces")
     hit = points_in_cover(at.select("piece", "x", "y"), cover, "piece", zone, size)
     way = at.select("piece", zone, (F.col("bx") - F.col("ax")).alias("wx"), (F.col("by") - F.col("ay")).alias("wy"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     near = _met(way, polygons.select(zone, *SEG), size).where(F.col(f"{zone}_b") == F.col(zone))
@@ -81,7 +82,7 @@ def overlap_lengths(lines: DataFrame, polygons: DataFrame, line: str = "line_id"
     """
     at, hit, edge = _pieces(lines, polygons, line, zone, size, cover)
     counted = hit.select("piece", zone).union(edge.select("piece", zone)).distinct()
-    return at.join(counted, ["piece", zone], "left_semi").groupBy(line, zone).agg(F.sum("len").alias("overlap")).where("overlap > 1e-6")
+    return at.join(counted.hint("merge"), ["piece", zone], "left_semi").groupBy(line, zone).agg(F.sum("len").alias("overlap")).where("overlap > 1e-6")
 
 
 def flow_through(lines: DataFrame, polygons: DataFrame, line: str = "line_id", zone: str = "zone_id", size: float = 1.0, cover: DataFrame | None = None) -> DataFrame:
@@ -147,12 +148,13 @@ def overlap_areas(a: DataFrame, b: DataFrame, zone: str = "zone_id", size: float
         """Distinct edges (name, seq, x1, ..) with the inside on their left, and (name, x0, y0)."""
         d = d.select(F.col(zone).alias(name), *SEG).where("x1 <> x2 OR y1 <> y2").distinct()
         corner = d.groupBy(name).agg(F.min("x1").alias("x0"), F.min("y1").alias("y0"))
-        ring = d.join(corner, name)
+        ring = d.join(corner.hint("merge"), name)
         back = ring.groupBy(name).agg((signed < 0).alias("back"))
-        e = d.join(back, name)
+        e = ring.join(back.hint("merge"), name)
         swap = lambda c, other: F.when(F.col("back"), F.col(other)).otherwise(F.col(c)).alias(c)
-        e = e.select(name, swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
-        return materialize(e.withColumn("seq", F.concat_ws(",", *SEG)), "rings"), corner
+        e = e.select(name, F.monotonically_increasing_id().alias("seq"), swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"), "x0", "y0")
+        e = materialize(e, "rings")
+        return e.drop("x0", "y0"), e.select(name, "x0", "y0").distinct()
 
     left, corner = turned(a, zone)
     right, _ = turned(b, "source")
@@ -160,12 +162,12 @@ def overlap_areas(a: DataFrame, b: DataFrame, zone: str = "zone_id", size: float
     parts = []
     for own, (at, hit, edge) in here.items():
         key = ["piece", "source" if own == "inside" else zone]
-        within = hit.join(edge, key, "left_anti").select(*key)
-        if own == "inside":
-            within = within.union(edge.where("along > 0").select(*key))
-        parts.append(at.join(within, key, "left_semi").select(zone, "source", "ax", "ay", "bx", "by"))
+        hit = hit.distinct().withColumn("hit", F.lit(True))
+        marked = at.join(edge.hint("merge"), key, "left").join(hit.hint("merge"), key, "left")
+        kept = marked.where("IF(along IS NULL, hit, along > 0)" if own == "inside" else "along IS NULL AND hit")
+        parts.append(kept.select(zone, "source", "ax", "ay", "bx", "by"))
     cross = (F.col("ax") - F.col("x0")) * (F.col("by") - F.col("y0")) - (F.col("bx") - F.col("x0")) * (F.col("ay") - F.col("y0"))
-    pieces = parts[0].unionByName(parts[1]).join(corner, zone)
+    pieces = parts[0].unionByName(parts[1]).join(corner.hint("merge"), zone)
     return pieces.groupBy(zone, "source").agg((F.sum(cross) / 2).alias("area")).where("area > 1e-9")
 
 

@@ -17,6 +17,8 @@ from tarnworks.core.io import materialize
 SEG = ["x1", "y1", "x2", "y2"]
 #: Cells nearer than this (in cells) to an edge count as touched, so that rounding loses none.
 NEAR = 1e-7
+#: A cover of at most so many edges and inside cells is sent to the points; a larger one is shuffled.
+SENT = 20_000
 
 
 def crosses_right(e, x: Column, y: Column) -> Column:
@@ -42,25 +44,26 @@ def touched_cells(edges: DataFrame, size: float, margin: float = NEAR) -> DataFr
 def polygon_cover(edges: DataFrame, zone: str = "zone_id", size: float = 1.0) -> DataFrame:
     """(zone, level, cx, cy, odd, own): the cover of the polygons of an edge table.
 
-    Rings must be closed; edges with a null are left out. ``own`` are the edges of a boundary cell
+    Rings must be closed; edges with a null are left out. Its joins are shuffled: both sides grow with
+    the boundary, and rows of exploded arrays are estimated as one each. ``own`` are the edges of a boundary cell
     (level 0), null for an inside cell; ``odd`` says whether the cell's lower left corner is inside.
     ``size`` should be near an edge's length: an edge lies in about length / size cells. Corners are
     settled by the crossings of their own polygon's row.
     """
-    e = edges.select(F.col(zone).alias("zone"), *[F.col(c).cast("double").alias(c) for c in SEG]).where(" AND ".join(f"{c} IS NOT NULL" for c in SEG))
+    e = edges.select(F.col(zone).alias("zone"), *[F.col(c).cast("double").alias(c) for c in SEG]).where(" AND ".join(f"{c} IS NOT NULL" for c in ("zone", *SEG)))
     boundary = touched_cells(e, size).groupBy("zone", "cx", "cy").agg(F.collect_list(F.struct(*SEG)).alias("own"))
     boundary = materialize(boundary, "cover-boundary")
     # A polygon's levels end where its boundary fits in two by two cells.
     span = F.greatest(F.max("cx") - F.min("cx"), F.max("cy") - F.min("cy"))
     top = boundary.groupBy("zone").agg(F.ceil(F.log2(span + 1.0)).cast("int").alias("top"))
-    up = boundary.select("zone", "cx", "cy").join(top, "zone").withColumn("level", F.explode(F.sequence(F.lit(0), "top")))
+    up = boundary.select("zone", "cx", "cy").join(top.hint("merge"), "zone").withColumn("level", F.explode(F.sequence(F.lit(0), "top")))
     halved = lambda c: F.call_function("shiftright", F.col(c), F.col("level")).alias(c)
     nodes = up.select("zone", "level", halved("cx"), halved("cy")).distinct()
     step = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
     below = nodes.where("level > 0").withColumn("s", step).select("zone", (F.col("level") - 1).alias("level"), (2 * F.col("cx") + F.col("s.i")).alias("cx"), (2 * F.col("cy") + F.col("s.j")).alias("cy"))
-    even = below.join(nodes, ["zone", "level", "cx", "cy"], "left_anti")
+    even = below.join(nodes.hint("merge"), ["zone", "level", "cx", "cy"], "left_anti")
     # Corners of all these cells against the crossings of their polygon's rows, right to left.
-    asked = even.unionByName(boundary.select("zone", F.lit(0).alias("level"), "cx", "cy")).join(top, "zone", "left_semi")
+    asked = even.unionByName(boundary.select("zone", F.lit(0).alias("level"), "cx", "cy"))
     base = lambda c: F.call_function("shiftleft", F.col(c), F.col("level"))
     asked = asked.select("zone", base("cy").alias("row"), (base("cx") * F.lit(size)).alias("x"), F.lit(0).alias("crossing"), "level", "cx", "cy")
     rows = F.sequence(F.floor(F.least("y1", "y2") / size).cast("long"), F.floor(F.greatest("y1", "y2") / size).cast("long") + 1)
@@ -69,13 +72,15 @@ def polygon_cover(edges: DataFrame, zone: str = "zone_id", size: float = 1.0) ->
     met = met.select("zone", "row", (F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"), F.lit(1).alias("crossing"))
     right = Window.partitionBy("zone", "row").orderBy(F.desc("x"), "crossing").rowsBetween(Window.unboundedPreceding, 0)
     settled = asked.unionByName(met, allowMissingColumns=True).withColumn("odd", F.sum("crossing").over(right) % 2 == 1).where("crossing = 0")
-    settled = settled.join(boundary.withColumn("level", F.lit(0)), ["zone", "level", "cx", "cy"], "left").where("odd OR own IS NOT NULL")
+    settled = settled.join(boundary.withColumn("level", F.lit(0)).hint("merge"), ["zone", "level", "cx", "cy"], "left").where("odd OR own IS NOT NULL")
     return materialize(settled.select("zone", "level", "cx", "cy", "odd", "own"), "cover")
 
 
 def met_cells(points: DataFrame, cover: DataFrame, size: float = 1.0) -> DataFrame:
     """Points (with x, y) and the cover's cells that hold them, one row a cell."""
-    levels = [r["level"] for r in cover.select("level").distinct().collect()]  # at most 64
+    held = F.sum(F.when(F.col("own").isNull(), 1).otherwise(F.size("own"))).alias("n")
+    levels = {r["level"]: r["n"] for r in cover.groupBy("level").agg(held).collect()}  # at most 64
+    cover = cover.hint("broadcast" if sum(levels.values()) <= SENT else "merge")
     p = points.where("x IS NOT NULL AND y IS NOT NULL").withColumn("level", F.explode(F.array(*[F.lit(i) for i in sorted(levels)]) if levels else F.array().cast("array<int>")))
     key = lambda c: F.call_function("shiftright", F.floor(F.col(c) / size).cast("long"), F.col("level"))
     return p.withColumns({"cx": key("x"), "cy": key("y")}).join(cover, ["level", "cx", "cy"])

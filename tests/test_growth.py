@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnworks.core import graph, io
-from tarnworks.operators import cells, flow, lines, snow, tables, vector, zonal
+from tarnworks.operators import cells, flow, lines, polygon_index, snow, tables, vector, zonal
 from tarnworks.plans import registry
 
 
@@ -133,3 +133,43 @@ def test_fill_sends_a_neighbours_place_and_not_its_key(spark, monkeypatch):
     for _ in range(200):
         want = {c: max(z[c], min([want[c], *[want[n] for n in near(c) if n in z]])) for c in z}
     assert found == want
+
+
+@pytest.fixture
+def squares(spark):
+    """Squares of width 3 in a row, each overlapping the next by 1."""
+    corners = "array(named_struct('x', {0}, 'y', 0D), named_struct('x', {0} + 3, 'y', 0D), named_struct('x', {0} + 3, 'y', 3D), named_struct('x', {0}, 'y', 3D))".format("2D * id")
+    d = spark.range(30).selectExpr("id AS zone_id", f"{corners} AS c").selectExpr("zone_id", "c", "explode(sequence(0, 3)) AS i")
+    return d.selectExpr("zone_id", "c[i].x AS x1", "c[i].y AS y1", "c[(i + 1) % 4].x AS x2", "c[(i + 1) % 4].y AS y2")
+
+
+def test_overlap_areas_send_nothing_to_the_driver(squares, monkeypatch):
+    """Edges, pieces and covers, estimated by their files, went to the driver a dozen times."""
+    monkeypatch.setattr(polygon_index, "SENT", 0, raising=False)
+    plans, write = {}, io.materialize
+    for module in (lines, polygon_index):
+        monkeypatch.setattr(module, "materialize", lambda df, name="table", **k: (plans.setdefault(name, []).append(plan(df)), write(df, name, **k))[1])
+    found = lines.overlap_areas(squares, squares, size=2.0)
+    assert {"rings", "cover"} <= set(plans) and not [n for n in plans if "Broadcast" in "".join(plans[n])]
+    assert "Broadcast" not in plan(found)
+    want = {(i, j): 9.0 if i == j else 3.0 for i in range(30) for j in range(30) if abs(i - j) <= 1}
+    assert {(r["zone_id"], r["source"]): round(r["area"], 9) for r in found.collect()} == want
+    assert "Broadcast" not in plan(found)
+
+
+def test_only_a_small_cover_is_sent_to_the_points(spark, squares, monkeypatch):
+    """Catalyst took a cover, or points that meet several levels, by the size of their files."""
+    points = spark.range(500).selectExpr("id AS point_id", "id % 61 + 0.25D AS x", "id % 3 + 0.5D AS y")
+    small = vector.points_in_polygons(points, squares)
+    assert "BuildRight" in plan(small) and "SortMergeJoin" not in plan(small)
+    monkeypatch.setattr(polygon_index, "SENT", 100, raising=False)
+    large = vector.points_in_polygons(points, squares)
+    assert "Broadcast" not in plan(large)
+    want = sorted((p, z) for p in range(500) for z in range(30) if 2 * z <= p % 61 + 0.25 < 2 * z + 3)
+    assert sorted(map(tuple, small.collect())) == want == sorted(map(tuple, large.collect()))
+
+
+def test_polygons_without_a_key_take_no_part(spark, squares):
+    nameless = squares.where("zone_id = 0").selectExpr("CAST(NULL AS BIGINT) AS zone_id", *polygon_index.SEG)
+    points = spark.range(1).selectExpr("id AS point_id", "0.5D AS x", "0.5D AS y")
+    assert [tuple(r) for r in vector.points_in_polygons(points, squares.unionByName(nameless)).collect()] == [(0, 0)]
